@@ -96,16 +96,16 @@ def _sql(docs: str, seed: int = SEED, n_shards: int = SHARDS) -> str:
     """The same rows from a relation (doc_id, text, source), ranks and places counted plainly."""
     return f"""
     WITH crc_table AS (
-      SELECT list_transform(range(256), b -> list_reduce(list_prepend(b::BIGINT, range(8)::BIGINT[]),
-        (c, _) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+      SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b::BIGINT, range(8)::BIGINT[]),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
     rows_ AS (
       SELECT doc_id, source, coalesce(text, '') AS body, coalesce('s:' || source, 'n') AS s,
         ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '~')), 1, 15))::BIGINT AS h FROM {docs}),
     crc AS (
       SELECT doc_id, source, s, h, strlen(body) + 8 AS size,
         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, 2 * strlen(body), 2),
-          i -> ('0x' || substr(hex(encode(body)), i::INT, 2))::BIGINT)),
-          (c, b) -> xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32 FROM rows_, crc_table),
+          lambda i: ('0x' || substr(hex(encode(body)), i::INT, 2))::BIGINT)),
+          lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32 FROM rows_, crc_table),
     ranked AS (
       SELECT *, row_number() OVER (PARTITION BY s ORDER BY h, doc_id, text_crc32) AS r, count(*) OVER (PARTITION BY s) AS n FROM crc),
     placed AS (
