@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The ASCII blanks of the contracts, space and tab to carriage return.
-BLANKS = " \t\n\x0b\f\r"
 BLANK_CLASS = r"[\x20\x09-\x0D]"
 #: The ASCII separators for licence and benchmark words (a word is what lies between them, lower-cased).
 SEPARATOR_CLASS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -21,8 +20,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def blank_words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; none for null."""
-    flat = F.trim(F.translate(F.coalesce(text, F.lit("")), BLANKS[1:], " " * (len(BLANKS) - 1)))
-    return let(flat, lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " +")))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANK_CLASS + "+"), "")
 
 
 def plain_text(text: Column) -> Column:

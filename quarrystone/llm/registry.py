@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import mixing, sharding
+from quarrystone.llm import mixing, neardup, quality, sharding
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
+    "op5_minhash": neardup.op5_minhash,
     "op7_interleave": sharding.op7_interleave,
     "op10_mix": mixing.op10_mix,
 }
 
 ORACLES = {
+    "op1_quality": quality.OP1_SQL,
+    "op5_minhash": neardup.OP5_SQL,
     "op7_interleave": sharding.OP7_SQL,
     "op10_mix": mixing.OP10_SQL,
 }
