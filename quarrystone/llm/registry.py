@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import mixing, neardup, quality, sharding
+from quarrystone.llm import decontam, mixing, neardup, quality, sharding
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
+    "op4_decontaminate": decontam.op4_decontaminate,
     "op5_minhash": neardup.op5_minhash,
     "op7_interleave": sharding.op7_interleave,
     "op10_mix": mixing.op10_mix,
@@ -13,6 +14,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_quality": quality.OP1_SQL,
+    "op4_decontaminate": decontam.OP4_SQL,
     "op5_minhash": neardup.OP5_SQL,
     "op7_interleave": sharding.OP7_SQL,
     "op10_mix": mixing.OP10_SQL,
