@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import decontam, mixing, neardup, quality, sharding
+from quarrystone.llm import decontam, licenses, mixing, neardup, quality, sharding
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op4_decontaminate": decontam.op4_decontaminate,
     "op5_minhash": neardup.op5_minhash,
     "op7_interleave": sharding.op7_interleave,
+    "op9_licenses": licenses.op9_licenses,
     "op10_mix": mixing.op10_mix,
 }
 
@@ -17,5 +18,6 @@ ORACLES = {
     "op4_decontaminate": decontam.OP4_SQL,
     "op5_minhash": neardup.OP5_SQL,
     "op7_interleave": sharding.OP7_SQL,
+    "op9_licenses": licenses.OP9_SQL,
     "op10_mix": mixing.OP10_SQL,
 }
