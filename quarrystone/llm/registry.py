@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import decontam, licenses, mixing, neardup, quality, sharding
+from quarrystone.llm import decontam, licenses, mixing, neardup, quality, sharding, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
+    "op3_url_filter": urls.op3_url_filter,
     "op4_decontaminate": decontam.op4_decontaminate,
     "op5_minhash": neardup.op5_minhash,
     "op7_interleave": sharding.op7_interleave,
