@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import decontam, licenses, mixing, neardup, quality, sharding, urls
+from quarrystone.llm import decontam, licenses, mixing, neardup, quality, sharding, urls, warc
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op3_url_filter": urls.op3_url_filter,
     "op4_decontaminate": decontam.op4_decontaminate,
     "op5_minhash": neardup.op5_minhash,
+    "op6_warc": warc.op6_warc,
     "op7_interleave": sharding.op7_interleave,
     "op9_licenses": licenses.op9_licenses,
     "op10_mix": mixing.op10_mix,
