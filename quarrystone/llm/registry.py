@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import decontam, licenses, mixing, neardup, quality, sharding, urls, warc
+from quarrystone.llm import decontam, licenses, lmscore, mixing, neardup, quality, sharding, urls, warc
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_minhash": neardup.op5_minhash,
     "op6_warc": warc.op6_warc,
     "op7_interleave": sharding.op7_interleave,
+    "op8_pseudo_likelihood": lmscore.op8_pseudo_likelihood,
     "op9_licenses": licenses.op9_licenses,
     "op10_mix": mixing.op10_mix,
 }
