@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import decontam, licenses, lmscore, mixing, neardup, quality, sharding, urls, warc
+from quarrystone.llm import decontam, licenses, lmscore, mixing, neardup, quality, sharding, suffixdup, urls, warc
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
+    "op2_suffixes": suffixdup.op2_suffixes,
     "op3_url_filter": urls.op3_url_filter,
     "op4_decontaminate": decontam.op4_decontaminate,
     "op5_minhash": neardup.op5_minhash,
