@@ -133,31 +133,32 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), keep=["doc_id", "source"])
 
 
-def _sql(docs: str, seed: int = SEED, blocks: int = BLOCKS, limit: float = MAX_REPETITION) -> str:
+def mixing_sql(docs: str, seed: int = SEED, blocks: int = BLOCKS, limit: float = MAX_REPETITION) -> str:
+    """CTEs (one is recursive) that end in ``mx_copies`` (doc_id, epoch, block_rank)."""
     md5 = lambda x: f"('0x' || substr(md5({x}), 1, 15))::BIGINT"
     return f"""
-    WITH RECURSIVE rows_ AS (
-      SELECT doc_id, source, coalesce('s:' || source, 'n') AS s, ({md5(f"'{seed}:' || coalesce(doc_id::VARCHAR, '~')")} % {blocks})::INT AS b,
+    mx_rows AS (
+      SELECT doc_id, coalesce('s:' || source, 'n') AS s, ({md5(f"'{seed}:' || coalesce(doc_id::VARCHAR, '~')")} % {blocks})::INT AS b,
         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS w FROM {docs}),
-    cells AS (SELECT s, b, sum(w)::BIGINT AS w FROM rows_ GROUP BY s, b),
-    totals AS (SELECT s, sum(w)::BIGINT AS n FROM cells GROUP BY s),
-    ends AS (SELECT coalesce(max(n), 1)::DOUBLE AS hi, coalesce(min(n), 1)::DOUBLE AS lo FROM totals WHERE n > 0),
-    bisect AS (
+    mx_cells AS (SELECT s, b, sum(w)::BIGINT AS w FROM mx_rows GROUP BY s, b),
+    mx_totals AS (SELECT s, sum(w)::BIGINT AS n FROM mx_cells GROUP BY s),
+    mx_ends AS (SELECT coalesce(max(n), 1)::DOUBLE AS hi, coalesce(min(n), 1)::DOUBLE AS lo FROM mx_totals WHERE n > 0),
+    mx_bisect AS (
       SELECT 0 AS step, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
       UNION ALL
       SELECT step + 1, CASE WHEN pow(e.hi / e.lo, 1 - (b.lo + b.hi) / 2) > {limit} THEN (b.lo + b.hi) / 2 ELSE b.lo END,
-        CASE WHEN pow(e.hi / e.lo, 1 - (b.lo + b.hi) / 2) > {limit} THEN b.hi ELSE (b.lo + b.hi) / 2 END FROM bisect b, ends e WHERE step < {STEPS}),
-    passes AS (
+        CASE WHEN pow(e.hi / e.lo, 1 - (b.lo + b.hi) / 2) > {limit} THEN b.hi ELSE (b.lo + b.hi) / 2 END FROM mx_bisect b, mx_ends e WHERE step < {STEPS}),
+    mx_passes AS (
       SELECT s, n, CASE WHEN n > 0 THEN round(pow(e.hi / n, 1 - b.hi) * 1e6)::BIGINT ELSE 1000000 END AS m
-      FROM totals, ends e, bisect b WHERE b.step = {STEPS}),
-    plan AS (
+      FROM mx_totals, mx_ends e, mx_bisect b WHERE b.step = {STEPS}),
+    mx_plan AS (
       SELECT c.s, c.b, c.w, unnest(range(0, m // 1000000 + 1))::INT AS epoch, m // 1000000 AS full_, ((m % 1000000)::HUGEINT * n) // 1000000 AS rest
-      FROM cells c JOIN passes USING (s)),
-    ordered AS (
-      SELECT *, row_number() OVER o AS block_rank, sum(w) OVER (o ROWS UNBOUNDED PRECEDING) AS upto FROM plan
-      WINDOW o AS (PARTITION BY s, epoch ORDER BY {md5(f"'{seed}:' || epoch || ':' || s || ':' || b")}, b))
-    SELECT doc_id, source, epoch, block_rank::INTEGER AS block_rank FROM rows_ JOIN ordered USING (s, b)
-    WHERE epoch < full_ OR 2 * upto - ordered.w < 2 * rest"""
+      FROM mx_cells c JOIN mx_passes USING (s)),
+    mx_ordered AS (
+      SELECT *, row_number() OVER o AS block_rank, sum(w) OVER (o ROWS UNBOUNDED PRECEDING) AS upto FROM mx_plan
+      WINDOW o AS (PARTITION BY s, epoch ORDER BY {md5(f"'{seed}:' || epoch || ':' || s || ':' || b")}, b)),
+    mx_copies AS (SELECT doc_id, epoch, block_rank::INTEGER AS block_rank FROM mx_rows JOIN mx_ordered USING (s, b)
+      WHERE epoch < full_ OR 2 * upto - mx_ordered.w < 2 * rest)"""
 
 
-OP10_SQL = _sql("documents")
+OP10_SQL = f"WITH RECURSIVE {mixing_sql('documents')} SELECT doc_id, source, epoch, block_rank FROM mx_copies JOIN documents USING (doc_id)"

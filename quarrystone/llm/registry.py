@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from quarrystone.llm import decontam, licenses, lmscore, mixing, neardup, quality, sharding, suffixdup, urls, warc
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_quality": quality.op1_quality,
     "op2_suffixes": suffixdup.op2_suffixes,
     "op3_url_filter": urls.op3_url_filter,
@@ -18,6 +20,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "pipeline": corpus_pipeline.ORACLE_SQL,
     "op1_quality": quality.OP1_SQL,
     "op4_decontaminate": decontam.OP4_SQL,
     "op5_minhash": neardup.OP5_SQL,

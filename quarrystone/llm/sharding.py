@@ -92,28 +92,28 @@ def op7_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave_shards(docs, keep=["doc_id", "source"])
 
 
-def _sql(docs: str, seed: int = SEED, n_shards: int = SHARDS) -> str:
-    """The same rows from a relation (doc_id, text, source), ranks and places counted plainly."""
+def sharding_sql(docs: str, seed: int = SEED, n_shards: int = SHARDS) -> str:
+    """CTEs that end in ``sharded``, ranks and places counted plainly."""
     return f"""
-    WITH crc_table AS (
+    sh_table AS (
       SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b::BIGINT, range(8)::BIGINT[]),
         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
-    rows_ AS (
+    sh_rows AS (
       SELECT doc_id, source, coalesce(text, '') AS body, coalesce('s:' || source, 'n') AS s,
         ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '~')), 1, 15))::BIGINT AS h FROM {docs}),
-    crc AS (
+    sh_crc AS (
       SELECT doc_id, source, s, h, strlen(body) + 8 AS size,
         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, 2 * strlen(body), 2),
           lambda i: ('0x' || substr(hex(encode(body)), i::INT, 2))::BIGINT)),
-          lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32 FROM rows_, crc_table),
-    ranked AS (
-      SELECT *, row_number() OVER (PARTITION BY s ORDER BY h, doc_id, text_crc32) AS r, count(*) OVER (PARTITION BY s) AS n FROM crc),
-    placed AS (
+          lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32 FROM sh_rows, sh_table),
+    sh_ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY s ORDER BY h, doc_id, text_crc32) AS r, count(*) OVER (PARTITION BY s) AS n FROM sh_crc),
+    sh_placed AS (
       SELECT *, (2 * r - 1) / (2.0::DOUBLE * n) AS fraction,
-        row_number() OVER (ORDER BY (2 * r - 1) / (2.0::DOUBLE * n), s, r) - 1 AS p, count(*) OVER () AS a FROM ranked),
-    cut AS (SELECT *, ((p * {n_shards}) // a)::INTEGER AS shard FROM placed)
-    SELECT doc_id, source, size, text_crc32, 'rows' AS law, shard, p - (shard::BIGINT * a + {n_shards - 1}) // {n_shards} AS slot,
-      NULL::INTEGER AS grown_shard, fraction FROM cut"""
+        row_number() OVER (ORDER BY (2 * r - 1) / (2.0::DOUBLE * n), s, r) - 1 AS p, count(*) OVER () AS a FROM sh_ranked),
+    sh_cut AS (SELECT *, ((p * {n_shards}) // a)::INTEGER AS shard FROM sh_placed),
+    sharded AS (SELECT doc_id, source, size, text_crc32, 'rows' AS law, shard, p - (shard::BIGINT * a + {n_shards - 1}) // {n_shards} AS slot,
+      NULL::INTEGER AS grown_shard, fraction FROM sh_cut)"""
 
 
-OP7_SQL = _sql("documents")
+OP7_SQL = f"WITH {sharding_sql('documents')} SELECT * FROM sharded"
