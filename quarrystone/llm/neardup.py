@@ -14,10 +14,10 @@ from quarrystone.llm.shingles import minhash, set_key, shingle_set
 from quarrystone.operators.components import connected_components
 from quarrystone.session import materialize, table
 
-#: Signature coordinates, and the equal ones that a pair needs. At similarity 0.85 a pair has 40.8 equal ones on
-#: average, and fewer than 26 with probability 2e-8.
-COORDINATES = 48
-MATCHES = 26
+#: Signature coordinates, and the equal ones that a pair needs. At similarity 0.85 a pair has 54.4 equal ones on
+#: average, and fewer than 40 with a probability of some 1e-6.
+COORDINATES = 64
+MATCHES = 40
 PERCENT = 85
 _FACTORS = np.random.Generator(np.random.PCG64(48)).integers(0, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -45,6 +45,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for node, hashes in zip(batch.column("node"), batch.column("h"), strict=True):
+            values = np.frombuffer(hashes.as_py(), np.int64)
+            for at in range(0, len(values), 1 << 16):
+                part = values[at : at + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array([node.as_py()] * len(part), pa.binary()), pa.array(np.full(len(part), len(values)), pa.int64()), pa.array(part, pa.int64())], ["node", "n", "x"])
+
+
 def _linked(percent: int, matches: int):
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,6 +71,25 @@ def _linked(percent: int, matches: int):
     return check
 
 
+def _crowded_pairs(open_nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of nodes with different labels that can still be similar: an exact prefix join on the full sets.
+
+    With shingles ordered rarest first, two sets that overlap enough share one among the first n - percent% + 1 of each,
+    and the first they share leaves enough behind it in both. Copies of one original that differ too much to be linked
+    meet only in what the original has, which stands last, so they aren't paired.
+    """
+    rows = open_nodes.select("node").join(sets.select("node", "h"), "node").mapInArrow(_shingle_rows, "node binary, n long, x long")
+    rows = materialize(rows)
+    shared = rows.groupBy("x").agg(F.count("*").alias("df"))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "x"))
+    first = rows.join(shared, "x").withColumn("i", rank).where(f"df > 1 and i <= n - ceil({percent} * n / 100) + 1")
+    first = materialize(first.join(open_nodes, "node").select("x", "node", "label", "n", "i"))
+    a = first.select("x", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("i").alias("ia"))
+    b = first.select("x", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("i").alias("ib"))
+    enough = f"(1 + least(na - ia, nb - ib)) * {100 + percent} >= {percent} * (na + nb)"
+    return a.join(b, "x").where(f"a < b and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb) and {enough}").select("a", "b").distinct()
+
+
 def _row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("~")), F.coalesce(F.col(text_col), F.lit("")))
 
@@ -81,8 +109,10 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, percent: int, matches
     posted = posted.join(shared, "post")
     # Rarest postings first, those of one document foremost: a pair with enough collisions meets in this prefix.
     by_node = Window.partitionBy("node")
-    posted = posted.select("node", "post", F.row_number().over(by_node.orderBy("df", "post")).alias("_r"), F.count("*").over(by_node).alias("_m"))
-    prefix = materialize(posted.where(F.col("_r") <= F.col("_m") - (matches - 1)).select("node", "post"))
+    posted = posted.select(
+        "node", "post", F.row_number().over(by_node.orderBy("df", "post")).alias("_r"), F.count("*").over(by_node).alias("_m"), F.sum("df").over(by_node).alias("company")
+    )
+    prefix = materialize(posted.where(F.col("_r") <= F.col("_m") - (matches - 1)).select("node", "post", "company"))
 
     wanted = prefix.select("node").distinct().join(nodes.select("node", "_row"), "node")
     sets = bare.join(wanted.select("_row").distinct(), "_row", "left_semi").select("_text")
@@ -94,20 +124,19 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, percent: int, matches
         two = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"), F.col("h").alias("hb"))
         return materialize(pairs.join(one, "a").join(two, "b").mapInArrow(_linked(percent, matches), "a binary, b binary"))
 
-    # First every posting's members against its smallest and largest node only ...
-    hubs = prefix.groupBy("post").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    spokes = prefix.join(hubs, "post").select("node", F.explode(F.array("lo", "hi")).alias("hub")).where("node <> hub")
+    # First every posting's members against two hubs: the one that shares most values with others, as an original does
+    # with its copies, and the smallest.
+    hubs = prefix.groupBy("post").agg(F.max(F.struct("company", "node"))["node"].alias("most"), F.min("node").alias("least"))
+    spokes = prefix.join(hubs, "post").select("node", F.explode(F.array_distinct(F.array("most", "least"))).alias("hub")).where("node <> hub")
     tried = materialize(spokes.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
     links = verified(tried)
     part = connected_components(links)
-    # ... then, within postings, those pairs that are still in different components; each pair is checked once.
+    # Then those postings that still hold different components.
     label = F.coalesce("component", "node").alias("label")
     apart = materialize(prefix.join(part, "node", "left").select("post", "node", label))
     mixed = apart.groupBy("post").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("post")
-    apart = apart.join(mixed, "post")
-    left, right = apart.select("post", F.col("node").alias("a"), F.col("label").alias("la")), apart.select("post", F.col("node").alias("b"), F.col("label").alias("lb"))
-    more = left.join(right, "post").where("a < b and la <> lb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = verified(more)
+    open_nodes = materialize(apart.join(mixed, "post").select("node", "label").distinct())
+    more = verified(_crowded_pairs(open_nodes, sets, percent).join(tried, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         part = connected_components(links.unionByName(more))
 
@@ -126,8 +155,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``percent`` of their union. Documents of equal sets are one node. Every node is posted under its ``COORDINATES``
     signature values; postings of one node are skipped, and of the rest, rarest first, only as many are kept as a pair
     with ``matches`` equal values cannot avoid. Nodes that meet in a posting are compared by equal values, then on full
-    sets: first with two hubs of each posting, so that a group of n copies costs n comparisons, then all pairs that are
-    still in different components. ``component_id`` is the smallest id reachable.
+    sets: first with two hubs of each posting, so that a group of n copies costs n comparisons; where a posting still holds
+    several components, its nodes go through an exact prefix join on full sets, and pairs of different components that
+    pass it are compared. ``component_id`` is the smallest id reachable.
 
     Null ids lose every comparison and group as any other; if all ids of a group are null, its rows are all kept. Null,
     empty and blank texts have no shingles and link with nothing. Repeated rows (same id and text) share one verdict. An
