@@ -1,0 +1,83 @@
+"""Generators: domain guesses and search queries per company."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from quarrystone.functions.names import fold_text, name_tokens
+
+ENDINGS = ["it", "com", "eu"]
+# Ordered sound changes of a guess, and sector suffixes.
+SOUNDS = [("ph", "f"), ("k", "c"), ("y", "i"), ("x", "s"), ("w", "v"), ("j", "i")]
+SECTORS = [("idraulico", ["impianti", "idraulica", "termo"]), ("elettricista", ["impianti", "elettrica"]), ("ristorante", ["ristorante", "food"]), ("meccanica", ["officina", "auto"]), ("edilizia", ["costruzioni", "edil"]), ("fabbro", ["ferro", "serramenti"])]
+
+
+def base_strategy(tokens: Column, city: Column, province: Column, category: Column) -> Column:
+    return F.array(F.array_join(tokens, ""), F.array_join(tokens, "-"), F.get(tokens, F.lit(0)), F.array_join(F.slice(tokens, 1, 2), ""), F.array_join(F.slice(tokens, 1, 2), "-"))
+
+
+def phonetic_strategy(tokens: Column, city: Column, province: Column, category: Column) -> Column:
+    joined = F.array_join(tokens, "")
+    return F.array(*[F.replace(joined, F.lit(a), F.lit(b)) for a, b in SOUNDS])
+
+
+def acronym_strategy(tokens: Column, city: Column, province: Column, category: Column) -> Column:
+    initials = F.array_join(F.transform(tokens, lambda t: F.substring(t, 1, 1)), "")
+    return F.when(F.size(tokens) >= 2, F.array(initials, F.concat(initials, F.element_at(tokens, -1)), F.concat(initials, F.lit("-"), F.element_at(tokens, -1)))).otherwise(F.array().cast("array<string>"))
+
+
+def sector_strategy(tokens: Column, city: Column, province: Column, category: Column) -> Column:
+    joined, c = F.array_join(tokens, ""), F.lower(F.coalesce(category, F.lit("")))
+    suffixes = F.coalesce(*[F.when((c != "") & (F.contains(c, F.lit(k)) | F.contains(F.lit(k), c)), F.array(*[F.lit(x) for x in v])) for k, v in SECTORS], F.array().cast("array<string>"))
+    return F.concat(F.transform(suffixes, lambda s: F.concat(joined, s)), F.transform(suffixes, lambda s: F.concat_ws("-", joined, s)))
+
+
+def location_strategy(tokens: Column, city: Column, province: Column, category: Column) -> Column:
+    joined, place = F.array_join(tokens, ""), F.replace(fold_text(city), F.lit(" "), F.lit(""))
+    p = F.lower(F.coalesce(province, F.lit("")))
+    return F.array(F.concat(joined, place), F.concat_ws("-", joined, place), F.concat_ws("-", F.array_join(tokens, "-"), place), F.concat(joined, p), F.concat_ws("-", joined, p))
+
+
+STRATEGIES = [base_strategy, phonetic_strategy, acronym_strategy, sector_strategy, location_strategy]
+
+
+def domain_candidates(df: DataFrame, strategies: list[Callable] = STRATEGIES, most: int = 80, row_id: str = "row_id") -> DataFrame:
+    """(row_id, place, domain): guesses of all strategies, each ending, with and without www, up to 70 characters; .it first,
+    then shorter, then fewer dashes. Cut within the row, before rows are multiplied."""
+    tokens = name_tokens(F.col("company_name"))
+    stems = F.array_distinct(F.flatten(F.array(*[s(F.col("_t"), F.col("city"), F.col("province"), F.col("category")) for s in strategies])))
+    stems = F.filter(stems, lambda s: s.rlike("^[a-z0-9][a-z0-9-]*[a-z0-9]$"))
+    hosts = F.flatten(F.transform(stems, lambda s: F.array(*[F.concat(F.lit(w), s, F.lit("." + e)) for e in ENDINGS for w in ("", "www.")])))
+    key = lambda h: F.struct(F.when(h.endswith(".it"), 0).otherwise(1).alias("i"), F.length(h).alias("n"), F.regexp_count(h, F.lit("-")).alias("d"), h.alias("h"))
+    ranked = F.slice(F.array_sort(F.transform(F.filter(hosts, lambda h: F.length(h) <= 70), key)), 1, most)
+    rows = df.select(row_id, "company_name", "city", "province", "category", tokens.alias("_t")).where(F.size("_t") > 0)
+    return rows.select(row_id, F.posexplode(ranked).alias("p", "x")).select(row_id, (F.col("p") + 1).alias("place"), F.col("x.h").alias("domain"))
+
+
+def guess_domains(name: Column) -> Column:
+    """Eight plain guesses."""
+    t = name_tokens(name)
+    a, b = F.array_join(t, ""), F.array_join(t, "-")
+    return F.array_distinct(F.array(*[F.concat(x, F.lit(e)) for x in (a, b) for e in (".it", ".com", ".eu", ".net")]))
+
+
+def search_frontier(df: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """(row_id, place, query, precision): search strings by falling precision; those that lack a part are left out."""
+    q = lambda c: F.when(F.length(F.trim(F.coalesce(c, F.lit("")))) > 0, F.concat(F.lit('"'), F.trim(c), F.lit('"')))
+    name, city, vat, phone, address = (q(F.col(c)) for c in ("company_name", "city", "vat", "phone", "address"))
+    rows = [
+        (F.concat(vat, F.lit(" partita iva")), 0.95), (F.concat(phone, F.lit(" contatti")), 0.9), (F.concat(name, F.lit(" "), address), 0.85),
+        (F.concat(name, F.lit(" "), city, F.lit(" sito ufficiale")), 0.8), (F.concat(name, F.lit(" "), city, F.lit(" contatti")), 0.75), (F.concat(name, F.lit(" "), city), 0.7),
+        (F.concat(F.lit("site:.it "), name), 0.65), (name, 0.55),
+    ]
+    plan = F.filter(F.array(*[F.struct(x.alias("query"), F.lit(p).alias("precision")) for x, p in rows]), lambda s: s["query"].isNotNull())
+    return df.select(row_id, F.posexplode(plan).alias("p", "x")).select(row_id, (F.col("p") + 1).alias("place"), "x.query", "x.precision")
+
+
+def url_plan(url: Column) -> Column:
+    """Found URL, https root and http root, distinct."""
+    h = F.regexp_extract(url, "^https?://([^/?#]+)", 1)
+    return F.array_distinct(F.array(url, F.concat(F.lit("https://"), h), F.concat(F.lit("http://"), h)))
