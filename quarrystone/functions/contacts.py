@@ -70,7 +70,7 @@ def phones_match(a: Column, b: Column) -> Column:
 def vat_checksum(c: Column) -> Column:
     """Eleven digits that pass the Luhn check; false for null."""
     d = digits(c)
-    return (F.length(d) == 11) & F.luhn_check(F.when(F.length(d) == 11, d).otherwise(F.lit("1")))
+    return (F.length(d) == 11) & F.call_function("luhn_check", F.when(F.length(d) == 11, d).otherwise(F.lit("1")))
 
 
 def normalize_vat(c: Column, strict_reference: bool = False) -> Column:
