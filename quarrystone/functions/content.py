@@ -168,7 +168,7 @@ def clean_currency(c: Column) -> Column:
 
 def title_parts(c: Column) -> tuple[Column, Column]:
     """First two parts of a title split at '|' and ' - '; null if shorter than two or longer than 80 characters."""
-    parts = F.transform(F.split(F.coalesce(c, F.lit("")), r"\||\s[-–]\s"), F.trim)
+    parts = F.transform(F.split(F.coalesce(c, F.lit("")), r"\||\s[-–]\s"), lambda p: F.trim(p))
     guard = lambda p: F.when(F.length(p).between(2, 80), p)
     return guard(F.get(parts, F.lit(0))), guard(F.get(parts, F.lit(1)))
 
