@@ -13,16 +13,16 @@ from collections.abc import Iterator
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarrystone.llm.common import need
 from quarrystone.session import materialize, shared_dir, table
 
-#: Uncompressed payload bytes that a range is planned for, and compressed bytes at which a file is rolled.
+#: Payload bytes that a range is planned for, and compressed bytes at which a file is rolled.
 RANGE_BYTES = 32 << 20
 ROLL_BYTES = 8 << 20
-#: Ids are counted in so many cells of equal width to plan the ranges.
+#: Cells of equal id width that a span of ids is counted in.
 CELLS = 4096
 #: Tables of more rows than this are joined by a shuffle; more ranges than this share tasks.
 BROADCAST_ROWS = 200_000
@@ -138,22 +138,44 @@ def _writer(folder: str, roll_bytes: int):
     return write
 
 
-def _cells(sized: DataFrame, range_bytes: int) -> tuple[DataFrame, Column, Column]:
-    """(c1, c2, range) and the expressions of c1 and c2: cells of equal id width, those of more than ``range_bytes`` cut
-    into as many again, and joined in id order until a range has ``range_bytes``. Null ids are a cell before all others."""
+def _small(df: DataFrame) -> DataFrame:
+    """To be broadcast if it has ``BROADCAST_ROWS`` rows at most."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _with_starts(df: DataFrame, heavy: list[DataFrame], widths: list[int]) -> DataFrame:
+    """Add ``start``, the first offset of the row's cell: of the first width at which the cell isn't heavy."""
+    out = df.withColumn("width", F.lit(widths[0]).cast("long"))
+    for cells, width, finer in zip(heavy, widths, widths[1:], strict=False):
+        cells = _small(cells.select(F.col("p").alias("_p"), F.lit(True).alias("_heavy")))
+        out = out.join(cells, (F.expr(f"offset div {width}") == F.col("_p")) & (F.col("width") == width), "left")
+        out = out.withColumn("width", F.when(F.col("_heavy"), F.lit(finer)).otherwise(F.col("width"))).drop("_p", "_heavy")
+    return out.withColumn("start", F.coalesce(F.expr("offset - offset % width"), F.lit(-1))).drop("width")
+
+
+def _planned(sized: DataFrame, rows: DataFrame, range_bytes: int) -> tuple[DataFrame, int]:
+    """(``rows`` with their ``range``, number of ranges): ids are counted in cells of equal width; cells of more than
+    ``range_bytes`` are cut into ``CELLS`` each, and so on; cells are joined in order until a range has that many bytes.
+    Null ids stand before all others."""
     ends = sized.agg(F.min("page_id"), F.max("page_id")).first()
-    low = ends[0] or 0
-    width = max(1, -(-((ends[1] or 0) - low + 1) // CELLS))
-    fine = max(1, -(-width // CELLS))
-    c1 = F.coalesce(F.expr(f"cast((page_id - {low}) div {width} as int)"), F.lit(-1))
-    c2 = F.coalesce(F.expr(f"cast(((page_id - {low}) % {width}) div {fine} as int)"), F.lit(0))
-    both = materialize(sized.groupBy(c1.alias("c1"), c2.alias("c2")).agg(F.sum("payload_bytes").alias("b")))
-    heavy = F.sum("b").over(Window.partitionBy("c1")) > range_bytes
-    cells = both.select("c1", "b", F.when(heavy, F.col("c2")).otherwise(F.lit(-1)).alias("part"), "c2")
-    order = Window.orderBy("c1", "part").rowsBetween(Window.unboundedPreceding, 0)
-    joined = cells.groupBy("c1", "part").agg(F.sum("b").alias("b"))
-    joined = joined.withColumn("_upto", F.sum("b").over(order)).select("c1", "part", F.expr(f"cast((_upto - b) div {range_bytes} as int)").alias("range"))
-    return materialize(cells.join(joined, ["c1", "part"]).select("c1", "c2", "range")), c1, c2
+    low, span = ends[0] or 0, (ends[1] or 0) - (ends[0] or 0) + 1
+    widths = [1]
+    while widths[0] * CELLS < span:
+        widths.insert(0, widths[0] * CELLS)
+    offset = (F.col("page_id") - low).alias("offset")
+    sized, heavy, live = sized.select("payload_bytes", offset), [], sized.select("payload_bytes", offset).where("offset is not null")
+    for width in widths[:-1]:
+        cells = materialize(live.groupBy(F.expr(f"offset div {width}").alias("p")).agg(F.sum("payload_bytes").alias("b")).where(F.col("b") > range_bytes))
+        if cells.isEmpty():
+            break
+        heavy.append(cells)
+        live = live.join(_small(cells.select("p")), F.expr(f"offset div {width}") == F.col("p"), "left_semi")
+    cells = _with_starts(sized, heavy, widths).groupBy("start").agg(F.sum("payload_bytes").alias("b"))
+    upto = F.sum("b").over(Window.orderBy("start").rowsBetween(Window.unboundedPreceding, 0))  # over cells
+    cells = cells.withColumn("_upto", upto).select("start", F.expr(f"cast((_upto - b) div {range_bytes} as int)").alias("range"))
+    cells = materialize(cells)
+    n = cells.agg(F.max("range")).first()[0] or 0
+    return _with_starts(rows.withColumn("offset", offset), heavy, widths).join(_small(cells), "start").drop("start", "offset"), n + 1
 
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, range_bytes: int = RANGE_BYTES, roll_bytes: int = ROLL_BYTES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -177,12 +199,9 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, range_byte
     # The first of each payload by partial minima: a payload that a third of all rows share costs a row for each task.
     firsts = sized.where(F.col("page_id").isNotNull() & (F.col("payload_bytes") >= min_bytes)).groupBy("sha", "payload_bytes").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
     revisits = sized.join(firsts.where("n > 1"), ["sha", "payload_bytes"]).where("page_id <> first").select("page_id", "sha", "first").distinct()
-    cells, c1, c2 = _cells(sized, range_bytes)
-    n = cells.agg(F.max("range")).first()[0] or 0
-    if cells.count() <= BROADCAST_ROWS:
-        cells = F.broadcast(cells)
-    dealt = rows.drop("payload_bytes").withColumns({"c1": c1, "c2": c2}).join(cells, ["c1", "c2"]).drop("c1", "c2").join(revisits, ["page_id", "sha"], "left")
-    dealt = dealt.repartition(min(n + 1, TASKS), "range").sortWithinPartitions("range", F.col("page_id").asc_nulls_first(), "url", "sha")
+    dealt, n = _planned(sized, rows.drop("payload_bytes"), range_bytes)
+    dealt = dealt.join(revisits, ["page_id", "sha"], "left")
+    dealt = dealt.repartition(min(n, TASKS), "range").sortWithinPartitions("range", F.col("page_id").asc_nulls_first(), "url", "sha")
     system, base = _opened(folder)
     system.create_dir(base, recursive=True)
     manifest = dealt.select("range", "page_id", "url", "html", "first").mapInArrow(_writer(folder, roll_bytes), MANIFEST)
@@ -208,9 +227,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """The records of all archives that the manifest lists, every length and digest checked."""
     manifest = spark.read.parquet(f"{folder}/manifest").select("file", "sha256")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.warc.gz").load(folder)
-    if manifest.count() <= BROADCAST_ROWS:
-        manifest = F.broadcast(manifest)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").join(manifest, "file").select("content", "sha256")
+    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").join(_small(manifest), "file").select("content", "sha256")
     return files.mapInPandas(_parsed, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
