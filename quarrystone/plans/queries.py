@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,11 +15,14 @@ from quarrystone.functions import scoring as S
 from quarrystone.functions import similarity as M
 from quarrystone.operators import frontier as G
 from quarrystone.operators import joins as J
+from quarrystone.operators import pages as H
 from quarrystone.operators import ranking as W
 from quarrystone.operators import resolve as D
 from quarrystone.operators import telemetry as A
 from quarrystone.plans.roles import role, role_sql
+from quarrystone.session import shared_dir
 from quarrystone.sources import files as IO
+from quarrystone.streaming import jobs as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -696,3 +700,181 @@ def split_by_score(spark, d):
 def unify_campaigns(spark, d):
     c = role(spark, d, "companies").select("row_id", F.col("company_name").alias("ragione_sociale"), F.col("vat").alias("piva"), F.lit("").alias("city"), F.col("city").alias("comune"))
     return IO.unify_campaign_schema(c).select("row_id", "company_name", "vat", "city", "country")
+
+
+# --- pages -----------------------------------------------------------------------------------------------------------
+def _pages(spark, d):
+    return spark.read.parquet(f"{d}/pages.parquet")
+
+
+@query("extract_pages")
+def extract_pages(spark, d):
+    out = H.extract_page(_pages(spark, d))
+    return out.select("page_id", "title", F.length("text").alias("n_text"), F.size("h1").alias("n_h1"), F.size("internal").alias("n_internal"), F.size("external").alias("n_external"), F.md5("text").alias("text_md5"))
+
+
+@query("html_to_text")
+def html_to_text(spark, d):
+    return H.html_to_text(_pages(spark, d)).select("page_id", F.length("text").alias("n_chars"), F.md5("text").alias("md5"))
+
+
+@query("clean_html")
+def clean_html(spark, d):
+    return H.clean_html(_pages(spark, d)).select("page_id", F.length("text").alias("n_chars"), F.md5("text").alias("md5"))
+
+
+@query("serp_rows")
+def serp_rows(spark, d):
+    """Result rows of every stored page after its relative links are made absolute."""
+    page = _pages(spark, d).select("page_id", F.regexp_replace("html", 'href="/', 'href="https://found.example.org/').alias("html"))
+    return H.serp_rows(page, ["google.com"])
+
+
+@query("listing_rows")
+def listing_rows(spark, d):
+    return H.listing_rows(_pages(spark, d).select("page_id", F.regexp_replace("html", "h1>", "h2>").alias("html")))
+
+
+@query("labelled_fields")
+def labelled_fields(spark, d):
+    return H.labelled_fields(_pages(spark, d), {"after_the": "the ", "after_der": "der "})
+
+
+@query("schema_org")
+def schema_org(spark, d):
+    """Each page with a JSON-LD node made from its id, compared with a company of the same id."""
+    node = F.format_string('{"@graph": [{"@type": "Organization", "url": "https://www.h%d.it/", "telephone": "+39 02 %07d", "vatID": "IT%011d"}]}', F.col("page_id") % 50, F.col("page_id"), F.col("page_id"))
+    rows = _pages(spark, d).select("page_id", F.array(node).alias("jsonld"), F.format_string("https://h%d.it", F.col("page_id") % 49).alias("website"), F.format_string("02%07d", F.col("page_id") % 100).alias("phone"), F.format_string("%011d", F.col("page_id")).alias("vat"))
+    return H.schema_org_signals(rows).join(H.jsonld_walk(rows, ["telephone", "vatid"]), "page_id")
+
+
+@query("evidence_links", f"SELECT page_id, len(list_filter(list_distinct(l), lambda x: {sql_host('x')} = {sql_host('url')} AND regexp_matches(lower(x), 'contatt|contact|privacy|chi-siamo|about'))) AS n FROM (SELECT page_id, url, list_transform(regexp_extract_all(coalesce(html, ''), 'href=\"(/[^\"]*)\"', 1), lambda h: regexp_extract(url, '^(https?://[^/?#]+)', 1) || h || '/about') AS l FROM pages)")
+def evidence_links(spark, d):
+    root = F.regexp_extract("url", "^(https?://[^/?#]+)", 1)
+    links = F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit('href="(/[^"]*)"'), F.lit(1)), lambda h: F.concat(root, h, F.lit("/about"))))
+    return _pages(spark, d).select("page_id", F.size(P.evidence_links(links, F.col("url"))).cast("long").alias("n"))
+
+
+@query("minify_html", "SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<(script|style|noscript)[^>]*>.*?</(script|style|noscript)>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))) AS md5 FROM pages")
+def minify_html(spark, d):
+    return _pages(spark, d).select("page_id", F.md5(P.minify_html(F.col("html"))).alias("md5"))
+
+
+@query("trap_check", f"SELECT page_id, len(regexp_extract_all(lower(coalesce(html, '')), '<a\\s')) > 20 AS link_farm, {_any('lower(coalesce(html, chr(32)))', P.PARKING)} AS parked FROM pages")
+def trap_check(spark, d):
+    farm, parked = P.trap_check(F.col("html"), 20)
+    return _pages(spark, d).select("page_id", farm.alias("link_farm"), parked.alias("parked"))
+
+
+@query("search_json", f"""SELECT event_id AS page_id, 1 AS place, 'https://h' || event_id || '.it' AS url, CASE WHEN event_id % 4 < 3 THEN 'T' END AS title FROM {LEDGER}""")
+def search_json(spark, d):
+    item = F.format_string('{"title": "T", "url": "https://h%d.it"}', "event_id")
+    body = F.when(F.col("event_id") % 4 == 0, F.concat(F.lit('{"data": ['), item, F.lit("]}"))).when(F.col("event_id") % 4 == 1, F.concat(F.lit('{"results": ['), item, F.lit("]}"))).when(F.col("event_id") % 4 == 2, F.concat(F.lit("["), item, F.lit("]"))).otherwise(F.format_string("see https://h%d.it now", "event_id"))
+    return IO.parse_search_json(role(spark, d, "ledger").select(F.col("event_id").alias("page_id"), body.alias("body"))).select("page_id", "place", "url", "title")
+
+
+@query("candidates_with_pages", f"SELECT company_id, pos, l.event_id FROM {CANDIDATES} c JOIN (SELECT max(event_id) AS event_id, 'https://www.site' || (event_id % 100) || '.it/A' AS u FROM {LEDGER} WHERE http_status < 400 GROUP BY u) l ON u = source_url")
+def candidates_with_pages(spark, d):
+    url = F.format_string("https://www.site%d.it/A", F.col("event_id") % 100)
+    seen = role(spark, d, "ledger").where("http_status < 400").groupBy(url.alias("url")).agg(F.max("event_id").alias("event_id")).withColumn("status", F.lit(200))
+    return J.candidates_with_pages(role(spark, d, "candidates"), seen).select("company_id", "pos", "event_id")
+
+
+@query("pages_by_vat", f"SELECT c.row_id AS page_id, o.company_id FROM {COMPANIES} c JOIN {COMPANIES} o ON o.vat IS NOT NULL AND {sql_digits('o.vat')} = {sql_digits('c.vat')}")
+def pages_by_vat(spark, d):
+    c = role(spark, d, "companies")
+    return J.pages_by_vat(c.select(F.col("row_id").alias("page_id"), F.concat(F.lit("P.IVA: "), F.regexp_replace("vat", "^IT", "")).alias("text")), c)
+
+
+@query("match_phones", f"SELECT a.row_id, b.row_id AS page_id FROM {COMPANIES} a JOIN {COMPANIES} b ON a.phone = b.phone AND a.row_id % 4 < 3 AND b.row_id % 4 < 3".replace("a.phone = b.phone", "right({a}, 8) = right({b}, 8)").format(a=sql_digits("a.phone"), b=sql_digits("b.phone")))
+def match_phones(spark, d):
+    c = role(spark, d, "companies").where("row_id % 4 < 3")
+    return J.match_phones(c.select("row_id", F.array("phone").alias("phones")), c.select(F.col("row_id").alias("page_id"), F.array(F.regexp_replace("phone", "[^0-9]", "")).alias("found")))
+
+
+@query("best_listing")
+def best_listing(spark, d):
+    c = role(spark, d, "companies").withColumn("phone_key", F.substring(F.regexp_replace("phone", "[^0-9]", ""), -8, 8))
+    listings = c.select("phone_key", F.col("row_id").alias("listing_id"), F.when(F.col("row_id") % 2 == 0, F.col("company_name")).otherwise(F.col("category")).alias("listing_name"))
+    return J.best_directory_listing(c.select("row_id", "company_name", "phone_key"), listings).select("row_id", "listing_id", F.round("name_score", 6).alias("name_score"), "n_listings")
+
+
+@query("confirm_identity", f"SELECT company_id, CASE WHEN row_id % 3 = 0 OR (vat IS NOT NULL AND row_id % 2 = 0) OR (province IS NOT NULL AND contains(lower('profile of ' || company_name), lower(province))) THEN 'HIGH' ELSE 'MEDIUM' END AS identity FROM {COMPANIES}")
+def confirm_identity(spark, d):
+    c = role(spark, d, "companies")
+    text = F.concat(F.lit("Profile of "), "company_name", F.when(F.col("row_id") % 3 == 0, F.concat(F.lit(" in "), "city")).otherwise(F.lit("")), F.when(F.col("row_id") % 2 == 0, F.concat(F.lit(" iva "), F.regexp_replace(F.coalesce("vat", F.lit("")), "^IT", ""))).otherwise(F.lit("")))
+    return J.confirm_identity(c.select("company_id", text.alias("text")), c).select("company_id", "identity")
+
+
+@query("known_domains", f"SELECT DISTINCT g.row_id, g.domain FROM ({ORACLES['guess_domains']}) g JOIN (SELECT DISTINCT 'rossiimpianti' || row_id || '.it' AS domain FROM {COMPANIES}) USING (domain)")
+def known_domains(spark, d):
+    live = role(spark, d, "companies").select(F.concat(F.lit("rossiimpianti"), F.col("row_id").cast("string"), F.lit(".it")).alias("domain"))
+    return J.known_domains(guess_domains(spark, d), live)
+
+
+@query("page_boosts", f"""SELECT row_id, round(x, 6) AS confidence, CASE WHEN x >= 0.85 THEN 'RULE_STRONG' ELSE 'RULE_WEAK' END AS level FROM (SELECT row_id, CASE WHEN t >= 0.6 AND y < 0.85 THEN y + 0.1 ELSE y END AS x FROM (
+  SELECT row_id, (row_id % 7) / 7 AS t, CASE WHEN row_id % 2 = 0 AND z < 0.9 THEN z - 0.03 ELSE z END AS y FROM (SELECT row_id, least(0.99, CASE WHEN row_id % 11 = 0 THEN greatest(c, 0.99) ELSE c END + CASE WHEN row_id % 3 = 0 THEN 0.1 ELSE 0 END + CASE WHEN row_id % 5 = 0 THEN 0.05 ELSE 0 END) AS z
+  FROM (SELECT row_id, (row_id % 100) / 100 AS c FROM {COMPANIES}))))""")
+def page_boosts(spark, d):
+    k = F.col("row_id")
+    x, level = S.apply_page_boosts((k % 100) / 100, k % 11 == 0, k % 3 == 0, k % 5 == 0, k % 2 == 0, (k % 7) / 7)
+    return role(spark, d, "companies").select("row_id", F.round(x, 6).alias("confidence"), level.alias("level"))
+
+
+@query("url_heuristics", f"SELECT company_id, pos, CASE WHEN contains('site' || (company_id % 100), 'site') AND contains(regexp_replace({sql_host('source_url')}, '[^a-z0-9]', '', 'g'), 'site' || (company_id % 100)) THEN 5 ELSE 0 END + CASE WHEN {sql_host('source_url')} LIKE '%.it' THEN 2 ELSE 0 END + CASE WHEN {listed(sql_host('source_url'), C.DIRECTORIES)} THEN -10 ELSE 0 END AS score FROM {CANDIDATES}")
+def url_heuristics(spark, d):
+    return role(spark, d, "candidates").select("company_id", "pos", S.url_heuristic_score(F.concat(F.lit("site"), (F.col("company_id") % 100).cast("string")), F.col("source_url")).alias("score"))
+
+
+@query("figures", f"SELECT row_id, '1.5 mln' AS revenue, (row_id % 90)::VARCHAR AS employees, '2023' AS year, 1000 * (row_id % 900 + 1) AS amount FROM {COMPANIES}")
+def figures(spark, d):
+    text = F.format_string("Fatturato: € 1.5 mln nel 2023. Dipendenti: %d", F.col("row_id") % 90)
+    amount, _ = P.snippet_revenue(F.format_string("utile %d.000 euro 2021", F.col("row_id") % 900 + 1))
+    return role(spark, d, "companies").select("row_id", P.financials(text).alias("f"), amount.alias("amount")).select("row_id", "f.revenue", "f.employees", "f.year", "amount")
+
+
+# --- streams ---------------------------------------------------------------------------------------------------------
+def _streamed(spark, d, name: str, columns: list[str]):
+    """A role as a stream: written once, then read file by file."""
+    path = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    rows = role(spark, d, name).select(*[F.col(c).cast("timestamp").alias(c) if c == "ts" else c for c in columns])
+    rows.write.parquet(f"{path}/in")
+    return spark.readStream.schema(rows.schema).parquet(f"{path}/in"), path
+
+
+@query("stream_block_counts", f"SELECT domain, block_type, count(*) AS n, count(*) >= 5 AS hot FROM (SELECT event_id, {sql_host('url')} AS domain FROM {LEDGER}) JOIN ({ORACLES['classify_blocks']}) USING (event_id) WHERE block_type <> 'NONE' GROUP BY ALL")
+def stream_block_counts(spark, d):
+    rows, path = _streamed(spark, d, "ledger", ["ts", "url", "http_status", "body"])
+    rows = rows.select("ts", P.block_domain(F.col("url")).alias("domain"), P.classify_block(F.col("http_status"), F.col("body"))[0].alias("block_type"))
+    return T.drain(T.block_counts_stream(rows), f"{path}/out", f"{path}/checkpoint", "complete")
+
+
+@query("stream_running_totals", f"SELECT provider, count(*) AS processed, count(*) FILTER (success) AS found, round(avg(success::INT), 9) AS yield FROM {LEDGER} GROUP BY provider")
+def stream_running_totals(spark, d):
+    rows, path = _streamed(spark, d, "ledger", ["provider", "success"])
+    return T.drain(T.running_totals_stream(rows), f"{path}/out", f"{path}/checkpoint", "complete").withColumn("yield", F.round("yield", 9))
+
+
+@query("stream_campaigns", f"SELECT DISTINCT vat FROM {COMPANIES}")
+def stream_campaigns(spark, d):
+    rows, path = _streamed(spark, d, "companies", ["vat"])
+    return T.drain(T.campaign_stream(rows, "vat"), f"{path}/out", f"{path}/checkpoint")
+
+
+@query("stream_health")
+def stream_health(spark, d):
+    """Sliding windows that the watermark has closed; the last ones are still open when the input ends."""
+    rows, path = _streamed(spark, d, "ledger", ["ts", "success", "duration_ms", "cost_eur", "cache_hit", "company_id"])
+    return T.drain(T.ledger_health_stream(rows), f"{path}/out", f"{path}/checkpoint")
+
+
+@query("stream_cooldown")
+def stream_cooldown(spark, d):
+    rows, path = _streamed(spark, d, "ledger", ["company_id", "event_id", "ts"])
+    return T.drain(T.cooldown_stream(rows, "company_id", 86_400), f"{path}/out", f"{path}/checkpoint").select("company_id", "event_id", "approved")
+
+
+@query("stream_dedup_ttl")
+def stream_dedup_ttl(spark, d):
+    rows, path = _streamed(spark, d, "ledger", ["company_id", "ts"])
+    return T.drain(T.dedup_ttl(rows, ["company_id"], "60 days"), f"{path}/out", f"{path}/checkpoint").select("company_id")
