@@ -120,3 +120,11 @@ def running_phone_frequency(df: DataFrame, row_id: str = "row_id", phones: str =
     rows = df.select(row_id, F.explode_outer(F.array_distinct(phones)).alias("phone"))
     so_far = F.count("phone").over(Window.partitionBy("phone").orderBy(row_id).rowsBetween(Window.unboundedPreceding, 0))
     return rows.withColumn("n", so_far).groupBy(row_id).agg(F.max("n").alias("phone_freq"))
+
+
+def needs_llm_review(df: DataFrame, best: float = 0.4, points: int = 2) -> DataFrame:
+    """Companies worth a paid review: no candidate or a best below ``best``, ``points`` of vat, phone, address, city filled,
+    costs under control, and no review in the last day (``last_review`` before ``now`` by 24 hours)."""
+    filled = sum((F.length(F.trim(F.coalesce(c, F.lit("")))) > 0).cast("int") for c in ("vat", "phone", "address", "city"))
+    rested = F.col("last_review").isNull() | (F.col("last_review") <= F.col("now") - F.expr("INTERVAL 24 HOURS"))
+    return df.where((F.coalesce("best_confidence", F.lit(0.0)) < best) & (filled >= points) & ~F.col("bleeding") & rested)

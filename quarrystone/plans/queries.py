@@ -13,6 +13,7 @@ from quarrystone.functions import content as P
 from quarrystone.functions import names as N
 from quarrystone.functions import scoring as S
 from quarrystone.functions import similarity as M
+from quarrystone.functions.sql import register
 from quarrystone.operators import frontier as G
 from quarrystone.operators import joins as J
 from quarrystone.operators import pages as H
@@ -878,3 +879,44 @@ def stream_cooldown(spark, d):
 def stream_dedup_ttl(spark, d):
     rows, path = _streamed(spark, d, "ledger", ["company_id", "ts"])
     return T.drain(T.dedup_ttl(rows, ["company_id"], "60 days"), f"{path}/out", f"{path}/checkpoint").select("company_id")
+
+
+@query("needs_review", f"SELECT row_id FROM {COMPANIES} WHERE balance / 10000 < 0.4 AND row_id % 5 <> 0 AND (row_id % 3 <> 0 OR row_id % 2 = 0)")
+def needs_review(spark, d):
+    last = F.when(F.col("row_id") % 3 == 0, F.when(F.col("row_id") % 2 == 0, F.lit("2024-01-01 00:00:00")).otherwise(F.lit("2024-01-01 12:00:00"))).cast("timestamp")
+    rows = role(spark, d, "companies").withColumns({"best_confidence": F.col("balance") / 10000, "bleeding": F.col("row_id") % 5 == 0, "last_review": last, "now": F.lit("2024-01-02 00:00:00").cast("timestamp")})
+    return W.needs_llm_review(rows).select("row_id")
+
+
+@query("sql_functions", f"SELECT row_id, {sql_norm} AS company, {sql_host('website')} AS domain, coalesce({_luhn(_vat_key)}, false) AS vat_ok FROM {COMPANIES}")
+def sql_functions(spark, d):
+    register(spark)
+    return spark.sql("SELECT row_id, normalize_company(company_name) AS company, root_domain(website) AS domain, vat_checksum(regexp_replace(vat, '^IT', '')) AS vat_ok FROM {c}", c=role(spark, d, "companies"))
+
+
+@query("flatten_runs", f"SELECT company_name, city, CASE WHEN row_id % 2 = 0 THEN 'FOUND' ELSE 'NOT_FOUND' END AS status, website AS url, balance AS confidence, 'L' || row_id % 3 AS layer, row_id AS duration_ms, 'L0;L' || row_id % 3 AS layers FROM {COMPANIES}")
+def flatten_runs(spark, d):
+    layer = F.concat(F.lit("L"), (F.col("row_id") % 3).cast("string"))
+    result = F.struct(F.when(F.col("row_id") % 2 == 0, "FOUND").otherwise("NOT_FOUND").alias("status"), F.col("website").alias("url"), F.col("balance").alias("confidence"), layer.alias("layer"))
+    nested = role(spark, d, "companies").select(F.struct("company_name", "city").alias("company"), result.alias("result"), F.col("row_id").alias("duration_ms"), F.array(F.lit("L0"), layer).alias("layers"))
+    return IO.flatten_run_results(nested)
+
+
+@query("sanitize_master", f"SELECT row_id, 'x (MI) y' AS address, coalesce(province, 'MI') AS province FROM {COMPANIES}")
+def sanitize_master(spark, d):
+    c = role(spark, d, "companies").select("row_id", F.lit("x (MI)\r\n\ty").alias("address"), "province", "category")
+    return IO.sanitize_master(c).select("row_id", "address", "province")
+
+
+@query("csv_round_trip", f"SELECT company_name, city, phone, address, source_file FROM (SELECT *, CASE WHEN row_id % 2 = 0 THEN 'a' ELSE 'b' END AS source_file FROM {COMPANIES})")
+def csv_round_trip(spark, d):
+    """Companies written as two campaigns of different headers and delimiters, then read by the header rules."""
+    path = f"{shared_dir(spark)}/csv/{uuid.uuid4().hex}"
+    c = role(spark, d, "companies")
+    first = c.where("row_id % 2 = 0").select(F.col("company_name").alias("Ragione Sociale"), F.col("city").alias("Citta"), F.col("phone").alias("Telefono"), F.col("address").alias("Indirizzo"))
+    second = c.where("row_id % 2 = 1").select("company_name", "city", "phone", "address")
+    first.write.option("header", True).option("sep", ";").csv(f"{path}/a")
+    second.write.option("header", True).csv(f"{path}/b")
+    files = IO.read_companies_csv(spark, [f"{path}/a/*.csv", f"{path}/b/*.csv"])
+    rows = IO.map_headers(files.withColumn("source_file", F.when(F.col("Ragione Sociale").isNotNull(), "a").otherwise("b")))
+    return rows.select("company_name", "city", "phone", "address", "source_file")
