@@ -17,7 +17,7 @@ METRICS = {
     "mark_pm": ("(1000 * n_marks) div word_chars", 60),
     "upper_pm": ("(1000 * n_upper) div word_chars", 250),
     "dup_line_pm": ("(1000 * n_dup_lines) div n_lines", 400),
-    "repeat_pm": ("(1000 * n_repeat_words) div n_words", 200),
+    "repeat_pm": ("(1000 * n_repeat_words) div n_words", 350),
 }
 #: The upper fence lies so many interquartile ranges above the third quartile.
 SPREAD = 6
