@@ -10,7 +10,6 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -71,12 +70,16 @@ def build_record(page_id: int | None, url: str | None, payload: bytes, digest: s
 
 def read_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of every record; raises ValueError if a length or digest does not hold."""
-    while data:
-        member = zlib.decompressobj(31)
-        raw = member.decompress(data) + member.flush()
-        if not member.eof:
-            raise ValueError("cut gzip member")
-        data = member.unused_data
+    view, at = memoryview(data), 0
+    while at < len(view):
+        member, parts = zlib.decompressobj(31), []
+        while not member.eof:  # in pieces, so that what follows the member isn't copied each time
+            if at >= len(view):
+                raise ValueError("cut gzip member")
+            piece = view[at : at + 65536]
+            parts.append(member.decompress(piece))
+            at += len(piece) - len(member.unused_data)
+        raw = b"".join(parts)
         head, _, rest = raw.partition(b"\r\n\r\n")
         first, *lines = head.decode("utf-8", "surrogatepass").split("\r\n")
         headers = {k: v.strip() for k, _, v in (x.partition(":") for x in lines)}
@@ -121,16 +124,21 @@ def _writer(folder: str, roll_bytes: int):
         names = ["range", "roll", "file", "records", "bytes", "sha256"]
         schema = pa.schema([("range", pa.int32()), ("roll", pa.int32()), ("file", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())])
         now: _Roll | None = None
+        again: tuple | None = None
         for batch in batches:
             done = []
-            for of_range, page_id, url, html, first in zip(*(batch.column(c) for c in ("range", "page_id", "url", "html", "first")), strict=True):
-                of_range, page_id, first = of_range.as_py(), page_id.as_py(), first.as_py()
-                payload = (html.as_py() or "").encode("utf-8", "surrogatepass")
+            for at in range(batch.num_rows):
+                of_range, page_id, sha, first, marker = (batch.column(c)[at].as_py() for c in ("range", "page_id", "sha", "first", "marker"))
+                if marker:
+                    again = (page_id, sha, first)
+                    continue
+                revisit = again is not None and again[:2] == (page_id, sha)
+                payload = (batch.column("html")[at].as_py() or "").encode("utf-8", "surrogatepass")
                 if now and (now.range != of_range or now.bytes >= roll_bytes):
                     done.append(now.commit())
                     now = _Roll(folder, of_range, now.roll + 1 if now.range == of_range else 0)
                 now = now or _Roll(folder, of_range, 0)
-                now.add(build_record(page_id, url.as_py(), payload, digest_of(payload), first, first is not None))
+                now.add(build_record(page_id, batch.column("url")[at].as_py(), payload, digest_of(payload), again[2] if revisit else None, revisit))
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*done, strict=True), schema, strict=True)] if done else [pa.array([], f.type) for f in schema], names=names)
         if now:
             yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(now.commit(), schema, strict=True)], names=names)
@@ -199,39 +207,58 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, range_byte
     # The first of each payload by partial minima: a payload that a third of all rows share costs a row for each task.
     firsts = sized.where(F.col("page_id").isNotNull() & (F.col("payload_bytes") >= min_bytes)).groupBy("sha", "payload_bytes").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
     revisits = sized.join(firsts.where("n > 1"), ["sha", "payload_bytes"]).where("page_id <> first").select("page_id", "sha", "first").distinct()
-    dealt, n = _planned(sized, rows.drop("payload_bytes"), range_bytes)
-    dealt = dealt.join(revisits, ["page_id", "sha"], "left")
-    dealt = dealt.repartition(min(n, TASKS), "range").sortWithinPartitions("range", F.col("page_id").asc_nulls_first(), "url", "sha")
+    # A revisit is told to the writer by a row of its own, which sorts before the record: so pages move only once.
+    told = revisits.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "sha", "first", F.lit(True).alias("marker"))
+    rows = rows.select("page_id", "url", "html", "sha", F.lit(None).cast("long").alias("first"), F.lit(False).alias("marker"))
+    dealt, n = _planned(sized, rows.unionByName(told), range_bytes)
+    dealt = dealt.repartition(min(n, TASKS), "range").sortWithinPartitions("range", F.col("page_id").asc_nulls_first(), "sha", F.desc("marker"), "url")
     system, base = _opened(folder)
     system.create_dir(base, recursive=True)
-    manifest = dealt.select("range", "page_id", "url", "html", "first").mapInArrow(_writer(folder, roll_bytes), MANIFEST)
+    manifest = dealt.select("range", "page_id", "url", "html", "sha", "first", "marker").mapInArrow(_writer(folder, roll_bytes), MANIFEST)
     manifest.write.parquet(f"{folder}/manifest")
     return pages.sparkSession.read.parquet(f"{folder}/manifest")
 
 
-def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for content, sha in zip(batch["content"], batch["sha256"], strict=True):
-            content = bytes(content)
-            if hashlib.sha256(content).hexdigest() != sha:
-                raise ValueError("an archive differs from its manifest")
-            out = []
-            for h, block in read_records(content):
-                page, refers = h["X-Page-Id"], h.get("X-Refers-To-Page-Id")
-                out.append((int(page) if page else None, h["WARC-Target-URI"], int(h["X-Payload-Length"]), h["WARC-Payload-Digest"].removeprefix("sha1:"), h["WARC-Type"], int(refers) if refers else None, block))
-            frame = pd.DataFrame(out, columns=["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
-            yield frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+_RECORD = {"page_id": pa.int64(), "url": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "payload": pa.binary()}
 
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of all archives that the manifest lists, every length and digest checked."""
+def _parsed(names: list[str]):
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: dict[str, list] = {n: [] for n in names}
+
+        def full() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(out[n], _RECORD[n]) for n in names], names=names)
+
+        for batch in batches:
+            for content, sha in zip(batch.column("content"), batch.column("sha256"), strict=True):
+                content = content.as_py()
+                if hashlib.sha256(content).hexdigest() != sha.as_py():
+                    raise ValueError("an archive differs from its manifest")
+                for h, block in read_records(content):
+                    page, refers = h["X-Page-Id"], h.get("X-Refers-To-Page-Id")
+                    row = (int(page) if page else None, h["WARC-Target-URI"], int(h["X-Payload-Length"]), h["WARC-Payload-Digest"].removeprefix("sha1:"), h["WARC-Type"], int(refers) if refers else None, block)
+                    for n, value in zip(_RECORD, row, strict=True):
+                        if n in out:
+                            out[n].append(value)
+                    if len(out[names[0]]) >= 500:
+                        yield full()
+                        out = {n: [] for n in names}
+        yield full()
+
+    return parse
+
+
+def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
+    """The records of all archives that the manifest lists, every length and digest checked; ``payload`` on request."""
     manifest = spark.read.parquet(f"{folder}/manifest").select("file", "sha256")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.warc.gz").load(folder)
     files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").join(_small(manifest), "file").select("content", "sha256")
-    return files.mapInPandas(_parsed, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    names = [n for n in _RECORD if payloads or n != "payload"]
+    kinds = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
+    return files.mapInArrow(_parsed(names), ", ".join(f"{n} {kinds[_RECORD[n]]}" for n in names))
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(table(spark, sf_dir, "pages"), folder)
-    return read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_archives(spark, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
