@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import blank_words, let, need, stratum
+from quarrystone.llm.common import blank_words, bucket, let, need, stratum
 from quarrystone.session import materialize, table
 
 #: Base rules, fixed values of the contract.
@@ -62,11 +62,6 @@ def text_counts(text: Column) -> Column:
     return let(blank_words(body), of)
 
 
-def bucket(v: str) -> str:
-    """SQL: the lower end of the sketch bucket of a whole number: exact below 64, else its six leading bits."""
-    return f"CASE WHEN {v} < 64 THEN {v} ELSE shiftleft(shiftright({v}, length(bin({v})) - 6), length(bin({v})) - 6) END"
-
-
 def quality_sketches(scored: DataFrame) -> DataFrame:
     """(_l, _s, metric, bucket, n): log-linear histograms, mergeable by adding ``n``; some hundred buckets a group at most."""
     stack = ", ".join(f"'{m}', {m}" for m in METRICS)
