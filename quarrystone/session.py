@@ -23,11 +23,11 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
