@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quarrystone.functions.contacts import extract_phones, extract_vats, host, phones_match
+from quarrystone.functions.contacts import extract_emails, extract_phones, extract_vats, host, phones_match
 from quarrystone.functions.names import ADDRESS_NOISE, fold_text, folded_tokens, name_tokens
 
 # Words of a contact page.
@@ -124,3 +124,21 @@ def match_confidence(s: Column) -> Column:
     x = x + flag(agreeing >= 3, 0.1)
     x = F.when(s["phone"] & (s["name"] < 0.25) & (s["domain"] < 0.25), F.least(x, F.lit(0.68))).otherwise(x)
     return F.when(s["vat"], F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(0.99), x)))
+
+
+def semantic_name_match(name: Column, text: Column, url: Column) -> Column:
+    """Six of ten name tokens of three characters and more occur in the text, or four and the host's first label is the name's slug."""
+    tokens = F.filter(name_tokens(name), lambda t: F.length(t) >= 3)
+    share = token_hits(tokens, fold_text(text))
+    label = F.regexp_replace(F.coalesce(F.split(host(url), r"\.")[0], F.lit("")), "[^a-z0-9]", "")
+    return (F.size(tokens) > 0) & ((share >= 0.6) | ((share >= 0.4) & (label == F.array_join(name_tokens(name), ""))))
+
+
+def evidence(text: Column, html: Column, name: Column, address: Column) -> Column:
+    """Struct of what a page shows of a company: phones, VAT numbers, addresses, social links, and match scores."""
+    links = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit("(?i)href=[\"'](https?://[^\"']*(?:facebook|instagram|linkedin|twitter)\\.com[^\"']*)[\"']"), F.lit(1))
+    folded = fold_text(text)
+    return F.struct(
+        extract_phones(text).alias("phones_found"), extract_vats(text).alias("vat_ids_found"), extract_emails(text).alias("emails_found"), F.array_distinct(links).alias("social_links"),
+        address_coverage(address, folded).alias("address_match_score"), name_coverage(name, folded).alias("name_match_score"),
+    )

@@ -920,3 +920,23 @@ def csv_round_trip(spark, d):
     files = IO.read_companies_csv(spark, [f"{path}/a/*.csv", f"{path}/b/*.csv"])
     rows = IO.map_headers(files.withColumn("source_file", F.when(F.col("Ragione Sociale").isNotNull(), "a").otherwise("b")))
     return rows.select("company_name", "city", "phone", "address", "source_file")
+
+
+_tok3 = f"list_filter({sql_tokens('company_name')}, lambda t: length(t) >= 3)"
+_share = "len(list_filter(t3, lambda t: contains(body, t))) / len(t3)"
+
+
+@query("semantic_match", f"""SELECT row_id, len(t3) > 0 AND ({_share} >= 0.6 OR ({_share} >= 0.4 AND label = joined)) AS matches FROM (SELECT row_id, {_tok3} AS t3, array_to_string({sql_tokens("company_name")}, '') AS joined,
+  coalesce(regexp_replace(split_part({sql_host("website")}, '.', 1), '[^a-z0-9]', '', 'g'), '') AS label, {sql_fold("CASE WHEN row_id % 2 = 0 THEN company_name ELSE email || ' ' || address END")} AS body FROM {COMPANIES})""")
+def semantic_match(spark, d):
+    body = F.when(F.col("row_id") % 2 == 0, F.col("company_name")).otherwise(F.concat_ws(" ", "email", "address"))
+    return role(spark, d, "companies").select("row_id", M.semantic_name_match(F.col("company_name"), body, F.col("website")).alias("matches"))
+
+
+@query("page_evidence")
+def page_evidence(spark, d):
+    """Each stored page as evidence for the company of its id."""
+    pages = _pages(spark, d).select(F.col("page_id").alias("row_id"), "html")
+    found = M.evidence(P.minify_html(F.col("html")), F.col("html"), F.col("company_name"), F.col("address"))
+    rows = role(spark, d, "companies").select("row_id", "company_name", "address").join(pages, "row_id").select("row_id", found.alias("e"))
+    return rows.select("row_id", F.size("e.phones_found").alias("n_phones"), F.size("e.vat_ids_found").alias("n_vats"), F.size("e.emails_found").alias("n_emails"), F.size("e.social_links").alias("n_social"), F.round("e.name_match_score", 6).alias("name_score"), F.round("e.address_match_score", 6).alias("address_score"))
