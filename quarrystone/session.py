@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,5 +32,10 @@ def materialize(df: DataFrame, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``df``, to be broadcast if a count shows ``rows`` rows at most, else joined as it is. For narrow, written tables."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
