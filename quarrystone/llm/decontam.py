@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarrystone.llm.common import let, need, plain_text
-from quarrystone.session import materialize, table
+from quarrystone.session import broadcast_if_small, materialize, table
 
 WORDS = 5
 #: Least weighted similarity, as a fraction.
@@ -168,6 +168,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without a match, with their columns alone."""
     found = contaminated_texts(docs, benchmark, text_col, item_col, item_text_col).select(F.col("_t").alias("_gone"))
+    found = broadcast_if_small(found)  # a digest for each text that goes
     return docs.join(found, F.md5(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_gone"), "left_anti")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quarrystone.llm.common import need
 from quarrystone.llm.shingles import minhash, set_key, shingle_set
 from quarrystone.operators.components import connected_components
-from quarrystone.session import materialize, table
+from quarrystone.session import broadcast_if_small, materialize, table
 
 #: Signature coordinates, and the equal ones that a pair needs. At similarity 0.85 a pair has 54.4 equal ones on
 #: average, and fewer than 40 with a probability of some 1e-6.
@@ -115,7 +115,8 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, percent: int, matches
     prefix = materialize(posted.where(F.col("_r") <= F.col("_m") - (matches - 1)).select("node", "post", "company"))
 
     wanted = prefix.select("node").distinct().join(nodes.select("node", "_row"), "node")
-    sets = bare.join(wanted.select("_row").distinct(), "_row", "left_semi").select("_text")
+    wanted = broadcast_if_small(materialize(wanted.select("_row").distinct()))  # a number for each candidate
+    sets = bare.join(wanted, "_row", "left_semi").select("_text")
     sets = sets.mapInArrow(_sets, "node binary, hashes binary, signature binary").groupBy("node").agg(F.first("hashes").alias("h"), F.first("signature").alias("s"))
     sets = materialize(sets)
 
@@ -172,7 +173,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
     need(docs, id_col, text_col)
     gone = _labelled(docs, id_col, text_col, percent, matches).where("not kept").select(F.col("_id").alias("_gone_id"), F.col("_row").alias("_gone_row"))
-    gone = materialize(gone.distinct())
+    gone = broadcast_if_small(materialize(gone.distinct()))  # two numbers for each row that goes
     return docs.join(gone, (_row_key(id_col, text_col) == F.col("_gone_row")) & F.col(id_col).eqNullSafe(F.col("_gone_id")), "left_anti")
 
 

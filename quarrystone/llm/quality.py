@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarrystone.llm.common import blank_words, bucket, let, need, stratum
-from quarrystone.session import materialize, table
+from quarrystone.session import broadcast_if_small, materialize, table
 
 #: Base rules, fixed values of the contract.
 MIN_WORDS = 50
@@ -90,6 +90,21 @@ def quality_thresholds(sketches: DataFrame, min_group: int = MIN_GROUP) -> DataF
     return joined.groupBy("_l", "_s").agg(*[F.max(F.when(F.col("metric") == m, chosen)).alias(f"{m}_max") for m in METRICS])
 
 
+def _scored(docs: DataFrame, kept: list[str], text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    """``kept`` with group keys, counts, ``base_failed`` and metrics."""
+    made = docs.select(*kept, stratum(F.col(lang_col)).alias("_l"), stratum(F.col(source_col)).alias("_s"), text_counts(F.col(text_col)).alias("_c"))
+    scored = made.select(*kept, "_l", "_s", *[f"_c.{c}" for c in COUNTS])
+    scored = scored.withColumn("base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"))
+    return scored.withColumns({m: F.when(F.col("word_chars") > 0, F.expr(e)).otherwise(F.lit(0).cast("long")) for m, (e, _) in METRICS.items()})
+
+
+def _verdict(scored: DataFrame, fences: DataFrame) -> DataFrame:
+    inside = F.lit(True)
+    for m in METRICS:
+        inside = inside & (F.col(m) <= F.col(f"{m}_max"))
+    return scored.join(fences, ["_l", "_s"], "left").withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))).drop("_l", "_s")
+
+
 def quality_scores(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: list[str] | None = None, min_group: int = MIN_GROUP) -> DataFrame:
     """Judge every row: base rules, then fences from quantile sketches of its language and source.
 
@@ -105,22 +120,19 @@ def quality_scores(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     need(docs, text_col, lang_col, source_col)
     new = [*COUNTS, *METRICS, *[f"{m}_max" for m in METRICS], "base_failed", "kept"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    made = docs.select(*kept, stratum(F.col(lang_col)).alias("_l"), stratum(F.col(source_col)).alias("_s"), text_counts(F.col(text_col)).alias("_c"))
-    scored = made.select(*kept, "_l", "_s", *[f"_c.{c}" for c in COUNTS])
-    scored = scored.withColumn("base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"))
-    scored = scored.withColumns({m: F.when(F.col("word_chars") > 0, F.expr(e)).otherwise(F.lit(0).cast("long")) for m, (e, _) in METRICS.items()})
-    scored = materialize(scored)
-    fences = materialize(quality_thresholds(quality_sketches(scored), min_group))
-    inside = F.lit(True)
-    for m in METRICS:
-        inside = inside & (F.col(m) <= F.col(f"{m}_max"))
-    return scored.join(fences, ["_l", "_s"], "left").withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))).drop("_l", "_s")
+    scored = materialize(_scored(docs, kept, text_col, lang_col, source_col))
+    return _verdict(scored, materialize(quality_thresholds(quality_sketches(scored), min_group)))
 
 
-def quality_filter(docs: DataFrame, **options) -> DataFrame:
-    """The rows that ``quality_scores`` keeps, with the columns of ``docs`` alone."""
-    boxed = docs.select(F.struct(*docs.columns).alias("_doc"), *[F.col(options.get(k, d)).alias(d) for k, d in (("text_col", "text"), ("lang_col", "lang"), ("source_col", "source"))])
-    return quality_scores(boxed, keep=["_doc"]).where("kept").select("_doc.*")
+def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = MIN_GROUP) -> DataFrame:
+    """The rows that ``quality_scores`` keeps, with the columns of ``docs`` alone.
+
+    Texts are read twice, for the sketches and for the verdicts, rather than written: fences of up to a million groups are
+    broadcast, so that no text moves."""
+    need(docs, text_col, lang_col, source_col)
+    fences = materialize(quality_thresholds(quality_sketches(_scored(docs, [], text_col, lang_col, source_col)), min_group))
+    boxed = docs.select(F.struct(*docs.columns).alias("_doc"), *[F.col(c).alias(f"_{n}") for n, c in (("text", text_col), ("lang", lang_col), ("source", source_col))])
+    return _verdict(_scored(boxed, ["_doc"], "_text", "_lang", "_source"), broadcast_if_small(fences)).where("kept").select("_doc.*")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
