@@ -20,14 +20,23 @@ ANCHOR = 20
 #: Text bytes whose anchors are counted by one group, and bytes of contexts that one suffix array holds, on average.
 COUNT_BYTES = 32 << 20
 ARRAY_BYTES = 3 << 20
-#: Anchors in this share of a sample of texts, of this size, are hot. Hot ones only take another way; results are the same.
-HOT_SHARE = 0.005
-HOT_SAMPLE = 4_000
+#: An anchor that stands in more texts than this is hot, as a sample of a thousandth of all texts (of SAMPLE at least) shows.
+#: Hot ones only take another way; results are the same.
+HOT = 20_000
+SAMPLE = 4_000
+#: Bytes of texts whose anchors are found at a time.
+PIECE = 1 << 21
 LAST = 2**63 - 1
 
 
-def _runs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return anchors(np.frombuffer(text, dtype=np.uint8), SPAN, ANCHOR)
+def _pieces(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """(number of the first, texts) of stretches of some ``PIECE`` bytes."""
+    at, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= PIECE or i == len(texts) - 1:
+            yield at, texts[at : i + 1]
+            at, size = i + 1, 0
 
 
 def _codes(h: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
@@ -39,25 +48,37 @@ def _text(value: pa.Scalar) -> bytes:
     return (value.as_py() or "").encode("utf-8", "surrogatepass")
 
 
+def _distinct(whose: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    by = np.lexsort((h, whose))
+    whose, h = whose[by], h[by]
+    fresh = np.concatenate(([True], (h[1:] != h[:-1]) | (whose[1:] != whose[:-1]))) if len(h) else np.empty(0, bool)
+    return whose[fresh], h[fresh]
+
+
 def _post(groups: int, hot: np.ndarray):
-    """(group, keys, sizes, codes): for a batch of texts and each group, the texts' keys, and their anchors' codes."""
+    """(group, keys, sizes, codes): for a batch of texts and each group, the texts' keys, and their anchors' codes; in groups
+    below 0, which only spread them, the keys of texts with a hot anchor."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, owner, hashes = [], [], []
-            for key, text in zip(batch.column("key"), batch.column("text"), strict=True):
-                h = np.unique(_runs(_text(text))[2])
-                h = h[~np.isin(h, hot)]
-                owner.append(np.full(len(h), len(keys), dtype=np.int32))
-                keys.append(key.as_py())
+        for turn, batch in enumerate(batches):
+            keys, owners, hashes = batch.column("key").to_pylist(), [], []
+            for at, texts in _pieces([_text(t) for t in batch.column("text")]):
+                whose, _, _, h = anchors(texts, SPAN, ANCHOR)
+                whose, h = _distinct(whose, h)
+                owners.append(whose + at)
                 hashes.append(h)
             if not keys:
                 continue
-            owner, (group, code) = np.concatenate(owner), _codes(np.concatenate(hashes), groups)
+            owner, h = np.concatenate(owners), np.concatenate(hashes)
+            is_hot = np.isin(h, hot)
+            group, code = _codes(h[~is_hot], groups)
+            rows = []
+            if is_hot.any():
+                rows.append((-1 - turn % groups, b"".join(keys[i] for i in np.unique(owner[is_hot])), b"", b""))
+            owner = owner[~is_hot]
             by = np.lexsort((code, owner, group))
             owner, group, code = owner[by], group[by], code[by]
             cuts = np.searchsorted(group, np.arange(groups + 1))
-            rows = []
             for g in range(groups):
                 part = slice(cuts[g], cuts[g + 1])
                 whose, sizes = np.unique(owner[part], return_counts=True)
@@ -70,7 +91,10 @@ def _post(groups: int, hot: np.ndarray):
 
 
 def _shared(posted: pa.Table) -> pa.Table:
-    """(key, grp, codes): for each text of a group its codes that other texts have too."""
+    """(key, grp, codes): for each text of a group its codes that other texts have too; of a group below 0 all keys."""
+    if posted.column("grp")[0].as_py() < 0:
+        every = [k[i : i + 16] for k in posted.column("keys").to_pylist() for i in range(0, len(k), 16)]
+        return pa.table({"key": pa.array(every, pa.binary()), "grp": pa.array([-1] * len(every), pa.int32()), "codes": pa.array([b""] * len(every), pa.binary())})
     keys: dict[bytes, int] = {}
     owner, code = [], []
     for k, s, c in zip(*(posted.column(x) for x in ("keys", "sizes", "codes")), strict=True):
@@ -92,43 +116,71 @@ def _shared(posted: pa.Table) -> pa.Table:
     return pa.table({"key": pa.array([named[i] for i in owner[at]], pa.binary()), "grp": pa.array([group] * len(at), pa.int32()), "codes": pa.array([p.tobytes() for p in parts], pa.binary())})
 
 
-def _contexts(groups: int, arrays: int, hot: np.ndarray, want_hot: bool):
-    """Around each shared anchor the bytes of all strings that it stands for: (arr, key, ord, start, context); or, of hot
-    anchors, every such string's digest: (key, ord, start, digest)."""
+def _contexts(groups: int, hot: np.ndarray, want_hot: bool):
+    """Around each shared anchor the bytes of all strings that it stands for: (h, key, ord, start, context); or, of hot
+    anchors, every such string's digest."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for key, order, text, codes in zip(*(batch.column(c) for c in ("key", "ord", "text", "codes")), strict=True):
-                text, key, order = _text(text), key.as_py(), order.as_py()
-                first, last, h = _runs(text)
-                is_hot = np.isin(h, hot)
-                if want_hot:
-                    for i in np.flatnonzero(is_hot):
-                        for s in range(first[i], last[i] + 1):
-                            for column, value in zip(out, (0, key, order, s, hashlib.blake2b(text[s : s + SPAN], digest_size=16).digest()), strict=True):
-                                column.append(value)
-                    continue
-                group, code = _codes(h, groups)
-                both = group.astype(np.uint64) << np.uint64(32) | code
-                wanted = [np.uint64(c["grp"] << 32) | np.frombuffer(c["codes"], dtype=np.uint32).astype(np.uint64) for c in codes.as_py() or []]
-                mine = np.flatnonzero(~is_hot & np.isin(both, np.concatenate(wanted))) if wanted else []
-                for i in mine:
-                    for column, value in zip(out, (int(h[i] % np.uint64(arrays)), key, order, int(first[i]), text[first[i] : last[i] + SPAN]), strict=True):
-                        column.append(value)
-            kinds = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=["arr", "key", "ord", "start", "context"])
+            texts, keys, orders = [_text(t) for t in batch.column("text")], batch.column("key").to_pylist(), batch.column("ord").to_pylist()
+            for at, piece in _pieces(texts):
+                whose, first, last, h = anchors(piece, SPAN, ANCHOR)
+                chosen = np.isin(h, hot)
+                if not want_hot:
+                    wanted = np.zeros(len(h), dtype=bool)
+                    group, code = _codes(h, groups)
+                    both = group.astype(np.uint64) << np.uint64(32) | code
+                    cuts = np.searchsorted(whose, np.arange(len(piece) + 1))
+                    for i in range(len(piece)):
+                        part = slice(cuts[i], cuts[i + 1])
+                        mine = [np.uint64(c["grp"] << 32) | np.frombuffer(c["codes"], dtype=np.uint32).astype(np.uint64) for c in batch.column("codes")[at + i].as_py() if c["grp"] >= 0]
+                        if mine:
+                            wanted[part] = np.isin(both[part], np.concatenate(mine))
+                    chosen = wanted & ~chosen
+                out: list[list] = [[], [], [], [], []]
+                for i, a, b, x in zip(whose[chosen].tolist(), first[chosen].tolist(), last[chosen].tolist(), h[chosen].view(np.int64).tolist(), strict=True):
+                    text = piece[i]
+                    found = [(s, hashlib.blake2b(text[s : s + SPAN], digest_size=16).digest()) for s in range(a, b + 1)] if want_hot else [(a, text[a : b + SPAN])]
+                    for s, context in found:
+                        out[0].append(x)
+                        out[1].append(keys[at + i])
+                        out[2].append(orders[at + i])
+                        out[3].append(s)
+                        out[4].append(context)
+                kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=["h", "key", "ord", "start", "context"])
 
     return cut
 
 
-def repeated_starts(contexts: list[bytes], orders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(context, place) of every string of SPAN bytes that also starts in a context of smaller order."""
+def repeated_starts(contexts: list[bytes], orders: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(context, place) of every string of SPAN bytes that also starts in a context of smaller order.
+
+    Contexts of an anchor that are all alike need no sorting: their smallest order goes for every place."""
     kinds: dict[bytes, int] = {}
     which = np.fromiter((kinds.setdefault(c, len(kinds)) for c in contexts), dtype=np.int64, count=len(contexts))
     least = np.full(len(kinds), LAST, dtype=np.int64)
     np.minimum.at(least, which, orders)
-    strings = list(kinds)
+    of_kind = np.empty(len(kinds), dtype=np.int64)
+    of_kind[which] = anchor
+    _, back, share = np.unique(of_kind, return_inverse=True, return_counts=True)
+    alone = share[back] == 1
+    sizes_all = np.fromiter(map(len, kinds), dtype=np.int64, count=len(kinds)) - SPAN + 1
+    base = np.cumsum(sizes_all) - sizes_all
+    source = np.repeat(least, sizes_all)
+    if not alone.all():
+        mixed = np.flatnonzero(~alone)
+        names = list(kinds)
+        found, places = _sources([names[i] for i in mixed], least[mixed])
+        source[base[mixed[found[0]]] + found[1]] = places
+    of = np.repeat(np.arange(len(contexts)), sizes_all[which])
+    place = np.arange(len(of)) - np.repeat(np.cumsum(sizes_all[which]) - sizes_all[which], sizes_all[which])
+    hit = source[base[which[of]] + place] < orders[of]
+    return of[hit], place[hit]
+
+
+def _sources(strings: list[bytes], least: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """((string, place), smallest order of any string with the same SPAN bytes at some place), for all places."""
     line, starts = line_up(strings)
     word = words(line)
     order = suffix_order(line, word, SPAN)
@@ -140,14 +192,7 @@ def repeated_starts(contexts: list[bytes], orders: np.ndarray) -> tuple[np.ndarr
     block = np.cumsum(~alike) - 1
     smallest = np.full(block[-1] + 1 if len(block) else 0, LAST, dtype=np.int64)
     np.minimum.at(smallest, block, least[owner[order]])
-    source = np.full(len(line), LAST, dtype=np.int64)
-    source[order] = smallest[block]
-    # Back to all contexts: equal ones share their places.
-    sizes = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings)) - SPAN + 1
-    of = np.repeat(np.arange(len(contexts)), sizes[which])
-    place = np.arange(len(of)) - np.repeat(np.cumsum(sizes[which]) - sizes[which], sizes[which])
-    found = source[starts[which[of]] + place] < orders[of]
-    return of[found], place[found]
+    return (owner[order], order - starts[owner[order]]), smallest[block]
 
 
 def _intervals(start: np.ndarray) -> np.ndarray:
@@ -161,7 +206,7 @@ def _intervals(start: np.ndarray) -> np.ndarray:
 def _spans(group: pa.Table) -> pa.Table:
     """(key, spans): of each text of a group, the merged removed spans found in it."""
     contexts = [bytes(c.as_py()) for c in group.column("context")]
-    of, place = repeated_starts(contexts, group.column("ord").to_numpy())
+    of, place = repeated_starts(contexts, group.column("ord").to_numpy(), group.column("h").to_numpy())
     keys = group.column("key").to_pylist()
     start = group.column("start").to_numpy()[of] + place
     names: dict[bytes, int] = {}
@@ -195,21 +240,22 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _CUT = "key binary, n_removed long, n_spans long, kept_sha256 string, kept_text binary, removed array<struct<start: bigint, end: bigint>>"
 
 
-def _hot_anchors(docs: DataFrame, text_col: str) -> np.ndarray:
-    """Hashes of anchors that stand in HOT_SHARE of a sample of some HOT_SAMPLE texts; a bounded list."""
+def _hot_anchors(docs: DataFrame, text_col: str, hot: int) -> np.ndarray:
+    """Hashes of anchors that a sample puts in over ``hot`` texts. A text has one anchor per 15 bytes or so, so the list is
+    some (bytes of all texts / 15 / ``hot``) long at most."""
     n = docs.count()
-    sample = docs.select(F.col(text_col).alias("text")).where(F.length("text") >= SPAN)
-    if n > HOT_SAMPLE:
-        sample = sample.sample(HOT_SAMPLE / n, seed=5)
+    share = min(1.0, max(1e-3, SAMPLE / max(n, 1)))
+    texts = docs.select(F.col(text_col).alias("text")).where(F.octet_length("text") >= SPAN)
+    if share < 1:
+        texts = texts.sample(share, seed=5)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column("text"):
-                h = np.unique(_runs(_text(text))[2])
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64), pa.int64())], ["h"])
+            for _, piece in _pieces([_text(t) for t in batch.column("text")]):
+                whose, _, _, h = anchors(piece, SPAN, ANCHOR)
+                yield pa.RecordBatch.from_arrays([pa.array(_distinct(whose, h)[1].view(np.int64), pa.int64())], ["h"])
 
-    least = max(20, int(HOT_SHARE * min(n, HOT_SAMPLE)))
-    rows = sample.mapInArrow(found, "h long").groupBy("h").count().where(F.col("count") >= least).select("h").collect()
+    rows = texts.mapInArrow(found, "h long").groupBy("h").count().where(F.col("count") > hot * share).select("h").collect()
     return np.sort(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64))
 
 
@@ -217,7 +263,7 @@ def _order(id_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
 
 
-def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: bool = True) -> DataFrame:
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: bool = True, hot_texts: int = HOT) -> DataFrame:
     """Remove from every text each byte covered by a string of 50 bytes that also starts in a document of smaller id.
 
     Returned per row: ``id_col``, n_bytes, n_removed, n_spans, kept_sha256, and with ``texts`` also kept_text (binary, the
@@ -227,9 +273,9 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     every string of 50 bytes has an anchor, the 20 bytes in it of least hash, so equal strings have equal anchors. Anchors
     are counted over all texts in groups of bounded size; those that two texts have are cut out with all strings they stand
     for, and the cuts of an anchor meet in one suffix array: suffixes are sorted in two stages, neighbours that share 50
-    bytes form a block, and a place in it is removed if the block holds a smaller id. Anchors that a sample shows to be
-    frequent are compared by digests of their strings instead, with partial minima, so that a passage that a third of all
-    documents share meets in no task.
+    bytes form a block, and a place in it is removed if the block holds a smaller id. Anchors that a sample puts in over
+    ``hot_texts`` texts are compared by digests of their strings instead, with partial minima, so that a passage that a
+    third of all documents share meets in no task.
 
     Null ids come after all others and cover none; rows of one id don't cover each other; null texts are empty; texts under
     50 bytes stay; an empty table gives an empty result. Other columns are ignored.
@@ -241,7 +287,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     firsts = materialize(slim.groupBy("key", "n_bytes", "sha").agg(F.min("ord").alias("first")))
     total = firsts.agg(F.sum("n_bytes")).first()[0] or 0
     groups = max(8, int(total // COUNT_BYTES) + 1)
-    hot = _hot_anchors(docs, text_col)
+    hot = _hot_anchors(docs, text_col, hot_texts)
 
     long = docs.select(key, _order(id_col).alias("ord"), F.col(text_col).alias("text")).where(F.octet_length("text") >= SPAN)
     posted = long.select("key", "text").mapInArrow(_post(groups, hot), "grp int, keys binary, sizes binary, codes binary")
@@ -250,12 +296,14 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     arrays = max(8, int(n_shared / 4 * 80 // ARRAY_BYTES) + 1)
 
     by_text = shared.groupBy("key").agg(F.collect_list(F.struct("grp", "codes")).alias("codes"))
-    chosen = firsts.where(f"n_bytes >= {SPAN}").select("key", F.col("first").alias("ord")).join(by_text, "key", "left" if len(hot) else "inner")
-    lots = materialize(long.join(chosen, ["key", "ord"]).dropDuplicates(["key"]))
-    kinds = "arr int, key binary, ord long, start long, context binary"
-    spans = lots.mapInArrow(_contexts(groups, arrays, hot, False), kinds).groupBy("arr").applyInArrow(_spans, "key binary, spans binary")
+    chosen = firsts.where(f"n_bytes >= {SPAN}").select("key", F.col("first").alias("ord")).join(by_text, "key")
+    lots = materialize(long.join(chosen, ["key", "ord"]).dropDuplicates(["key", "ord"]), "zstd")
+    kinds = "h long, key binary, ord long, start long, context binary"
+    contexts = lots.mapInArrow(_contexts(groups, hot, False), kinds).withColumn("arr", F.pmod("h", F.lit(arrays)))
+    spans = contexts.groupBy("arr").applyInArrow(_spans, "key binary, spans binary")
     if len(hot):
-        grams = materialize(lots.mapInArrow(_contexts(groups, arrays, hot, True), kinds).drop("arr"))
+        busy = lots.where(F.exists("codes", lambda c: c["grp"] < 0))
+        grams = materialize(busy.mapInArrow(_contexts(groups, hot, True), kinds).drop("h"))
         source = grams.groupBy("context").agg(F.min("ord").alias("source"))
         more = grams.join(source, "context").where("source < ord").select("key", F.concat(_bytes8("start"), _bytes8(F.col("start") + SPAN)).alias("spans"))
         spans = spans.unionByName(more)

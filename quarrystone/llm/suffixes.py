@@ -30,24 +30,36 @@ def window_hashes(data: np.ndarray, k: int) -> np.ndarray:
     return got ^ (got >> _U(32))
 
 
-def anchors(data: np.ndarray, span: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors(texts: list[bytes], span: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For every string of ``span`` bytes its anchor, the ``k`` bytes in it of least hash (leftmost of equal ones).
 
-    Returned by runs of strings with one anchor: first start, last start, hash of the anchor. Equal strings have equal
-    anchors at equal places, whatever surrounds them.
+    Returned by runs of strings of one text with one anchor: the text's number, first start, last start, hash of the anchor.
+    Equal strings have equal anchors at equal places, whatever surrounds them. Texts are laid end to end; strings that cross
+    an end are left out.
     """
+    sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    begins = np.cumsum(sizes) - sizes
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    none = np.empty(0, np.int64)
     if len(data) < span:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+        return none, none, none, np.empty(0, np.uint64)
     h = window_hashes(data, k)
-    width = span - k + 1
-    at, length = np.arange(len(h)), 1
-    join = lambda left, right: np.where(h[left] <= h[right], left, right)
+    # The leading bits of a hash, then its place: the least is the leftmost of least hash.
+    bits = _U(max(20, int(len(h)).bit_length()))
+    least, length, width = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64), 1, span - k + 1
     while 2 * length <= width:
-        at, length = join(at[: len(at) - length], at[length:]), 2 * length
+        least, length = np.minimum(least[: len(least) - length], least[length:]), 2 * length
     if width > length:
-        at = join(at[: len(at) - (width - length)], at[width - length :])
-    first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    return first, np.concatenate((first[1:], [len(at)])) - 1, h[at[first]]
+        least = np.minimum(least[: len(least) - (width - length)], least[width - length :])
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    whole = owner[: len(least)] == owner[span - 1 :]
+    change = np.concatenate(([True], (least[1:] != least[:-1]) | (owner[1 : len(least)] != owner[: len(least) - 1]) | (whole[1:] != whole[:-1])))
+    first = np.flatnonzero(change)
+    last = np.concatenate((first[1:], [len(least)])) - 1
+    first, last = first[whole[first]], last[whole[first]]
+    at = (least[first] & ((_U(1) << bits) - _U(1))).astype(np.int64)
+    whose = owner[first]
+    return whose, first - begins[whose], last - begins[whose], h[at]
 
 
 def line_up(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
