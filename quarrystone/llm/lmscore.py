@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from quarrystone.llm.common import bucket, need
 from quarrystone.session import materialize, table
 
-#: Most frequent words that have an entry of their own at most, none longer than LONGEST bytes; so the model's size is bounded.
+#: Most frequent words that tasks hold at most, none longer than LONGEST bytes; so the model's size is bounded. All others
+#: are looked up in the written counts by a join.
 VOCABULARY = 32_768
 LONGEST = 64
 CLASSES = 32
@@ -30,6 +31,8 @@ SLICE = 1 << 15
 #: Counted words that a task holds before it hands them on, and bytes of a text that are split at a time.
 HELD = 300_000
 PIECE = 1 << 22
+#: Parts by hash of a count level that does not fit whole into the vocabulary.
+PARTS = 4096
 #: Rows of weights that are summed by one task, and that the driver takes at most.
 FAN_IN = 64
 
@@ -110,24 +113,34 @@ class Weights:
 
 @dataclass
 class Vocabulary:
-    """word -> entry; entry -> class and log p(word | class). The last entry stands for every word without one of its own."""
+    """word -> entry; entry -> class and log p(word | class).
+
+    The last entry stands for all ``rest`` kinds of words without one of their own; its log p lacks the log of the word's
+    count, which the written counts hold.
+    """
 
     entries: dict[bytes, int]
     classes: np.ndarray
     log_p: np.ndarray
+    rest: int
 
     @classmethod
     def of(cls, top: list[tuple[str, int]], total: int, kinds: int) -> Vocabulary:
         """``top``: words and counts, most frequent first; ``total`` words and ``kinds`` different ones in the corpus.
 
-        Classes hold about equal shares of the running words: all others share the last class evenly by kind.
+        Classes hold about equal shares of the running words of ``top``; all other words are the last class.
         """
         counts = np.array([n for _, n in top], dtype=np.float64)
         before = np.cumsum(counts) - counts
         classes = np.minimum((before / max(counts.sum(), 1) * (CLASSES - 1)).astype(np.int32), CLASSES - 2)
         in_class = np.bincount(classes, weights=counts, minlength=CLASSES)
         log_p = np.log(counts / in_class[classes]) if len(top) else np.empty(0)
-        return cls({w.encode("utf-8", "surrogatepass"): i for i, (w, _) in enumerate(top)}, np.append(classes, CLASSES - 1).astype(np.int32), np.append(log_p, -np.log(max(kinds - len(top), 1))))
+        return cls(
+            {w.encode("utf-8", "surrogatepass"): i for i, (w, _) in enumerate(top)},
+            np.append(classes, CLASSES - 1).astype(np.int32),
+            np.append(log_p, -np.log(max(total - counts.sum(), 1))),
+            kinds - len(top),
+        )
 
     def encode(self, text: str | None) -> np.ndarray:
         get, tail = self.entries.get, len(self.entries)
@@ -221,51 +234,92 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text_col: str, rounds: int =
     return weights
 
 
-def corpus_vocabulary(docs: DataFrame, text_col: str, size: int = VOCABULARY) -> Vocabulary:
-    """Counts of all words of all documents; the words above a count that ``size`` words reach at most come to the driver."""
+def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
+    """(word, n) of all words of all documents, written."""
     counts = docs.select(F.col(text_col).alias("_text")).mapInArrow(_counted, "word string, n long")
-    counts = materialize(counts.groupBy("word").agg(F.sum("n").alias("n")))
+    return materialize(counts.groupBy("word").agg(F.sum("n").alias("n")))
+
+
+def _vocabulary(counts: DataFrame, size: int) -> Vocabulary:
+    """The most frequent words come to the driver: whole count levels, and of the one that crosses ``size`` a part by hash."""
     short = F.octet_length("word") <= LONGEST
-    levels = counts.groupBy(F.expr(bucket("n")).alias("at")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"), F.count_if(short).alias("short"))
+    level, part = F.expr(bucket("n")), F.pmod(F.xxhash64("word"), F.lit(PARTS))
+    levels = counts.groupBy(level.alias("at")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"), F.count_if(short).alias("short"))
     levels = levels.orderBy(F.desc("at")).collect()  # some thousand rows at most
-    least, held = None, 0
-    for level in levels:
-        held += level.short
-        if held > size:
-            break
-        least = level["at"]
-    top = [] if least is None else [(r.word, r.n) for r in counts.where(short & (F.col("n") >= least)).collect()]
+    chosen, held = F.lit(False), 0
+    for at in levels:
+        if held + at.short <= size:
+            held, chosen = held + at.short, F.col("n") >= at["at"]
+            continue
+        parts = counts.where(short & (level == at["at"])).groupBy(part.alias("part")).count().orderBy("part").collect()  # PARTS rows at most
+        upto = 0
+        for x in parts:
+            if held + x["count"] > size:
+                break
+            held, upto = held + x["count"], x.part + 1
+        chosen = chosen | ((level == at["at"]) & (part < upto))
+        break
+    top = [(r.word, r.n) for r in counts.where(short & chosen).collect()]
     return Vocabulary.of(sorted(top, key=lambda x: (-x[1], x[0])), sum(x.n for x in levels), sum(x.kinds for x in levels))
 
 
+def corpus_vocabulary(docs: DataFrame, text_col: str, size: int = VOCABULARY) -> Vocabulary:
+    """Counts of all words of all documents; the ``size`` most frequent words, nearly, come to the driver."""
+    return _vocabulary(word_counts(docs, text_col), size)
+
+
+def _rest_of(text: str | None, vocabulary: Vocabulary) -> list[dict]:
+    """Words of a text that have no entry, and how often it holds them."""
+    held: Counter = Counter()
+    for words in words_of(text):
+        held.update(w for w in words if w not in vocabulary.entries)
+    return [{"word": w.decode("utf-8", "surrogatepass"), "k": k} for w, k in held.items()]
+
+
 def score_documents(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Pseudo-log-likelihood of every whole text.
 
     Added to ``keep`` (all columns by default; those named like a new one are replaced): ``n_tokens``, ``log_prob`` (sum
     over the words of log p(word | the two words on either side), in nats) and ``mean_log_prob`` (null without words).
 
-    Words of the whole corpus are counted; the most frequent ones have an entry each, others share one. log p(word) is log
-    p(class | both sides), from a network in numpy over word classes, plus log p(word | class), from the counts. The
-    network is trained by local SGD on all documents: tasks start alike, train on their own documents, and their weights are
-    averaged by words, summed ``FAN_IN`` to a task. What the tasks get is bounded by ``VOCABULARY`` whatever the corpus.
-    Nothing is shuffled but counts and weights. Null and empty texts have no words and a sum of 0; repeated rows score
-    alike; an empty table gives an empty result.
+    Words of the whole corpus are counted. log p(word) is log p(class | both sides), from a network in numpy over word
+    classes, plus log p(word | class), from the counts: tasks hold those of the most frequent words, and all other words
+    are joined to the written counts. The network is trained by local SGD on all documents: tasks start alike, train on
+    their own documents, and their weights are averaged by words, summed ``FAN_IN`` to a task. What a task holds is
+    bounded by ``VOCABULARY`` whatever the corpus. Counts, weights and the rarer words of each text are shuffled. Null
+    and empty texts have no words and a sum of 0; repeated rows score alike; an empty table gives an empty result.
     """
     need(docs, text_col)
     new = ["n_tokens", "log_prob", "mean_log_prob"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    vocabulary = corpus_vocabulary(docs, text_col)
+    counts = word_counts(docs, text_col)
+    vocabulary = _vocabulary(counts, VOCABULARY)
     weights = train(docs, vocabulary, text_col)
     model = docs.sparkSession.sparkContext.broadcast((vocabulary, weights))
+    rest = pa.list_(pa.struct([("word", pa.string()), ("k", pa.int64())]))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, weights = model.value
         for batch in batches:
-            sizes, sums = score_texts(batch.column("_text").to_pylist(), *model.value)
-            mean = pa.array(np.where(sizes > 0, sums / np.maximum(sizes, 1), 0.0), pa.float64(), mask=sizes == 0)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), mean], [*kept, *new])
-
-    schema = ", ".join([*[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept], "n_tokens long, log_prob double, mean_log_prob double"])
-    return docs.select(*kept, F.col(text_col).alias("_text")).mapInArrow(scored, schema)
+            texts = batch.column("_text").to_pylist()
+            sizes, sums = score_texts(texts, vocabulary, weights)
+            out = [*[batch.column(c) for c in kept], batch.column("_row"), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())]
+            names = [*kept, "_row", "n_tokens", "log_prob"]
+            if vocabulary.rest:
+                out, names = [*out, pa.array([_rest_of(t, vocabulary) for t in texts], rest)], [*names, "_rest"]
+            yield pa.RecordBatch.from_arrays(out, names)
+
+    schema = ", ".join([*[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept], "_row long, n_tokens long, log_prob double"])
+    rows = docs.select(*kept, F.monotonically_increasing_id().alias("_row"), F.col(text_col).alias("_text"))
+    if vocabulary.rest:
+        rows = materialize(rows.mapInArrow(scored, schema + ", _rest array<struct<word: string, k: long>>"))
+        words = rows.select("_row", F.explode("_rest").alias("_x")).select("_row", "_x.word", "_x.k").join(counts, "word")
+        # Decimals, so that equal texts have equal sums in whatever order.
+        added = words.groupBy("_row").agg(F.sum((F.col("k") * F.log("n")).cast("decimal(38,12)")).cast("double").alias("_added"))
+        rows = rows.drop("_rest").join(added, "_row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("_added", F.lit(0.0)))
+    else:
+        rows = rows.mapInArrow(scored, schema)
+    return rows.select(*kept, "n_tokens", "log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")).alias("mean_log_prob"))
 
 
 def op8_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:

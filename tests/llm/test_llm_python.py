@@ -234,3 +234,15 @@ def test_pseudo_likelihood_learns_order(spark):
     mixed = [rng.sample(x, len(x)) for x in held]
     score = lambda texts: lmscore.score_texts([" ".join(x) for x in texts], vocabulary, weights)[1].sum()
     assert score(held) > score(mixed) + 0.2 * 4000
+
+
+def test_pseudo_likelihood_counts_every_word(spark):
+    # Over VOCABULARY words of one count, then rarer ones, one of them long: each has its own log p.
+    common = [f"c{i}" for i in range(lmscore.VOCABULARY + 1000)]
+    rows = [(i, " ".join(common)) for i in range(4)] + [(10, f"once {'y' * 100}"), (11, f"thrice {'y' * 100}"), (12, "thrice"), (13, "thrice")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    vocabulary = lmscore.corpus_vocabulary(d, "text")
+    assert lmscore.VOCABULARY * 0.99 < len(vocabulary.entries) <= lmscore.VOCABULARY
+    got = {r.doc_id: r for r in lmscore.score_documents(d).collect()}
+    assert abs(got[11].log_prob - got[10].log_prob - math.log(3)) < 1e-6
+    assert got[12].log_prob == got[13].log_prob == got[12].mean_log_prob and got[0].n_tokens == len(common)
