@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -20,6 +21,13 @@ VOCABULARY = 32_768
 LONGEST = 64
 CLASSES = 32
 HIDDEN = 16
+#: Context words with an embedding of their own, the most frequent; rows that all others share by hash; and leaves by hash
+#: of the words that tasks do not hold.
+OWN = 4096
+SHARED = 4096
+LEAVES = 256
+#: Visits that are added to those of a row in a batch, so that a rare row takes smaller steps.
+CALM = 16
 #: Words looked at, relative to the masked one.
 OFFSETS = (-2, -1, 1, 2)
 PAD = 2
@@ -34,7 +42,9 @@ PIECE = 1 << 22
 #: Parts by hash of a count level that does not fit whole into the vocabulary.
 PARTS = 4096
 #: Rows of weights that are summed by one task, and that the driver takes at most.
-FAN_IN = 64
+FAN_IN = 16
+#: Texts that are scored at a time.
+TEXTS = 1000
 
 
 def words_of(text: str | None) -> Iterator[list[bytes]]:
@@ -49,37 +59,55 @@ def words_of(text: str | None) -> Iterator[list[bytes]]:
         at = end
 
 
+def _added(rows: np.ndarray, at: np.ndarray, d: np.ndarray, rate: float) -> None:
+    """rows[at] -= rate * the mean of d over equal ``at``, less for those with few."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    visits = np.diff(np.append(first, len(at)))
+    rows[at[first]] -= np.add.reduceat(d[order], first, axis=0) * (rate / (visits + CALM)).astype(np.float32)[:, None]
+
+
 @dataclass
 class Weights:
-    """tanh(sum of an embedding per offset and class + b) @ w + c, softmax over classes."""
+    """h = tanh(sum of embeddings per offset, of the class and of the word, + b); h @ w + c, softmax over classes.
+
+    Within a class, the word is reached by yes or no at each node of a tree, with the log odds of the counts + h @ u[node].
+    ``v`` and ``u`` start at 0, where words follow their counts within the class.
+    """
 
     e: np.ndarray
     b: np.ndarray
     w: np.ndarray
     c: np.ndarray
+    v: np.ndarray
+    u: np.ndarray
 
     @classmethod
     def start(cls, seed: int = 8) -> Weights:
         rng = np.random.Generator(np.random.PCG64(seed))
         draw = lambda *n: (rng.standard_normal(n) * 0.1).astype(np.float32)
-        return cls(draw(len(OFFSETS), CLASSES + 1, HIDDEN), np.zeros(HIDDEN, np.float32), draw(HIDDEN, CLASSES), np.zeros(CLASSES, np.float32))
+        none = lambda *n: np.zeros(n, np.float32)
+        return cls(draw(len(OFFSETS), CLASSES + 1, HIDDEN), none(HIDDEN), draw(HIDDEN, CLASSES), none(CLASSES), none(len(OFFSETS) * (OWN + SHARED + 1), HIDDEN), none(VOCABULARY + LEAVES, HIDDEN))
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.e, self.b, self.w, self.c)])
+        return np.concatenate([x.ravel() for x in (self.e, self.b, self.w, self.c, self.v, self.u)])
 
     @classmethod
     def of(cls, flat: np.ndarray) -> Weights:
         new, at = cls.start(), 0
-        for name in ("e", "b", "w", "c"):
+        for name in ("e", "b", "w", "c", "v", "u"):
             old = getattr(new, name)
             setattr(new, name, flat[at : at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
         return new
 
-    def hidden(self, context: np.ndarray) -> np.ndarray:
+    def hidden(self, context: np.ndarray, near: np.ndarray) -> np.ndarray:
         h = self.b + self.e[0][context[0]]
         for j in range(1, len(OFFSETS)):
             h += self.e[j][context[j]]
+        for rows in near:
+            h += self.v[rows]
         return np.tanh(h)
 
     def log_softmax(self, h: np.ndarray) -> np.ndarray:
@@ -88,21 +116,32 @@ class Weights:
         z -= z.max(axis=1, keepdims=True)
         return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
-    def log_p(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        h = self.hidden(context)
+    def log_p(self, context: np.ndarray, near: np.ndarray, target: np.ndarray, path: Path) -> np.ndarray:
+        h = self.hidden(context, near)
         z = h @ self.w
         z += self.c
         z -= z.max(axis=1, keepdims=True)
         at = z[np.arange(len(target)), target]
-        return at - np.log(np.exp(z, out=z).sum(axis=1))
+        at = at - np.log(np.exp(z, out=z).sum(axis=1))
+        x = path.sign * (path.odds + np.einsum("ij,ij->i", h[path.token], self.u[path.node]))
+        return at + np.bincount(path.token, weights=-np.logaddexp(0, -x), minlength=len(target))
 
-    def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
+    def step(self, context: np.ndarray, near: np.ndarray, target: np.ndarray, path: Path, rate: float) -> None:
         n = len(target)
-        h = self.hidden(context)
+        h = self.hidden(context, near)
         d = np.exp(self.log_softmax(h))
         d[np.arange(n), target] -= 1
+        dh = d @ self.w.T
+        if len(path.token):
+            ht, un = h[path.token], self.u[path.node]
+            dx = (-path.sign / (1 + np.exp(path.sign * (path.odds + np.einsum("ij,ij->i", ht, un))))).astype(np.float32)[:, None]
+            first = np.flatnonzero(np.append(True, path.token[1:] != path.token[:-1]))
+            dh[path.token[first]] += np.add.reduceat(dx * un, first, axis=0)
+            _added(self.u, path.node, dx * ht, rate)
         d *= rate / n
-        dh = (d @ self.w.T) * (1 - h * h)
+        dh *= 1 - h * h
+        _added(self.v, near.ravel(), np.tile(dh, (len(OFFSETS), 1)), rate)
+        dh *= rate / n
         self.w -= h.T @ d
         self.c -= d.sum(axis=0)
         self.b -= dh.sum(axis=0)
@@ -111,22 +150,58 @@ class Weights:
                 self.e[j][:, k] -= np.bincount(context[j], weights=dh[:, k], minlength=CLASSES + 1).astype(np.float32)
 
 
+@dataclass
+class Path:
+    """The nodes on the way to some words, one after another: whose, which, +1 for its upper half or -1, log odds by count."""
+
+    token: np.ndarray
+    node: np.ndarray
+    sign: np.ndarray
+    odds: np.ndarray
+
+
+def _shared_row(code: np.ndarray) -> np.ndarray:
+    return (OWN + (code.astype(np.uint64) * np.uint64(2654435761) % np.uint64(1 << 32) >> np.uint64(8)) % np.uint64(SHARED)).astype(np.int32)
+
+
+def _trees(counts: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of words in runs of equal class: where each one's nodes start, the nodes, signs and log odds. A node splits a run at its number."""
+    below = np.append(0, np.cumsum(np.maximum(counts, 1e-6)))
+    words = np.arange(len(counts))
+    lo, hi = np.searchsorted(classes, classes, "left"), np.searchsorted(classes, classes, "right")
+    found = []
+    while len(words):
+        more = hi - lo > 1
+        words, lo, hi = words[more], lo[more], hi[more]
+        mid = (lo + hi) // 2
+        up = words >= mid
+        found.append((words, mid, np.where(up, 1.0, -1.0), np.log(below[hi] - below[mid]) - np.log(below[mid] - below[lo])))
+        lo, hi = np.where(up, mid, lo), np.where(up, hi, mid)
+    word, node, sign, odds = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, int), np.empty(0, int), np.empty(0), np.empty(0))
+    order = np.argsort(word, kind="stable")
+    starts = np.append(0, np.cumsum(np.bincount(word, minlength=len(counts))))
+    return starts.astype(np.int64), node[order].astype(np.int32), sign[order], odds[order]
+
+
 @dataclass
 class Vocabulary:
-    """word -> entry; entry -> class and log p(word | class).
+    """word -> entry; entry -> class, log p(word | class) by count, context row and nodes.
 
-    The last entry stands for all ``rest`` kinds of words without one of their own; its log p lacks the log of the word's
-    count, which the written counts hold.
+    The last ``LEAVES`` entries stand for all ``rest`` kinds of words without one of their own, by hash; what is added to
+    the nodes of a leaf, ``base``, lacks the log of the word's count, which the written counts hold.
     """
 
     entries: dict[bytes, int]
     classes: np.ndarray
     log_p: np.ndarray
     rest: int
+    base: np.ndarray
+    rows: np.ndarray
+    trees: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
     @classmethod
-    def of(cls, top: list[tuple[str, int]], total: int, kinds: int) -> Vocabulary:
-        """``top``: words and counts, most frequent first; ``total`` words and ``kinds`` different ones in the corpus.
+    def of(cls, top: list[tuple[str, int]], leaves: np.ndarray, kinds: int) -> Vocabulary:
+        """``top``: words and counts, most frequent first; ``leaves``: running words of each leaf; ``kinds`` of words in the corpus.
 
         Classes hold about equal shares of the running words of ``top``; all other words are the last class.
         """
@@ -135,42 +210,68 @@ class Vocabulary:
         classes = np.minimum((before / max(counts.sum(), 1) * (CLASSES - 1)).astype(np.int32), CLASSES - 2)
         in_class = np.bincount(classes, weights=counts, minlength=CLASSES)
         log_p = np.log(counts / in_class[classes]) if len(top) else np.empty(0)
-        return cls(
-            {w.encode("utf-8", "surrogatepass"): i for i, (w, _) in enumerate(top)},
-            np.append(classes, CLASSES - 1).astype(np.int32),
-            np.append(log_p, -np.log(max(total - counts.sum(), 1))),
-            kinds - len(top),
-        )
-
-    def encode(self, text: str | None) -> np.ndarray:
+        entries = {w.encode("utf-8", "surrogatepass"): i for i, (w, _) in enumerate(top)}
+        classes = np.append(classes, np.full(LEAVES, CLASSES - 1)).astype(np.int32)
+        rows = _shared_row(np.fromiter((zlib.crc32(w) for w in entries), dtype=np.uint32, count=len(entries)))
+        rows[:OWN] = np.arange(len(rows[:OWN]))
+        base = np.append(np.zeros(len(top)), -np.log(np.maximum(leaves, 1)))
+        trees = _trees(np.append(counts, leaves), classes)
+        return cls(entries, classes, np.append(log_p, np.full(LEAVES, -np.log(max(leaves.sum(), 1)))), kinds - len(top), base, rows, trees)
+
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Entries and context rows of the words."""
         get, tail = self.entries.get, len(self.entries)
-        parts = [np.fromiter((get(w, tail) for w in words), dtype=np.int32, count=len(words)) for words in words_of(text)]
-        return np.concatenate(parts) if parts else np.empty(0, dtype=np.int32)
-
-
-def _lined_up(texts: Iterable[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Classes of all texts with pads between them, places of the words therein, their entries, and words per text."""
+        entries, rows = [np.empty(0, dtype=np.int32)], [np.empty(0, dtype=np.int32)]
+        for words in words_of(text):
+            ids = np.fromiter((get(w, tail) for w in words), dtype=np.int32, count=len(words))
+            row = self.rows[np.minimum(ids, tail - 1)] if tail else np.zeros_like(ids)
+            rare = np.flatnonzero(ids == tail)
+            if len(rare):
+                code = np.fromiter((zlib.crc32(words[i]) for i in rare.tolist()), dtype=np.uint32, count=len(rare))
+                ids[rare] += (code % LEAVES).astype(np.int32)
+                row[rare] = _shared_row(code)
+            entries.append(ids)
+            rows.append(row)
+        return np.concatenate(entries), np.concatenate(rows)
+
+    def path(self, entries: np.ndarray) -> Path:
+        starts, node, sign, odds = self.trees
+        depth = starts[entries + 1] - starts[entries]
+        token = np.repeat(np.arange(len(entries)), depth)
+        at = np.arange(len(token)) + np.repeat(starts[entries] - (np.cumsum(depth) - depth), depth)
+        return Path(token, node[at], sign[at], odds[at])
+
+
+def _lined_up(texts: Iterable[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Classes and context rows of all texts with pads between them, places of the words therein, their entries, and words per text."""
     encoded = [vocabulary.encode(t) for t in texts]
-    sizes = np.array([len(x) for x in encoded], dtype=np.int64)
-    entries = np.concatenate(encoded) if encoded else np.empty(0, dtype=np.int32)
+    sizes = np.array([len(x) for x, _ in encoded], dtype=np.int64)
+    entries = np.concatenate([np.empty(0, dtype=np.int32), *[x for x, _ in encoded]])
     places = np.arange(len(entries)) + np.repeat(np.arange(1, len(encoded) + 1) * PAD, sizes)
     line = np.full(len(entries) + (len(encoded) + 1) * PAD, CLASSES, dtype=np.int32)
     line[places] = vocabulary.classes[entries]
-    return line, places, entries, sizes
+    rows = np.full(len(line), OWN + SHARED, dtype=np.int32)
+    rows[places] = np.concatenate([np.empty(0, dtype=np.int32), *[x for _, x in encoded]])
+    return line, rows, places, entries, sizes
 
 
 def _contexts(line: np.ndarray, places: np.ndarray) -> np.ndarray:
     return np.stack([line[places + o] for o in OFFSETS])
 
 
+def _near(rows: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Rows of ``v``, which has those of each offset after another."""
+    return _contexts(rows, places) + np.arange(len(OFFSETS), dtype=np.int32)[:, None] * (OWN + SHARED + 1)
+
+
 def score_texts(texts: list[str | None], vocabulary: Vocabulary, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
-    """Words, and summed log p(word | both sides), of each text."""
-    line, places, entries, sizes = _lined_up(texts, vocabulary)
+    """Words, and summed log p(word | both sides), of each text; without the logs of the counts of words that have no entry."""
+    line, rows, places, entries, sizes = _lined_up(texts, vocabulary)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     sums = np.zeros(len(sizes))
     for at in range(0, len(places), SLICE):
-        p = places[at : at + SLICE]
-        log_p = weights.log_p(_contexts(line, p), line[p]) + vocabulary.log_p[entries[at : at + SLICE]]
+        p, e = places[at : at + SLICE], entries[at : at + SLICE]
+        log_p = weights.log_p(_contexts(line, p), _near(rows, p), line[p], vocabulary.path(e)) + vocabulary.base[e]
         sums += np.bincount(owner[at : at + SLICE], weights=log_p, minlength=len(sizes))
     return sizes, sums
 
@@ -193,13 +294,16 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, n = None, 0
+    total, n = 0.0, 0
     for batch in batches:
         for w, k in zip(batch.column("w"), batch.column("n"), strict=True):
-            part = np.frombuffer(w.as_py(), dtype=np.float64)
-            total, n = part if total is None else total + part, n + k.as_py()
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([n], pa.int64())], ["w", "n"])
+            total, n = total + np.frombuffer(w.as_py(), dtype=np.float32).astype(np.float64) * k.as_py(), n + k.as_py()
+    if n:
+        yield _row_of(total / n, n)
+
+
+def _row_of(flat: np.ndarray, n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([flat.astype(np.float32).tobytes()], pa.binary()), pa.array([n], pa.int64())], ["w", "n"])
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, text_col: str, rounds: int = ROUNDS) -> Weights:
@@ -209,28 +313,29 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text_col: str, rounds: int =
     weights = Weights.start()
     text = F.coalesce(F.col(text_col), F.lit(""))
     for r in range(rounds):
-        start = weights.flat()
+        start_b = spark.sparkContext.broadcast(weights.flat())
         rate = RATE / (1 + r)
 
-        def fit(batches: Iterator[pa.RecordBatch], start: np.ndarray = start, rate: float = rate) -> Iterator[pa.RecordBatch]:
-            own, n, vocabulary = Weights.of(start), 0, vocabulary_b.value
+        def fit(batches: Iterator[pa.RecordBatch], start_b=start_b, rate: float = rate) -> Iterator[pa.RecordBatch]:
+            own, n, vocabulary = Weights.of(start_b.value), 0, vocabulary_b.value
             for batch in batches:
-                line, places, _, _ = _lined_up((t.as_py() for t in batch.column("_text")), vocabulary)
-                for at in range(0, len(places), BATCH):
-                    p = places[at : at + BATCH]
-                    own.step(_contexts(line, p), line[p], rate * len(p) / BATCH)
-                n += len(places)
+                for first in range(0, batch.num_rows, TEXTS):
+                    line, rows, places, entries, _ = _lined_up((t.as_py() for t in batch.column("_text").slice(first, TEXTS)), vocabulary)
+                    for at in range(0, len(places), BATCH):
+                        p = places[at : at + BATCH]
+                        own.step(_contexts(line, p), _near(rows, p), line[p], vocabulary.path(entries[at : at + BATCH]), rate * len(p) / BATCH)
+                    n += len(places)
             if n:
-                yield pa.RecordBatch.from_arrays([pa.array([(own.flat().astype(np.float64) * n).tobytes()], pa.binary()), pa.array([n], pa.int64())], ["w", "n"])
+                yield _row_of(own.flat(), n)
 
         # Every document belongs to one round; together the rounds train on all documents.
         part = docs.select(text.alias("_text")).where(F.pmod(F.xxhash64("_text"), F.lit(rounds)) == r)
         summed = materialize(part.mapInArrow(fit, "w binary, n long"))  # a row per task at most
         while (tasks := summed.count()) > FAN_IN:
             summed = materialize(summed.repartition(-(-tasks // FAN_IN)).mapInArrow(_summed, "w binary, n long"))
-        rows = summed.collect()  # FAN_IN rows of some 40 KB at most
+        rows = summed.collect()  # FAN_IN rows of some 4 MB at most
         if rows:
-            weights = Weights.of(sum(np.frombuffer(bytes(x.w), dtype=np.float64) for x in rows) / sum(x.n for x in rows))
+            weights = Weights.of(sum(np.frombuffer(bytes(x.w), dtype=np.float32).astype(np.float64) * x.n for x in rows) / sum(x.n for x in rows))
     return weights
 
 
@@ -260,7 +365,11 @@ def _vocabulary(counts: DataFrame, size: int) -> Vocabulary:
         chosen = chosen | ((level == at["at"]) & (part < upto))
         break
     top = [(r.word, r.n) for r in counts.where(short & chosen).collect()]
-    return Vocabulary.of(sorted(top, key=lambda x: (-x[1], x[0])), sum(x.n for x in levels), sum(x.kinds for x in levels))
+    leaves = np.zeros(LEAVES)
+    leaf = (F.crc32(F.encode("word", "utf-8")) % LEAVES).cast("int")
+    for x in counts.where(~(short & chosen)).groupBy(leaf.alias("leaf")).agg(F.sum("n").alias("n")).collect():  # LEAVES rows at most
+        leaves[x.leaf] = x.n
+    return Vocabulary.of(sorted(top, key=lambda x: (-x[1], x[0])), leaves, sum(x.kinds for x in levels))
 
 
 def corpus_vocabulary(docs: DataFrame, text_col: str, size: int = VOCABULARY) -> Vocabulary:
@@ -282,9 +391,11 @@ def score_documents(docs: DataFrame, text_col: str = "text", keep: list[str] | N
     Added to ``keep`` (all columns by default; those named like a new one are replaced): ``n_tokens``, ``log_prob`` (sum
     over the words of log p(word | the two words on either side), in nats) and ``mean_log_prob`` (null without words).
 
-    Words of the whole corpus are counted. log p(word) is log p(class | both sides), from a network in numpy over word
-    classes, plus log p(word | class), from the counts: tasks hold those of the most frequent words, and all other words
-    are joined to the written counts. The network is trained by local SGD on all documents: tasks start alike, train on
+    Words of the whole corpus are counted. log p(word) is log p(class | both sides) plus log p(word | class, both sides), from
+    a network in numpy that sees the words on either side (the ``OWN`` most frequent by embeddings of their own, others by
+    ``SHARED`` hashed ones). Within a class the network adds to the log odds of the counts at the nodes of a tree, whose leaves
+    are the words that tasks hold, or ``LEAVES`` groups by hash of all others; within such a group words follow their
+    counts, to which they are joined. The network is trained by local SGD on all documents: tasks start alike, train on
     their own documents, and their weights are averaged by words, summed ``FAN_IN`` to a task. What a task holds is
     bounded by ``VOCABULARY`` whatever the corpus. Counts, weights and the rarer words of each text are shuffled. Null
     and empty texts have no words and a sum of 0; repeated rows score alike; an empty table gives an empty result.
@@ -302,7 +413,7 @@ def score_documents(docs: DataFrame, text_col: str = "text", keep: list[str] | N
         vocabulary, weights = model.value
         for batch in batches:
             texts = batch.column("_text").to_pylist()
-            sizes, sums = score_texts(texts, vocabulary, weights)
+            sizes, sums = (np.concatenate(x) for x in zip(*(score_texts(texts[at : at + TEXTS], vocabulary, weights) for at in range(0, max(len(texts), 1), TEXTS)), strict=True))
             out = [*[batch.column(c) for c in kept], batch.column("_row"), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())]
             names = [*kept, "_row", "n_tokens", "log_prob"]
             if vocabulary.rest:

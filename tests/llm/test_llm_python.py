@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -239,10 +240,45 @@ def test_pseudo_likelihood_learns_order(spark):
 def test_pseudo_likelihood_counts_every_word(spark):
     # Over VOCABULARY words of one count, then rarer ones, one of them long: each has its own log p.
     common = [f"c{i}" for i in range(lmscore.VOCABULARY + 1000)]
-    rows = [(i, " ".join(common)) for i in range(4)] + [(10, f"once {'y' * 100}"), (11, f"thrice {'y' * 100}"), (12, "thrice"), (13, "thrice")]
+    # Texts of one word, of one leaf: nothing but their counts sets them apart.
+    once, thrice = [w for w in ("y" * 100 + str(i) for i in range(9999)) if zlib.crc32(w.encode()) % 256 == 7][:2]
+    rows = [(i, " ".join(common)) for i in range(4)] + [(10, once), (11, thrice), (12, thrice), (13, thrice)]
     d = spark.createDataFrame(rows, "doc_id long, text string")
     vocabulary = lmscore.corpus_vocabulary(d, "text")
     assert lmscore.VOCABULARY * 0.99 < len(vocabulary.entries) <= lmscore.VOCABULARY
     got = {r.doc_id: r for r in lmscore.score_documents(d).collect()}
     assert abs(got[11].log_prob - got[10].log_prob - math.log(3)) < 1e-6
     assert got[12].log_prob == got[13].log_prob == got[12].mean_log_prob and got[0].n_tokens == len(common)
+
+
+def test_pseudo_likelihood_tells_words_of_a_class_apart(spark):
+    # Words of one count, some ten to a class; each has two successors. Another word of the same class is less likely.
+    rng = random.Random(12)
+    names = [f"w{i:03}" for i in range(310)]
+    follow = {w: rng.sample(names, 2) for w in names}
+
+    def chain(n):
+        c, out = rng.choice(names), []
+        for _ in range(n):
+            out.append(c)
+            c = rng.choice(follow[c])
+        return out
+
+    d = spark.createDataFrame([(i, " ".join(chain(300))) for i in range(2000)], "doc_id long, text string")
+    vocabulary = lmscore.corpus_vocabulary(d, "text")
+    alike = {}
+    for w, i in vocabulary.entries.items():
+        alike.setdefault(int(vocabulary.classes[i]), []).append(w.decode())
+    assert np.mean([len(x) for x in alike.values()]) >= 8
+    other = {w: x[(i + 1) % len(x)] for x in alike.values() for i, w in enumerate(x)}
+    weights = lmscore.train(d, vocabulary, "text")
+    held = [chain(200) for _ in range(20)]
+    salad = [[rng.choice([w, other[w]]) for w in x] for x in held]
+    score = lambda texts: lmscore.score_texts([" ".join(x) for x in texts], vocabulary, weights)[1].sum()
+    assert score(held) > score(salad) + 0.2 * 4000
+    # All words of a class have a probability of 1 together, whatever the context.
+    x = vocabulary.path(np.arange(len(vocabulary.entries) + lmscore.LEAVES))
+    h = np.tanh(np.linspace(-1, 1, lmscore.HIDDEN)).astype(np.float32)
+    log_p = np.bincount(x.token, weights=-np.logaddexp(0, -x.sign * (x.odds + weights.u[x.node] @ h)), minlength=len(vocabulary.classes))
+    total = np.bincount(vocabulary.classes, weights=np.exp(log_p), minlength=lmscore.CLASSES)
+    assert np.allclose(total[total > 0], 1)
