@@ -39,12 +39,43 @@ def stratum(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s:"), source.cast("string")), F.lit("n"))
 
 
+def ascii_lower(text: Column) -> Column:
+    """A-Z lower-cased, all else as it is."""
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def need(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; there are {df.columns}")
 
 
-def bucket(v: str) -> str:
-    """SQL: the lower end of the sketch bucket of a whole number: exact below 64, else its six leading bits."""
-    return f"CASE WHEN {v} < 64 THEN {v} ELSE shiftleft(shiftright({v}, length(bin({v})) - 6), length(bin({v})) - 6) END"
+def col_of(name: str) -> Column:
+    """The column of just this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+class Boxed:
+    """The caller's columns as one struct, so that none of them meets a column of the operator's own.
+
+    ``keep``: those wanted (all by default), without those named like a ``new`` one, in whatever case.
+    """
+
+    def __init__(self, docs: DataFrame, keep: list[str] | None, new: list[str], name: str = "_doc"):
+        taken = {n.lower() for n in new}
+        self.kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in taken]
+        self.name = name
+        self.box = F.struct(*[col_of(c).alias(f"c{i}") for i, c in enumerate(self.kept)] or [F.lit(True).alias("none")]).alias(name)
+
+    def hashed(self) -> Column:
+        """A hash of what can be hashed of them."""
+        return F.xxhash64(*[F.to_json(F.struct(col_of(c))) for c in self.kept] or [F.lit(0)])
+
+    def columns(self) -> list[Column]:
+        """The caller's columns again."""
+        return [F.col(self.name)[f"c{i}"].alias(c) for i, c in enumerate(self.kept)]
+
+
+def bucket(v: str, bits: int = 6) -> str:
+    """SQL: the lower end of the sketch bucket of a whole number: exact below 2**bits, else its leading bits."""
+    return f"CASE WHEN {v} < {1 << bits} THEN {v} ELSE shiftleft(shiftright({v}, length(bin({v})) - {bits}), length(bin({v})) - {bits}) END"

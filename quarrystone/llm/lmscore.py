@@ -4,47 +4,54 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quarrystone.llm.common import bucket, need
+from quarrystone.llm.common import Boxed, bucket, col_of, need
 from quarrystone.session import materialize, table
 
 #: Most frequent words that tasks hold at most, none longer than LONGEST bytes; so the model's size is bounded. All others
-#: are looked up in the written counts by a join.
-VOCABULARY = 32_768
+#: are looked up in the written counts by a join. A word's code (VOCABULARY + SHARED at most) has 16 bits.
+VOCABULARY = 49_152
 LONGEST = 64
 CLASSES = 32
 HIDDEN = 16
 #: Context words with an embedding of their own, the most frequent; rows that all others share by hash; and leaves by hash
-#: of the words that tasks do not hold.
+#: of the words that tasks do not hold (a divisor of SHARED).
 OWN = 4096
 SHARED = 4096
 LEAVES = 256
 #: Visits that are added to those of a row in a batch, so that a rare row takes smaller steps.
 CALM = 16
-#: Words looked at, relative to the masked one.
+#: Words looked at, relative to the masked one; each offset has embeddings of its own.
 OFFSETS = (-2, -1, 1, 2)
 PAD = 2
+ROWS = OWN + SHARED + 1
+#: Nodes of a word's path that a training step takes, drawn by chance and weighed by the path's length.
+DRAWN = 2
 #: Passes that each train on a part of the documents and are averaged; together they train on all of them.
 ROUNDS = 2
-BATCH = 1024
+BATCH = 2048
 RATE = 0.5
-SLICE = 1 << 15
+SLICE = 4096
+#: Words that a training task holds at least, and training tasks of a pass at most.
+SHARD_WORDS = 4_000_000
+SHARDS = 20_000
 #: Counted words that a task holds before it hands them on, and bytes of a text that are split at a time.
 HELD = 300_000
 PIECE = 1 << 22
 #: Parts by hash of a count level that does not fit whole into the vocabulary.
 PARTS = 4096
-#: Rows of weights that are summed by one task, and that the driver takes at most.
-FAN_IN = 16
-#: Texts that are scored at a time.
-TEXTS = 1000
+#: Rows of weights that are summed by one task.
+FAN_IN = 8
+#: Words that are scored or trained on at a time, in whole texts.
+AT_ONCE = 1 << 18
 
 
 def words_of(text: str | None) -> Iterator[list[bytes]]:
@@ -60,27 +67,28 @@ def words_of(text: str | None) -> Iterator[list[bytes]]:
 
 
 def _added(rows: np.ndarray, at: np.ndarray, d: np.ndarray, rate: float) -> None:
-    """rows[at] -= rate * the mean of d over equal ``at``, less for those with few."""
-    order = np.argsort(at, kind="stable")
+    """rows[at] -= rate * the mean of d over equal ``at`` (below 2**16), less for those with few. ``d`` goes for each stretch of
+    ``at`` that has its length."""
+    order = np.argsort(at.astype(np.uint16), kind="stable")
     at = at[order]
-    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    visits = np.diff(np.append(first, len(at)))
-    rows[at[first]] -= np.add.reduceat(d[order], first, axis=0) * (rate / (visits + CALM)).astype(np.float32)[:, None]
+    last = np.flatnonzero(np.append(at[1:] != at[:-1], True)[: len(at)])
+    sums = np.cumsum(d[order % len(d)], axis=0, dtype=np.float64)[last]
+    sums[1:] -= sums[:-1].copy()
+    rows[at[last]] -= sums * (rate / (np.diff(last, prepend=-1) + CALM))[:, None]
 
 
 @dataclass
 class Weights:
-    """h = tanh(sum of embeddings per offset, of the class and of the word, + b); h @ w + c, softmax over classes.
+    """h = x / (1 + |x|) of x = (sum of embeddings of the words around, by offset, + b); h @ w + c, softmax over classes.
 
     Within a class, the word is reached by yes or no at each node of a tree, with the log odds of the counts + h @ u[node].
-    ``v`` and ``u`` start at 0, where words follow their counts within the class.
+    ``u`` starts at 0, where words follow their counts within the class; its last row, of no node, stays there.
     """
 
-    e: np.ndarray
+    v: np.ndarray
     b: np.ndarray
     w: np.ndarray
     c: np.ndarray
-    v: np.ndarray
     u: np.ndarray
 
     @classmethod
@@ -88,116 +96,126 @@ class Weights:
         rng = np.random.Generator(np.random.PCG64(seed))
         draw = lambda *n: (rng.standard_normal(n) * 0.1).astype(np.float32)
         none = lambda *n: np.zeros(n, np.float32)
-        return cls(draw(len(OFFSETS), CLASSES + 1, HIDDEN), none(HIDDEN), draw(HIDDEN, CLASSES), none(CLASSES), none(len(OFFSETS) * (OWN + SHARED + 1), HIDDEN), none(VOCABULARY + LEAVES, HIDDEN))
+        return cls(draw(len(OFFSETS) * ROWS, HIDDEN), none(HIDDEN), draw(HIDDEN, CLASSES), none(CLASSES), none(VOCABULARY + LEAVES + 1, HIDDEN))
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.e, self.b, self.w, self.c, self.v, self.u)])
+        return np.concatenate([x.ravel() for x in (self.v, self.b, self.w, self.c, self.u)])
 
     @classmethod
     def of(cls, flat: np.ndarray) -> Weights:
         new, at = cls.start(), 0
-        for name in ("e", "b", "w", "c", "v", "u"):
+        for name in ("v", "b", "w", "c", "u"):
             old = getattr(new, name)
             setattr(new, name, flat[at : at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
         return new
 
-    def hidden(self, context: np.ndarray, near: np.ndarray) -> np.ndarray:
-        h = self.b + self.e[0][context[0]]
-        for j in range(1, len(OFFSETS)):
-            h += self.e[j][context[j]]
-        for rows in near:
+    def hidden(self, near: np.ndarray) -> np.ndarray:
+        h = self.v[near[0]]
+        for rows in near[1:]:
             h += self.v[rows]
-        return np.tanh(h)
+        h += self.b
+        h /= 1 + np.abs(h)
+        return h
 
-    def log_softmax(self, h: np.ndarray) -> np.ndarray:
+    def class_log_p(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         z = h @ self.w
         z += self.c
         z -= z.max(axis=1, keepdims=True)
-        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-    def log_p(self, context: np.ndarray, near: np.ndarray, target: np.ndarray, path: Path) -> np.ndarray:
-        h = self.hidden(context, near)
+        at = z[np.arange(len(target)), target]
+        return at - np.log(np.exp(z, out=z).sum(axis=1))
+
+    def log_p(self, near: np.ndarray, entries: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+        """log p of the words, given the rows of ``v`` of those around them."""
+        h = self.hidden(near)
+        out = self.class_log_p(h, vocabulary.classes[entries])
+        # The deepest words first, so that every level of their trees is a stretch.
+        depth = vocabulary.depth[entries]
+        order = np.argsort(depth.max(initial=0) - depth, kind="stable")
+        h, entries, upto = h[order], entries[order], np.cumsum(np.bincount(depth, minlength=1)[::-1])[::-1]
+        p = np.ones(len(entries))
+        for level in range(1, len(upto)):
+            e = entries[: upto[level]]
+            way = vocabulary.way[level - 1][e]
+            x = np.einsum("ij,ij->i", h[: upto[level]], self.u[way >> 1])
+            x += vocabulary.odds[level - 1][e]
+            p[: upto[level]] *= 1 / (1 + np.exp(np.where(way & 1, -x, x)))
+        out[order] += np.log(p)
+        return out
+
+    def gradients(self, near: np.ndarray, target: np.ndarray, node: np.ndarray, sign: np.ndarray, odds: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of the summed -log p(class) - weight * log p(sign at node): by x, by u per drawn node, by class scores; and h.
+
+        ``node``, ``sign``, ``odds``, ``weight``: draws x words.
+        """
+        n = len(target)
+        h = self.hidden(near)
         z = h @ self.w
         z += self.c
         z -= z.max(axis=1, keepdims=True)
-        at = z[np.arange(len(target)), target]
-        at = at - np.log(np.exp(z, out=z).sum(axis=1))
-        x = path.sign * (path.odds + np.einsum("ij,ij->i", h[path.token], self.u[path.node]))
-        return at + np.bincount(path.token, weights=-np.logaddexp(0, -x), minlength=len(target))
-
-    def step(self, context: np.ndarray, near: np.ndarray, target: np.ndarray, path: Path, rate: float) -> None:
-        n = len(target)
-        h = self.hidden(context, near)
-        d = np.exp(self.log_softmax(h))
+        d = np.exp(z, out=z)
+        d /= d.sum(axis=1, keepdims=True)
         d[np.arange(n), target] -= 1
         dh = d @ self.w.T
-        if len(path.token):
-            ht, un = h[path.token], self.u[path.node]
-            dx = (-path.sign / (1 + np.exp(path.sign * (path.odds + np.einsum("ij,ij->i", ht, un))))).astype(np.float32)[:, None]
-            first = np.flatnonzero(np.append(True, path.token[1:] != path.token[:-1]))
-            dh[path.token[first]] += np.add.reduceat(dx * un, first, axis=0)
-            _added(self.u, path.node, dx * ht, rate)
-        d *= rate / n
-        dh *= 1 - h * h
-        _added(self.v, near.ravel(), np.tile(dh, (len(OFFSETS), 1)), rate)
-        dh *= rate / n
-        self.w -= h.T @ d
-        self.c -= d.sum(axis=0)
-        self.b -= dh.sum(axis=0)
-        for j in range(len(OFFSETS)):
-            for k in range(HIDDEN):
-                self.e[j][:, k] -= np.bincount(context[j], weights=dh[:, k], minlength=CLASSES + 1).astype(np.float32)
-
-
-@dataclass
-class Path:
-    """The nodes on the way to some words, one after another: whose, which, +1 for its upper half or -1, log odds by count."""
-
-    token: np.ndarray
-    node: np.ndarray
-    sign: np.ndarray
-    odds: np.ndarray
-
-
-def _shared_row(code: np.ndarray) -> np.ndarray:
-    return (OWN + (code.astype(np.uint64) * np.uint64(2654435761) % np.uint64(1 << 32) >> np.uint64(8)) % np.uint64(SHARED)).astype(np.int32)
-
-
-def _trees(counts: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of words in runs of equal class: where each one's nodes start, the nodes, signs and log odds. A node splits a run at its number."""
+        du = np.empty((len(node), n, HIDDEN), np.float32)
+        for j in range(len(node)):
+            un = self.u[node[j]]
+            dx = (-sign[j] * weight[j] / (1 + np.exp(sign[j] * (odds[j] + np.einsum("ij,ij->i", h, un)))))[:, None]
+            np.multiply(dx, h, out=du[j])
+            un *= dx
+            dh += un
+        dh *= np.square(1 - np.abs(h))
+        return dh, du, d, h
+
+    def step(self, near: np.ndarray, target: np.ndarray, node: np.ndarray, sign: np.ndarray, odds: np.ndarray, weight: np.ndarray, rate: float) -> None:
+        dh, du, d, h = self.gradients(near, target, node, sign, odds, weight)
+        _added(self.v, near.ravel(), dh, rate)
+        if len(node):
+            _added(self.u, node.ravel(), du.reshape(-1, HIDDEN), rate)
+            self.u[-1] = 0
+        rate /= len(target)
+        self.w -= rate * (h.T @ d)
+        self.c -= rate * d.sum(axis=0)
+        self.b -= rate * dh.sum(axis=0)
+
+
+def _trees(counts: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of words in runs of equal class, by level: way (twice the node, + 1 for its upper half) and log odds; and lengths of their
+    paths. A node splits a run at its number."""
     below = np.append(0, np.cumsum(np.maximum(counts, 1e-6)))
     words = np.arange(len(counts))
     lo, hi = np.searchsorted(classes, classes, "left"), np.searchsorted(classes, classes, "right")
-    found = []
-    while len(words):
-        more = hi - lo > 1
-        words, lo, hi = words[more], lo[more], hi[more]
-        mid = (lo + hi) // 2
+    found, depth = [], np.zeros(len(counts), np.int64)
+    while (more := hi - lo > 1).any():
+        mid = np.where(more, (lo + hi) // 2, lo)
         up = words >= mid
-        found.append((words, mid, np.where(up, 1.0, -1.0), np.log(below[hi] - below[mid]) - np.log(below[mid] - below[lo])))
-        lo, hi = np.where(up, mid, lo), np.where(up, hi, mid)
-    word, node, sign, odds = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, int), np.empty(0, int), np.empty(0), np.empty(0))
-    order = np.argsort(word, kind="stable")
-    starts = np.append(0, np.cumsum(np.bincount(word, minlength=len(counts))))
-    return starts.astype(np.int64), node[order].astype(np.int32), sign[order], odds[order]
+        with np.errstate(divide="ignore"):
+            odds = np.where(more, np.log(below[hi] - below[mid]) - np.log(below[mid] - below[lo]), 0)
+        depth += more
+        found.append((np.where(more, mid, VOCABULARY + LEAVES) * 2 + up, odds))
+        lo, hi = np.where(more & up, mid, lo), np.where(more & ~up, mid, hi)
+    none = np.empty((0, len(counts)))
+    way, odds = (np.stack(x) for x in zip(*found, strict=True)) if found else (none, none)
+    return way.astype(np.int32), odds.astype(np.float32), depth
 
 
 @dataclass
 class Vocabulary:
-    """word -> entry; entry -> class, log p(word | class) by count, context row and nodes.
+    """word -> entry; entry -> class, row of its embeddings and path.
 
     The last ``LEAVES`` entries stand for all ``rest`` kinds of words without one of their own, by hash; what is added to
-    the nodes of a leaf, ``base``, lacks the log of the word's count, which the written counts hold.
+    the nodes of a leaf, ``base``, lacks the log of the word's count, which the written counts hold. Texts are coded by
+    entries and, for words without one, ``VOCABULARY`` + a hash below ``SHARED``.
     """
 
     entries: dict[bytes, int]
     classes: np.ndarray
-    log_p: np.ndarray
     rest: int
     base: np.ndarray
     rows: np.ndarray
-    trees: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+    way: np.ndarray
+    odds: np.ndarray
+    depth: np.ndarray
 
     @classmethod
     def of(cls, top: list[tuple[str, int]], leaves: np.ndarray, kinds: int) -> Vocabulary:
@@ -208,84 +226,82 @@ class Vocabulary:
         counts = np.array([n for _, n in top], dtype=np.float64)
         before = np.cumsum(counts) - counts
         classes = np.minimum((before / max(counts.sum(), 1) * (CLASSES - 1)).astype(np.int32), CLASSES - 2)
-        in_class = np.bincount(classes, weights=counts, minlength=CLASSES)
-        log_p = np.log(counts / in_class[classes]) if len(top) else np.empty(0)
         entries = {w.encode("utf-8", "surrogatepass"): i for i, (w, _) in enumerate(top)}
         classes = np.append(classes, np.full(LEAVES, CLASSES - 1)).astype(np.int32)
-        rows = _shared_row(np.fromiter((zlib.crc32(w) for w in entries), dtype=np.uint32, count=len(entries)))
+        rows = OWN + np.fromiter((zlib.crc32(w) % SHARED for w in entries), dtype=np.int32, count=len(entries))
         rows[:OWN] = np.arange(len(rows[:OWN]))
         base = np.append(np.zeros(len(top)), -np.log(np.maximum(leaves, 1)))
-        trees = _trees(np.append(counts, leaves), classes)
-        return cls(entries, classes, np.append(log_p, np.full(LEAVES, -np.log(max(leaves.sum(), 1)))), kinds - len(top), base, rows, trees)
+        return cls(entries, classes, kinds - len(top), base, rows, *_trees(np.append(counts, leaves), classes))
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Entries and context rows of the words."""
-        get, tail = self.entries.get, len(self.entries)
-        entries, rows = [np.empty(0, dtype=np.int32)], [np.empty(0, dtype=np.int32)]
+    def encode(self, text: str | None) -> tuple[np.ndarray, list[bytes]]:
+        """Codes of the words, and the words that have no entry."""
+        get, codes, rest = self.entries.get, [np.empty(0, dtype=np.uint16)], []
         for words in words_of(text):
-            ids = np.fromiter((get(w, tail) for w in words), dtype=np.int32, count=len(words))
-            row = self.rows[np.minimum(ids, tail - 1)] if tail else np.zeros_like(ids)
-            rare = np.flatnonzero(ids == tail)
+            ids = np.fromiter((get(w, -1) for w in words), dtype=np.int32, count=len(words))
+            rare = np.flatnonzero(ids < 0)
             if len(rare):
-                code = np.fromiter((zlib.crc32(words[i]) for i in rare.tolist()), dtype=np.uint32, count=len(rare))
-                ids[rare] += (code % LEAVES).astype(np.int32)
-                row[rare] = _shared_row(code)
-            entries.append(ids)
-            rows.append(row)
-        return np.concatenate(entries), np.concatenate(rows)
-
-    def path(self, entries: np.ndarray) -> Path:
-        starts, node, sign, odds = self.trees
-        depth = starts[entries + 1] - starts[entries]
-        token = np.repeat(np.arange(len(entries)), depth)
-        at = np.arange(len(token)) + np.repeat(starts[entries] - (np.cumsum(depth) - depth), depth)
-        return Path(token, node[at], sign[at], odds[at])
-
-
-def _lined_up(texts: Iterable[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Classes and context rows of all texts with pads between them, places of the words therein, their entries, and words per text."""
-    encoded = [vocabulary.encode(t) for t in texts]
-    sizes = np.array([len(x) for x, _ in encoded], dtype=np.int64)
-    entries = np.concatenate([np.empty(0, dtype=np.int32), *[x for x, _ in encoded]])
-    places = np.arange(len(entries)) + np.repeat(np.arange(1, len(encoded) + 1) * PAD, sizes)
-    line = np.full(len(entries) + (len(encoded) + 1) * PAD, CLASSES, dtype=np.int32)
-    line[places] = vocabulary.classes[entries]
-    rows = np.full(len(line), OWN + SHARED, dtype=np.int32)
-    rows[places] = np.concatenate([np.empty(0, dtype=np.int32), *[x for _, x in encoded]])
-    return line, rows, places, entries, sizes
-
-
-def _contexts(line: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return np.stack([line[places + o] for o in OFFSETS])
-
-
-def _near(rows: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Rows of ``v``, which has those of each offset after another."""
-    return _contexts(rows, places) + np.arange(len(OFFSETS), dtype=np.int32)[:, None] * (OWN + SHARED + 1)
-
-
-def score_texts(texts: list[str | None], vocabulary: Vocabulary, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
-    """Words, and summed log p(word | both sides), of each text; without the logs of the counts of words that have no entry."""
-    line, rows, places, entries, sizes = _lined_up(texts, vocabulary)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    sums = np.zeros(len(sizes))
-    for at in range(0, len(places), SLICE):
-        p, e = places[at : at + SLICE], entries[at : at + SLICE]
-        log_p = weights.log_p(_contexts(line, p), _near(rows, p), line[p], vocabulary.path(e)) + vocabulary.base[e]
-        sums += np.bincount(owner[at : at + SLICE], weights=log_p, minlength=len(sizes))
-    return sizes, sums
+                found = [words[i] for i in rare.tolist()]
+                ids[rare] = np.fromiter((zlib.crc32(w) % SHARED for w in found), dtype=np.int32, count=len(found)) + VOCABULARY
+                rest += found
+            codes.append(ids.astype(np.uint16))
+        return np.concatenate(codes), rest
+
+    def entries_of(self, codes: np.ndarray) -> np.ndarray:
+        codes = codes.astype(np.int32)
+        return np.where(codes < VOCABULARY, codes, len(self.entries) + (codes - VOCABULARY) % LEAVES)
+
+    def rows_of(self, codes: np.ndarray) -> np.ndarray:
+        codes, own = codes.astype(np.int32), np.append(self.rows, 0)
+        return np.where(codes < VOCABULARY, own[np.minimum(codes, len(self.rows))], OWN + codes - VOCABULARY).astype(np.int32)
+
+    def drawn(self, entries: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, ...]:
+        """``DRAWN`` nodes of each word's path by chance: nodes, signs, log odds, weights."""
+        depth = self.depth[entries]
+        if not len(self.way):
+            return (np.empty((0, len(entries)), np.int32),) * 4
+        at = (rng.random((DRAWN, len(entries)), dtype=np.float32) * depth).astype(np.int64) * self.way.shape[1] + entries
+        way, weight = self.way.ravel()[at], np.broadcast_to((depth / DRAWN).astype(np.float32), at.shape)
+        return way >> 1, ((way & 1) * 2 - 1).astype(np.float32), self.odds.ravel()[at], weight
+
+
+def _near(codes: list[np.ndarray], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """(entries, offsets x words of rows of ``v``) of all words of some texts; words beyond a text's ends are a row of their own."""
+    sizes = np.array([len(x) for x in codes], dtype=np.int64)
+    joined = np.concatenate([np.empty(0, dtype=np.uint16), *codes])
+    places = np.arange(len(joined)) + np.repeat(np.arange(1, len(codes) + 1) * PAD, sizes)
+    line = np.full(len(joined) + (len(codes) + 1) * PAD, ROWS - 1, dtype=np.int32)
+    line[places] = vocabulary.rows_of(joined)
+    return vocabulary.entries_of(joined), np.stack([line[places + o] + j * ROWS for j, o in enumerate(OFFSETS)])
+
+
+def score_codes(codes: list[np.ndarray], vocabulary: Vocabulary, weights: Weights) -> np.ndarray:
+    """Summed log p(word | both sides) of each coded text; without the logs of the counts of words that have no entry."""
+    entries, near = _near(codes, vocabulary)
+    owner = np.repeat(np.arange(len(codes)), [len(x) for x in codes])
+    sums = np.zeros(len(codes))
+    for at in range(0, len(entries), SLICE):
+        e = entries[at : at + SLICE]
+        sums += np.bincount(owner[at : at + SLICE], weights=weights.log_p(near[:, at : at + SLICE], e, vocabulary) + vocabulary.base[e], minlength=len(codes))
+    return sums
+
+
+def fit_codes(codes: list[np.ndarray], vocabulary: Vocabulary, weights: Weights, rate: float, rng: np.random.Generator) -> None:
+    """One pass of steps over the words of some coded texts."""
+    entries, near = _near(codes, vocabulary)
+    for at in range(0, len(entries), BATCH):
+        e = entries[at : at + BATCH]
+        weights.step(near[:, at : at + BATCH], vocabulary.classes[e], *vocabulary.drawn(e, rng), rate * len(e) / BATCH)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: Counter = Counter()
 
     def out() -> pa.RecordBatch:
-        words = [w.decode("utf-8", "surrogatepass") for w in held]
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()).cast(pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
 
     for batch in batches:
-        for text in batch.column("_text"):
-            for words in words_of(text.as_py()):
+        for text in batch.column("_text").to_pylist():
+            for words in words_of(text):
                 held.update(words)
                 if len(held) >= HELD:
                     yield out()
@@ -293,60 +309,101 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+def _coded(vocabulary_b):
+    """(_doc, _row, shard hash, codes, rest): texts as codes, and the words without an entry with their counts."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = vocabulary_b.value
+        for batch in batches:
+            codes, words, times, ends = [], [], [], [0]
+            for text in batch.column("_text").to_pylist():
+                found, rest = vocabulary.encode(text)
+                codes.append(found.tobytes())
+                held = Counter(rest)
+                words += held.keys()
+                times += held.values()
+                ends.append(len(words))
+            pairs = pa.StructArray.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())], ["word", "k"])
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("_doc", "_row", "_key")], pa.array(codes, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)], ["_doc", "_row", "_key", "_codes", "_rest"]
+            )
+
+    return code
+
+
+def _bunches(column: pa.Array) -> Iterator[list[np.ndarray]]:
+    """Coded texts of a column, some ``AT_ONCE`` words at a time."""
+    held, size = [], 0
+    for x in column.to_pylist():
+        held.append(np.frombuffer(x, dtype=np.uint16))
+        size += len(held[-1])
+        if size >= AT_ONCE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, n = 0.0, 0
+    total, n, part = 0.0, 0, 0
     for batch in batches:
-        for w, k in zip(batch.column("w"), batch.column("n"), strict=True):
-            total, n = total + np.frombuffer(w.as_py(), dtype=np.float32).astype(np.float64) * k.as_py(), n + k.as_py()
+        for p, w, k in zip(*(batch.column(c) for c in ("part", "w", "n")), strict=True):
+            total, n, part = total + np.frombuffer(w.as_py(), dtype=np.float32).astype(np.float64) * k.as_py(), n + k.as_py(), p.as_py()
     if n:
-        yield _row_of(total / n, n)
+        yield _row_of(total / n, n, part)
+
 
+def _row_of(flat: np.ndarray, n: int, part: int = 0) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([flat.astype(np.float32).tobytes()], pa.binary()), pa.array([n], pa.int64())], ["part", "w", "n"])
 
-def _row_of(flat: np.ndarray, n: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([flat.astype(np.float32).tobytes()], pa.binary()), pa.array([n], pa.int64())], ["w", "n"])
 
+def train(coded: DataFrame, vocabulary_b, words: int, rounds: int = ROUNDS) -> Weights:
+    """Local SGD with averaged weights over ``coded`` (_key, _codes).
 
-def train(docs: DataFrame, vocabulary: Vocabulary, text_col: str, rounds: int = ROUNDS) -> Weights:
-    """Local SGD with averaged weights: in each round every task trains on its documents of that round, starting alike."""
-    spark = docs.sparkSession
-    vocabulary_b = spark.sparkContext.broadcast(vocabulary)
+    Texts are dealt to rounds and shards by ``_key``, which follows from their rows, and are read in its order; how many shards
+    there are follows from the words of the corpus. So the layout of the input does not change the result. In each round all
+    shards start alike.
+    """
+    spark = coded.sparkSession
     weights = Weights.start()
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    shards = max(1, min(SHARDS, words // SHARD_WORDS // rounds))
     for r in range(rounds):
         start_b = spark.sparkContext.broadcast(weights.flat())
-        rate = RATE / (1 + r)
 
-        def fit(batches: Iterator[pa.RecordBatch], start_b=start_b, rate: float = rate) -> Iterator[pa.RecordBatch]:
-            own, n, vocabulary = Weights.of(start_b.value), 0, vocabulary_b.value
+        def fit(batches: Iterator[pa.RecordBatch], start_b=start_b, r: int = r) -> Iterator[pa.RecordBatch]:
+            own, n, part, rng, vocabulary = Weights.of(start_b.value), 0, 0, None, vocabulary_b.value
             for batch in batches:
-                for first in range(0, batch.num_rows, TEXTS):
-                    line, rows, places, entries, _ = _lined_up((t.as_py() for t in batch.column("_text").slice(first, TEXTS)), vocabulary)
-                    for at in range(0, len(places), BATCH):
-                        p = places[at : at + BATCH]
-                        own.step(_contexts(line, p), _near(rows, p), line[p], vocabulary.path(entries[at : at + BATCH]), rate * len(p) / BATCH)
-                    n += len(places)
+                if batch.num_rows:
+                    part = batch.column("part")[0].as_py()
+                    rng = rng or np.random.Generator(np.random.PCG64([r, part]))
+                for codes in _bunches(batch.column("_codes")):
+                    fit_codes(codes, vocabulary, own, RATE / (1 + r), rng)
+                    n += sum(map(len, codes))
             if n:
-                yield _row_of(own.flat(), n)
-
-        # Every document belongs to one round; together the rounds train on all documents.
-        part = docs.select(text.alias("_text")).where(F.pmod(F.xxhash64("_text"), F.lit(rounds)) == r)
-        summed = materialize(part.mapInArrow(fit, "w binary, n long"))  # a row per task at most
-        while (tasks := summed.count()) > FAN_IN:
-            summed = materialize(summed.repartition(-(-tasks // FAN_IN)).mapInArrow(_summed, "w binary, n long"))
-        rows = summed.collect()  # FAN_IN rows of some 4 MB at most
-        if rows:
-            weights = Weights.of(sum(np.frombuffer(bytes(x.w), dtype=np.float32).astype(np.float64) * x.n for x in rows) / sum(x.n for x in rows))
+                yield _row_of(own.flat(), n, part)
+
+        # Every text belongs to one round; together the rounds train on all of them.
+        dealt = coded.where(F.pmod("_key", F.lit(rounds)) == r).select(F.pmod(F.expr(f"_key div {rounds}"), F.lit(shards)).cast("int").alias("part"), "_key", "_codes")
+        dealt = dealt.repartitionById(shards, F.col("part")).sortWithinPartitions("_key", "_codes").select("part", "_codes")
+        kind = "part int, w binary, n long"
+        summed = materialize(dealt.mapInArrow(fit, kind))  # a row per shard
+        while (parts := summed.count()) > 1:
+            fewer = -(-parts // FAN_IN)
+            summed = materialize(summed.repartitionById(fewer, F.pmod("part", F.lit(fewer))).sortWithinPartitions("part").mapInArrow(_summed, kind).withColumn("part", F.pmod("part", F.lit(fewer))))
+        for row in summed.collect():  # one of some 5 MB at most
+            weights = Weights.of(np.frombuffer(bytes(row.w), dtype=np.float32))
     return weights
 
 
 def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """(word, n) of all words of all documents, written."""
-    counts = docs.select(F.col(text_col).alias("_text")).mapInArrow(_counted, "word string, n long")
+    counts = docs.select(col_of(text_col).alias("_text")).mapInArrow(_counted, "word string, n long")
     return materialize(counts.groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def _vocabulary(counts: DataFrame, size: int) -> Vocabulary:
-    """The most frequent words come to the driver: whole count levels, and of the one that crosses ``size`` a part by hash."""
+def corpus_vocabulary(counts: DataFrame, size: int = VOCABULARY) -> tuple[Vocabulary, int]:
+    """(vocabulary, words of the corpus): the most frequent words come to the driver, whole count levels, and of the one that
+    crosses ``size`` a part by hash."""
     short = F.octet_length("word") <= LONGEST
     level, part = F.expr(bucket("n")), F.pmod(F.xxhash64("word"), F.lit(PARTS))
     levels = counts.groupBy(level.alias("at")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"), F.count_if(short).alias("short"))
@@ -369,68 +426,54 @@ def _vocabulary(counts: DataFrame, size: int) -> Vocabulary:
     leaf = (F.crc32(F.encode("word", "utf-8")) % LEAVES).cast("int")
     for x in counts.where(~(short & chosen)).groupBy(leaf.alias("leaf")).agg(F.sum("n").alias("n")).collect():  # LEAVES rows at most
         leaves[x.leaf] = x.n
-    return Vocabulary.of(sorted(top, key=lambda x: (-x[1], x[0])), leaves, sum(x.kinds for x in levels))
-
-
-def corpus_vocabulary(docs: DataFrame, text_col: str, size: int = VOCABULARY) -> Vocabulary:
-    """Counts of all words of all documents; the ``size`` most frequent words, nearly, come to the driver."""
-    return _vocabulary(word_counts(docs, text_col), size)
-
-
-def _rest_of(text: str | None, vocabulary: Vocabulary) -> list[dict]:
-    """Words of a text that have no entry, and how often it holds them."""
-    held: Counter = Counter()
-    for words in words_of(text):
-        held.update(w for w in words if w not in vocabulary.entries)
-    return [{"word": w.decode("utf-8", "surrogatepass"), "k": k} for w, k in held.items()]
+    vocabulary = Vocabulary.of(sorted(top, key=lambda x: (-x[1], x[0])), leaves, sum(x.kinds for x in levels))
+    return vocabulary, sum(x.n for x in levels)
 
 
 def score_documents(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Pseudo-log-likelihood of every whole text.
 
-    Added to ``keep`` (all columns by default; those named like a new one are replaced): ``n_tokens``, ``log_prob`` (sum
-    over the words of log p(word | the two words on either side), in nats) and ``mean_log_prob`` (null without words).
-
-    Words of the whole corpus are counted. log p(word) is log p(class | both sides) plus log p(word | class, both sides), from
-    a network in numpy that sees the words on either side (the ``OWN`` most frequent by embeddings of their own, others by
-    ``SHARED`` hashed ones). Within a class the network adds to the log odds of the counts at the nodes of a tree, whose leaves
-    are the words that tasks hold, or ``LEAVES`` groups by hash of all others; within such a group words follow their
-    counts, to which they are joined. The network is trained by local SGD on all documents: tasks start alike, train on
-    their own documents, and their weights are averaged by words, summed ``FAN_IN`` to a task. What a task holds is
-    bounded by ``VOCABULARY`` whatever the corpus. Counts, weights and the rarer words of each text are shuffled. Null
-    and empty texts have no words and a sum of 0; repeated rows score alike; an empty table gives an empty result.
+    Added to ``keep`` (all columns by default; those named like a new one, in any case, are replaced): ``n_tokens``,
+    ``log_prob`` (sum over the words of log p(word | the two words on either side), in nats) and ``mean_log_prob`` (null
+    without words).
+
+    Words of the whole corpus are counted, and texts written as codes. log p(word) is log p(class | both sides) plus log
+    p(word | class, both sides), from a network in numpy that sees the words on either side (the ``OWN`` most frequent by
+    embeddings of their own, others by ``SHARED`` hashed ones). Within a class the network adds to the log odds of the counts
+    at the nodes of a tree, whose leaves are the words that tasks hold, or ``LEAVES`` groups by hash of all others; within
+    such a group words follow their counts, to which they are joined. The network is trained by local SGD on all documents:
+    shards of ``SHARD_WORDS`` words start alike, and their weights are averaged by words, summed ``FAN_IN`` to a task; the same
+    rows give the same weights, however they are laid out (up to the rounding of floats). What a task holds is bounded by ``VOCABULARY`` whatever the
+    corpus. Codes, counts, weights and the rarer words of each text are shuffled. Null and empty texts have no words and a sum
+    of 0; repeated rows score alike; an empty table gives an empty result.
     """
     need(docs, text_col)
-    new = ["n_tokens", "log_prob", "mean_log_prob"]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
+    boxed = Boxed(docs, keep, ["n_tokens", "log_prob", "mean_log_prob"])
     counts = word_counts(docs, text_col)
-    vocabulary = _vocabulary(counts, VOCABULARY)
-    weights = train(docs, vocabulary, text_col)
-    model = docs.sparkSession.sparkContext.broadcast((vocabulary, weights))
-    rest = pa.list_(pa.struct([("word", pa.string()), ("k", pa.int64())]))
+    vocabulary, words = corpus_vocabulary(counts)
+    vocabulary_b = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    text = col_of(text_col)
+    # The place of a row in training follows from all that is kept of it, so copies of a text are dealt apart.
+    rows = docs.select(boxed.box, F.monotonically_increasing_id().alias("_row"), F.xxhash64(boxed.hashed(), text).alias("_key"), text.alias("_text"))
+    pair = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("k", T.LongType())]))
+    kinds = T.StructType([rows.schema["_doc"], T.StructField("_row", T.LongType()), T.StructField("_key", T.LongType()), T.StructField("_codes", T.BinaryType()), T.StructField("_rest", pair)])
+    coded = materialize(rows.mapInArrow(_coded(vocabulary_b), kinds), "zstd")
+    weights_b = docs.sparkSession.sparkContext.broadcast(train(coded, vocabulary_b, words))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, weights = model.value
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            sizes, sums = (np.concatenate(x) for x in zip(*(score_texts(texts[at : at + TEXTS], vocabulary, weights) for at in range(0, max(len(texts), 1), TEXTS)), strict=True))
-            out = [*[batch.column(c) for c in kept], batch.column("_row"), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())]
-            names = [*kept, "_row", "n_tokens", "log_prob"]
-            if vocabulary.rest:
-                out, names = [*out, pa.array([_rest_of(t, vocabulary) for t in texts], rest)], [*names, "_rest"]
-            yield pa.RecordBatch.from_arrays(out, names)
-
-    schema = ", ".join([*[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept], "_row long, n_tokens long, log_prob double"])
-    rows = docs.select(*kept, F.monotonically_increasing_id().alias("_row"), F.col(text_col).alias("_text"))
+            sums = [np.empty(0), *[score_codes(codes, vocabulary_b.value, weights_b.value) for codes in _bunches(batch.column("_codes"))]]
+            sizes = pa.array([len(x) // 2 for x in batch.column("_codes").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_row"), sizes, pa.array(np.concatenate(sums))], ["_doc", "_row", "n_tokens", "log_prob"])
+
+    kinds = T.StructType([rows.schema["_doc"], T.StructField("_row", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType())])
+    rows = coded.select("_doc", "_row", "_codes").mapInArrow(scored, kinds)
     if vocabulary.rest:
-        rows = materialize(rows.mapInArrow(scored, schema + ", _rest array<struct<word: string, k: long>>"))
-        words = rows.select("_row", F.explode("_rest").alias("_x")).select("_row", "_x.word", "_x.k").join(counts, "word")
-        # Decimals, so that equal texts have equal sums in whatever order.
-        added = words.groupBy("_row").agg(F.sum((F.col("k") * F.log("n")).cast("decimal(38,12)")).cast("double").alias("_added"))
-        rows = rows.drop("_rest").join(added, "_row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("_added", F.lit(0.0)))
-    else:
-        rows = rows.mapInArrow(scored, schema)
-    return rows.select(*kept, "n_tokens", "log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")).alias("mean_log_prob"))
+        found = coded.select("_row", F.explode("_rest").alias("_x")).select("_row", "_x.word", "_x.k").join(counts, "word")
+        # Whole billionths, so that equal texts have equal sums in whatever order.
+        added = found.groupBy("_row").agg((F.sum(F.col("k") * F.round(F.log("n") * 1e9).cast("long")) / 1e9).alias("_added"))
+        rows = rows.join(added, "_row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("_added", F.lit(0.0)))
+    return rows.select(*boxed.columns(), "n_tokens", "log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")).alias("mean_log_prob"))
 
 
 def op8_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
