@@ -5,25 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import blank_words, bucket, let, need, stratum
+from quarrystone.llm.common import Boxed, blank_words, bucket, col_of, let, need, stratum
 from quarrystone.session import broadcast_if_small, materialize, table
 
 #: Base rules, fixed values of the contract.
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Metric: (whole-number expression over the counts, least distance of the upper fence from the third quartile).
+#: Metric: (whole-number expression over the counts, two percentiles, multiple of their distance, sides that are fenced).
+#: A fence lies so many distances beyond the outer percentile.
 METRICS = {
-    "symbol_pm": ("(1000 * n_symbols) div word_chars", 60),
-    "mark_pm": ("(1000 * n_marks) div word_chars", 60),
-    "upper_pm": ("(1000 * n_upper) div word_chars", 250),
-    "dup_line_pm": ("(1000 * n_dup_lines) div n_lines", 400),
-    "repeat_pm": ("(1000 * n_repeat_words) div n_words", 350),
+    "other_pm": ("(1000 * n_other) div word_chars", 25, 75, 8, "max"),
+    "upper_pm": ("(1000 * n_upper) div word_chars", 25, 75, 12, "max"),
+    "word_len": ("(100 * word_chars) div n_words", 25, 75, 6, "min max"),
+    "dup_line_pm": ("(1000 * n_dup_lines) div n_lines", 50, 99, 2, "max"),
+    "repeat_pm": ("(1000 * n_repeat_words) div n_words", 50, 99, 2, "max"),
 }
-#: The upper fence lies so many interquartile ranges above the third quartile.
-SPREAD = 6
-#: Groups of fewer rows take the merged sketch of their language, and then of all rows.
-MIN_GROUP = 200
-COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_marks", "n_upper"]
+FENCES = [f"{m}_{side}" for m, (*_, sides) in METRICS.items() for side in sides.split()]
+#: Percentiles of a group are averaged with those of its language, which count as so many rows.
+PRIOR = 100
+#: Leading bits of a number that its sketch bucket keeps.
+BITS = 8
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_other", "n_upper"]
+#: Printable ASCII that is neither letter nor digit nor blank.
+OTHER = r"!-/:-@\[-`{-~"
 
 
 def _repeated(words: Column) -> Column:
@@ -55,7 +59,7 @@ def text_counts(text: Column) -> Column:
             let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
             _repeated(words).cast("long").alias("n_repeat_words"),
             let(lines, F.size).cast("long").alias("n_lines"),
-            only("!").alias("n_marks"),
+            only(OTHER).alias("n_other"),
             only("A-Z").alias("n_upper"),
         )
 
@@ -63,101 +67,120 @@ def text_counts(text: Column) -> Column:
 
 
 def quality_sketches(scored: DataFrame) -> DataFrame:
-    """(_l, _s, metric, bucket, n): log-linear histograms, mergeable by adding ``n``; some hundred buckets a group at most."""
-    stack = ", ".join(f"'{m}', {m}" for m in METRICS)
-    long = scored.where("not base_failed").selectExpr("_l", "_s", f"stack({len(METRICS)}, {stack}) as (metric, v)")
-    return long.selectExpr("_l", "_s", "metric", f"{bucket('v')} as bucket").groupBy("_l", "_s", "metric", "bucket").agg(F.count("*").alias("n"))
+    """(_l, _s, metric, bucket, n): log-linear histograms, mergeable by adding ``n``; some hundred buckets a group at most.
+
+    Rows that fail the base rules have null metrics here, which the sketch passes over.
+    """
+    stack = ", ".join(f"'{m}', CASE WHEN NOT base_failed THEN {m} END" for m in METRICS)
+    long = scored.selectExpr("_l", "_s", f"stack({len(METRICS)}, {stack}) as (metric, v)").where("v is not null")
+    return long.selectExpr("_l", "_s", "metric", f"{bucket('v', BITS)} as bucket").groupBy("_l", "_s", "metric", "bucket").agg(F.count("*").alias("n"))
 
 
-def _fences(sketches: DataFrame, keys: list[str]) -> DataFrame:
+def _percentiles(sketches: DataFrame, keys: list[str], tag: str) -> DataFrame:
+    """(keys, metric, <tag>rows, <tag>lo, <tag>hi): both percentiles of each metric."""
     merged = sketches.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
-    group = Window.partitionBy(*keys, "metric")
+    group = Window.partitionBy(*keys, "metric")  # buckets of a group, whatever its rows
     upto = merged.withColumns({"upto": F.sum("n").over(group.orderBy("bucket")), "rows": F.sum("n").over(group)})
-    at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("rows") * q, F.col("bucket")))
-    found = upto.groupBy(*keys, "metric").agg(F.max("rows").alias("rows"), at(1).alias("q1"), at(3).alias("q3"))
-    slack = F.create_map(*[F.lit(x) for m, (_, s) in METRICS.items() for x in (m, s)])
-    fence = F.col("q3") + F.greatest((F.col("q3") - F.col("q1")) * SPREAD, slack[F.col("metric")].cast("long"))
-    return found.select(*keys, "metric", "rows", fence.alias("fence"))
-
-
-def quality_thresholds(sketches: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """(_l, _s, one fence per metric): from the group's sketch, or the merged one of its language or of all if it is small."""
-    own = _fences(sketches, ["_l", "_s"])
-    lang = _fences(sketches, ["_l"]).select("_l", "metric", F.col("rows").alias("l_rows"), F.col("fence").alias("l_fence"))
-    every = _fences(sketches, []).select("metric", F.col("fence").alias("a_fence"))
-    joined = own.join(lang, ["_l", "metric"]).join(F.broadcast(every), "metric")  # a row per metric
-    chosen = F.when(F.col("rows") >= min_group, F.col("fence")).when(F.col("l_rows") >= min_group, F.col("l_fence")).otherwise(F.col("a_fence"))
-    return joined.groupBy("_l", "_s").agg(*[F.max(F.when(F.col("metric") == m, chosen)).alias(f"{m}_max") for m in METRICS])
-
-
-def _scored(docs: DataFrame, kept: list[str], text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    """``kept`` with group keys, counts, ``base_failed`` and metrics."""
-    made = docs.select(*kept, stratum(F.col(lang_col)).alias("_l"), stratum(F.col(source_col)).alias("_s"), text_counts(F.col(text_col)).alias("_c"))
-    scored = made.select(*kept, "_l", "_s", *[f"_c.{c}" for c in COUNTS])
+    for i, side in ((1, "lo"), (2, "hi")):
+        of = F.create_map(*[F.lit(x) for m, spec in METRICS.items() for x in (m, spec[i])])
+        upto = upto.withColumn(side, F.when(F.col("upto") * 100 >= F.col("rows") * of[F.col("metric")], F.col("bucket")))
+    return upto.groupBy(*keys, "metric").agg(F.max("rows").alias(f"{tag}rows"), F.min("lo").alias(f"{tag}lo"), F.min("hi").alias(f"{tag}hi"))
+
+
+def quality_thresholds(sketches: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """(_l, _s, one column per fence): from the group's percentiles, averaged with its language's; null without a spread."""
+    joined = _percentiles(sketches, ["_l", "_s"], "o_").join(_percentiles(sketches, ["_l"], "l_"), ["_l", "metric"])
+    joined = joined.selectExpr("_l", "_s", "metric", *[f"(o_rows * o_{q} + {prior} * l_{q}) div (o_rows + {prior}) as {q}" for q in ("lo", "hi")])
+    found = []
+    for m, (_, _, _, spread, sides) in METRICS.items():
+        for side in sides.split():
+            at = f"hi + {spread} * (hi - lo)" if side == "max" else f"lo - {spread} * (hi - lo)"
+            found.append(F.max(F.expr(f"CASE WHEN metric = '{m}' AND hi > lo THEN {at} END")).alias(f"{m}_{side}"))
+    return joined.groupBy("_l", "_s").agg(*found)
+
+
+def _scored(docs: DataFrame, kept: list[Column], names: list[str], text: Column, lang: Column, source: Column) -> DataFrame:
+    """``kept`` (of these names) with group keys, counts, ``base_failed`` and metrics."""
+    made = docs.select(*kept, stratum(lang).alias("_l"), stratum(source).alias("_s"), text_counts(text).alias("_c"))
+    scored = made.select(*names, "_l", "_s", *[f"_c.{c}" for c in COUNTS])
     scored = scored.withColumn("base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"))
-    return scored.withColumns({m: F.when(F.col("word_chars") > 0, F.expr(e)).otherwise(F.lit(0).cast("long")) for m, (e, _) in METRICS.items()})
+    return scored.withColumns({m: F.when(F.col("word_chars") > 0, F.expr(e)).otherwise(F.lit(0).cast("long")) for m, (e, *_) in METRICS.items()})
 
 
 def _verdict(scored: DataFrame, fences: DataFrame) -> DataFrame:
     inside = F.lit(True)
-    for m in METRICS:
-        inside = inside & (F.col(m) <= F.col(f"{m}_max"))
-    return scored.join(fences, ["_l", "_s"], "left").withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))).drop("_l", "_s")
+    for f in FENCES:
+        m, side = f.rsplit("_", 1)
+        inside = inside & F.coalesce(F.col(m) <= F.col(f) if side == "max" else F.col(m) >= F.col(f), F.lit(True))
+    # One CASE, which no filter takes apart: a part of it below the join would count the texts again.
+    return scored.join(fences, ["_l", "_s"], "left").withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(inside)).drop("_l", "_s")
 
 
-def quality_scores(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: list[str] | None = None, min_group: int = MIN_GROUP) -> DataFrame:
+def quality_scores(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: list[str] | None = None, prior: int = PRIOR) -> DataFrame:
     """Judge every row: base rules, then fences from quantile sketches of its language and source.
 
-    Added to ``keep`` (all columns by default; those named like a new one are replaced): the counts of ``text_counts``,
-    ``base_failed``, a whole-number metric each in thousandths, its upper fence ``<metric>_max``, and ``kept``: false if the
-    base rules fail or a metric lies above its fence. A fence is the third quartile plus ``SPREAD`` interquartile ranges,
-    and a least distance at any rate, so that groups of uniform rows lose none to small differences.
+    Added to ``keep`` (all columns by default; those named like a new one, in any case, are replaced): the counts of
+    ``text_counts``, ``base_failed``, whole-number metrics (thousandths; ``word_len`` in hundredths of a character), their
+    fences ``<metric>_max`` and ``word_len_min``, and ``kept``: false if the base rules fail or a metric lies beyond a fence.
+
+    Every fence follows from two percentiles of the metric: it lies a multiple of their distance beyond the outer one. Both
+    are taken from the sketch of the row's language and source and averaged with those of the language, which count as
+    ``prior`` rows; so small groups lean on their language and large ones on themselves. A metric without a spread
+    in a group tells nothing there and sets no fence (null).
 
     The counts are made once and written; sketches are partial counts per bucket, so a hot source needs no more of a task
     than any other; fences are a row per language and source, joined back. Null text counts as empty (base fails), null
     language or source is a group of its own, repeated rows share their fate, an empty table gives an empty result.
     """
     need(docs, text_col, lang_col, source_col)
-    new = [*COUNTS, *METRICS, *[f"{m}_max" for m in METRICS], "base_failed", "kept"]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    scored = materialize(_scored(docs, kept, text_col, lang_col, source_col))
-    return _verdict(scored, materialize(quality_thresholds(quality_sketches(scored), min_group)))
+    boxed = Boxed(docs, keep, [*COUNTS, *METRICS, *FENCES, "base_failed", "kept"])
+    scored = materialize(_scored(docs, [boxed.box], ["_doc"], col_of(text_col), col_of(lang_col), col_of(source_col)))
+    judged = _verdict(scored, materialize(quality_thresholds(quality_sketches(scored), prior)))
+    return judged.select(*boxed.columns(), *[c for c in judged.columns if c != "_doc"])
 
 
-def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = MIN_GROUP) -> DataFrame:
+def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", prior: int = PRIOR) -> DataFrame:
     """The rows that ``quality_scores`` keeps, with the columns of ``docs`` alone.
 
-    Texts are read twice, for the sketches and for the verdicts, rather than written: fences of up to a million groups are
-    broadcast, so that no text moves."""
+    Texts are read and counted twice, for the sketches and for the verdicts, rather than written: fences of up to a million
+    groups are broadcast, so that no text moves."""
     need(docs, text_col, lang_col, source_col)
-    fences = materialize(quality_thresholds(quality_sketches(_scored(docs, [], text_col, lang_col, source_col)), min_group))
-    boxed = docs.select(F.struct(*docs.columns).alias("_doc"), *[F.col(c).alias(f"_{n}") for n, c in (("text", text_col), ("lang", lang_col), ("source", source_col))])
-    return _verdict(_scored(boxed, ["_doc"], "_text", "_lang", "_source"), broadcast_if_small(fences)).where("kept").select("_doc.*")
+    boxed = Boxed(docs, None, [])
+    of = (col_of(text_col), col_of(lang_col), col_of(source_col))
+    fences = materialize(quality_thresholds(quality_sketches(_scored(docs, [], [], *of)), prior))
+    return _verdict(_scored(docs, [boxed.box], ["_doc"], *of), broadcast_if_small(fences)).where("kept").select(*boxed.columns())
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_scores(table(spark, sf_dir, "documents"), keep=["doc_id", "lang", "source"])
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *METRICS, *[f"{m}_max" for m in METRICS])
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *METRICS, *FENCES)
 
 
-def quality_sql(docs: str, min_group: int = MIN_GROUP) -> str:
+def quality_sql(docs: str, prior: int = PRIOR) -> str:
     """CTEs that end in ``judged``: the columns of ``docs`` with counts, metrics, fences and ``kept``."""
-    metrics = {m: e.replace(" div ", " // ") for m, (e, _) in METRICS.items()}
-    fence = lambda q: f"q3 + greatest((q3 - q1) * {SPREAD}, CASE metric {' '.join(f'WHEN {m!r} THEN {s}' for m, (_, s) in METRICS.items())} END) AS {q}"
+    metrics = {m: e.replace(" div ", " // ") for m, (e, *_) in METRICS.items()}
+    of = lambda i: f"CASE metric {' '.join(f'WHEN {m!r} THEN {spec[i]}' for m, spec in METRICS.items())} END"
 
-    def level(name: str, keys: str, fence_name: str, rows: str) -> str:
+    def level(name: str, keys: str, tag: str) -> str:
         group = f"{keys}metric"
         return f"""
     qf_{name}_u AS (SELECT {group}, bucket, sum(n) OVER (PARTITION BY {group} ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {group}) AS r
       FROM (SELECT {group}, bucket, sum(n) AS n FROM qf_sketch GROUP BY {group}, bucket)),
-    qf_{name} AS (SELECT {group}, r AS {rows}, {fence(fence_name)} FROM (SELECT {group}, max(r)::BIGINT AS r,
-      min(CASE WHEN upto * 4 >= r THEN bucket END) AS q1, min(CASE WHEN upto * 4 >= r * 3 THEN bucket END) AS q3 FROM qf_{name}_u GROUP BY {group})),"""
-
+    qf_{name} AS (SELECT {group}, max(r)::BIGINT AS {tag}rows, min(CASE WHEN upto * 100 >= r * {of(1)} THEN bucket END) AS {tag}lo,
+      min(CASE WHEN upto * 100 >= r * {of(2)} THEN bucket END) AS {tag}hi FROM qf_{name}_u GROUP BY {group}),"""
+
+    fences, tests = [], []
+    for f in FENCES:
+        m, side = f.rsplit("_", 1)
+        spread = METRICS[m][3]
+        at = f"hi + {spread} * (hi - lo)" if side == "max" else f"lo - {spread} * (hi - lo)"
+        fences.append(f"max(CASE WHEN metric = '{m}' AND hi > lo THEN {at} END) AS {f}")
+        tests.append(f"coalesce({m} {'<=' if side == 'max' else '>='} {f}, true)")
     return f"""
     qf_words AS (
       SELECT *, coalesce(text, '') AS body, coalesce('s:' || lang, 'n') AS l_, coalesce('s:' || source, 'n') AS s_,
-        regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
-        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM {docs}),
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM {docs}),
     qf_windows AS (SELECT *, list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2]) AS t FROM qf_words),
     qf_rows AS (SELECT row_number() OVER () AS k, * FROM qf_windows),
     qf_starts AS (SELECT k, p, lead(p) OVER (PARTITION BY k ORDER BY p) AS nxt FROM
@@ -167,22 +190,20 @@ def quality_sql(docs: str, min_group: int = MIN_GROUP) -> str:
       SELECT r.* EXCLUDE (w, ls, t), len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
         length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines,
-        length(regexp_replace(body, '[^!]+', '', 'g'))::BIGINT AS n_marks, length(regexp_replace(body, '[^A-Z]+', '', 'g'))::BIGINT AS n_upper
+        length(regexp_replace(body, '[^{OTHER}]+', '', 'g'))::BIGINT AS n_other, length(regexp_replace(body, '[^A-Z]+', '', 'g'))::BIGINT AS n_upper
       FROM qf_rows r LEFT JOIN qf_cover USING (k)),
     qf_scored AS (
       SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
         {", ".join(f"CASE WHEN word_chars > 0 THEN {e} ELSE 0 END AS {m}" for m, e in metrics.items())} FROM qf_counts),
     qf_long AS ({" UNION ALL ".join(f"SELECT l_, s_, {m!r} AS metric, {m} AS v FROM qf_scored WHERE NOT base_failed" for m in METRICS)}),
-    qf_sketch AS (SELECT l_, s_, metric, CASE WHEN v < 64 THEN v ELSE (v >> (length(bin(v)) - 6)) << (length(bin(v)) - 6) END AS bucket, count(*) AS n
-      FROM qf_long GROUP BY ALL),{level("own", "l_, s_, ", "fence", "rows_")}{level("lang", "l_, ", "l_fence", "l_rows")}{level("every", "", "a_fence", "a_rows")}
-    qf_fences AS (
-      SELECT l_, s_, {", ".join(f"max(CASE WHEN metric = {m!r} THEN f END) AS {m}_max" for m in METRICS)} FROM (
-        SELECT l_, s_, metric, CASE WHEN rows_ >= {min_group} THEN fence WHEN l_rows >= {min_group} THEN l_fence ELSE a_fence END AS f
-        FROM qf_own JOIN qf_lang USING (l_, metric) JOIN qf_every USING (metric)) GROUP BY l_, s_),
-    judged AS (
-      SELECT *, NOT base_failed AND coalesce({" AND ".join(f"{m} <= {m}_max" for m in METRICS)}, true) AS kept FROM qf_scored LEFT JOIN qf_fences USING (l_, s_))"""
+    qf_sketch AS (SELECT l_, s_, metric, CASE WHEN v < {1 << BITS} THEN v ELSE (v >> (length(bin(v)) - {BITS})) << (length(bin(v)) - {BITS}) END AS bucket, count(*) AS n
+      FROM qf_long GROUP BY ALL),{level("own", "l_, s_, ", "o_")}{level("lang", "l_, ", "l_")}
+    qf_between AS (SELECT l_, s_, metric, (o_rows * o_lo + {prior} * l_lo) // (o_rows + {prior}) AS lo, (o_rows * o_hi + {prior} * l_hi) // (o_rows + {prior}) AS hi
+      FROM qf_own JOIN qf_lang USING (l_, metric)),
+    qf_fences AS (SELECT l_, s_, {", ".join(fences)} FROM qf_between GROUP BY l_, s_),
+    judged AS (SELECT *, NOT base_failed AND {" AND ".join(tests)} AS kept FROM qf_scored LEFT JOIN qf_fences USING (l_, s_))"""
 
 
 OP1_SQL = f"""WITH {quality_sql("documents")}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, {", ".join(METRICS)},
-  {", ".join(f"{m}_max::BIGINT AS {m}_max" for m in METRICS)} FROM judged"""
+  {", ".join(f"{f}::BIGINT AS {f}" for f in FENCES)} FROM judged"""
