@@ -1,11 +1,11 @@
-"""License scan by a positional index of rare template words."""
+"""License scan by a positional index of rare licence words."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import SEPARATOR_CLASS, let, need
+from quarrystone.llm.common import SEPARATOR_CLASS, Boxed, ascii_lower, col_of, let, need
 from quarrystone.session import materialize, table
 
 #: Base phrases and their labels, fixed values of the contract.
@@ -15,34 +15,54 @@ BASE = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: Notices by label, fixed values: the usual short form of each licence, and the phrases that must stand in the file.
+#: Notices by label, fixed values: the passages of each licence's usual wording, which must all be found, and the phrases
+#: that must stand in the file.
 TEMPLATES = [
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3", ["gnu general public license version 3"]),
-    ("gpl-3.0-or-later", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", ["free software foundation", "either version 3 of the license"]),
-    ("gpl-2.0-or-later", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version", ["free software foundation", "either version 2 of the license"]),
-    ("lgpl-3.0", "licensed under the gnu lesser general public license version 3", ["gnu lesser general public license"]),
-    ("agpl-3.0", "licensed under the gnu affero general public license version 3", ["gnu affero general public license"]),
-    ("apache-2.0", "licensed under the apache license version 2 0", ["apache license version 2 0"]),
-    ("mit", "released under the mit license", ["mit license"]),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ["permission is hereby granted free of charge"]),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ["with or without fee is hereby granted"]),
-    ("bsd-3-clause", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met neither the name of the copyright holder nor the names of its contributors", ["redistribution and use in source and binary forms", "neither the name of"]),
-    ("bsd-2-clause", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ["redistribution and use in source and binary forms"]),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license v 2 0"]),
-    ("cc-by-4.0", "licensed under cc by 4 0", ["cc by 4 0"]),
-    ("cc-by-sa-4.0", "licensed under cc by sa 4 0", ["cc by sa 4 0"]),
-    ("cc-by-nc-4.0", "licensed under cc by nc 4 0", ["cc by nc 4 0"]),
-    ("cc0-1.0", "released under the cc0 1 0 universal public domain dedication", ["cc0 1 0"]),
-    ("unlicense", "this is free and unencumbered software released into the public domain", ["free and unencumbered software"]),
+    ("gpl-3.0", ["this work is licensed under the gnu general public license version 3"], ["gnu general public license version 3"]),
+    ("gpl-3.0-or-later", ["you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"], ["free software foundation", "either version 3 of the license"]),
+    ("gpl-2.0-or-later", ["you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"], ["free software foundation", "either version 2 of the license"]),
+    ("lgpl-3.0", ["licensed under the gnu lesser general public license version 3"], ["gnu lesser general public license"]),
+    ("agpl-3.0", ["licensed under the gnu affero general public license version 3"], ["gnu affero general public license"]),
+    ("apache-2.0", ["licensed under the apache license version 2 0"], ["apache license version 2 0"]),
+    ("mit", ["released under the mit license"], ["mit license"]),
+    ("mit", ["permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"], ["permission is hereby granted free of charge"]),
+    ("isc", ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"], ["with or without fee is hereby granted"]),
+    ("bsd-3-clause", ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software"], ["redistribution and use in source and binary forms", "neither the name of"]),
+    ("bsd-2-clause", ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"], ["redistribution and use in source and binary forms"]),
+    ("mpl-2.0", ["this source code form is subject to the terms of the mozilla public license v 2 0"], ["mozilla public license v 2 0"]),
+    ("cc-by-4.0", ["licensed under cc by 4 0"], ["cc by 4 0"]),
+    ("cc-by-sa-4.0", ["licensed under cc by sa 4 0"], ["cc by sa 4 0"]),
+    ("cc-by-nc-4.0", ["licensed under cc by nc 4 0"], ["cc by nc 4 0"]),
+    ("cc0-1.0", ["released under the cc0 1 0 universal public domain dedication"], ["cc0 1 0"]),
+    ("unlicense", ["this is free and unencumbered software released into the public domain"], ["free and unencumbered software"]),
 ]
-#: Words of a file that are looked up: so many of its template words, highest IDF first.
-RARE = 16
-#: Least share of a template's looked-up IDF weight that must stand at one relative position.
-MATCH = 0.6
+#: Labels that do not stand beside another whose passages hold theirs, fixed values: label, the wider one.
+WITHIN = [("bsd-2-clause", "bsd-3-clause")]
+#: Licence words of a file that are looked up, those of highest IDF. Two whole notices have fewer.
+RARE = 40
+#: Words that a word may be shifted by against the rest of its passage, and the least percentage of a passage's IDF weight
+#: that must be found so.
+SLACK = 8
+MATCH = 60
+#: IDF weights are whole thousandths, so that sums are the same in any order.
+SCALE = 1000
+#: Every phrase, base or mandatory, holds one of these words; other files are not looked at further.
+LEADS = ["license", "by", "mit", "apache", "gnu", "cc0", "mozilla", "permission", "redistribution", "granted", "foundation", "unencumbered"]
+PHRASES = sorted({p for _, _, ps in TEMPLATES for p in ps})
+
+
+def _passages() -> list[tuple[int, int, str]]:
+    """(passage number, template number, text)."""
+    found = [(t, text) for t, (_, texts, _) in enumerate(TEMPLATES) for text in texts]
+    return [(p, t, text) for p, (t, text) in enumerate(found)]
 
 
 def _postings() -> list[tuple[int, int, str]]:
-    return [(t, i, w) for t, (_, text, _) in enumerate(TEMPLATES) for i, w in enumerate(text.split())]
+    return [(p, i, w) for p, _, text in _passages() for i, w in enumerate(text.split())]
+
+
+def _words() -> list[str]:
+    return sorted({w for _, _, w in _postings()})
 
 
 def _starts(words: Column, phrase: str) -> Column:
@@ -57,85 +77,99 @@ def _starts(words: Column, phrase: str) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(words) - 1), here)
 
 
-def _first_pass(docs: DataFrame, kept: list[str], text_col: str) -> DataFrame:
-    """One reading of the texts: base places, and for texts with template words these words with their positions."""
-    vocabulary = sorted({w for _, _, w in _postings()} | {w for p in BASE for w in p.split()})
-    # Every phrase, base or mandatory, holds one of these; other files are not looked at further.
-    leads = ["license", "by", "mit", "apache", "gnu", "cc0", "mozilla", "permission", "redistribution", "granted", "foundation", "unencumbered"]
-    phrases = sorted({p for _, _, ps in TEMPLATES for p in ps})
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    words = F.array_remove(F.split(F.lower(text), SEPARATOR_CLASS + "+"), "")
+def _first_pass(docs: DataFrame, kept: Column, text_col: str) -> DataFrame:
+    """One reading of the texts: a number for the row, base places, the licence words there are, and for files with a lead
+    word all licence words with their positions and the mandatory phrases."""
+    words = F.array_remove(F.split(ascii_lower(F.coalesce(col_of(text_col), F.lit(""))), SEPARATOR_CLASS + "+"), "")
     none = F.array().cast("array<int>")
+    listed = F.lit(_words())
 
     def of(w: Column) -> Column:
-        lead = F.arrays_overlap(w, F.lit(leads))
+        lead = F.arrays_overlap(w, F.lit(LEADS))
         starts = [F.when(lead, _starts(w, p)).otherwise(none).alias(f"b{i}") for i, p in enumerate(BASE)]
-        placed = F.filter(F.transform(w, lambda x, i: F.struct(x.alias("w"), i.alias("i"))), lambda y: y["w"].isin(vocabulary))
+        placed = F.filter(F.transform(w, lambda x, i: F.struct(x.alias("w"), i.alias("i"))), lambda y: y["w"].isin(_words()))
         spaced = F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))
-        present = lambda s: F.filter(F.lit(phrases), lambda p: F.contains(s, F.concat(F.lit(" "), p, F.lit(" "))))
+        present = lambda s: F.filter(F.lit(PHRASES), lambda p: F.contains(s, F.concat(F.lit(" "), p, F.lit(" "))))
         return F.struct(
             F.size(w).cast("long").alias("n_words"),
             F.struct(*starts).alias("b"),
+            F.array_intersect(w, listed).alias("there"),
             F.when(lead, placed).alias("placed"),
             F.when(lead, let(spaced, present)).alias("phrases"),
         )
 
-    return docs.select(*kept, F.xxhash64(text).alias("_row"), let(words, of).alias("_c")).select(*kept, "_row", "_c.*")
+    return docs.select(kept, let(words, of).alias("_c")).select("_doc", F.monotonically_increasing_id().alias("_n"), "_c.*")
 
 
 def _matches(scanned: DataFrame) -> DataFrame:
-    """(_row, added labels, score) of the texts that match a template."""
+    """(_n, added labels, score) of the files that match a template."""
     spark = scanned.sparkSession
-    files = scanned.where("size(phrases) > 0").select("_row", "placed", "phrases").dropDuplicates(["_row"])
-    placed = files.select("_row", F.explode("placed").alias("y")).select("_row", "y.w", "y.i")
-    # IDF over the files with a key phrase; a row per template word, so the index is as small as the templates.
-    n = files.count()
-    df = placed.select("_row", "w").distinct().groupBy("w").agg(F.count("*").alias("df"))
-    index = spark.createDataFrame(_postings(), "t int, ti int, w string").join(df, "w", "left")
-    index = index.withColumn("idf", F.log((1.0 + n) / (1.0 + F.coalesce("df", F.lit(0)))) + 1)
-    rarest = Window.partitionBy("t").orderBy(F.col("idf").desc(), "ti")
-    index = index.withColumn("_r", F.row_number().over(rarest)).where(f"_r <= {RARE}")
-    index = materialize(index.select("t", "ti", "w", "idf", F.sum("idf").over(Window.partitionBy("t")).alias("whole")))
-    lined = placed.join(F.broadcast(index), "w").groupBy("_row", "t", (F.col("i") - F.col("ti")).alias("shift"))
-    lined = lined.agg(F.sum("idf").alias("got"), F.first("whole").alias("whole"))
-    best = lined.groupBy("_row", "t").agg(F.max(F.col("got") / F.col("whole")).alias("score")).where(F.col("score") >= MATCH)
-    needed = spark.createDataFrame([(t, label, ps) for t, (label, _, ps) in enumerate(TEMPLATES)], "t int, label string, needed array<string>")
-    best = best.join(F.broadcast(needed), "t").join(files.select("_row", "phrases"), "_row")
-    best = best.where(F.size(F.array_except("needed", "phrases")) == 0)
-    return best.groupBy("_row").agg(F.collect_set("label").alias("added"), F.least(F.lit(1.0), F.max("score")).alias("score"))
+    # IDF over all files; a row per licence word, so the index is as small as the templates.
+    n = scanned.count()
+    df = scanned.select(F.explode("there").alias("w")).groupBy("w").agg(F.count("*").alias("df"))
+    weight = F.round((F.log((1.0 + n) / (1.0 + F.coalesce("df", F.lit(0)))) + 1) * SCALE).cast("long")
+    weights = spark.createDataFrame([(w,) for w in _words()], "w string").join(df, "w", "left").select("w", weight.alias("v"))
+    weights = materialize(weights)
+    index = spark.createDataFrame(_postings(), "p int, ti int, w string").join(weights, "w")
+
+    files = scanned.where("size(phrases) > 0").select("_n", "there", "placed", "phrases")
+    # Each file's rarest licence words, and where postings of them meet at one position relative to the passage.
+    rarest = Window.partitionBy("_n").orderBy(F.desc("v"), "w")  # the licence words of a file
+    chosen = files.select("_n", F.explode("there").alias("w")).join(F.broadcast(weights), "w").withColumn("_r", F.row_number().over(rarest)).where(f"_r <= {RARE}")
+    chosen = chosen.groupBy("_n").agg(F.collect_set("w").alias("rare"))
+    looked_up = files.join(chosen, "_n").select("_n", F.explode(F.filter("placed", lambda y: F.array_contains("rare", y["w"]))).alias("y"))
+    met = looked_up.select("_n", "y.w", "y.i").join(F.broadcast(index), "w").groupBy("_n", "p", (F.col("i") - F.col("ti")).alias("shift")).agg(F.sum("v").alias("got"))
+    best = met.groupBy("_n", "p").agg(F.max(F.struct("got", (-F.col("shift")).alias("back")))["back"].alias("back"))
+
+    # Then all words of the passage, within SLACK of that position, and the mandatory phrases.
+    texts = index.groupBy("p").agg(F.collect_list(F.struct("w", "ti", "v")).alias("words"), F.sum("v").alias("whole"), F.max("ti").alias("last"))
+    parts = [(p, t, len(TEMPLATES[t][1]), TEMPLATES[t][0], TEMPLATES[t][2]) for p, t, _ in _passages()]
+    texts = texts.join(spark.createDataFrame(parts, "p int, t int, n_parts int, label string, needed array<string>"), "p")
+    near = F.filter("placed", lambda y: y["i"].between(-F.col("back") - SLACK, F.col("last") - F.col("back") + SLACK))
+    found = lambda near: F.aggregate("words", F.lit(0).cast("long"), lambda acc, x: acc + F.when(F.exists(near, lambda y: (y["w"] == x["w"]) & (F.abs(y["i"] - x["ti"] + F.col("back")) <= SLACK)), x["v"]).otherwise(F.lit(0)))
+    checked = best.join(F.broadcast(texts), "p").join(files.select("_n", "placed", "phrases"), "_n").where(F.size(F.array_except("needed", "phrases")) == 0)
+    checked = checked.select("_n", "t", "n_parts", "label", "whole", let(near, found).alias("got")).where(f"100 * got >= {MATCH} * whole")
+    whole = checked.groupBy("_n", "t", "n_parts", "label").agg(F.count("*").alias("k"), F.sum("got").alias("got"), F.sum("whole").alias("whole")).where("k = n_parts")
+    return whole.groupBy("_n").agg(F.collect_set("label").alias("added"), F.max(F.col("got") / F.col("whole")).alias("score"))
 
 
 def scan_licenses(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Licence labels of every row's whole text.
 
-    Added to ``keep`` (all columns by default; those named like a new one are replaced): ``n_words``; ``n_base``,
-    ``first_word``, ``last_word`` and ``base_labels`` for the places where the words of a base phrase stand; ``labels``
-    with those of matching templates; ``score``, the best template's share of matched weight, 0 without one.
+    Added to ``keep`` (all columns by default; those named like a new one, in any case, are replaced): ``n_words``;
+    ``n_base``, ``first_word``, ``last_word`` and ``base_labels`` for the places where the words of a base phrase stand;
+    ``labels`` with those of matching templates; ``score``, the best template's share of matched weight, 0 without one.
+
+    Words lie between ASCII separators, A-Z lower-cased. The IDF of every licence word is taken over all files. Of each file
+    with a mandatory phrase the ``RARE`` licence words of highest IDF are looked up in the positional index of all passages;
+    postings are intersected by relative position (file position less passage position), the heaviest position of a passage
+    (the first of equal ones) is verified on all its words, which may be shifted by ``SLACK`` against each other,
+    and a template matches if all its passages reach ``MATCH`` percent of their weight and its key phrases stand in the
+    file. A label of ``WITHIN`` gives way to its wider one.
 
-    Of each template the ``RARE`` positions of highest IDF are indexed. A file's words are looked up there, postings are
-    intersected by relative position (file position less template position), and a template matches if one relative
-    position gathers ``MATCH`` of its indexed weight and all its key phrases stand in the file. Texts are read once; what
-    is kept of them is positions of template words, and only of files with a lead word. The templates are a fixed list, so
-    their index is broadcast; files are grouped by a hash of the text, equal texts once.
+    Texts are read once; what is kept of them is the licence words there are, with positions only in files with a lead word.
+    Every row has a number of its own, so copies of one text, however many, are spread like other rows. The templates are a
+    fixed list, so index and weights (some hundred rows) are broadcast.
 
     Null and empty texts have no words and no labels; repeated rows share one result; an empty table gives an empty result.
     """
     need(docs, text_col)
-    new = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    scanned = materialize(_first_pass(docs, kept, text_col))
+    boxed = Boxed(docs, keep, ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
+    scanned = materialize(_first_pass(docs, boxed.box, text_col))
     starts = F.flatten(F.array(*[F.col(f"b.b{i}") for i in range(len(BASE))]))
     base = F.array_compact(F.array(*[F.when(F.size(f"b.b{i}") > 0, F.lit(label)) for i, label in enumerate(BASE.values())]))
-    none = F.array().cast("array<string>")
+    added = F.coalesce("added", F.array().cast("array<string>"))
+    for narrow, wide in WITHIN:
+        added = F.when(F.array_contains(added, wide), F.array_remove(added, narrow)).otherwise(added)
     listed = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
-    return scanned.join(_matches(scanned), "_row", "left").select(
-        *kept,
+    return scanned.select("_doc", "_n", "n_words", "b").join(_matches(scanned), "_n", "left").select(
+        *boxed.columns(),
         "n_words",
         F.size(starts).cast("long").alias("n_base"),
         F.array_min(starts).cast("long").alias("first_word"),
         F.array_max(starts).cast("long").alias("last_word"),
         listed(base).alias("base_labels"),
-        listed(F.concat(base, F.coalesce("added", none))).alias("labels"),
+        listed(F.concat(base, added)).alias("labels"),
         F.coalesce("score", F.lit(0.0)).alias("score"),
     )
 
@@ -146,32 +180,38 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     """The same result by plain word positions in all texts."""
-    rows = ", ".join(f"({t}, {i}, '{w}')" for t, i, w in _postings())
-    needed = ", ".join(f"({t}, '{label}', {ps!r})" for t, (label, _, ps) in enumerate(TEMPLATES))
+    rows = ", ".join(f"({p}, {i}, '{w}')" for p, i, w in _postings())
+    parts = ", ".join(f"({p}, {t}, {len(TEMPLATES[t][1])}, '{TEMPLATES[t][0]}', {TEMPLATES[t][2]!r})" for p, t, _ in _passages())
     here = lambda p: " AND ".join(f"w[i + {j}] = '{x}'" for j, x in enumerate(p.split()))
-    phrases = sorted({p for _, _, ps in TEMPLATES for p in ps})
+    narrow = " OR ".join(f"(label = '{a}' AND list_contains(all_, '{b}'))" for a, b in WITHIN)
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return f"""
-    WITH words AS (SELECT doc_id, md5(coalesce(text, '')) AS body, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    WITH words AS (SELECT doc_id, regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
     base AS (SELECT doc_id, label, i - 1 AS i FROM (
       {" UNION ALL ".join(f"SELECT doc_id, '{label}' AS label, unnest(list_filter(range(1, len(w) + 1), lambda i: {here(p)})) AS i FROM words" for p, label in BASE.items())})),
     based AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word FROM base GROUP BY doc_id),
-    flagged AS (SELECT doc_id, body, w, list_filter({phrases!r}, lambda p: contains(' ' || array_to_string(w, ' ') || ' ', ' ' || p || ' ')) AS phrases FROM words),
+    flagged AS (SELECT doc_id, w, list_filter({PHRASES!r}, lambda p: contains(' ' || array_to_string(w, ' ') || ' ', ' ' || p || ' ')) AS phrases FROM words),
     files AS (SELECT * FROM flagged WHERE len(phrases) > 0),
-    postings(t, ti, w) AS (VALUES {rows}),
-    needed(t, label, ps) AS (VALUES {needed}),
+    postings(p, ti, w) AS (VALUES {rows}),
+    parts(p, t, n_parts, label, needed) AS (VALUES {parts}),
+    df AS (SELECT w, count(*) AS df FROM (SELECT unnest(list_distinct(w)) AS w FROM words) GROUP BY w),
+    weights AS (SELECT w, round((ln((1.0 + (SELECT count(*) FROM words)) / (1.0 + coalesce(df, 0))) + 1) * {SCALE})::BIGINT AS v FROM (SELECT DISTINCT w FROM postings) LEFT JOIN df USING (w)),
+    chosen AS (SELECT doc_id, w FROM (SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY v DESC, w) AS r
+      FROM (SELECT doc_id, unnest(list_distinct(w)) AS w FROM files) JOIN weights USING (w)) WHERE r <= {RARE}),
     placed AS (SELECT doc_id, unnest(w) AS w, unnest(range(len(w))) AS i FROM files),
-    texts AS (SELECT count(DISTINCT body) AS n FROM files),
-    df AS (SELECT w, count(DISTINCT body) AS df FROM (SELECT body, unnest(list_distinct(f.w)) AS w FROM files f) GROUP BY w),
-    idf AS (SELECT t, ti, p.w, ln((1.0 + n) / (1.0 + coalesce(df, 0))) + 1 AS idf FROM texts, postings p LEFT JOIN df USING (w)),
-    idx AS (SELECT *, sum(idf) OVER (PARTITION BY t) AS whole FROM (
-      SELECT *, row_number() OVER (PARTITION BY t ORDER BY idf DESC, ti) AS r FROM idf) WHERE r <= {RARE}),
-    lined AS (SELECT doc_id, t, i - ti AS shift, sum(idf) AS got, any_value(whole) AS whole FROM placed JOIN idx USING (w) GROUP BY ALL),
-    best AS (SELECT doc_id, t, max(got / whole) AS score FROM lined GROUP BY ALL HAVING max(got / whole) >= {MATCH}),
-    added AS (SELECT doc_id, label, score FROM best JOIN needed USING (t) JOIN files USING (doc_id) WHERE list_has_all(phrases, ps))
+    met AS (SELECT doc_id, p, i - ti AS shift, sum(v) AS got FROM placed JOIN chosen USING (doc_id, w) JOIN postings USING (w) JOIN weights USING (w) GROUP BY ALL),
+    best AS (SELECT doc_id, p, shift FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, p ORDER BY got DESC, shift) AS r FROM met) WHERE r = 1),
+    seen AS (SELECT DISTINCT b.doc_id, b.p, q.ti, v FROM best b JOIN postings q ON q.p = b.p JOIN weights USING (w) JOIN placed x ON x.doc_id = b.doc_id AND x.w = q.w AND abs(x.i - q.ti - b.shift) <= {SLACK}),
+    got AS (SELECT doc_id, p, sum(v) AS got FROM seen GROUP BY ALL),
+    sizes AS (SELECT p, sum(v) AS whole FROM postings JOIN weights USING (w) GROUP BY p),
+    passed AS (SELECT doc_id, t, n_parts, label, got, whole FROM got JOIN sizes USING (p) JOIN parts USING (p) JOIN files USING (doc_id)
+      WHERE list_has_all(phrases, needed) AND 100 * got >= {MATCH} * whole),
+    matched AS (SELECT doc_id, label, sum(got) / sum(whole) AS score FROM passed GROUP BY doc_id, t, n_parts, label HAVING count(*) = n_parts),
+    added AS (SELECT doc_id, label FROM (SELECT *, list(label) OVER (PARTITION BY doc_id) AS all_ FROM matched) WHERE NOT ({narrow}))
     SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
       coalesce((SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM base b WHERE b.doc_id = words.doc_id), '') AS base_labels,
       coalesce((SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM (SELECT doc_id, label FROM base UNION SELECT doc_id, label FROM added) x WHERE x.doc_id = words.doc_id), '') AS labels,
-      coalesce((SELECT max(least(1.0, score)) FROM added a WHERE a.doc_id = words.doc_id), 0.0)::DOUBLE AS score
+      coalesce((SELECT max(score) FROM matched a WHERE a.doc_id = words.doc_id), 0.0)::DOUBLE AS score
     FROM words LEFT JOIN based USING (doc_id)"""
 
 
