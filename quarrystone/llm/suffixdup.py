@@ -56,40 +56,52 @@ def _distinct(whose: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _post(groups: int, hot: np.ndarray):
-    """(group, keys, sizes, codes): for a batch of texts and each group, the texts' keys, and their anchors' codes; in groups
-    below 0, which only spread them, the keys of texts with a hot anchor."""
+    """(group, keys, sizes, codes): for a batch of texts and each group it meets, the texts' keys, and their anchors' codes; in
+    groups below 0, which only spread them, the keys of texts with a hot anchor."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for turn, batch in enumerate(batches):
             keys, owners, hashes = batch.column("key").to_pylist(), [], []
             for at, texts in _pieces([_text(t) for t in batch.column("text")]):
                 whose, _, _, h = anchors(texts, SPAN, ANCHOR)
-                whose, h = _distinct(whose, h)
                 owners.append(whose + at)
                 hashes.append(h)
             if not keys:
                 continue
             owner, h = np.concatenate(owners), np.concatenate(hashes)
-            is_hot = np.isin(h, hot)
-            group, code = _codes(h[~is_hot], groups)
             rows = []
-            if is_hot.any():
-                rows.append((-1 - turn % groups, b"".join(keys[i] for i in np.unique(owner[is_hot])), b"", b""))
-            owner = owner[~is_hot]
-            by = np.lexsort((code, owner, group))
+            if len(hot):
+                is_hot = _among(h, hot)
+                if is_hot.any():
+                    rows.append((-1 - turn % groups, b"".join(keys[i] for i in np.unique(owner[is_hot])), b"", b""))
+                    owner, h = owner[~is_hot], h[~is_hot]
+            group, code = _codes(h, groups)
+            by = np.argsort(group.astype(np.uint16) if groups < 1 << 16 else group, kind="stable")
             owner, group, code = owner[by], group[by], code[by]
-            cuts = np.searchsorted(group, np.arange(groups + 1))
-            for g in range(groups):
-                part = slice(cuts[g], cuts[g + 1])
-                whose, sizes = np.unique(owner[part], return_counts=True)
-                if len(whose):
-                    rows.append((g, b"".join(keys[i] for i in whose), sizes.astype(np.uint32).tobytes(), code[part].tobytes()))
+            cuts = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1]))[: len(group)], len(group))
+            for first, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                part = owner[first:end]  # in the order of texts
+                new = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+                sizes = np.diff(np.append(new, len(part)))
+                rows.append((int(group[first]), b"".join([keys[i] for i in part[new].tolist()]), sizes.astype(np.uint32).tobytes(), code[first:end].tobytes()))
             names = ["grp", "keys", "sizes", "codes"]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int32() if i == 0 else pa.binary()) for i in range(4)], names=names)
 
     return post
 
 
+def _among(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which values are among the sorted ``wanted``."""
+    if not len(wanted):
+        return np.zeros(len(values), dtype=bool)
+    return wanted[np.minimum(np.searchsorted(wanted, values), len(wanted) - 1)] == values
+
+
+def _runs(sorted_: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins, and the end."""
+    return np.append(np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))[: len(sorted_)], len(sorted_))
+
+
 def _shared(posted: pa.Table) -> pa.Table:
     """(key, grp, codes): for each text of a group its codes that other texts have too; of a group below 0 all keys."""
     if posted.column("grp")[0].as_py() < 0:
@@ -97,23 +109,35 @@ def _shared(posted: pa.Table) -> pa.Table:
         return pa.table({"key": pa.array(every, pa.binary()), "grp": pa.array([-1] * len(every), pa.int32()), "codes": pa.array([b""] * len(every), pa.binary())})
     keys: dict[bytes, int] = {}
     owner, code = [], []
-    for k, s, c in zip(*(posted.column(x) for x in ("keys", "sizes", "codes")), strict=True):
-        k = k.as_py()
+    for k, s, c in zip(*(posted.column(x).to_pylist() for x in ("keys", "sizes", "codes")), strict=True):
         ids = np.array([keys.setdefault(k[i : i + 16], len(keys)) for i in range(0, len(k), 16)], dtype=np.int32)
-        owner.append(np.repeat(ids, np.frombuffer(s.as_py(), dtype=np.uint32)))
-        code.append(np.frombuffer(c.as_py(), dtype=np.uint32))
-    pair = np.unique(np.concatenate(code).astype(np.uint64) << np.uint64(32) | np.concatenate(owner).astype(np.uint64))
+        owner.append(np.repeat(ids, np.frombuffer(s, dtype=np.uint32)))
+        code.append(np.frombuffer(c, dtype=np.uint32))
+    pair = np.sort(np.concatenate(code).astype(np.uint64) << np.uint64(32) | np.concatenate(owner).astype(np.uint64))
+    pair = pair[np.append(True, pair[1:] != pair[:-1])[: len(pair)]]
     code, owner = (pair >> np.uint64(32)).astype(np.uint32), (pair & np.uint64(0xFFFFFFFF)).astype(np.int32)
-    fresh = np.concatenate(([True], code[1:] != code[:-1]))
-    twice = ~(fresh & np.concatenate((fresh[1:], [True])))
+    fresh = np.append(True, code[1:] != code[:-1])[: len(code)]
+    twice = ~(fresh & np.append(fresh[1:], True)[: len(code)])
     code, owner = code[twice], owner[twice]
     by = np.argsort(owner, kind="stable")
     code, owner = code[by], owner[by]
-    at = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else np.empty(0, np.int64)
+    cuts = _runs(owner)
     named = list(keys)
-    parts = np.split(code, at[1:]) if len(at) else []
+    parts = [code[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
     group = posted.column("grp")[0].as_py()
-    return pa.table({"key": pa.array([named[i] for i in owner[at]], pa.binary()), "grp": pa.array([group] * len(at), pa.int32()), "codes": pa.array([p.tobytes() for p in parts], pa.binary())})
+    return pa.table({"key": pa.array([named[i] for i in owner[cuts[:-1]].tolist()], pa.binary()), "grp": pa.array([group] * len(parts), pa.int32()), "codes": pa.array(parts, pa.binary())})
+
+
+def _slices(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Binary array of data[start : start + size]; below 2 GB in all."""
+    ends = np.cumsum(size)
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[at]))])
+
+
+def _tags(owner: np.ndarray, group: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """One number for a text and an anchor's group and code; one taken for another only costs a comparison."""
+    return ((group.astype(np.uint64) << np.uint64(32) | code) + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93)
 
 
 def _contexts(groups: int, hot: np.ndarray, want_hot: bool):
@@ -122,59 +146,52 @@ def _contexts(groups: int, hot: np.ndarray, want_hot: bool):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, keys, orders = [_text(t) for t in batch.column("text")], batch.column("key").to_pylist(), batch.column("ord").to_pylist()
+            texts, keys, orders = [_text(t) for t in batch.column("text")], batch.column("key"), batch.column("ord").to_numpy()
+            codes = batch.column("codes").to_pylist()
             for at, piece in _pieces(texts):
                 whose, first, last, h = anchors(piece, SPAN, ANCHOR)
-                chosen = np.isin(h, hot)
+                chosen = _among(h, hot)
                 if not want_hot:
-                    wanted = np.zeros(len(h), dtype=bool)
-                    group, code = _codes(h, groups)
-                    both = group.astype(np.uint64) << np.uint64(32) | code
-                    cuts = np.searchsorted(whose, np.arange(len(piece) + 1))
+                    owner, group, code = [], [], []
                     for i in range(len(piece)):
-                        part = slice(cuts[i], cuts[i + 1])
-                        mine = [np.uint64(c["grp"] << 32) | np.frombuffer(c["codes"], dtype=np.uint32).astype(np.uint64) for c in batch.column("codes")[at + i].as_py() if c["grp"] >= 0]
-                        if mine:
-                            wanted[part] = np.isin(both[part], np.concatenate(mine))
-                    chosen = wanted & ~chosen
-                out: list[list] = [[], [], [], [], []]
-                for i, a, b, x in zip(whose[chosen].tolist(), first[chosen].tolist(), last[chosen].tolist(), h[chosen].view(np.int64).tolist(), strict=True):
-                    text = piece[i]
-                    found = [(s, hashlib.blake2b(text[s : s + SPAN], digest_size=16).digest()) for s in range(a, b + 1)] if want_hot else [(a, text[a : b + SPAN])]
-                    for s, context in found:
-                        out[0].append(x)
-                        out[1].append(keys[at + i])
-                        out[2].append(orders[at + i])
-                        out[3].append(s)
-                        out[4].append(context)
-                kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=["h", "key", "ord", "start", "context"])
+                        for c in codes[at + i]:
+                            mine = np.frombuffer(c["codes"], dtype=np.uint32)
+                            owner.append(np.full(len(mine), i))
+                            group.append(np.full(len(mine), c["grp"]))
+                            code.append(mine)
+                    shared = np.sort(_tags(*(np.concatenate(x) for x in (owner, group, code)))) if owner else np.empty(0, np.uint64)
+                    chosen = _among(_tags(whose, *_codes(h, groups)), shared) & ~chosen
+                whose, first, last, h = whose[chosen], first[chosen], last[chosen], h[chosen]
+                begins = np.cumsum([0, *map(len, piece[:-1])]) if piece else np.empty(0, np.int64)
+                size = last - first + SPAN
+                if want_hot:
+                    each = last - first + 1
+                    first = np.repeat(first, each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                    whose, h = np.repeat(whose, each), np.repeat(h, each)
+                    found = [hashlib.blake2b(piece[i][s : s + SPAN], digest_size=16).digest() for i, s in zip(whose.tolist(), first.tolist(), strict=True)]
+                    context = pa.array(found, pa.binary())
+                else:
+                    context = _slices(np.frombuffer(b"".join(piece), dtype=np.uint8), begins[whose] + first, size)
+                rows = pa.array(whose + at)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), keys.take(rows), pa.array(orders[whose + at]), pa.array(first), context], names=["h", "key", "ord", "start", "context"])
 
     return cut
 
 
-def repeated_starts(contexts: list[bytes], orders: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def repeated_starts(kinds: list[bytes], which: np.ndarray, orders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(context, place) of every string of SPAN bytes that also starts in a context of smaller order.
 
-    Contexts of an anchor that are all alike need no sorting: their smallest order goes for every place."""
-    kinds: dict[bytes, int] = {}
-    which = np.fromiter((kinds.setdefault(c, len(kinds)) for c in contexts), dtype=np.int64, count=len(contexts))
+    ``kinds``: the different contexts, which stand in the suffix array once; ``which``, ``orders``: each context's kind and order."""
     least = np.full(len(kinds), LAST, dtype=np.int64)
     np.minimum.at(least, which, orders)
-    of_kind = np.empty(len(kinds), dtype=np.int64)
-    of_kind[which] = anchor
-    _, back, share = np.unique(of_kind, return_inverse=True, return_counts=True)
-    alone = share[back] == 1
     sizes_all = np.fromiter(map(len, kinds), dtype=np.int64, count=len(kinds)) - SPAN + 1
     base = np.cumsum(sizes_all) - sizes_all
     source = np.repeat(least, sizes_all)
-    if not alone.all():
-        mixed = np.flatnonzero(~alone)
-        names = list(kinds)
-        found, places = _sources([names[i] for i in mixed], least[mixed])
-        source[base[mixed[found[0]]] + found[1]] = places
-    of = np.repeat(np.arange(len(contexts)), sizes_all[which])
-    place = np.arange(len(of)) - np.repeat(np.cumsum(sizes_all[which]) - sizes_all[which], sizes_all[which])
+    (kind, place), smallest = _sources(kinds, least)
+    source[base[kind] + place] = smallest
+    sizes = sizes_all[which]
+    of = np.repeat(np.arange(len(which)), sizes)
+    place = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     hit = source[base[which[of]] + place] < orders[of]
     return of[hit], place[hit]
 
@@ -195,28 +212,22 @@ def _sources(strings: list[bytes], least: np.ndarray) -> tuple[tuple[np.ndarray,
     return (owner[order], order - starts[owner[order]]), smallest[block]
 
 
-def _intervals(start: np.ndarray) -> np.ndarray:
-    """Merged [start, end) of sorted starts of strings, as rows."""
-    if not len(start):
-        return np.empty((0, 2), np.int64)
-    gap = np.flatnonzero(start[1:] > start[:-1] + SPAN)
-    return np.stack([start[np.concatenate(([0], gap + 1))], start[np.concatenate((gap, [len(start) - 1]))] + SPAN], axis=1)
-
-
 def _spans(group: pa.Table) -> pa.Table:
     """(key, spans): of each text of a group, the merged removed spans found in it."""
-    contexts = [bytes(c.as_py()) for c in group.column("context")]
-    of, place = repeated_starts(contexts, group.column("ord").to_numpy(), group.column("h").to_numpy())
-    keys = group.column("key").to_pylist()
-    start = group.column("start").to_numpy()[of] + place
-    names: dict[bytes, int] = {}
-    whose = np.fromiter((names.setdefault(keys[i], len(names)) for i in of), dtype=np.int64, count=len(of))
-    by = np.lexsort((start, whose))
+    context = group.column("context").combine_chunks().dictionary_encode()
+    key = group.column("key").combine_chunks().dictionary_encode()
+    of, place = repeated_starts(context.dictionary.to_pylist(), context.indices.to_numpy(), group.column("ord").to_numpy())
+    start, whose = group.column("start").to_numpy()[of] + place, key.indices.to_numpy()[of].astype(np.int64)
+    by = np.argsort(whose << 40 | start) if len(start) and start.max() < 1 << 40 else np.lexsort((start, whose))
     start, whose = start[by], whose[by]
-    at = np.flatnonzero(np.concatenate(([True], whose[1:] != whose[:-1]))) if len(whose) else np.empty(0, np.int64)
-    named = list(names)
-    parts = np.split(start, at[1:]) if len(at) else []
-    return pa.table({"key": pa.array([named[i] for i in whose[at]], pa.binary()), "spans": pa.array([_intervals(p).tobytes() for p in parts], pa.binary())})
+    # Starts at most SPAN apart run together; a run ends where the next text begins.
+    apart = (whose[1:] != whose[:-1]) | (start[1:] > start[:-1] + SPAN)
+    runs = np.append(np.flatnonzero(np.append(True, apart))[: len(start)], len(start))
+    spans = np.stack([start[runs[:-1]], start[runs[1:] - 1] + SPAN], axis=1) if len(start) else np.empty((0, 2), np.int64)
+    whose = whose[runs[:-1]]
+    cuts = _runs(whose)
+    parts = [spans[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+    return pa.table({"key": key.dictionary.take(pa.array(whose[cuts[:-1]])), "spans": pa.array(parts, pa.binary())})
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,23 +11,28 @@ _TABLE = np.random.Generator(np.random.PCG64(20240301)).integers(0, 2**64, 256,
 _PER_WORD = 7
 
 
+def _powers(base: int, n: int, cache: dict = {}) -> np.ndarray:  # noqa: B006  kept for the worker's life
+    got = cache.get(base)
+    if got is None or len(got) < n:
+        got = np.full(max(n, 1 << 16), base, dtype=np.uint64)
+        got[0] = 1
+        got = np.cumprod(got, dtype=np.uint64)
+        if n <= 1 << 22:
+            cache[base] = got
+    return got[:n]
+
+
 def window_hashes(data: np.ndarray, k: int) -> np.ndarray:
-    """64-bit hash of every window of ``k`` bytes, put together from windows of powers of two."""
+    """64-bit hash of every window of ``k`` bytes, by differences of running sums."""
     if len(data) < k:
         return np.empty(0, dtype=np.uint64)
-    part, length, got, size = _TABLE[data], 1, None, 0
-    while True:
-        if k & length:
-            if got is None:
-                got, size = part, length
-            else:
-                n = len(data) - size - length + 1
-                got, size = got[:n] * _U(pow(_RADIX, length, 2**64)) + part[size : size + n], size + length
-        if 2 * length > k:
-            break
-        part, length = part[: len(part) - length] * _U(pow(_RADIX, length, 2**64)) + part[length:], 2 * length
-    got = (got ^ (got >> _U(29))) * _U(0xBF58476D1CE4E5B9)
-    return got ^ (got >> _U(32))
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_TABLE[data] * _powers(_RADIX, len(data)), out=sums[1:])
+    got = (sums[k:] - sums[:-k]) * _powers(pow(_RADIX, -1, 2**64), len(data) - k + 1)
+    got ^= got >> _U(29)
+    got *= _U(0xBF58476D1CE4E5B9)
+    got ^= got >> _U(32)
+    return got
 
 
 def anchors(texts: list[bytes], span: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
