@@ -15,7 +15,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import need
+from quarrystone.llm.common import col_of, need
 from quarrystone.session import materialize, shared_dir, table
 
 #: Payload bytes that a range is planned for, and compressed bytes at which a file is rolled.
@@ -23,7 +23,7 @@ RANGE_BYTES = 32 << 20
 ROLL_BYTES = 8 << 20
 #: Cells of equal id width that a span of ids is counted in.
 CELLS = 4096
-#: Tables of more rows than this are joined by a shuffle; more ranges than this share tasks.
+#: Tables of more rows than this are joined by a shuffle; of more ranges than TASKS some share a task.
 BROADCAST_ROWS = 200_000
 TASKS = 20_000
 #: All records bear this date, so that a file's bytes follow from its rows alone.
@@ -152,38 +152,50 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _with_starts(df: DataFrame, heavy: list[DataFrame], widths: list[int]) -> DataFrame:
-    """Add ``start``, the first offset of the row's cell: of the first width at which the cell isn't heavy."""
-    out = df.withColumn("width", F.lit(widths[0]).cast("long"))
-    for cells, width, finer in zip(heavy, widths, widths[1:], strict=False):
+    """Add the row's cell: ``level``, the first width at which it isn't heavy, and ``start``, its first offset."""
+    out = df.withColumn("level", F.lit(0))
+    for j, cells in enumerate(heavy):
         cells = _small(cells.select(F.col("p").alias("_p"), F.lit(True).alias("_heavy")))
-        out = out.join(cells, (F.expr(f"offset div {width}") == F.col("_p")) & (F.col("width") == width), "left")
-        out = out.withColumn("width", F.when(F.col("_heavy"), F.lit(finer)).otherwise(F.col("width"))).drop("_p", "_heavy")
-    return out.withColumn("start", F.coalesce(F.expr("offset - offset % width"), F.lit(-1))).drop("width")
+        out = out.join(cells, (F.expr(f"offset div {widths[j]}") == F.col("_p")) & (F.col("level") == j), "left")
+        out = out.withColumn("level", F.when(F.col("_heavy"), F.lit(j + 1)).otherwise(F.col("level"))).drop("_p", "_heavy")
+    width = F.element_at(F.array(*[F.lit(w).cast("long") for w in widths]), F.col("level") + 1)
+    return out.withColumn("start", F.col("offset") - F.col("offset") % width)
 
 
 def _planned(sized: DataFrame, rows: DataFrame, range_bytes: int) -> tuple[DataFrame, int]:
     """(``rows`` with their ``range``, number of ranges): ids are counted in cells of equal width; cells of more than
     ``range_bytes`` are cut into ``CELLS`` each, and so on; cells are joined in order until a range has that many bytes.
-    Null ids stand before all others."""
-    ends = sized.agg(F.min("page_id"), F.max("page_id")).first()
+
+    The bytes before a cell are those of earlier cells beside it, and of those beside each cell around it: no window has
+    more than ``CELLS`` rows. Rows of null ids stand before all others, dealt to ranges of their own by a hash."""
+    ends = sized.agg(F.min("page_id"), F.max("page_id"), F.sum(F.when(F.col("page_id").isNull(), F.col("payload_bytes")))).first()
     low, span = ends[0] or 0, (ends[1] or 0) - (ends[0] or 0) + 1
+    first = 0 if ends[2] is None else ends[2] // range_bytes + 1
     widths = [1]
     while widths[0] * CELLS < span:
         widths.insert(0, widths[0] * CELLS)
     offset = (F.col("page_id") - low).alias("offset")
-    sized, heavy, live = sized.select("payload_bytes", offset), [], sized.select("payload_bytes", offset).where("offset is not null")
+    sized, heavy = sized.where("page_id is not null").select("payload_bytes", offset), []
+    live = sized
     for width in widths[:-1]:
         cells = materialize(live.groupBy(F.expr(f"offset div {width}").alias("p")).agg(F.sum("payload_bytes").alias("b")).where(F.col("b") > range_bytes))
         if cells.isEmpty():
             break
         heavy.append(cells)
         live = live.join(_small(cells.select("p")), F.expr(f"offset div {width}") == F.col("p"), "left_semi")
-    cells = _with_starts(sized, heavy, widths).groupBy("start").agg(F.sum("payload_bytes").alias("b"))
-    upto = F.sum("b").over(Window.orderBy("start").rowsBetween(Window.unboundedPreceding, 0))  # over cells
-    cells = cells.withColumn("_upto", upto).select("start", F.expr(f"cast((_upto - b) div {range_bytes} as int)").alias("range"))
-    cells = materialize(cells)
-    n = cells.agg(F.max("range")).first()[0] or 0
-    return _with_starts(rows.withColumn("offset", offset), heavy, widths).join(_small(cells), "start").drop("start", "offset"), n + 1
+    cells = _with_starts(sized, heavy, widths).groupBy("level", "start").agg(F.sum("payload_bytes").alias("b")).withColumn("before", F.lit(0).cast("long"))
+    for j in range(len(heavy) + 1):
+        around = F.lit(0) if j == 0 else F.expr(f"c * {widths[j]} div {widths[j - 1]}")
+        upto = F.sum("b").over(Window.partitionBy(around).orderBy("c").rowsBetween(Window.unboundedPreceding, 0))
+        beside = cells.where(f"level >= {j}").groupBy(F.expr(f"start div {widths[j]}").alias("c")).agg(F.sum("b").alias("b"))
+        beside = beside.select("c", (upto - F.col("b")).alias("beside"))
+        cells = cells.withColumn("c", F.expr(f"CASE WHEN level >= {j} THEN start div {widths[j]} END")).join(beside, "c", "left")
+        cells = cells.withColumn("before", F.col("before") + F.coalesce("beside", F.lit(0))).drop("c", "beside")
+    cells = materialize(cells.select("level", "start", F.expr(f"cast({first} + before div {range_bytes} as int)").alias("of")))
+    n = cells.agg(F.max("of")).first()[0]
+    dealt = _with_starts(rows.withColumn("offset", offset), heavy, widths).join(_small(cells), ["level", "start"], "left")
+    unnamed = F.pmod(F.xxhash64("sha", "url"), F.lit(max(first, 1))).cast("int")
+    return dealt.withColumn("range", F.coalesce("of", unnamed)).drop("level", "start", "offset", "of"), max(first, 1 if n is None else n + 1)
 
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, range_bytes: int = RANGE_BYTES, roll_bytes: int = ROLL_BYTES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -194,14 +206,14 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, range_byte
     task, whose files roll at ``roll_bytes`` compressed. A file is written under a temporary name of its attempt and then
     renamed, so a task that is run again replaces files by the same bytes; readers take only what the manifest lists.
 
-    Null html is an empty payload. Rows of a null id are responses and stand in the first range; rows that repeat an id and
+    Null html is an empty payload. Rows of a null id are responses and stand in ranges before all others; rows that repeat an id and
     its payload are alike, so all of them are responses if the id is the payload's smallest. An empty table gives an empty
     manifest. Other columns are not written.
     """
     need(pages, id_col, url_col, html_col)
-    body = F.coalesce(F.col(html_col), F.lit(""))
+    body = F.coalesce(col_of(html_col), F.lit(""))
     rows = pages.select(
-        F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), F.octet_length(body).cast("long").alias("payload_bytes"), F.sha1(body.cast("binary")).alias("sha")
+        col_of(id_col).cast("long").alias("page_id"), col_of(url_col).alias("url"), col_of(html_col).alias("html"), F.octet_length(body).cast("long").alias("payload_bytes"), F.sha1(body.cast("binary")).alias("sha")
     )
     sized = materialize(rows.select("page_id", "payload_bytes", "sha"))
     # The first of each payload by partial minima: a payload that a third of all rows share costs a row for each task.
@@ -211,7 +223,8 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, range_byte
     told = revisits.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "sha", "first", F.lit(True).alias("marker"))
     rows = rows.select("page_id", "url", "html", "sha", F.lit(None).cast("long").alias("first"), F.lit(False).alias("marker"))
     dealt, n = _planned(sized, rows.unionByName(told), range_bytes)
-    dealt = dealt.repartition(min(n, TASKS), "range").sortWithinPartitions("range", F.col("page_id").asc_nulls_first(), "sha", F.desc("marker"), "url")
+    # A range to a task; of very many ranges, some to each in turn.
+    dealt = dealt.repartitionById(min(n, TASKS), F.pmod("range", F.lit(min(n, TASKS)))).sortWithinPartitions("range", F.col("page_id").asc_nulls_first(), "sha", F.desc("marker"), "url")
     system, base = _opened(folder)
     system.create_dir(base, recursive=True)
     manifest = dealt.select("range", "page_id", "url", "html", "sha", "first", "marker").mapInArrow(_writer(folder, roll_bytes), MANIFEST)
