@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import let, need, plain_text
+from quarrystone.llm.common import Boxed, col_of, let, need, plain_text
 from quarrystone.session import broadcast_if_small, materialize, table
 
 WORDS = 5
@@ -91,7 +91,7 @@ def _block(docs: DataFrame, items: DataFrame, text_col: str) -> DataFrame:
     anchors = [r[0] for r in seeds.select("anchor").distinct().collect()]  # ANCHORS at most
     if not anchors:
         return docs.sparkSession.createDataFrame([], "_t string, _k string, same int, of int")
-    words = docs.select(F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("_t"), F.split(plain_text(F.col(text_col)), " ").alias("w"))
+    words = docs.select(F.md5(F.coalesce(col_of(text_col), F.lit(""))).alias("_t"), F.split(plain_text(col_of(text_col)), " ").alias("w"))
     words = words.where(F.arrays_overlap("w", F.lit(anchors)))
     found = words.select(
         "_t", "w", F.explode(F.filter(F.transform("w", lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda y: y["x"].isin(anchors))).alias("a")
@@ -141,7 +141,7 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (all columns of ``docs`` by default, those named like a new one replaced) with contaminated, n_items, items, similarity.
+    """``keep`` (all columns of ``docs`` by default, those named like a new one, in any case, replaced) with contaminated, n_items, items, similarity.
 
     A text is contaminated by an item if a window of as many words has a weighted similarity of 0.8 or more: multisets of
     five-word shingles (all words if an item has fewer), lesser over greater multiplicities; words are lower-cased and lie
@@ -156,12 +156,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """
     need(docs, text_col)
     need(benchmark, item_col, item_text_col)
-    new = ["contaminated", "n_items", "items", "similarity"]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
+    boxed = Boxed(docs, keep, ["contaminated", "n_items", "items", "similarity"])
     found = contaminated_texts(docs, benchmark, text_col, item_col, item_text_col)
-    out = docs.select(*kept, F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("_t")).join(found, "_t", "left")
+    out = docs.select(boxed.box, F.md5(F.coalesce(col_of(text_col), F.lit(""))).alias("_t")).join(found, "_t", "left")
     return out.select(
-        *kept, F.col("items").isNotNull().alias("contaminated"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), "items", F.coalesce("similarity", F.lit(0.0)).alias("similarity")
+        *boxed.columns(), F.col("items").isNotNull().alias("contaminated"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), "items", F.coalesce("similarity", F.lit(0.0)).alias("similarity")
     )
 
 
@@ -169,7 +168,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """The rows of ``docs`` without a match, with their columns alone."""
     found = contaminated_texts(docs, benchmark, text_col, item_col, item_text_col).select(F.col("_t").alias("_gone"))
     found = broadcast_if_small(found)  # a digest for each text that goes
-    return docs.join(found, F.md5(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_gone"), "left_anti")
+    boxed = Boxed(docs, None, [])
+    rows = docs.select(boxed.box, F.md5(F.coalesce(col_of(text_col), F.lit(""))).alias("_t"))
+    return rows.join(found, F.col("_t") == F.col("_gone"), "left_anti").select(*boxed.columns())
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import blank_words, need, seeded_hash, stratum
+from quarrystone.llm.common import Boxed, blank_words, col_of, need, seeded_hash, stratum
 from quarrystone.session import materialize, table
 
 BLOCKS = 1024
@@ -85,6 +85,7 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
     keep: list[str] | None = None,
+    epochs: bool = True,
 ) -> DataFrame:
     """Repeat rows so that sources meet temperature weights: share ** a, normalised.
 
@@ -93,7 +94,8 @@ def mix_sources(
     exactly once and every other at least once, so no row is lost; with one, a source may be cut. Rows of a source fall
     into ``blocks`` by a seeded hash; every epoch takes the blocks in an order of its own, and the last takes blocks while
     at least half of the next one fits into what is left of the source's words. Returned: ``keep`` (all columns by default;
-    those named like a new one are replaced), ``epoch`` (from 0) and ``block_rank``, the place of the row's block in that epoch.
+    those named like a new one, in any case, are replaced) and, with ``epochs``, ``epoch`` (from 0) and ``block_rank``, the
+    place of the row's block in that epoch.
 
     The per-source state is the block table (sources x ``blocks`` rows), made by partial aggregation; rows get their copies
     by a join on (source, block), so a hot source is spread over ``blocks`` keys. The table is broadcast up to
@@ -102,10 +104,10 @@ def mix_sources(
     gives an empty result.
     """
     need(docs, id_col, text_col, source_col)
-    new = ["epoch", "block_rank"]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    block = (seeded_hash(seed, F.col(id_col)) % blocks).cast("int")
-    cells = docs.select(stratum(F.col(source_col)).alias("_s"), block.alias("_b"), F.size(blank_words(F.col(text_col))).alias("_w"))
+    new = ["epoch", "block_rank"] if epochs else []
+    boxed = Boxed(docs, keep, new)
+    block = (seeded_hash(seed, col_of(id_col)) % blocks).cast("int")
+    cells = docs.select(stratum(col_of(source_col)).alias("_s"), block.alias("_b"), F.size(blank_words(col_of(text_col))).alias("_w"))
     cells = materialize(cells.groupBy("_s", "_b").agg(F.sum("_w").cast("long").alias("_w")))
     totals = cells.groupBy("_s").agg(F.sum("_w").alias("n"))
     totals = mixing_weights(totals, max_repetition, target_entropy, budget).select(
@@ -125,8 +127,8 @@ def mix_sources(
     plan = materialize(plan.groupBy("_s", "_b").agg(F.collect_list(F.struct("epoch", "block_rank")).alias("_copies")))
     if plan.count() <= BROADCAST_ROWS:
         plan = F.broadcast(plan)
-    placed = docs.select(*kept, stratum(F.col(source_col)).alias("_s"), block.alias("_b")).join(plan, ["_s", "_b"])
-    return placed.select(*kept, F.explode("_copies").alias("_copy")).select(*kept, "_copy.epoch", "_copy.block_rank")
+    placed = docs.select(boxed.box, stratum(col_of(source_col)).alias("_s"), block.alias("_b")).join(plan, ["_s", "_b"])
+    return placed.select("_doc", F.explode("_copies").alias("_copy")).select(*boxed.columns(), *[f"_copy.{c}" for c in new])
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

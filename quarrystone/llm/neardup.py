@@ -3,25 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrystone.llm.common import need
+from quarrystone.llm.common import Boxed, col_of, need
 from quarrystone.llm.shingles import minhash, set_key, shingle_set
 from quarrystone.operators.components import connected_components
 from quarrystone.session import broadcast_if_small, materialize, table
 
-#: Signature coordinates, and the equal ones that a pair needs. At similarity 0.85 a pair has 54.4 equal ones on
-#: average, and fewer than 40 with a probability of some 1e-6.
+#: Signature coordinates, and the chance that a pair of just the least similarity has fewer equal ones than are asked for.
 COORDINATES = 64
-MATCHES = 40
-PERCENT = 85
+MISSED = 3e-6
+#: Least similarity, and that of the registered query (a fixed value of its contract).
+PERCENT = 80
+QUERY_PERCENT = 85
 _FACTORS = np.random.Generator(np.random.PCG64(48)).integers(0, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def least_matches(percent: int) -> int:
+    """Equal coordinates to ask for: 35 at 80 percent, 40 at 85."""
+    p, fewer = percent / 100, 0.0
+    for m in range(COORDINATES):
+        fewer += comb(COORDINATES, m) * p**m * (1 - p) ** (COORDINATES - m)
+        if fewer > MISSED:
+            return max(m, 1)
+    return COORDINATES
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, nodes, signatures = [], [], []
@@ -91,12 +103,13 @@ def _crowded_pairs(open_nodes: DataFrame, sets: DataFrame, percent: int) -> Data
 
 
 def _row_key(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("~")), F.coalesce(F.col(text_col), F.lit("")))
+    return F.xxhash64(F.coalesce(col_of(id_col).cast("string"), F.lit("~")), F.coalesce(col_of(text_col), F.lit("")))
 
 
-def _labelled(docs: DataFrame, id_col: str, text_col: str, percent: int, matches: int) -> DataFrame:
+def _labelled(docs: DataFrame, id_col: str, text_col: str, percent: int, matches: int | None) -> DataFrame:
     """(_id, _row, n_shingles, component_id, kept) for every row."""
-    bare = docs.select(F.col(id_col).alias("_id"), _row_key(id_col, text_col).alias("_row"), F.col(text_col).alias("_text"))
+    matches = least_matches(percent) if matches is None else matches
+    bare = docs.select(col_of(id_col).alias("_id"), _row_key(id_col, text_col).alias("_row"), col_of(text_col).alias("_text"))
     kind = bare.schema["_id"].dataType.simpleString()
     rows = materialize(bare.mapInArrow(_signatures, f"_id {kind}, _row long, n_shingles long, node binary, signature array<int>"))
     # Equal sets are one node: thousands of copies meet in partial aggregates.
@@ -149,11 +162,11 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, percent: int, matches
     return out.select("_id", "_row", "n_shingles", "component_id", F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, matches: int = MATCHES) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, matches: int | None = None) -> DataFrame:
     """(``id_col``, n_shingles, component_id, kept) for every row.
 
     Two documents are linked if their sets of distinct five-word shingles (all words as one if fewer) overlap by
-    ``percent`` of their union. Documents of equal sets are one node. Every node is posted under its ``COORDINATES``
+    ``percent`` of their union (``matches`` follows from it by ``least_matches``). Documents of equal sets are one node. Every node is posted under its ``COORDINATES``
     signature values; postings of one node are skipped, and of the rest, rarest first, only as many are kept as a pair
     with ``matches`` equal values cannot avoid. Nodes that meet in a posting are compared by equal values, then on full
     sets: first with two hubs of each posting, so that a group of n copies costs n comparisons; where a posting still holds
@@ -169,16 +182,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("_id").alias(id_col), "n_shingles", "component_id", "kept")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, matches: int = MATCHES) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, matches: int | None = None) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
     need(docs, id_col, text_col)
     gone = _labelled(docs, id_col, text_col, percent, matches).where("not kept").select(F.col("_id").alias("_gone_id"), F.col("_row").alias("_gone_row"))
     gone = broadcast_if_small(materialize(gone.distinct()))  # two numbers for each row that goes
-    return docs.join(gone, (_row_key(id_col, text_col) == F.col("_gone_row")) & F.col(id_col).eqNullSafe(F.col("_gone_id")), "left_anti")
+    boxed = Boxed(docs, None, [])
+    rows = docs.select(boxed.box, _row_key(id_col, text_col).alias("_row"), col_of(id_col).alias("_id"))
+    rows = rows.join(gone, (F.col("_row") == F.col("_gone_row")) & F.col("_id").eqNullSafe(F.col("_gone_id")), "left_anti")
+    return rows.select(*boxed.columns())
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=QUERY_PERCENT)
 
 
 def neardup_sql(docs: str, percent: int = PERCENT) -> str:
@@ -198,4 +214,4 @@ def neardup_sql(docs: str, percent: int = PERCENT) -> str:
     verdict AS (SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM nd_sets JOIN nd_least USING (doc_id))"""
 
 
-OP5_SQL = f"WITH RECURSIVE {neardup_sql('documents')} SELECT * FROM verdict"
+OP5_SQL = f"WITH RECURSIVE {neardup_sql('documents', QUERY_PERCENT)} SELECT * FROM verdict"
