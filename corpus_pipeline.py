@@ -1,8 +1,12 @@
 """From raw documents to shards: quality rules, near-duplicates, benchmark passages, mixing, sharding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again as the next one's docs.
-All but the last return the columns of documents. Mixing repeats rows of small sources, so after it a doc_id may stand
-more than once; the last stage's ``slot`` within ``shard`` tells them apart.
+All but the last return the columns of documents, whichever there are. Mixing repeats rows of small sources, so after it a
+doc_id may stand more than once; sharding shuffles a source pass by pass, so that a repeat comes after the whole source,
+and ``slot`` within ``shard`` tells them apart.
+
+Null and empty texts fail the base rules of the first stage; null languages and sources are groups of their own; of rows
+without an id none is taken for another's copy unless their texts are; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -16,27 +20,25 @@ from quarrystone.llm.quality import quality_filter, quality_sql
 from quarrystone.llm.sharding import interleave_shards, sharding_sql
 from quarrystone.session import materialize, table
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_filter(docs).select(COLUMNS)
+    return quality_filter(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near_duplicates(docs).select(COLUMNS)
+    return drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_contaminated(docs, table(spark, sf_dir, "benchmark")).select(COLUMNS)
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix_sources(docs, keep=COLUMNS).select(COLUMNS)
+    return mix_sources(docs, epochs=False)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return interleave_shards(docs, keep=["doc_id", "source"])
+    return interleave_shards(docs, keep=["doc_id", "source"], repeats=True)
 
 
 STAGES = [
@@ -65,5 +67,5 @@ ORACLE_SQL = f"""WITH RECURSIVE {quality_sql("documents")},
   after_decontam AS MATERIALIZED (SELECT {_OF} FROM after_near WHERE doc_id NOT IN (SELECT doc_id FROM dc_matches)),
   {mixing_sql("after_decontam")},
   after_mix AS MATERIALIZED (SELECT {_OF} FROM after_decontam JOIN mx_copies USING (doc_id)),
-  {sharding_sql("after_mix")}
+  {sharding_sql("after_mix", repeats=True)}
 SELECT * FROM sharded"""
