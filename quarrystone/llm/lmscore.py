@@ -37,9 +37,9 @@ ROWS = OWN + SHARED + 1
 DRAWN = 2
 #: Passes that each train on a part of the documents and are averaged; together they train on all of them.
 ROUNDS = 2
-BATCH = 2048
+BATCH = 4096
 RATE = 0.5
-SLICE = 4096
+SLICE = 1 << 14
 #: Words that a training task holds at least, and training tasks of a pass at most.
 SHARD_WORDS = 4_000_000
 SHARDS = 20_000
@@ -131,7 +131,7 @@ class Weights:
         out = self.class_log_p(h, vocabulary.classes[entries])
         # The deepest words first, so that every level of their trees is a stretch.
         depth = vocabulary.depth[entries]
-        order = np.argsort(depth.max(initial=0) - depth, kind="stable")
+        order = np.argsort((depth.max(initial=0) - depth).astype(np.uint8), kind="stable")
         h, entries, upto = h[order], entries[order], np.cumsum(np.bincount(depth, minlength=1)[::-1])[::-1]
         p = np.ones(len(entries))
         for level in range(1, len(upto)):

@@ -195,28 +195,106 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.read_archives(spark, empty).count() == 0
 
 
+def build(spark, docs):
+    """(vocabulary, coded texts of a table, trained weights)."""
+    vocabulary, words = lmscore.corpus_vocabulary(lmscore.word_counts(docs, "text"))
+    held = spark.sparkContext.broadcast(vocabulary)
+    rows = docs.select(F.struct("doc_id").alias("_doc"), F.col("doc_id").alias("_row"), F.xxhash64("doc_id").alias("_key"), F.col("text").alias("_text"))
+    kinds = "_doc struct<doc_id: long>, _row long, _key long, _codes binary, _rest array<struct<word: string, k: long>>"
+    return vocabulary, lmscore.train(rows.mapInArrow(lmscore._coded(held), kinds), held, words)
+
+
+def scores(texts, vocabulary, weights):
+    return lmscore.score_codes([vocabulary.encode(" ".join(x))[0] for x in texts], vocabulary, weights).sum()
+
+
+def plain_score(text, vocabulary, weights):
+    """One word after another: the network, the softmax over classes, then the way through the class's tree."""
+    words = (text or "").lower().encode().split()
+    codes = [vocabulary.entries.get(w, lmscore.VOCABULARY + zlib.crc32(w) % lmscore.SHARED) for w in words]
+    entry = [c if c < lmscore.VOCABULARY else len(vocabulary.entries) + (c - lmscore.VOCABULARY) % lmscore.LEAVES for c in codes]
+    row = [c if c < lmscore.OWN else lmscore.OWN + zlib.crc32(w) % lmscore.SHARED for c, w in zip(codes, words, strict=True)]
+    total = 0.0
+    for t, e in enumerate(entry):
+        x = weights.b.astype(float)
+        for j, o in enumerate(lmscore.OFFSETS):
+            x = x + weights.v[j * lmscore.ROWS + (row[t + o] if 0 <= t + o < len(row) else lmscore.ROWS - 1)]
+        h = x / (1 + abs(x))
+        z = h @ weights.w + weights.c
+        total += z[vocabulary.classes[e]] - np.log(np.exp(z).sum()) + vocabulary.base[e]
+        for level in range(vocabulary.depth[e]):
+            way = vocabulary.way[level][e]
+            logit = vocabulary.odds[level][e] + h @ weights.u[way >> 1]
+            total -= np.log1p(np.exp(-logit if way & 1 else logit))
+    return len(words), total
+
+
 def test_pseudo_likelihood_matches_plain_loops(spark):
     rng = random.Random(10)
-    rows = [(i, prose(rng, rng.randint(1, 60), "abc")) for i in range(30)] + [(40, None), (41, ""), (42, "x"), (43, "A b"), (43, "A b")]
-    d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_tokens", F.lit("clash"))
-    vocabulary = lmscore.corpus_vocabulary(d, "text")
-    weights = lmscore.Weights.start(3)
-    sizes, sums = lmscore.score_texts([t for _, t in rows], vocabulary, weights)
-    for (_, text), size, total in zip(rows, sizes, sums, strict=True):
-        ids = [vocabulary.entries.get(w, len(vocabulary.entries)) for w in (text or "").lower().encode().split()]
-        cls = [int(vocabulary.classes[i]) for i in ids]
-        plain = 0.0
-        for t in range(len(ids)):
-            ctx = [cls[t + o] if 0 <= t + o < len(cls) else lmscore.CLASSES for o in lmscore.OFFSETS]
-            h = np.tanh(weights.b + sum(weights.e[j][c] for j, c in enumerate(ctx)))
-            z = h @ weights.w + weights.c
-            plain += float(z[cls[t]] - np.log(np.exp(z).sum())) + vocabulary.log_p[ids[t]]
-        assert size == len(ids) and abs(plain - total) < 1e-3 * max(1, len(ids))
-    got = {r.doc_id: r for r in lmscore.score_documents(d).collect()}
-    assert got[40].n_tokens == 0 and got[40].log_prob == 0 and got[40].mean_log_prob is None and got[43].n_tokens == 2
+    rows = [(i, prose(rng, rng.randint(1, 60), "abc")) for i in range(30)] + [(40, None), (41, ""), (42, "x"), (43, "A b"), (43, "A b"), (44, "b a " * 3000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"N_Tokens": F.lit("clash"), "_row": F.lit(1), "_text": F.lit(2)})
+    vocabulary, weights = build(spark, d)
+    weights.u[:-1] += np.random.Generator(np.random.PCG64(2)).standard_normal(weights.u[:-1].shape).astype(np.float32)
+    codes = [vocabulary.encode(t)[0] for _, t in rows]
+    for (_, text), code, total in zip(rows, codes, lmscore.score_codes(codes, vocabulary, weights), strict=True):
+        size, plain = plain_score(text, vocabulary, weights)
+        assert size == len(code) and abs(plain - total) < 1e-4 * max(1, size)
+    # A word without an entry in the vocabulary stands for all of its leaf.
+    few = lmscore.Vocabulary.of([("a", 5), ("b", 3)], np.full(lmscore.LEAVES, 2.0), 700)
+    size, plain = plain_score("a c b d a", few, weights)
+    assert abs(lmscore.score_codes([few.encode("a c b d a")[0]], few, weights)[0] - plain) < 1e-4
+    scored = lmscore.score_documents(d)
+    assert scored.columns == ["doc_id", "text", "_row", "_text", "n_tokens", "log_prob", "mean_log_prob"]
+    got = {r.doc_id: r for r in scored.collect()}
+    assert got[40].n_tokens == 0 and got[40].log_prob == 0 and got[40].mean_log_prob is None and got[43].n_tokens == 2 and got[44]._row == 1
     assert lmscore.score_documents(d.limit(0)).count() == 0
 
 
+def test_pseudo_likelihood_gradients(spark):
+    rng = np.random.Generator(np.random.PCG64(4))
+    vocabulary = lmscore.Vocabulary.of([(f"w{i}", 90 - i) for i in range(90)], np.zeros(lmscore.LEAVES), 90)
+    weights = lmscore.Weights.start()
+    weights.u[:-1] += rng.standard_normal(weights.u[:-1].shape).astype(np.float32)
+    for name in ("v", "b", "w", "c", "u"):
+        setattr(weights, name, getattr(weights, name).astype(np.float64))
+    entries, near = lmscore._near([rng.integers(0, 90, 12).astype(np.uint16)], vocabulary)
+    drawn = vocabulary.drawn(entries, rng)
+    dh, du, d, h = weights.gradients(near, vocabulary.classes[entries], *drawn)
+
+    def loss():
+        x = weights.hidden(near)
+        node, sign, odds, weight = drawn
+        at = odds + np.einsum("ij,kij->ki", x, weights.u[node])
+        return -weights.class_log_p(x, vocabulary.classes[entries]).sum() + (weight * np.log1p(np.exp(-sign * at))).sum()
+
+    def slope(values, at):
+        held, found = values[at], []
+        for step in (1e-5, -1e-5):
+            values[at] = held + step
+            found.append(loss())
+        values[at] = held
+        return (found[0] - found[1]) / 2e-5
+
+    for k in range(lmscore.HIDDEN):
+        row, node = near[1, 5], drawn[0][0, 3]
+        assert abs(slope(weights.v, (row, k)) - dh[(near == row).nonzero()[1], k].sum()) < 1e-3
+        assert abs(slope(weights.u, (node, k)) - du[drawn[0] == node][:, k].sum()) < 1e-3
+        assert abs(slope(weights.b, k) - dh[:, k].sum()) < 1e-3
+        assert abs(slope(weights.w, (k, 2)) - (h[:, k] * d[:, 2]).sum()) < 1e-3
+    # Rows move against their mean gradient.
+    rows, at, move = np.zeros((5, 2)), np.array([3, 1, 3]), np.array([[1.0, 2], [4, 8], [3, 4]])
+    lmscore._added(rows, at, move, 1.0)
+    assert np.allclose(rows[3], -move[[0, 2]].sum(axis=0) / (2 + lmscore.CALM)) and np.allclose(rows[1], -move[1] / (1 + lmscore.CALM)) and not rows[[0, 2, 4]].any()
+
+
+def test_pseudo_likelihood_does_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(lmscore, "SHARD_WORDS", 500)
+    rng = random.Random(13)
+    d = spark.createDataFrame([(i, prose(rng, 60)) for i in range(100)], "doc_id long, text string")
+    one, two = (sorted((r.doc_id, r.log_prob) for r in lmscore.score_documents(x, keep=["doc_id"]).collect()) for x in (d.coalesce(1), d.repartition(7, "text")))
+    assert [x[0] for x in one] == [x[0] for x in two] and np.allclose([x[1] for x in one], [x[1] for x in two], rtol=1e-6)
+
+
 def test_pseudo_likelihood_learns_order(spark):
     rng = random.Random(11)
     follow = {c: rng.sample("abcdefgh", 2) for c in "abcdefgh"}
@@ -228,13 +306,10 @@ def test_pseudo_likelihood_learns_order(spark):
             out.append(c * 3)
         return out
 
-    d = spark.createDataFrame([(i, " ".join(chain(200))) for i in range(1200)], "doc_id long, text string")
-    vocabulary = lmscore.corpus_vocabulary(d, "text")
-    weights = lmscore.train(d, vocabulary, "text")
+    vocabulary, weights = build(spark, spark.createDataFrame([(i, " ".join(chain(200))) for i in range(1200)], "doc_id long, text string"))
     held = [chain(200) for _ in range(20)]
     mixed = [rng.sample(x, len(x)) for x in held]
-    score = lambda texts: lmscore.score_texts([" ".join(x) for x in texts], vocabulary, weights)[1].sum()
-    assert score(held) > score(mixed) + 0.2 * 4000
+    assert scores(held, vocabulary, weights) > scores(mixed, vocabulary, weights) + 0.2 * 4000
 
 
 def test_pseudo_likelihood_counts_every_word(spark):
@@ -244,7 +319,7 @@ def test_pseudo_likelihood_counts_every_word(spark):
     once, thrice = [w for w in ("y" * 100 + str(i) for i in range(9999)) if zlib.crc32(w.encode()) % 256 == 7][:2]
     rows = [(i, " ".join(common)) for i in range(4)] + [(10, once), (11, thrice), (12, thrice), (13, thrice)]
     d = spark.createDataFrame(rows, "doc_id long, text string")
-    vocabulary = lmscore.corpus_vocabulary(d, "text")
+    vocabulary, _ = lmscore.corpus_vocabulary(lmscore.word_counts(d, "text"))
     assert lmscore.VOCABULARY * 0.99 < len(vocabulary.entries) <= lmscore.VOCABULARY
     got = {r.doc_id: r for r in lmscore.score_documents(d).collect()}
     assert abs(got[11].log_prob - got[10].log_prob - math.log(3)) < 1e-6
@@ -264,21 +339,18 @@ def test_pseudo_likelihood_tells_words_of_a_class_apart(spark):
             c = rng.choice(follow[c])
         return out
 
-    d = spark.createDataFrame([(i, " ".join(chain(300))) for i in range(2000)], "doc_id long, text string")
-    vocabulary = lmscore.corpus_vocabulary(d, "text")
+    vocabulary, weights = build(spark, spark.createDataFrame([(i, " ".join(chain(300))) for i in range(2000)], "doc_id long, text string"))
     alike = {}
     for w, i in vocabulary.entries.items():
         alike.setdefault(int(vocabulary.classes[i]), []).append(w.decode())
     assert np.mean([len(x) for x in alike.values()]) >= 8
     other = {w: x[(i + 1) % len(x)] for x in alike.values() for i, w in enumerate(x)}
-    weights = lmscore.train(d, vocabulary, "text")
     held = [chain(200) for _ in range(20)]
     salad = [[rng.choice([w, other[w]]) for w in x] for x in held]
-    score = lambda texts: lmscore.score_texts([" ".join(x) for x in texts], vocabulary, weights)[1].sum()
-    assert score(held) > score(salad) + 0.2 * 4000
+    assert scores(held, vocabulary, weights) > scores(salad, vocabulary, weights) + 0.2 * 4000
     # All words of a class have a probability of 1 together, whatever the context.
-    x = vocabulary.path(np.arange(len(vocabulary.entries) + lmscore.LEAVES))
-    h = np.tanh(np.linspace(-1, 1, lmscore.HIDDEN)).astype(np.float32)
-    log_p = np.bincount(x.token, weights=-np.logaddexp(0, -x.sign * (x.odds + weights.u[x.node] @ h)), minlength=len(vocabulary.classes))
+    every = np.arange(len(vocabulary.classes))
+    near = np.tile(np.array([[5], [6], [7], [8]]) + np.arange(4)[:, None] * lmscore.ROWS, (1, len(every)))
+    log_p = weights.log_p(near, every, vocabulary) - weights.class_log_p(weights.hidden(near), vocabulary.classes)
     total = np.bincount(vocabulary.classes, weights=np.exp(log_p), minlength=lmscore.CLASSES)
-    assert np.allclose(total[total > 0], 1)
+    assert np.allclose(total[total > 0], 1, atol=1e-4)
