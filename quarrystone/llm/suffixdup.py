@@ -140,44 +140,64 @@ def _tags(owner: np.ndarray, group: np.ndarray, code: np.ndarray) -> np.ndarray:
     return ((group.astype(np.uint64) << np.uint64(32) | code) + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93)
 
 
-def _contexts(groups: int, hot: np.ndarray, want_hot: bool):
-    """Around each shared anchor the bytes of all strings that it stands for: (h, key, ord, start, context); or, of hot
-    anchors, every such string's digest."""
+def _contexts(groups: int, hot: np.ndarray):
+    """Around each shared anchor that isn't hot the bytes of all strings that it stands for: (h, context, keys, places). Equal
+    contexts of a batch are one row, with the keys, and the orders and starts, of all texts that have it."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, keys, orders = [_text(t) for t in batch.column("text")], batch.column("key"), batch.column("ord").to_numpy()
+            texts, keys, orders = [_text(t) for t in batch.column("text")], batch.column("key").to_pylist(), batch.column("ord").to_numpy()
             codes = batch.column("codes").to_pylist()
             for at, piece in _pieces(texts):
                 whose, first, last, h = anchors(piece, SPAN, ANCHOR)
-                chosen = _among(h, hot)
-                if not want_hot:
-                    owner, group, code = [], [], []
-                    for i in range(len(piece)):
-                        for c in codes[at + i]:
-                            mine = np.frombuffer(c["codes"], dtype=np.uint32)
-                            owner.append(np.full(len(mine), i))
-                            group.append(np.full(len(mine), c["grp"]))
-                            code.append(mine)
-                    shared = np.sort(_tags(*(np.concatenate(x) for x in (owner, group, code)))) if owner else np.empty(0, np.uint64)
-                    chosen = _among(_tags(whose, *_codes(h, groups)), shared) & ~chosen
+                owner, group, code = [], [], []
+                for i in range(len(piece)):
+                    for c in codes[at + i]:
+                        mine = np.frombuffer(c["codes"], dtype=np.uint32)
+                        owner.append(np.full(len(mine), i))
+                        group.append(np.full(len(mine), c["grp"]))
+                        code.append(mine)
+                shared = np.sort(_tags(*(np.concatenate(x) for x in (owner, group, code)))) if owner else np.empty(0, np.uint64)
+                chosen = _among(_tags(whose, *_codes(h, groups)), shared) & ~_among(h, hot)
                 whose, first, last, h = whose[chosen], first[chosen], last[chosen], h[chosen]
-                begins = np.cumsum([0, *map(len, piece[:-1])]) if piece else np.empty(0, np.int64)
-                size = last - first + SPAN
-                if want_hot:
-                    each = last - first + 1
-                    first = np.repeat(first, each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-                    whose, h = np.repeat(whose, each), np.repeat(h, each)
-                    found = [hashlib.blake2b(piece[i][s : s + SPAN], digest_size=16).digest() for i, s in zip(whose.tolist(), first.tolist(), strict=True)]
-                    context = pa.array(found, pa.binary())
-                else:
-                    context = _slices(np.frombuffer(b"".join(piece), dtype=np.uint8), begins[whose] + first, size)
-                rows = pa.array(whose + at)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), keys.take(rows), pa.array(orders[whose + at]), pa.array(first), context], names=["h", "key", "ord", "start", "context"])
+                begins = np.cumsum([0, *map(len, piece[:-1])])
+                context = _slices(np.frombuffer(b"".join(piece), dtype=np.uint8), begins[whose] + first, last - first + SPAN).dictionary_encode()
+                kind = context.indices.to_numpy()
+                by = np.argsort(kind, kind="stable")
+                cuts = _runs(kind[by])
+                names = np.frombuffer(b"".join(keys[at : at + len(piece)]), dtype=np.uint64).reshape(-1, 2)
+                places = np.stack([orders[whose + at], first], axis=1)[by]
+                rows = [pa.array(h[by][cuts[:-1]].view(np.int64)), context.dictionary, _slices(names[whose[by]].view(np.uint8).ravel(), cuts[:-1] * 16, np.diff(cuts) * 16), _slices(places.view(np.uint8).ravel(), cuts[:-1] * 16, np.diff(cuts) * 16)]
+                yield pa.RecordBatch.from_arrays(rows, names=["h", "context", "keys", "places"])
 
     return cut
 
 
+def _digests(hot: np.ndarray):
+    """(key, ord, start, digest) of every string of a hot anchor."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, keys, orders = [_text(t) for t in batch.column("text")], batch.column("key"), batch.column("ord").to_numpy()
+            for at, piece in _pieces(texts):
+                whose, first, last, h = anchors(piece, SPAN, ANCHOR)
+                chosen = _among(h, hot)
+                whose, first, last = whose[chosen], first[chosen], last[chosen]
+                each = last - first + 1
+                first = np.repeat(first, each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                whose = np.repeat(whose, each)
+                found = [hashlib.blake2b(piece[i][s : s + SPAN], digest_size=16).digest() for i, s in zip(whose.tolist(), first.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(whose + at)), pa.array(orders[whose + at]), pa.array(first), pa.array(found, pa.binary())], names=["key", "ord", "start", "digest"])
+
+    return cut
+
+
+def _joined(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(all bytes of a binary column, the size of each value)."""
+    values = column.to_pylist()
+    return np.frombuffer(b"".join(values), dtype=np.uint8), np.fromiter(map(len, values), dtype=np.int64, count=len(values))
+
+
 def repeated_starts(kinds: list[bytes], which: np.ndarray, orders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(context, place) of every string of SPAN bytes that also starts in a context of smaller order.
 
@@ -215,9 +235,11 @@ def _sources(strings: list[bytes], least: np.ndarray) -> tuple[tuple[np.ndarray,
 def _spans(group: pa.Table) -> pa.Table:
     """(key, spans): of each text of a group, the merged removed spans found in it."""
     context = group.column("context").combine_chunks().dictionary_encode()
-    key = group.column("key").combine_chunks().dictionary_encode()
-    of, place = repeated_starts(context.dictionary.to_pylist(), context.indices.to_numpy(), group.column("ord").to_numpy())
-    start, whose = group.column("start").to_numpy()[of] + place, key.indices.to_numpy()[of].astype(np.int64)
+    keys, sizes = _joined(group.column("keys"))
+    places = _joined(group.column("places"))[0].view(np.int64).reshape(-1, 2)
+    key = pa.Array.from_buffers(pa.binary(16), len(places), [None, pa.py_buffer(keys)]).dictionary_encode()
+    of, place = repeated_starts(context.dictionary.to_pylist(), np.repeat(context.indices.to_numpy(), sizes // 16), places[:, 0])
+    start, whose = places[of, 1] + place, key.indices.to_numpy()[of].astype(np.int64)
     by = np.argsort(whose << 40 | start) if len(start) and start.max() < 1 << 40 else np.lexsort((start, whose))
     start, whose = start[by], whose[by]
     # Starts at most SPAN apart run together; a run ends where the next text begins.
@@ -227,7 +249,7 @@ def _spans(group: pa.Table) -> pa.Table:
     whose = whose[runs[:-1]]
     cuts = _runs(whose)
     parts = [spans[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-    return pa.table({"key": key.dictionary.take(pa.array(whose[cuts[:-1]])), "spans": pa.array(parts, pa.binary())})
+    return pa.table({"key": key.dictionary.take(pa.array(whose[cuts[:-1]])).cast(pa.binary()), "spans": pa.array(parts, pa.binary())})
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,7 +305,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Equal texts: all but the smallest id's are covered whole (from 50 bytes on), and take no further part. Of the others
     every string of 50 bytes has an anchor, the 20 bytes in it of least hash, so equal strings have equal anchors. Anchors
     are counted over all texts in groups of bounded size; those that two texts have are cut out with all strings they stand
-    for, and the cuts of an anchor meet in one suffix array: suffixes are sorted in two stages, neighbours that share 50
+    for (equal cuts of a batch once), and the different cuts of an anchor meet in one suffix array: suffixes are sorted in two stages, neighbours that share 50
     bytes form a block, and a place in it is removed if the block holds a smaller id. Anchors that a sample puts in over
     ``hot_texts`` texts are compared by digests of their strings instead, with partial minima, so that a passage that a
     third of all documents share meets in no task.
@@ -309,14 +331,13 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     by_text = shared.groupBy("key").agg(F.collect_list(F.struct("grp", "codes")).alias("codes"))
     chosen = firsts.where(f"n_bytes >= {SPAN}").select("key", F.col("first").alias("ord")).join(by_text, "key")
     lots = materialize(long.join(chosen, ["key", "ord"]).dropDuplicates(["key", "ord"]), "zstd")
-    kinds = "h long, key binary, ord long, start long, context binary"
-    contexts = lots.mapInArrow(_contexts(groups, hot, False), kinds).withColumn("arr", F.pmod("h", F.lit(arrays)))
+    contexts = lots.mapInArrow(_contexts(groups, hot), "h long, context binary, keys binary, places binary").withColumn("arr", F.pmod("h", F.lit(arrays)))
     spans = contexts.groupBy("arr").applyInArrow(_spans, "key binary, spans binary")
     if len(hot):
         busy = lots.where(F.exists("codes", lambda c: c["grp"] < 0))
-        grams = materialize(busy.mapInArrow(_contexts(groups, hot, True), kinds).drop("h"))
-        source = grams.groupBy("context").agg(F.min("ord").alias("source"))
-        more = grams.join(source, "context").where("source < ord").select("key", F.concat(_bytes8("start"), _bytes8(F.col("start") + SPAN)).alias("spans"))
+        grams = materialize(busy.mapInArrow(_digests(hot), "key binary, ord long, start long, digest binary"))
+        source = grams.groupBy("digest").agg(F.min("ord").alias("source"))
+        more = grams.join(source, "digest").where("source < ord").select("key", F.concat(_bytes8("start"), _bytes8(F.col("start") + SPAN)).alias("spans"))
         spans = spans.unionByName(more)
     spans = materialize(spans.groupBy("key").agg(F.collect_list("spans").alias("spans")))
     cut = lots.select("key", "text").join(spans, "key").mapInArrow(_cut, _CUT)
