@@ -11,17 +11,18 @@ from quarrystone.session import broadcast_if_small, materialize, table
 #: Base rules, fixed values of the contract.
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Metric: (whole-number expression over the counts, two percentiles, multiple of their distance, sides that are fenced).
-#: A fence lies so many distances beyond the outer percentile.
+#: Metric: (whole-number expression over the counts, two percentiles, multiple of their distance, least distance, sides that
+#: are fenced). A fence lies so many distances beyond the outer percentile; without a distance there is none. The least
+#: distances are below those of prose (4 and more), and serve groups that hardly use such characters.
 METRICS = {
-    "other_pm": ("(1000 * n_other) div word_chars", 25, 75, 8, "max"),
-    "upper_pm": ("(1000 * n_upper) div word_chars", 25, 75, 12, "max"),
-    "word_len": ("(100 * word_chars) div n_words", 25, 75, 6, "min max"),
-    "dup_line_pm": ("(1000 * n_dup_lines) div n_lines", 50, 99, 2, "max"),
-    "repeat_pm": ("(1000 * n_repeat_words) div n_words", 50, 99, 2, "max"),
+    "other_pm": ("(1000 * n_other) div word_chars", 25, 75, 8, 3, "max"),
+    "upper_pm": ("(1000 * n_upper) div word_chars", 25, 75, 12, 3, "max"),
+    "word_len": ("(100 * word_chars) div n_words", 25, 75, 6, 0, "min max"),
+    "dup_line_pm": ("(1000 * n_dup_lines) div n_lines", 50, 99, 2, 0, "max"),
+    "repeat_pm": ("(1000 * n_repeat_words) div n_words", 50, 99, 2, 0, "max"),
 }
 FENCES = [f"{m}_{side}" for m, (*_, sides) in METRICS.items() for side in sides.split()]
-#: Percentiles of a group are averaged with those of its language, which count as so many rows.
+#: Percentiles of a group, and their distance, are averaged with those of its language, which count as so many rows.
 PRIOR = 100
 #: Leading bits of a number that its sketch bucket keeps.
 BITS = 8
@@ -88,14 +89,18 @@ def _percentiles(sketches: DataFrame, keys: list[str], tag: str) -> DataFrame:
 
 
 def quality_thresholds(sketches: DataFrame, prior: int = PRIOR) -> DataFrame:
-    """(_l, _s, one column per fence): from the group's percentiles, averaged with its language's; null without a spread."""
-    joined = _percentiles(sketches, ["_l", "_s"], "o_").join(_percentiles(sketches, ["_l"], "l_"), ["_l", "metric"])
-    joined = joined.selectExpr("_l", "_s", "metric", *[f"(o_rows * o_{q} + {prior} * l_{q}) div (o_rows + {prior}) as {q}" for q in ("lo", "hi")])
+    """(_l, _s, one column per fence): from the group's percentiles and their distance, averaged with the language's percentiles
+    and its groups' mean distance; null without a distance."""
+    own = _percentiles(sketches, ["_l", "_s"], "o_")
+    lang = _percentiles(sketches, ["_l"], "l_").join(own.groupBy("_l", "metric").agg(F.expr("sum(o_rows * (o_hi - o_lo)) div sum(o_rows) as l_wide")), ["_l", "metric"])
+    mean = lambda a, b: f"(o_rows * {a} + {prior} * {b}) div (o_rows + {prior})"
+    joined = own.join(lang, ["_l", "metric"]).selectExpr("_l", "_s", "metric", f"{mean('o_lo', 'l_lo')} as lo", f"{mean('o_hi', 'l_hi')} as hi", f"{mean('(o_hi - o_lo)', 'l_wide')} as wide")
     found = []
-    for m, (_, _, _, spread, sides) in METRICS.items():
+    for m, (_, _, _, times, least, sides) in METRICS.items():
+        wide = f"greatest(wide, {least})"
         for side in sides.split():
-            at = f"hi + {spread} * (hi - lo)" if side == "max" else f"lo - {spread} * (hi - lo)"
-            found.append(F.max(F.expr(f"CASE WHEN metric = '{m}' AND hi > lo THEN {at} END")).alias(f"{m}_{side}"))
+            at = f"hi + {times} * {wide}" if side == "max" else f"lo - {times} * {wide}"
+            found.append(F.max(F.expr(f"CASE WHEN metric = '{m}' AND {wide} > 0 THEN {at} END")).alias(f"{m}_{side}"))
     return joined.groupBy("_l", "_s").agg(*found)
 
 
@@ -123,10 +128,10 @@ def quality_scores(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     ``text_counts``, ``base_failed``, whole-number metrics (thousandths; ``word_len`` in hundredths of a character), their
     fences ``<metric>_max`` and ``word_len_min``, and ``kept``: false if the base rules fail or a metric lies beyond a fence.
 
-    Every fence follows from two percentiles of the metric: it lies a multiple of their distance beyond the outer one. Both
+    Every fence follows from two percentiles of the metric: it lies a multiple of their distance beyond the outer one. They
     are taken from the sketch of the row's language and source and averaged with those of the language, which count as
-    ``prior`` rows; so small groups lean on their language and large ones on themselves. A metric without a spread
-    in a group tells nothing there and sets no fence (null).
+    ``prior`` rows; so small groups lean on their language and large ones on themselves. A metric without any distance in a
+    group tells nothing there and sets no fence (null).
 
     The counts are made once and written; sketches are partial counts per bucket, so a hot source needs no more of a task
     than any other; fences are a row per language and source, joined back. Null text counts as empty (base fails), null
@@ -172,9 +177,9 @@ def quality_sql(docs: str, prior: int = PRIOR) -> str:
     fences, tests = [], []
     for f in FENCES:
         m, side = f.rsplit("_", 1)
-        spread = METRICS[m][3]
-        at = f"hi + {spread} * (hi - lo)" if side == "max" else f"lo - {spread} * (hi - lo)"
-        fences.append(f"max(CASE WHEN metric = '{m}' AND hi > lo THEN {at} END) AS {f}")
+        times, wide = METRICS[m][3], f"greatest(wide, {METRICS[m][4]})"
+        at = f"hi + {times} * {wide}" if side == "max" else f"lo - {times} * {wide}"
+        fences.append(f"max(CASE WHEN metric = '{m}' AND {wide} > 0 THEN {at} END) AS {f}")
         tests.append(f"coalesce({m} {'<=' if side == 'max' else '>='} {f}, true)")
     return f"""
     qf_words AS (
@@ -198,8 +203,9 @@ def quality_sql(docs: str, prior: int = PRIOR) -> str:
     qf_long AS ({" UNION ALL ".join(f"SELECT l_, s_, {m!r} AS metric, {m} AS v FROM qf_scored WHERE NOT base_failed" for m in METRICS)}),
     qf_sketch AS (SELECT l_, s_, metric, CASE WHEN v < {1 << BITS} THEN v ELSE (v >> (length(bin(v)) - {BITS})) << (length(bin(v)) - {BITS}) END AS bucket, count(*) AS n
       FROM qf_long GROUP BY ALL),{level("own", "l_, s_, ", "o_")}{level("lang", "l_, ", "l_")}
-    qf_between AS (SELECT l_, s_, metric, (o_rows * o_lo + {prior} * l_lo) // (o_rows + {prior}) AS lo, (o_rows * o_hi + {prior} * l_hi) // (o_rows + {prior}) AS hi
-      FROM qf_own JOIN qf_lang USING (l_, metric)),
+    qf_wide AS (SELECT l_, metric, sum(o_rows * (o_hi - o_lo)) // sum(o_rows) AS l_wide FROM qf_own GROUP BY ALL),
+    qf_between AS (SELECT l_, s_, metric, (o_rows * o_lo + {prior} * l_lo) // (o_rows + {prior}) AS lo, (o_rows * o_hi + {prior} * l_hi) // (o_rows + {prior}) AS hi,
+      (o_rows * (o_hi - o_lo) + {prior} * l_wide) // (o_rows + {prior}) AS wide FROM qf_own JOIN qf_lang USING (l_, metric) JOIN qf_wide USING (l_, metric)),
     qf_fences AS (SELECT l_, s_, {", ".join(fences)} FROM qf_between GROUP BY l_, s_),
     judged AS (SELECT *, NOT base_failed AND {" AND ".join(tests)} AS kept FROM qf_scored LEFT JOIN qf_fences USING (l_, s_))"""
 
