@@ -44,7 +44,7 @@ def test_quality_counts(docs, rows):
 
 
 def test_quality_verdicts(spark, docs, rows):
-    got = {r.doc_id: r for r in quality.quality_scores(docs.withColumns({"kept": F.lit("clash"), "rank": F.lit(1)}), min_group=20).collect()}
+    got = {r.doc_id: r for r in quality.quality_scores(docs.withColumns({"kept": F.lit("clash"), "rank": F.lit(1)}), prior=20).collect()}
     assert got[60].base_failed and got[61].base_failed and got[63].base_failed and not got[63].kept
     assert not got[71].kept and not got[71].base_failed and got[71].rank == 1
     clean = [i for i, t, _, _ in rows if i is not None and i < 60 and base_counts(t)[0] >= 50]
@@ -53,6 +53,33 @@ def test_quality_verdicts(spark, docs, rows):
     assert quality.quality_scores(docs.limit(0)).count() == 0
 
 
+def test_quality_follows_the_group(spark):
+    """One and the same text passes where such texts are usual and fails where they are not; and a group with few rows of its own
+    leans on its language."""
+    rng = random.Random(15)
+    marked = lambda n: " ".join(w + rng.choice(["--", "", "", "..."]) for w in prose(rng, n).split())
+    plain = [(i, prose(rng, 60).replace(" ", ". ", rng.randrange(6)), "en", "plain") for i in range(400)]
+    dotted = [(1000 + i, marked(60), "en", "dotted") for i in range(400)]
+    text = marked(60)
+    rows = [*plain, *dotted, (5000, text, "en", "plain"), (5001, text, "en", "dotted"), (5002, text, "en", "new")]
+    got = {r.doc_id: r for r in quality.quality_scores(spark.createDataFrame(rows, DOCS)).collect()}
+    assert not got[5000].kept and got[5001].kept and got[5000].other_pm == got[5001].other_pm
+    assert got[5000].other_pm_max < got[5002].other_pm_max and got[5000].dup_line_pm_max is None  # no spread, no fence
+    assert sum(got[r[0]].kept for r in plain + dotted) >= 790
+    # Percentiles and their distance from the sketch of the group, averaged with the language's.
+    at = lambda c, q: min(v for v in c if sum(n for x, n in c.items() if x <= v) * 100 >= q * sum(c.values()))
+    of = {s: Counter(got[r[0]].other_pm for r in rows if s in (r[3], None)) for s in ("plain", "dotted", "new", None)}
+    wide = {s: at(c, 75) - at(c, 25) for s, c in of.items()}
+    mean = lambda a, b: (401 * a + quality.PRIOR * b) // (401 + quality.PRIOR)
+    l_wide = sum(sum(of[s].values()) * wide[s] for s in ("plain", "dotted", "new")) // 803
+    assert got[5000].other_pm_max == mean(at(of["plain"], 75), at(of[None], 75)) + 8 * max(3, mean(wide["plain"], l_wide))
+
+
+def test_quality_counts_each_text_once_a_pass(docs):
+    plan = quality.quality_filter(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(") <= 3 and "Filter CASE" in plan.replace("\n", "")
+
+
 def test_sharding(spark, docs, rows):
     got = sharding.interleave_shards(docs.withColumn("shard", F.lit("old")), n_shards=7).collect()
     sizes = Counter(r.shard for r in got)
@@ -68,6 +95,23 @@ def test_sharding(spark, docs, rows):
     assert sharding.interleave_shards(docs.limit(0)).count() == 0
 
 
+def test_repeats_are_not_neighbours(spark):
+    """After mixing, a repeat of a document comes only after the rest of its source."""
+    rows = [(i, f"word{i} " * 10, "en", "big" if i < 400 else "small") for i in range(500)] + [(None, None, None, None)] * 3
+    mixed = mixing.mix_sources(spark.createDataFrame(rows, DOCS), epochs=False)
+    assert mixed.columns == ["doc_id", "text", "lang", "source"]
+    got = sharding.interleave_shards(mixed, n_shards=5, repeats=True, keep=["doc_id", "source"]).collect()
+    order = [r.doc_id for r in sorted(got, key=lambda r: (r.shard, r.slot)) if r.source == "small"]
+    places = defaultdict(list)
+    for k, i in enumerate(order):
+        places[i].append(k)
+    twice = [v for v in places.values() if len(v) > 1]
+    assert len(places) == 100 and len(twice) > 50 and len({r.shard for r in got}) == 5
+    assert set(order[:100]) == set(places)  # a whole pass first
+    assert sum(b - a < 5 for a, b in twice) <= 3
+    assert len({(r.shard, r.slot) for r in got}) == len(got)
+
+
 def test_mixing_repetition(spark):
     words = {"big": 3200, "mid": 800, "small": 200}
     rows = [(i, "w " * 10, "en", s) for s, n in words.items() for i in range(n // 10)]
@@ -174,3 +218,32 @@ def test_licenses(spark):
     assert "gpl-3.0" in got[1].labels and "cc-by-nc-4.0" in got[2].labels and "mit" in got[7].labels and "apache-2.0" in got[8].labels
     assert got[6].labels == "" and got[6].score == 0
     assert licenses.scan_licenses(d.limit(0)).count() == 0
+
+
+BSD = """Copyright (c) 2020, The Project. All rights reserved.
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+THIRD = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+"""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License."""
+
+
+def test_licenses_of_whole_texts(spark):
+    rng = random.Random(16)
+    filler = lambda n: prose(rng, n)
+    rows = [
+        (0, BSD), (1, BSD + THIRD), (2, f"{filler(500)}\n{MIT}\n{filler(900)}"), (3, f"{filler(20)}\n{APACHE}"), (4, f"{MIT} {filler(30)} {APACHE} {filler(30)} {BSD}{THIRD}"),
+        (5, "Permission is hereby granted, entirely free of charge and gladly, to any person obtaining one copy of this software and associated documentation files"), (6, "Released under the MIT License, by \u212aIT License"),
+        (7, "permission of any person obtaining a copy of the associated documentation files"),
+    ] + [(100 + i, filler(60) + " the license of this software and the name of its files " + (BSD if i % 9 == 0 else "")) for i in range(90)]
+    got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    labels = {i: r.labels for i, r in got.items()}
+    assert labels[0] == "bsd-2-clause" and labels[1] == "bsd-3-clause" and labels[2] == "mit" and labels[3] == "apache,apache-2.0"
+    assert labels[4] == "apache,apache-2.0,bsd-3-clause,mit" and labels[5] == "" and labels[7] == "" and labels[109] == "bsd-2-clause" and labels[101] == ""
+    assert labels[6] == "mit" and got[6].n_base == 1  # a Kelvin sign is no k
+    assert all(0 <= r.score <= 1 for r in got.values()) and got[1].score == 1.0
+    d = spark.createDataFrame([(0, None)], "doc_id long, text string")
+    assert licenses.scan_licenses(d.limit(0)).count() == 0
