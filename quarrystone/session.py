@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,13 +13,16 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests, notebooks) a temporary folder
-    of this machine is taken, once per session.
+    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset and Spark runs on this machine alone (tests,
+    notebooks) a temporary folder is taken, once per session; elsewhere a missing setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.conf.get("quarrystone.shared.dir", None)
         if not named:
+            master = spark.conf.get("spark.master", "")
+            if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+                raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master!r} share")
             named = "file://" + tempfile.mkdtemp(prefix="spark-")
             spark.conf.set("quarrystone.shared.dir", named)
     return named.rstrip("/")
