@@ -11,6 +11,7 @@ from quarrystone.functions.similarity import any_of
 # Phrases that mark a page or title.
 DIRECTORY_TITLES = ["elenco aziende", "elenco imprese", "trova aziende", "directory aziende", "directory imprese", "imprese in", "recensioni di", "scheda azienda -", "professionisti nella tua zona", "preventivo gratuito", "richiedi preventivo online"]
 PARKING = ["domain is for sale", "buy this domain", "questo dominio è in vendita", "domain parked", "godaddy", "sedo", "dan.com", "afternic", "huge domains", "domain name is available", "acquista questo dominio", "is available for purchase", "under verification", "sito in costruzione"]
+PARKED_START = ["domain is for sale", "sedo.com", "is parked", "this domain name", "hugedomains", "dan.com", "domain name has been registered"]
 CONSTRUCTION = ["coming soon", "lavori in corso", "sito in manutenzione", "website under construction", "stiamo arrivando", "work in progress", "sito in allestimento", "torneremo presto"]
 STOP_WORDS = {"it": [" il ", " lo ", " la ", " i ", " gli ", " le ", " di ", " a ", " da ", " in ", " con ", " su ", " per ", " tra ", " fra ", " è ", " sono ", " siamo ", " azienda ", " contatti ", " chi siamo ", " dove siamo ", " home ", " servizi ", " prodotti "]}
 CAPTCHA = ["captcha", "recaptcha", "hcaptcha", "turnstile", "unusual traffic", "traffico insolito", "/sorry/", "verify you are human", "verifica di essere umano", "challenge-platform", "cf-challenge", "challenge-form"]
@@ -43,9 +44,10 @@ def content_validity(text: Column) -> tuple[Column, Column]:
 
 
 def is_parked(html: Column, body: Column | None = None) -> Column:
-    """Parking phrases in the first 5000 characters, or a body under 100 characters."""
+    """Signatures in the first 2048 characters, parking phrases in the first 5000, or a body under 100 characters."""
     body = html if body is None else body
-    return any_of(F.substring(_low(html), 1, 5000), PARKING) | (F.length(F.coalesce(body, F.lit(""))) < 100)
+    low = _low(html)
+    return any_of(F.substring(low, 1, 2048), PARKED_START) | any_of(F.substring(low, 1, 5000), PARKING) | (F.length(F.coalesce(body, F.lit(""))) < 100)
 
 
 def trap_check(html: Column, links: int = 500) -> tuple[Column, Column]:
@@ -124,6 +126,57 @@ def error_category(message: Column) -> Column:
     )
 
 
+# Reason codes of error categories, and of phrases in a message in the order they are looked for.
+REASON_OF_CATEGORY = {"NETWORK": "ERROR_TIMEOUT_FETCH", "AUTH": "ERROR_PROVIDER_RATE_LIMIT", "BROWSER": "ERROR_BROWSER_FAILURE", "PARSING": "ERROR_PARSING", "VALIDATION": "ERROR_VALIDATION"}
+REASON_OF_ERROR = [(["timeout"], "ERROR_TIMEOUT_FETCH"), (["403", "blocked", "captcha"], "ERROR_BLOCKED_403"), (["dns", "enotfound"], "REJECTED_NO_MATCHING_SIGNALS"), (["429", "rate"], "ERROR_PROVIDER_RATE_LIMIT")]
+REASON_OF_EXCEPTION = [
+    (["timeout", "timed out"], "ERROR_TIMEOUT_FETCH"), (["429", "rate limit"], "ERROR_PROVIDER_RATE_LIMIT"), (["403", "blocked", "captcha"], "ERROR_BLOCKED_403"), (["busy"], "ERROR_DB_BUSY"),
+    (["config", "invalid"], "ERROR_CONFIG_INVALID"),
+]
+REASON_OF_VERIFICATION = [
+    (["directory", "social"], "REJECTED_DIRECTORY_OR_SOCIAL"), (["browser verification disabled"], "ERROR_BROWSER_DISABLED"), (["timeout", "navigation"], "ERROR_TIMEOUT_FETCH"),
+    (["403", "blocked", "captcha"], "ERROR_BLOCKED_403"), (["rate"], "ERROR_PROVIDER_RATE_LIMIT"),
+]
+REASON_OF_STATUS = {
+    "OK": "OK_LIKELY_NAME_CITY_MATCH", "OK_LIKELY": "OK_LIKELY_NAME_CITY_MATCH", "REJECTED_DIRECTORY": "REJECTED_DIRECTORY_OR_SOCIAL", "ERROR_TIMEOUT": "ERROR_TIMEOUT_FETCH", "ERROR_BLOCKED": "ERROR_BLOCKED_403",
+    "ERROR_DNS": "REJECTED_NO_MATCHING_SIGNALS", "ERROR_FETCH": "ERROR_TIMEOUT_FETCH",
+}
+
+
+def _by_phrase(text: Column, rules: list[tuple[list[str], str]]) -> Column:
+    return F.coalesce(*[F.when(any_of(text, phrases), F.lit(code)) for phrases, code in rules])
+
+
+def _by_value(c: Column, codes: dict[str, str]) -> Column:
+    return F.coalesce(*[F.when(c == k, F.lit(v)) for k, v in codes.items()])
+
+
+def reason_of_category(category: Column) -> Column:
+    return F.coalesce(_by_value(category, REASON_OF_CATEGORY), F.lit("ERROR_INTERNAL"))
+
+
+def reason_of_error(message: Column) -> Column:
+    return F.coalesce(_by_phrase(_low(message), REASON_OF_ERROR), F.lit("ERROR_INTERNAL"))
+
+
+def reason_of_exception(message: Column) -> Column:
+    return F.coalesce(_by_phrase(_low(message), REASON_OF_EXCEPTION), F.lit("ERROR_INTERNAL"))
+
+
+def reason_of_status(status: Column, reason: Column) -> Column:
+    """Reason code of a decision's status; without a domain it depends on whether there were candidates."""
+    none = F.when(F.contains(_low(reason), F.lit("no candidates")), "NOT_FOUND_NO_CANDIDATES").otherwise("REJECTED_NO_MATCHING_SIGNALS")
+    return F.coalesce(F.when(status == "NO_DOMAIN_FOUND", none), _by_value(status, REASON_OF_STATUS), F.lit("ERROR_INTERNAL"))
+
+
+def reason_of_verification(reason: Column, confidence: Column, vat: Column, phone: Column, schema: Column, least: float = 0.75) -> Column:
+    """Reason code of a checked site: the proof it has, else what went wrong, else by its confidence."""
+    c = F.coalesce(confidence, F.lit(0.0))
+    proof = F.when(vat, "OK_CONFIRMED_VAT_MATCH").when(phone, "OK_CONFIRMED_PHONE_MATCH").when(schema, "OK_CONFIRMED_SCHEMAORG_URL")
+    rest = F.when(c >= least, "OK_LIKELY_NAME_CITY_MATCH").when(c > 0, "REJECTED_NO_MATCHING_SIGNALS").otherwise("NOT_FOUND_NO_CANDIDATES")
+    return F.coalesce(proof, _by_phrase(_low(reason), REASON_OF_VERIFICATION), rest)
+
+
 def is_valid_company_page(html: Column) -> Column:
     low = _low(html)
     return F.contains(low, F.lit("fatturato")) & any_of(low, ["partita iva", "p.iva", "codice fiscale"])

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Legal forms, trade words and articles that a name is stripped of.
 LEGAL_FORM = r"s\.?r\.?l\.?|s\.?p\.?a\.?|s\.?n\.?c\.?|s\.?a\.?s\.?|s\.?s\.?|soc\.?|coop\.?|societ[aà]'?\s+cooperativa|s\.?c\.?r\.?l\.?|s\.?c\.?|s\.?r\.?s\.?"
@@ -17,11 +21,21 @@ STREET_TYPES = ["via", "viale", "piazza", "corso", "vicolo", "strada", "piazzale
 # Cities with a province of their own name.
 PROVINCE_OF = {"milano": "MI", "roma": "RM", "torino": "TO", "napoli": "NA", "brescia": "BS", "bergamo": "BG", "bologna": "BO", "firenze": "FI", "venezia": "VE", "verona": "VR", "genova": "GE", "padova": "PD"}
 ACCENTED, PLAIN = "àáâãäåèéêëìíîïòóôõöùúûüçñýÿ", "aaaaaaeeeeiiiiooooouuuucnyy"
-# Codes of the Italian provinces.
-PROVINCES = (
-    "AG AL AN AO AP AQ AR AT AV BA BG BI BL BN BO BR BS BT BZ CA CB CE CH CL CN CO CR CS CT CZ EN FC FE FG FI FM FR GE GO GR IM IS KR LC LE LI LO LT LU "
-    "MB MC ME MI MN MO MS MT NA NO NU OR PA PC PD PE PG PI PN PO PR PT PU PV PZ RA RC RE RG RI RM RN RO SA SI SO SP SR SS SU SV TA TE TN TO TP TR TS TV UD VA VB VC VE VI VR VT VV"
-).split()
+# The Italian provinces, code and name.
+PROVINCE_NAMES = {
+    "AG": "Agrigento", "AL": "Alessandria", "AN": "Ancona", "AO": "Aosta", "AR": "Arezzo", "AP": "Ascoli Piceno", "AT": "Asti", "AV": "Avellino", "BA": "Bari", "BT": "Barletta-Andria-Trani",
+    "BL": "Belluno", "BN": "Benevento", "BG": "Bergamo", "BI": "Biella", "BO": "Bologna", "BZ": "Bolzano", "BS": "Brescia", "BR": "Brindisi", "CA": "Cagliari", "CL": "Caltanissetta",
+    "CB": "Campobasso", "CE": "Caserta", "CT": "Catania", "CZ": "Catanzaro", "CH": "Chieti", "CO": "Como", "CS": "Cosenza", "CR": "Cremona", "KR": "Crotone", "CN": "Cuneo",
+    "EN": "Enna", "FM": "Fermo", "FE": "Ferrara", "FI": "Firenze", "FG": "Foggia", "FC": "Forlì-Cesena", "FR": "Frosinone", "GE": "Genova", "GO": "Gorizia", "GR": "Grosseto",
+    "IM": "Imperia", "IS": "Isernia", "SP": "La Spezia", "AQ": "L'Aquila", "LT": "Latina", "LE": "Lecce", "LC": "Lecco", "LI": "Livorno", "LO": "Lodi", "LU": "Lucca",
+    "MC": "Macerata", "MN": "Mantova", "MS": "Massa-Carrara", "MT": "Matera", "ME": "Messina", "MI": "Milano", "MO": "Modena", "MB": "Monza e Brianza", "NA": "Napoli", "NO": "Novara",
+    "NU": "Nuoro", "OR": "Oristano", "PD": "Padova", "PA": "Palermo", "PR": "Parma", "PV": "Pavia", "PG": "Perugia", "PU": "Pesaro e Urbino", "PE": "Pescara", "PC": "Piacenza",
+    "PI": "Pisa", "PT": "Pistoia", "PN": "Pordenone", "PZ": "Potenza", "PO": "Prato", "RG": "Ragusa", "RA": "Ravenna", "RC": "Reggio Calabria", "RE": "Reggio Emilia", "RI": "Rieti",
+    "RN": "Rimini", "RM": "Roma", "RO": "Rovigo", "SA": "Salerno", "SS": "Sassari", "SV": "Savona", "SI": "Siena", "SR": "Siracusa", "SO": "Sondrio", "SU": "Sud Sardegna",
+    "TA": "Taranto", "TE": "Teramo", "TR": "Terni", "TO": "Torino", "TP": "Trapani", "TN": "Trento", "TV": "Treviso", "TS": "Trieste", "UD": "Udine", "VA": "Varese",
+    "VE": "Venezia", "VB": "Verbano-Cusio-Ossola", "VC": "Vercelli", "VR": "Verona", "VV": "Vibo Valentia", "VI": "Vicenza", "VT": "Viterbo",
+}
+PROVINCES = list(PROVINCE_NAMES)
 # Legal endings of a name, in the order they are tried.
 SUFFIXES = [("srls", r"s\.?r\.?l\.?s\.?"), ("srl", r"s\.?r\.?l\.?"), ("spa", r"s\.?p\.?a\.?"), ("snc", r"s\.?n\.?c\.?"), ("sas", r"s\.?a\.?s\.?"), ("ss", r"s\.?s\.?")]
 
@@ -62,9 +76,15 @@ def name_tokens(c: Column) -> Column:
     return F.filter(folded_tokens(c), lambda t: (F.length(t) >= 2) & ~t.isin(FILLER_WORDS))
 
 
+@F.pandas_udf(StringType())
+def composed(c: pd.Series) -> pd.Series:
+    """Canonical composition (NFC)."""
+    return c.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
+
+
 def clean_input(c: Column) -> Column:
-    """Zero-width characters and quotes off, dashes to '-', blanks squeezed; input is taken to be composed already."""
-    c = F.regexp_replace(_text(c), r"[\x{200B}\x{200C}\x{200D}\x{FEFF}]", "")
+    """Composed (NFC), zero-width characters and quotes off, dashes to '-', blanks squeezed."""
+    c = F.regexp_replace(composed(_text(c)), r"[\x{200B}\x{200C}\x{200D}\x{FEFF}]", "")
     c = F.regexp_replace(c, r"[\x{2010}-\x{2015}\x{2212}]", "-")
     return squeeze(F.regexp_replace(c, "[\"'`«»‘’“”]", ""))
 
@@ -111,6 +131,22 @@ def normalize_province(c: Column) -> Column:
     return F.coalesce(F.try_element_at(codes, F.lower(F.trim(c))), F.when(F.length(c) == 2, F.upper(c)).otherwise(c))
 
 
+def _looked_up(pairs: dict[str, str], c: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair]), c)
+
+
+def province_code(c: Column) -> Column:
+    """Code of a province given by code or name, whatever the case; anything else upper."""
+    bare = F.trim(c)
+    named = _looked_up({n.lower(): k for k, n in PROVINCE_NAMES.items()}, F.lower(bare))
+    return F.when(F.upper(bare).isin(PROVINCES), F.upper(bare)).otherwise(F.coalesce(named, F.upper(bare)))
+
+
+def province_name(c: Column) -> Column:
+    """Name of a province given by code or name; null for any other."""
+    return _looked_up(PROVINCE_NAMES, province_code(c))
+
+
 def normalize_cap(c: Column) -> Column:
     digits = F.regexp_replace(c, "[^0-9]", "")
     return F.when(F.length(digits) == 5, digits)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from quarrystone.functions.names import ARTICLES, LEGAL_FORM, TRADE_WORDS
+from quarrystone.functions.names import ACCENTED, ARTICLES, FILLER_WORDS, LEGAL_FORM, PLAIN, TRADE_WORDS
 
 
 def _quoted(pattern: str) -> str:
@@ -12,7 +16,8 @@ def _quoted(pattern: str) -> str:
 
 
 def register(spark: SparkSession) -> None:
-    """Make vat_checksum, root_domain and normalize_company callable in the session's SQL."""
+    """Make vat_checksum, root_domain, normalize_company, name_coverage and the table function guessed_domains callable in
+    the session's SQL."""
     digits = "regexp_replace(coalesce(v, ''), '[^0-9]', '')"
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION vat_checksum(v STRING) RETURNS BOOLEAN RETURN length({digits}) = 11 AND luhn_check(CASE WHEN length({digits}) = 11 THEN {digits} ELSE '1' END)")
     host = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:@]+)"
@@ -21,3 +26,19 @@ def register(spark: SparkSession) -> None:
     for pattern, by in ((rf"(^|\s)({LEGAL_FORM})(?=\s|$)", " "), (r"[.,/\-&()]", " "), (rf"\b({'|'.join(TRADE_WORDS)})\b", ""), (rf"\b({'|'.join(ARTICLES)})\b", ""), (r"\s+", " ")):
         text = f"regexp_replace({text}, '{_quoted(pattern)}', '{by}')"
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION normalize_company(n STRING) RETURNS STRING RETURN trim({text})")
+    folded = lambda x: f"trim(regexp_replace(translate(lower(coalesce({x}, '')), '{ACCENTED}', '{PLAIN}'), '[^a-z0-9]+', ' '))"
+    filler = ", ".join(f"'{w}'" for w in FILLER_WORDS)
+    tokens = f"filter(split({folded('name')}, ' '), t -> length(t) >= 2 AND t NOT IN ({filler}))"
+    hit = f"contains(concat(' ', {folded('text')}, ' '), concat(' ', t, ' ')) OR (length(t) >= 4 AND contains({folded('text')}, t))"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION name_coverage(name STRING, text STRING) RETURNS DOUBLE RETURN CASE WHEN size({tokens}) = 0 THEN 0D ELSE size(filter({tokens}, t -> {hit})) / size({tokens}) END")
+    spark.udtf.register("guessed_domains", GuessedDomains)
+
+
+@F.udtf(returnType=StructType([StructField("place", IntegerType()), StructField("domain", StringType())]))
+class GuessedDomains:
+    """Rows (place, domain) for the words of a name: joined and with dashes, with the usual endings."""
+
+    def eval(self, tokens: list[str]) -> Iterator[tuple[int, str]]:
+        names = dict.fromkeys(["".join(tokens or []), "-".join(tokens or [])])
+        for i, domain in enumerate(f"{n}{e}" for n in names if n for e in (".it", ".com", ".eu", ".net")):
+            yield i + 1, domain
