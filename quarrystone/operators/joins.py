@@ -77,12 +77,17 @@ def filter_blacklisted(candidates: DataFrame, blacklist: DataFrame, url: str = "
 
 
 def match_phones(entities: DataFrame, found: DataFrame) -> DataFrame:
-    """(row_id, page_id) of equal or suffix-equal numbers: joined on the last eight digits, and shorter ones on all."""
+    """(row_id, page_id, n_pages): of each row the smallest page that shows one of its numbers, and how many do (once for each
+    number). Numbers match if equal or suffix-equal.
+
+    Different numbers are compared, joined on their last eight digits (shorter ones on all); a number that very many rows
+    or pages have is one row here."""
     tail = lambda c: F.substring(F.regexp_replace(c, "[^0-9]", ""), -8, 8)
-    a = entities.select("row_id", F.explode("phones").alias("pa"))
-    b = found.select("page_id", F.explode("found").alias("pb"))
-    pairs = a.withColumn("k", tail(F.col("pa"))).join(b.withColumn("k", tail(F.col("pb"))), "k")
-    return pairs.where(phones_match(F.col("pa"), F.col("pb"))).select("row_id", "page_id").distinct()
+    a = entities.select("row_id", F.explode(F.array_distinct("phones")).alias("pa"))
+    b = found.select("page_id", F.explode(F.array_distinct("found")).alias("pb")).groupBy("pb").agg(F.min("page_id").alias("page_id"), F.countDistinct("page_id").alias("n_pages"))
+    pairs = a.select("pa").distinct().withColumn("k", tail(F.col("pa"))).join(b.withColumn("k", tail(F.col("pb"))), "k").where(phones_match(F.col("pa"), F.col("pb")))
+    pairs = pairs.groupBy("pa").agg(F.min("page_id").alias("page_id"), F.sum("n_pages").alias("n_pages"))
+    return a.join(pairs, "pa").groupBy("row_id").agg(F.min("page_id").alias("page_id"), F.sum("n_pages").alias("n_pages"))
 
 
 def candidates_with_pages(candidates: DataFrame, pages: DataFrame, url: str = "source_url") -> DataFrame:

@@ -88,16 +88,22 @@ def _distinct(values: list) -> list:
     return list(dict.fromkeys(values))
 
 
+def _luhn(digits: str) -> bool:
+    doubled = [int(d) * 2 for d in digits[-2::-2]]
+    return (sum(map(int, digits[-1::-2])) + sum(d - 9 if d > 9 else d for d in doubled)) % 10 == 0
+
+
 def _page(html: str, url: str) -> dict:
     page = Page(html)
-    own = (urlsplit(url).hostname or "").removeprefix("www.")
+    own = _host(url).removeprefix("www.")
     links = _distinct([x for x in (_joined(url, h) for h, _ in page.links) if x.startswith("http")])
-    same = lambda x: (_host(x)).removeprefix("www.") == own
-    worded = lambda pattern: _distinct([_joined(url, h) for h, t in page.links if re.search(pattern, f"{h} {t}", re.I)])
+    same = lambda x: bool(own) and (_host(x).removeprefix("www.") == own or _host(x).endswith("." + own))
+    worded = lambda pattern: [x for x in links if same(x) and re.search(pattern, urlsplit(x).path.lower())]
     return {
         "text": squeezed(page.text), "title": squeezed(page.meta.get("og:title") or page.title), "description": page.meta.get("description", ""), "generator": page.meta.get("generator", ""),
         "jsonld": page.jsonld, "h1": _distinct([t for h, t in page.heads if h == "h1" and 0 < len(t) < 200])[:5], "internal": [x for x in links if same(x)], "external": [x for x in links if not same(x)],
-        "contact": worded(r"contatt|contact"), "privacy": worded(r"privacy"),
+        "contact": worded("contat|contact|chi-siam"), "privacy": worded("privacy|cookie|legal"),
+        "emails": _distinct(re.findall(r"[a-zA-Z0-9._-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,6}", html)), "vats": _distinct([v for v in re.findall(r"\b[0-9]{11}\b", html) if _luhn(v)]),
     }
 
 
@@ -116,8 +122,9 @@ def _host(url: str) -> str:
 
 
 def extract_page(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, title, description, generator, jsonld, h1, internal, external, contact, privacy)."""
-    lists = ["jsonld", "h1", "internal", "external", "contact", "privacy"]
+    """(page_id, url, text, title, description, generator, jsonld, h1, internal, external, contact, privacy, emails, vats):
+    links are resolved against the page's url; contact and privacy links are internal ones; VAT numbers pass their check."""
+    lists = ["jsonld", "h1", "internal", "external", "contact", "privacy", "emails", "vats"]
     schema = "page_id long, url string, text string, title string, description string, generator string, " + ", ".join(f"{x} array<string>" for x in lists)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,8 +249,21 @@ def serp_rows(pages: DataFrame, own: list[str], most: int = 10) -> DataFrame:
     return pages.select("page_id", "html").mapInPandas(run, "page_id long, place int, url string, title string")
 
 
+ADDRESS = re.compile(r"(?P<street>[^,\n|]*(?:,\s*[0-9]+[a-zA-Z/]*)?)[\s,-]*\b(?P<zip>[0-9]{5})\b[\s,-]*(?P<city>[^()\n|]*?)\s*\((?P<province>[A-Z]{2})\)")
+
+
+def _address(page: Page) -> tuple[str | None, str | None, str | None, str | None]:
+    """Street, zip, city and province of the first line with a postal code and a province in brackets."""
+    for line in "".join(page.text).split("\n"):
+        if m := ADDRESS.search(squeezed(line)):
+            return tuple(m[k].strip(" ,-") or None for k in ("street", "zip", "city", "province"))
+    return None, None, None, None
+
+
 def listing_rows(pages: DataFrame) -> DataFrame:
-    """(page_id, place, name, phone, website): a row for each heading of a stored listing, with what follows it."""
+    """(page_id, place, name, phone, website, street, zip, city, province): a row for each heading of a stored listing, with
+    what follows it."""
+    names = ["page_id", "place", "name", "phone", "website", "street", "zip", "city", "province"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -254,14 +274,15 @@ def listing_rows(pages: DataFrame) -> DataFrame:
                     page = Page(parts[i + 1])
                     phone = re.search(r"(?:\+39|0)[\d ./-]{6,}", squeezed(page.text))
                     site = next((h for h, _ in page.links if h.startswith("http")), None)
-                    rows.append((page_id, i // 2 + 1, squeezed(Page(parts[i]).text), re.sub(r"[^\d+]", "", phone[0]) if phone else None, site))
-            yield pd.DataFrame(rows, columns=["page_id", "place", "name", "phone", "website"])
+                    rows.append((page_id, i // 2 + 1, squeezed(Page(parts[i]).text), re.sub(r"[^\d+]", "", phone[0]) if phone else None, site, *_address(page)))
+            yield pd.DataFrame(rows, columns=names)
 
-    return pages.select("page_id", "html").mapInPandas(run, "page_id long, place int, name string, phone string, website string")
+    return pages.select("page_id", "html").mapInPandas(run, "page_id long, place int, " + ", ".join(f"{n} string" for n in names[2:]))
 
 
 def labelled_fields(pages: DataFrame, labels: dict[str, str]) -> DataFrame:
-    """(page_id, one column per label): what stands after a label, on its line or the next one of the page's text."""
+    """(page_id, one column per label): what stands after a label. Blocks and table cells begin lines of the text, so that is
+    the rest of the label's own element or line, else the next line that isn't blank: the sibling or the next cell."""
 
     def find(lines: list[str], label: str) -> str | None:
         for i, line in enumerate(lines):

@@ -113,26 +113,32 @@ def merge_by_trust(df: DataFrame, key: str, fields: list[str], source: str = "so
     return out.select(key, *[F.col(f"_{f}.v").alias(f) for f in fields], F.map_from_entries(named).alias("sources"))
 
 
+def cascade_keys() -> Column:
+    """Typed keys of a record: VAT number as given, phone digits (over five), name without legal form and city."""
+    bare = lambda c: F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9_]", "")
+    vat, phone = F.nullif(F.trim(F.col("vat")), F.lit("")), digits(F.col("phone"))
+    name = bare(F.regexp_replace(F.lower(F.coalesce("company_name", F.lit(""))), r"s\.r\.l\.|s\.p\.a\.|s\.n\.c\.|srl|spa|snc", ""))
+    return F.array_compact(F.array(F.concat(F.lit("V:"), vat), F.when(F.length(phone) > 5, F.concat(F.lit("P:"), phone)), F.when(name != "", F.concat_ws("_", F.concat(F.lit("N:"), name), bare(F.col("city"))))))
+
+
 def dedup_priority_cascade(df: DataFrame, row_id: str = "row_id") -> DataFrame:
-    """One row per entity linked by VAT digits, else phone digits (over five), else name and city: the first row, with
-    website, phone and short addresses filled from later ones."""
-    vat, phone = digits(F.col("vat")), digits(F.col("phone"))
-    key = F.when(F.length(vat) > 0, F.concat(F.lit("V"), vat)).when(F.length(phone) > 5, F.concat(F.lit("P"), phone)).otherwise(F.concat(F.lit("N"), name_city_slug(F.col("company_name"), F.col("city"))))
-    w = Window.partitionBy("_k").orderBy(row_id).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first_filled = lambda c: F.first(F.when(_has(F.col(c)), F.col(c)), ignorenulls=True).over(w)
-    out = df.withColumn("_k", key).withColumns(
-        {
-            "_n": F.row_number().over(Window.partitionBy("_k").orderBy(row_id)),
-            "_site": first_filled("website"),
-            "_phone": first_filled("phone"),
-            "_address": F.first(F.when(F.length("address") >= 5, F.col("address")), ignorenulls=True).over(w),
-            "n_merged": F.count("*").over(Window.partitionBy("_k")),
-        }
-    )
-    out = out.where("_n = 1").withColumn("source", F.when(~_has(F.col("website")) & _has(F.col("_site")), F.concat(F.coalesce("source", F.lit("")), F.lit(" + Maps"))).otherwise(F.col("source")))
-    out = out.withColumns({"website": F.coalesce(F.nullif("website", F.lit("")), "_site"), "phone": F.coalesce(F.nullif("phone", F.lit("")), "_phone")})
-    out = out.withColumn("address", F.when(F.length("address") >= 5, F.col("address")).otherwise(F.coalesce("_address", "address")))
-    return out.drop("_k", "_n", "_site", "_phone", "_address")
+    """One row per entity: rows that share a VAT number, a phone, or a name and city belong together, transitively. The first
+    row, with an empty website (source + " + Maps") and phone filled from later ones, and an address under five characters
+    by a longer one (else the last there is); ``n_merged`` rows in all. Rows without any key stay alone."""
+    keyed = df.withColumn("_keys", cascade_keys())
+    rows = df.join(link_by_keys(keyed, row_id, "_keys").withColumnRenamed("entity_id", "_entity"), row_id)
+    at = F.col(row_id)
+    first = lambda cond, c: F.min_by(F.when(cond, F.col(c)), F.when(cond, at))
+    filled = rows.groupBy("_entity").agg(
+        F.min_by(F.struct(*df.columns), at).alias("_row"), F.count("*").alias("n_merged"), first(_has(F.col("website")), "website").alias("_site"), first(_has(F.col("phone")), "phone").alias("_phone"),
+        first(F.length("address") >= 5, "address").alias("_long"), F.max_by(F.when(_has(F.col("address")), F.col("address")), F.when(_has(F.col("address")), at)).alias("_last"),
+    )
+    out = filled.select(*[F.col("_row")[c].alias(c) for c in df.columns], "n_merged", "_site", "_phone", "_long", "_last")
+    gained = ~_has(F.col("website")) & F.col("_site").isNotNull()
+    out = out.withColumn("source", F.when(gained, F.concat(F.coalesce("source", F.lit("")), F.lit(" + Maps"))).otherwise(F.col("source")))
+    out = out.withColumns({"website": F.coalesce("_site", "website"), "phone": F.coalesce("_phone", "phone")})
+    out = out.withColumn("address", F.when(F.length("address") >= 5, F.col("address")).otherwise(F.coalesce("_long", "_last", "address")))
+    return out.drop("_site", "_phone", "_long", "_last")
 
 
 def fuzzy_pairs(df: DataFrame, name: str, row_id: str = "row_id", percent: int = 85) -> DataFrame:
@@ -199,12 +205,35 @@ def clean_serp(df: DataFrame, noise: list[str], profile: str, most: int = 10) ->
 
 
 def runner_ups(df: DataFrame, k: int = 10) -> DataFrame:
-    """Per company the best score of each URL, top ``k``."""
-    best = df.groupBy("company_id", "url").agg(F.max("score").alias("score"))
+    """Per company the best score of each URL (with that row's other columns), top ``k``."""
+    others = [c for c in df.columns if c not in ("company_id", "url", "score")]
+    best = df.groupBy("company_id", "url").agg(F.max("score").alias("score"), *[F.max_by(c, "score").alias(c) for c in others])
     w = Window.partitionBy("company_id").orderBy(F.desc("score"), "url")
     return best.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
 
+def profile_and_balance(runners: DataFrame) -> DataFrame:
+    """(company_id, profile_url, balance_url) of runner-ups by falling score: the first profile, and the first .pdf if its title
+    or description is that of a balance sheet."""
+    said = F.lower(F.concat_ws(" ", "title", "description"))
+    pdf = F.col("url").endswith(".pdf")
+    balance = F.contains(said, F.lit("bilancio")) | F.contains(said, F.lit("stato patrimoniale"))
+    first = lambda cond: F.min_by(F.when(cond, F.struct("url", balance.alias("ok"))), F.when(cond, F.col("place")))
+    found = runners.groupBy("company_id").agg(first(F.contains("url", F.lit("linkedin.com/"))).alias("_p"), first(pdf).alias("_b"))
+    return found.select("company_id", F.col("_p.url").alias("profile_url"), F.when(F.col("_b.ok"), F.col("_b.url")).alias("balance_url"))
+
+
+def union_candidates(parts: list[tuple[str, DataFrame]], key: str = "company_id", url: str = "url") -> DataFrame:
+    """Candidates of several sources, in the order of ``parts``: each URL of a company once, from the first source that has it,
+    with ``src`` and ``src_priority`` (from 0)."""
+    out = None
+    for i, (name, df) in enumerate(parts):
+        part = df.withColumns({"src": F.lit(name), "src_priority": F.lit(i)})
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    best = F.min_by(F.struct(*out.columns), F.struct("src_priority", "rank"))
+    return out.groupBy(key, url).agg(best.alias("_b")).select("_b.*")
+
+
 def merge_runs(valid: list[DataFrame], key: list[str], invalid: list[DataFrame], not_found: list[DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """First run wins per key among valid rows; invalid ones are those of runs 3 and 4; not found are run 4's if it was."""
     numbered = [d.withColumn("run_no", F.lit(i + 1)) for i, d in enumerate(valid)]

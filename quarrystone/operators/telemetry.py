@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,19 +36,17 @@ def ledger_summary(ledger: DataFrame, since: str | None = None) -> DataFrame:
     return rows.agg(F.round(cost, 6).alias("cost_eur"), n.alias("calls"), F.round(F.coalesce(F.avg(F.col("success").cast("int")), F.lit(1.0)), 6).alias("success_rate"), F.round(F.when(companies > 0, cost / companies).otherwise(F.lit(0.0)), 6).alias("cost_per_company"))
 
 
-def _rank_at(value: str, share: float, by: list[str]) -> tuple[Column, Column]:
-    w = Window.partitionBy(*by)
-    return F.row_number().over(w.orderBy(value, F.lit(0))), F.floor(F.count("*").over(w) * share).cast("int") + 1
-
-
 def health_snapshot(ledger: DataFrame, window: str = "1 day", by: list[str] | None = None) -> DataFrame:
     """Per window: calls, error rate, mean and 95th percentile duration (element floor(0.95 n) of the sorted list), cost,
     cache hits, providers that are unhealthy (five calls and over 30 % errors), and whether to slow down."""
     by = by or []
     rows = ledger.withColumn("window_start", F.window("ts", window)["start"])
     keys = [*by, "window_start"]
-    rank, wanted = _rank_at("duration_ms", 0.95, keys)
-    p95 = rows.withColumns({"_r": rank, "_w": wanted}).where("_r = _w").select(*keys, F.col("duration_ms").alias("p95_duration_ms"))
+    # The percentile from counts per duration, so that a window's calls are never in one task.
+    counted = rows.where("duration_ms is not null").groupBy(*keys, "duration_ms").agg(F.count("*").alias("n"))
+    w = Window.partitionBy(*keys)
+    upto = counted.withColumns({"_upto": F.sum("n").over(w.orderBy("duration_ms")), "_of": F.sum("n").over(w)})
+    p95 = upto.where("_upto >= cast(floor(_of * 0.95) as bigint) + 1").groupBy(*keys).agg(F.min("duration_ms").alias("p95_duration_ms"))
     per = rows.groupBy(*keys, "provider").agg(F.count("*").alias("n"), F.count_if(~F.col("success")).alias("bad"), F.sum("duration_ms").alias("ms"), F.sum("cost_eur").alias("cost"), F.count_if("cache_hit").alias("hits"))
     ill = (F.col("n") >= 5) & (F.col("bad") / F.col("n") > 0.3)
     # Few providers: rolled up from the counts per provider, so a busy one is aggregated before it moves.
@@ -105,50 +105,70 @@ def split_overflow_targets(results: DataFrame, municipalities: DataFrame, most:
 
 
 def running_totals(log: DataFrame, key: str = "provider") -> DataFrame:
-    """Per key: processed, found, yield, and the failures in a row at the end of the log."""
-    w = Window.partitionBy(key)
-    last_good = F.max(F.when(F.col("success"), F.struct("ts", "event_id"))).over(w)
-    rows = log.withColumn("_tail", F.coalesce(F.struct("ts", "event_id") > last_good, F.lit(True)))
-    return rows.groupBy(key).agg(F.count("*").alias("processed"), F.count_if("success").alias("found"), F.avg(F.col("success").cast("int")).alias("yield"), F.count_if(F.col("_tail")).alias("consecutive_failures"))
+    """Per key: processed, found, yield, and the failures in a row at the end of the log (all if there was no success).
 
+    Two aggregations: the last success of each key, then the counts of each key and of what comes after it."""
+    last = log.groupBy(F.col(key).alias("_key")).agg(F.max(F.when(F.col("success"), F.struct("ts", "event_id"))).alias("_last"))
+    rows = log.join(last, F.col(key).eqNullSafe(F.col("_key")))
+    tail = F.coalesce(F.struct("ts", "event_id") > F.col("_last"), F.lit(True))
+    return rows.groupBy(key).agg(F.count("*").alias("processed"), F.count_if("success").alias("found"), F.avg(F.col("success").cast("int")).alias("yield"), F.count_if(tail).alias("consecutive_failures"))
 
-def alerts(health: DataFrame, cost_per_company: float = 0.06) -> DataFrame:
-    return health.where(F.col("cost_per_company") > cost_per_company)
 
+def alerts(health: DataFrame, cost_per_company: float = 0.06, exhaustions: int = 10) -> DataFrame:
+    """(window_start, alert, value) of five-minute windows: COST_RUNAWAY and PROVIDER_EXHAUSTION."""
+    found = F.array_compact(
+        F.array(
+            F.when(F.col("cost_per_company") > cost_per_company, F.struct(F.lit("COST_RUNAWAY").alias("alert"), F.col("cost_per_company").cast("double").alias("value"))),
+            F.when(F.col("exhausted") > exhaustions, F.struct(F.lit("PROVIDER_EXHAUSTION").alias("alert"), F.col("exhausted").cast("double").alias("value"))),
+        )
+    )
+    return health.select("window_start", F.explode(found).alias("_a")).select("window_start", "_a.alert", "_a.value")
 
-def _fold_breaker(rows: pd.DataFrame, cost: float, errors: float, hold_s: float) -> pd.DataFrame:
-    rows = rows.sort_values("window_start")
-    since, state = None, []
-    for ts, c, e in zip(rows["window_start"], rows["cost_per_company"], rows["error_rate"], strict=True):
-        bad = c > cost or e > errors
-        if since is None and bad:
-            since = ts
-        elif since is not None and not bad and (ts - since).total_seconds() >= hold_s:
-            since = None
-        state.append(since is not None)
-    return rows.assign(open=state)[["run_id", "window_start", "open"]]
+
+def _folded(rows: DataFrame, key: str, order: list[str], fold, schema: str) -> DataFrame:
+    """Rows of a key in order, one after another through ``fold(state, row) -> (state, value)``, in batches: a task holds a
+    batch and one state, however many rows a key has."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, state = None, None
+        for b in batches:
+            out = []
+            for row in b.itertuples(index=False):
+                if row[0] != at:
+                    at, state = row[0], None
+                state, value = fold(state, row)
+                out.append(value)
+            yield b.drop(columns=list(b.columns[1:])).assign(**{order[-1]: b[order[-1]], "value": out})
+
+    cols = [key, *[c for c in rows.columns if c != key]]
+    return rows.select(*cols).repartition(key).sortWithinPartitions(key, *order).mapInPandas(run, schema)
 
 
 def circuit_breaker(health: DataFrame, cost: float = 0.04, errors: float = 0.25, hold_s: float = 600) -> DataFrame:
     """(run_id, window_start, open): opens on cost per company or error rate, closes only when clean and ``hold_s`` after
-    opening. A fold over the windows of a run, which are few; runs are spread over tasks."""
-    fold = lambda rows: _fold_breaker(rows, cost, errors, hold_s)
-    return health.select("run_id", "window_start", "cost_per_company", "error_rate").groupBy("run_id").applyInPandas(fold, "run_id string, window_start timestamp, open boolean")
+    opening. A fold over the windows of a run; runs are spread over tasks."""
 
+    def fold(since, row):
+        bad = row.cost_per_company > cost or row.error_rate > errors
+        if since is None and bad:
+            since = row.window_start
+        elif since is not None and not bad and (row.window_start - since).total_seconds() >= hold_s:
+            since = None
+        return since, since is not None
 
-def _fold_last(batch: pd.DataFrame, key: str, seconds: float) -> pd.DataFrame:
-    batch = batch.sort_values(["ts", "event_id"])
-    last, taken = None, []
-    for ts in batch["ts"]:
-        fresh = last is None or (ts - last).total_seconds() >= seconds
-        last = ts if fresh else last
-        taken.append(fresh)
-    return batch.assign(approved=taken)[["event_id", key, "approved"]]
+    rows = health.select(F.col("run_id").cast("string").alias("run_id"), "window_start", "cost_per_company", "error_rate")
+    return _folded(rows, "run_id", ["window_start"], fold, "run_id string, window_start timestamp, value boolean").withColumnRenamed("value", "open")
 
 
 def cooldown(events: DataFrame, key: str, seconds: float) -> DataFrame:
     """(event_id, key, approved): an event is approved if the key's last approved one lies ``seconds`` back. The same rule
-    gives first writes with a time to live: what isn't approved is a cache hit."""
+    gives first writes with a time to live: what isn't approved is a cache hit. Rows without a key or time are left out."""
     kind = events.schema[key].dataType.simpleString()
-    rows = events.select("event_id", key, "ts")
-    return rows.groupBy(key).applyInPandas(lambda b: _fold_last(b, key, seconds), f"event_id long, {key} {kind}, approved boolean")
+
+    def fold(last, row):
+        fresh = last is None or (row.ts - last).total_seconds() >= seconds
+        return row.ts if fresh else last, fresh
+
+    rows = events.select(key, "ts", "event_id").where(F.col(key).isNotNull() & F.col("ts").isNotNull())
+    out = _folded(rows, key, ["ts", "event_id"], fold, f"`{key}` {kind}, event_id long, value boolean")
+    return out.select("event_id", key, F.col("value").alias("approved"))
