@@ -8,12 +8,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
 
+from quarrystone.operators.resolve import company_id
 
-def watch_campaigns(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """Each new CSV of a folder once; the city is what stands before '_' in its name."""
-    rows = spark.readStream.schema(schema).option("header", True).csv(folder)
-    return rows.withColumn("file", F.col("_metadata.file_name")).withColumn("file_city", F.regexp_extract("file", "^(.+?)_", 1))
+
+def watch_campaigns(spark: SparkSession, folder: str, schema: StructType | str, files: int = 100) -> DataFrame:
+    """Each new CSV of a folder once; the city is what stands before '_' in its name, else 'unknown'."""
+    rows = spark.readStream.schema(schema).option("header", True).option("maxFilesPerTrigger", files).csv(folder)
+    city = F.nullif(F.regexp_extract("file", "^(.+?)_", 1), F.lit(""))
+    return rows.withColumn("file", F.col("_metadata.file_name")).withColumn("file_city", F.coalesce(city, F.lit("unknown")))
 
 
 def read_ledger_stream(spark: SparkSession, folder: str, schema: str, files: int = 100) -> DataFrame:
@@ -45,9 +49,9 @@ def block_counts_stream(blocks: DataFrame, hot: int = 5, tumbling: str | None =
     return out.withColumn("hot", F.col("n") >= hot)
 
 
-def dedup_ttl(events: DataFrame, key: list[str], ttl: str) -> DataFrame:
-    """First event of a key within ``ttl``; state ends with the watermark."""
-    return events.withWatermark("ts", ttl).dropDuplicatesWithinWatermark(key)
+def dedup_ttl(events: DataFrame, key: str, seconds: float) -> DataFrame:
+    """Events that come first or ``seconds`` after the last one let through of their key, by event time."""
+    return cooldown_stream(events, key, seconds).where("approved").drop("approved")
 
 
 def cooldown_stream(events: DataFrame, key: str, seconds: float) -> DataFrame:
@@ -95,15 +99,56 @@ def breaker_stream(health: DataFrame, cost: float = 0.04, errors: float = 0.25,
     return rows.groupBy("run_id").applyInPandasWithState(fold, "run_id string, window_start timestamp, open boolean", "since double", "append", GroupStateTimeout.NoTimeout)
 
 
-def campaign_stream(rows: DataFrame, company_id: str = "company_id") -> DataFrame:
-    """First row of each company id."""
-    return rows.dropDuplicates([company_id])
+def campaign_stream(rows: DataFrame) -> DataFrame:
+    """Rows of new campaigns with trimmed fields and their company id, the first of each id; rows without a name are dropped."""
+    text = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "string"]
+    clean = rows.withColumns({c: F.nullif(F.trim(c), F.lit("")) for c in text}).where("company_name is not null")
+    if "company_id" not in rows.columns:
+        clean = clean.withColumn("company_id", F.lit(None).cast("string"))
+    return clean.withColumn("company_id", company_id()).dropDuplicates(["company_id"])
+
+
+def upsert_stream(rows: DataFrame, path: str, checkpoint: str, key: str = "company_id") -> None:
+    """Write each batch of a stream over the table at ``path`` by key: a batch's own row wins. Tables are written in turns
+    beside each other and named by the batch, so one that is run again writes the same table again."""
+    spark = rows.sparkSession
+
+    def save(batch: DataFrame, n: int) -> None:
+        if n:
+            held = spark.read.parquet(f"{path}/batch={n - 1}")
+            batch = batch.unionByName(held.join(batch.select(key), key, "left_anti"))
+        batch.write.mode("overwrite").parquet(f"{path}/batch={n}")
+
+    rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(save).start().awaitTermination()
+
+
+def upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The last table of ``upsert_stream``."""
+    batches = spark.read.parquet(path)
+    return batches.where(F.col("batch") == batches.agg(F.max("batch")).first()[0]).drop("batch")
 
 
 def running_totals_stream(log: DataFrame, key: str = "provider") -> DataFrame:
     return log.groupBy(key).agg(F.count("*").alias("processed"), F.count_if("success").alias("found"), F.avg(F.col("success").cast("int")).alias("yield"))
 
 
+def failure_runs_stream(log: DataFrame, key: str = "provider") -> DataFrame:
+    """(key, processed, consecutive_failures) after each batch: failures in a row at the log's end so far, in the order of ts and
+    event_id. State: two numbers per key."""
+    kind = log.schema[key].dataType.simpleString()
+
+    def fold(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        n, failed = state.get if state.exists else (0, 0)
+        rows = pd.concat(list(batches)).sort_values(["ts", "event_id"])
+        good = rows["success"].to_numpy().nonzero()[0]
+        failed = len(rows) - 1 - int(good[-1]) if len(good) else failed + len(rows)
+        state.update((n + len(rows), failed))
+        yield pd.DataFrame({key: [group[0]], "processed": [n + len(rows)], "consecutive_failures": [failed]})
+
+    rows = log.select(key, "ts", "event_id", "success")
+    return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {kind}, processed long, consecutive_failures long", "n long, failed long", "append", GroupStateTimeout.NoTimeout)
+
+
 def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """Run a stream over what has arrived, into Parquet (append) or its last state (complete), and read the result."""
     spark = stream.sparkSession
