@@ -21,7 +21,7 @@ from quarrystone.operators import ranking as W
 from quarrystone.operators import resolve as D
 from quarrystone.operators import telemetry as A
 from quarrystone.plans.roles import role, role_sql
-from quarrystone.session import shared_dir
+from quarrystone.session import materialize, shared_dir
 from quarrystone.sources import files as IO
 from quarrystone.streaming import jobs as T
 
@@ -91,6 +91,27 @@ def places(spark, d):
     )
 
 
+_provinces = "(VALUES " + ", ".join(f"('{k}', '{q(n)}')" for k, n in N.PROVINCE_NAMES.items()) + ") v(code, name)"
+
+
+@query(
+    "provinces",
+    f"""SELECT row_id, coalesce((SELECT code FROM {_provinces} WHERE code = upper(trim(province))), (SELECT code FROM {_provinces} WHERE lower(name) = lower(trim(province))), upper(trim(province))) AS code,
+      (SELECT code FROM {_provinces} WHERE lower(name) = lower(trim(city))) AS code_of_city, (SELECT name FROM {_provinces} WHERE code = upper(trim(province)) OR lower(name) = lower(trim(province))) AS name FROM {COMPANIES}""",
+)
+def provinces(spark, d):
+    of_city = F.when(F.lower(F.trim("city")).isin([n.lower() for n in N.PROVINCE_NAMES.values()]), N.province_code(F.col("city")))
+    return role(spark, d, "companies").select("row_id", N.province_code(F.col("province")).alias("code"), of_city.alias("code_of_city"), N.province_name(F.col("province")).alias("name"))
+
+
+@query("clean_inputs", f"SELECT row_id, trim(regexp_replace(company_name, '\\s+', ' ', 'g')) AS name, replace(regexp_replace(nfc_normalize(city), '\\s+', ' ', 'g'), '\"', '') AS city FROM {COMPANIES}")
+def clean_inputs(spark, d):
+    """Names are given decomposed, as some exports are."""
+    c = role(spark, d, "companies")
+    apart = F.replace(F.col("company_name"), F.lit("ì"), F.lit("i\u0300"))
+    return c.select("row_id", N.clean_input(F.concat(F.lit("\u200b"), apart, F.lit('"'))).alias("name"), N.clean_input(F.col("city")).alias("city"))
+
+
 # --- contacts --------------------------------------------------------------------------------------------------------
 _parts = "list_filter(list_transform(list_transform(string_split_regex(coalesce(phone, ''), ';|\\s/\\s'), lambda p: regexp_replace(p, '[^0-9+]', '', 'g')), lambda p: CASE WHEN starts_with(p, '0039') THEN '+' || substr(p, 3) ELSE p END), lambda p: length(replace(p, '+', '')) >= 5)"
 _luhn = lambda v: f"list_sum(list_transform(range(1, 12), lambda i: CASE WHEN i % 2 = 1 THEN substr({v}, i::INT, 1)::INT ELSE (CASE WHEN 2 * substr({v}, i::INT, 1)::INT > 9 THEN 2 * substr({v}, i::INT, 1)::INT - 9 ELSE 2 * substr({v}, i::INT, 1)::INT END) END)) % 10 = 0"
@@ -161,7 +182,7 @@ _count = lambda t, xs: "(" + " + ".join(f"contains({t}, '{q(x)}')::INT" for x in
 @query(
     "content_checks",
     f"""SELECT doc_id, NOT ({_any("t", P.PARKING)} OR length(t) < 500 AND {_any("t", P.CONSTRUCTION)}) AS valid, length(t) < 120 OR {_count("t", P.STOP_WORDS["it"])} >= CASE WHEN length(t) > 2000 THEN 3 ELSE 4 END AS italian,
-      {_any("t", P.DIRECTORY_TITLES)} AS directory_title, {_count("t", ["the", "der", "tion"])} / 3 AS relevance, {_any("substr(t, 1, 5000)", P.PARKING)} OR length(t) < 100 AS parked
+      {_any("t", P.DIRECTORY_TITLES)} AS directory_title, {_count("t", ["the", "der", "tion"])} / 3 AS relevance, {_any("substr(t, 1, 2048)", P.PARKED_START)} OR {_any("substr(t, 1, 5000)", P.PARKING)} OR length(t) < 100 AS parked
       FROM (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents)""",
 )
 def content_checks(spark, d):
@@ -188,6 +209,30 @@ def classify_blocks(spark, d):
     return role(spark, d, "ledger").select("event_id", kind.alias("block_type"), P.classify_fetch_error(F.col("message")).alias("fetch_error"), P.error_category(F.col("message")).alias("category"))
 
 
+def _coded(text: str, rules: list) -> str:
+    return " ".join(f"WHEN {_any(text, phrases)} THEN '{code}'" for phrases, code in rules)
+
+
+_status = "CASE event_id % 10 WHEN 0 THEN 'OK' WHEN 1 THEN 'OK_LIKELY' WHEN 2 THEN 'NO_DOMAIN_FOUND' WHEN 3 THEN 'REJECTED_DIRECTORY' WHEN 4 THEN 'ERROR_TIMEOUT' WHEN 5 THEN 'ERROR_BLOCKED' WHEN 6 THEN 'ERROR_DNS' WHEN 7 THEN 'ERROR_FETCH' ELSE provider END"
+
+
+@query(
+    "reason_codes",
+    f"""SELECT event_id, CASE category {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in P.REASON_OF_CATEGORY.items())} ELSE 'ERROR_INTERNAL' END AS of_category, CASE {_coded("m", P.REASON_OF_ERROR)} ELSE 'ERROR_INTERNAL' END AS of_error,
+      CASE {_coded("m", P.REASON_OF_EXCEPTION)} ELSE 'ERROR_INTERNAL' END AS of_exception,
+      CASE WHEN status = 'NO_DOMAIN_FOUND' THEN CASE WHEN contains(m, 'no candidates') THEN 'NOT_FOUND_NO_CANDIDATES' ELSE 'REJECTED_NO_MATCHING_SIGNALS' END {" ".join(f"WHEN status = '{k}' THEN '{v}'" for k, v in P.REASON_OF_STATUS.items())} ELSE 'ERROR_INTERNAL' END AS of_status,
+      CASE WHEN success AND cache_hit THEN 'OK_CONFIRMED_VAT_MATCH' WHEN success AND http_status = 200 THEN 'OK_CONFIRMED_PHONE_MATCH' WHEN success THEN 'OK_CONFIRMED_SCHEMAORG_URL' {_coded("m", P.REASON_OF_VERIFICATION)}
+        WHEN duration_ms / 10000 >= 0.75 THEN 'OK_LIKELY_NAME_CITY_MATCH' WHEN duration_ms > 0 THEN 'REJECTED_NO_MATCHING_SIGNALS' ELSE 'NOT_FOUND_NO_CANDIDATES' END AS of_verification
+      FROM (SELECT *, lower(message) AS m, {_status} AS status FROM {LEDGER}) JOIN ({ORACLES["classify_blocks"]}) USING (event_id)""",
+)
+def reason_codes(spark, d):
+    ledger, message, ok = role(spark, d, "ledger").withColumn("status", F.expr(_status)), F.col("message"), F.col("success")
+    return ledger.select(
+        "event_id", P.reason_of_category(P.error_category(message)).alias("of_category"), P.reason_of_error(message).alias("of_error"), P.reason_of_exception(message).alias("of_exception"), P.reason_of_status(F.col("status"), message).alias("of_status"),
+        P.reason_of_verification(message, F.col("duration_ms") / 10000, ok & F.col("cache_hit"), ok & (F.col("http_status") == 200), ok).alias("of_verification"),
+    )
+
+
 @query(
     "classify_sites",
     f"""SELECT row_id, CASE WHEN {listed("h", P.DIRECTORY_SITES)} THEN 'DIRECTORY' WHEN {listed("h", P.SOCIAL_SITES)} THEN 'SOCIAL' WHEN {listed("h", P.MARKETPLACES)} THEN 'MARKETPLACE' WHEN {_count("t", P.PARKING)} >= 2 THEN 'PARKED'
@@ -316,12 +361,15 @@ def company_ids(spark, d):
     return D.deterministic_company_id(c)[0].select("row_id", "company_id")
 
 
-@query("overlay", f"SELECT row_id % 1000 AS k, max(row_id) AS row_id, min(CASE WHEN row_id % 2 = 0 THEN row_id END) AS place FROM (SELECT row_id FROM {COMPANIES} WHERE row_id % 2 = 0 UNION ALL SELECT row_id + 1000000 FROM {COMPANIES} WHERE row_id % 10 = 0) GROUP BY k".replace("min(CASE WHEN row_id % 2 = 0 THEN row_id END)", "min(CASE WHEN row_id < 1000000 THEN row_id END)"))
+_slugged = f"{sql_slug('company_name')} || '_' || {sql_slug('city')}"
+
+
+@query("overlay", f"SELECT k, max(row_id) AS row_id, min(CASE WHEN NOT late THEN row_id END) AS place FROM (SELECT {_slugged} AS k, row_id, false AS late FROM {COMPANIES} UNION ALL SELECT {_slugged}, row_id + 1000000000, true FROM {COMPANIES} WHERE balance < 0) GROUP BY k")
 def overlay(spark, d):
-    c = role(spark, d, "companies").select("row_id")
-    base = c.where("row_id % 2 = 0").withColumn("k", F.col("row_id") % 1000)
-    retry = c.where("row_id % 10 = 0").select((F.col("row_id") + 1000000).alias("row_id")).withColumn("k", F.col("row_id") % 1000)
-    return D.overlay(base, retry, ["k"]).select("k", "row_id", "place")
+    """All companies, and the results of a second run over those in the red."""
+    c = role(spark, d, "companies").withColumn("k", N.name_city_slug(F.col("company_name"), F.col("city")))
+    retry = c.where("balance < 0").withColumn("row_id", F.col("row_id") + 1000000000)
+    return D.overlay(c.select("k", "row_id"), retry.select("k", "row_id"), ["k"]).select("k", "row_id", "place")
 
 
 @query(
@@ -343,12 +391,22 @@ def merge_by_trust(spark, d):
     return D.merge_by_trust(role(spark, d, "companies"), "address", ["vat", "website", "province"]).withColumn("website_source", F.col("sources")["website"]).drop("sources")
 
 
+_bare = lambda x: f"regexp_replace({x}, '[^a-z0-9_]', '', 'g')"
 _first = lambda c: f"(array_agg({c} ORDER BY row_id) FILTER (length(trim({c})) > 0))[1]"
+_unformed = "regexp_replace(lower(company_name), 's\\.r\\.l\\.|s\\.p\\.a\\.|s\\.n\\.c\\.|srl|spa|snc', '', 'g')"
 
 
-@query("dedup_cascade", f"SELECT min(row_id) AS row_id, {_first('website')} AS website, count(*) AS n_merged FROM (SELECT *, CASE WHEN vat IS NOT NULL THEN 'V' || {sql_digits('vat')} ELSE 'P' || {sql_digits('phone')} END AS key FROM {COMPANIES}) GROUP BY key")
+@query(
+    "dedup_cascade",
+    f"""WITH RECURSIVE c AS (SELECT *, list_filter(['V:' || nullif(trim(vat), ''), CASE WHEN length({sql_digits("phone")}) > 5 THEN 'P:' || {sql_digits("phone")} END,
+        CASE WHEN {_bare(_unformed)} <> '' THEN 'N:' || {_bare(_unformed)} || '_' || {_bare("lower(city)")} END], lambda x: x IS NOT NULL) AS ks FROM {COMPANIES}),
+      m AS (SELECT DISTINCT row_id, unnest(ks) AS key FROM c), links AS (SELECT DISTINCT a.row_id AS a, b.row_id AS b FROM m a JOIN m b USING (key)),
+      reach AS (SELECT row_id AS node, row_id AS root FROM c UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node), e AS (SELECT node AS row_id, min(root) AS entity FROM reach GROUP BY node)
+      SELECT min(row_id) AS row_id, {_first("website")} AS website, {_first("phone")} AS phone, arg_min(source, row_id) || CASE WHEN arg_min(coalesce(website, '-'), row_id) = '-' AND {_first("website")} IS NOT NULL THEN ' + Maps' ELSE '' END AS source, count(*) AS n_merged
+      FROM c JOIN e USING (row_id) GROUP BY entity""",
+)
 def dedup_cascade(spark, d):
-    return D.dedup_priority_cascade(role(spark, d, "companies")).select("row_id", "website", "n_merged")
+    return D.dedup_priority_cascade(role(spark, d, "companies")).select("row_id", "website", "phone", "source", "n_merged")
 
 
 @query(
@@ -382,11 +440,14 @@ def dedup_urls(spark, d):
 @query(
     "clean_serp",
     f"""SELECT company_id, pos, place FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY pos) AS place FROM (
-      SELECT *, row_number() OVER (PARTITION BY company_id, h ORDER BY pos) AS n FROM (SELECT *, {sql_host("source_url")} AS h FROM {CANDIDATES}) WHERE h <> 'facebook.com') WHERE n = 1) WHERE place <= 10""",
+      SELECT *, row_number() OVER (PARTITION BY company_id, h ORDER BY pos) AS n FROM (SELECT *, {sql_host("source_url")} AS h FROM {CANDIDATES}) WHERE h NOT IN ('facebook.com', 'site3.it')) WHERE n = 1) WHERE place <= 10
+      UNION ALL SELECT company_id, pos, NULL FROM {CANDIDATES} WHERE {sql_host("source_url")} = 'facebook.com'""",
 )
 def clean_serp(spark, d):
     c = role(spark, d, "candidates").select("company_id", F.col("source_url").alias("url"), F.col("pos").alias("rank"))
-    return D.clean_serp(c, ["facebook.com"], "linkedin.com")[0].select("company_id", F.col("rank").alias("pos"), "place")
+    targets, profiles = D.clean_serp(c, ["site3.it"], "facebook.com")
+    both = targets.select("company_id", F.col("rank").alias("pos"), F.col("place").cast("long").alias("place"))
+    return both.unionByName(profiles.select("company_id", F.col("rank").alias("pos"), F.lit(None).cast("long").alias("place")))
 
 
 @query("runner_ups", f"""SELECT company_id, url, score, place FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY score DESC, url) AS place FROM (SELECT company_id, source_url AS url, max(final_score) AS score FROM {CANDIDATES} GROUP BY ALL)) WHERE place <= 2""")
@@ -394,6 +455,34 @@ def runner_ups(spark, d):
     return D.runner_ups(role(spark, d, "candidates").select("company_id", F.col("source_url").alias("url"), F.col("final_score").alias("score")), 2)
 
 
+@query(
+    "profile_and_balance",
+    f"""SELECT company_id, min_by(url, place) FILTER (contains(url, 'linkedin.com/')) AS profile_url, CASE WHEN min_by(said, place) FILTER (ends_with(url, '.pdf')) LIKE '%bilancio%' THEN min_by(url, place) FILTER (ends_with(url, '.pdf')) END AS balance_url
+      FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY score DESC, url) AS place FROM (SELECT company_id, url, max(score) AS score, min(said) AS said FROM (
+        SELECT company_id, final_score AS score, CASE WHEN starts_with(source_url, 'https://facebook.com') THEN 'https://it.linkedin.com/company/' || pos WHEN ends_with(source_url, '/R') THEN source_url || '.pdf' ELSE source_url END AS url,
+          CASE WHEN starts_with(provider, 'F') THEN 'bilancio' ELSE 'listino' END AS said FROM {CANDIDATES}) GROUP BY company_id, url)) WHERE place <= 10 GROUP BY company_id""",
+)
+def profile_and_balance(spark, d):
+    """Candidates whose listed sites are profiles and whose returned ones are documents."""
+    site = F.col("source_url")
+    url = F.when(site.startswith("https://facebook.com"), F.format_string("https://it.linkedin.com/company/%d", "pos")).when(site.endswith("/R"), F.concat(site, F.lit(".pdf"))).otherwise(site)
+    said = F.when(F.col("provider").startswith("F"), "Bilancio").otherwise("Listino")
+    c = role(spark, d, "candidates").select("company_id", url.alias("url"), F.col("final_score").alias("score"), said.alias("title"), F.lit(None).cast("string").alias("description"))
+    first = c.groupBy("company_id", "url").agg(F.max("score").alias("score"), F.min("title").alias("title"), F.min("description").alias("description"))
+    return D.profile_and_balance(D.runner_ups(first))
+
+
+@query(
+    "union_candidates",
+    f"""SELECT company_id, url, src, src_priority, "rank" FROM (SELECT *, row_number() OVER (PARTITION BY company_id, url ORDER BY src_priority, "rank") AS n FROM (
+      SELECT company_id, source_url AS url, pos AS "rank", CASE layer WHEN 2 THEN 'vat' WHEN 4 THEN 'guess' ELSE 'search' END AS src, CASE layer WHEN 2 THEN 0 WHEN 4 THEN 1 ELSE 2 END AS src_priority FROM {CANDIDATES})) WHERE n = 1""",
+)
+def union_candidates(spark, d):
+    c = role(spark, d, "candidates").select("company_id", F.col("source_url").alias("url"), F.col("pos").alias("rank"), "layer")
+    parts = [("vat", c.where("layer = 2")), ("guess", c.where("layer = 4")), ("search", c.where("layer not in (2, 4)"))]
+    return D.union_candidates([(n, x.drop("layer")) for n, x in parts]).select("company_id", "url", "src", "src_priority", "rank")
+
+
 @query("merge_runs", f"SELECT vat, min(row_id % 4 + 1) AS run_no FROM {COMPANIES} WHERE vat IS NOT NULL GROUP BY vat")
 def merge_runs(spark, d):
     c = role(spark, d, "companies").where("vat is not null")
@@ -650,14 +739,37 @@ def running_totals(spark, d):
     return A.running_totals(role(spark, d, "ledger")).withColumn("yield", F.round("yield", 9))
 
 
-@query("circuit_breaker")
-def circuit_breaker(spark, d):
+_windows = f"""SELECT run_id, time_bucket(INTERVAL 300 SECOND, ts) AS window_start, sum(cost_eur) / count(DISTINCT company_id) AS cost_per_company, avg((NOT success)::INT) AS error_rate, count(*) FILTER (http_status = 429) AS exhausted FROM {LEDGER} GROUP BY ALL"""
+_breaker = f"""WITH RECURSIVE h AS ({_windows}), w AS (SELECT *, cost_per_company > 0.04 OR error_rate > 0.25 AS bad, row_number() OVER (PARTITION BY run_id ORDER BY window_start) AS n FROM h),
+  f AS (SELECT run_id, window_start, n, CASE WHEN bad THEN window_start END AS since FROM w WHERE n = 1
+    UNION ALL SELECT w.run_id, w.window_start, w.n, CASE WHEN since IS NULL THEN CASE WHEN bad THEN w.window_start END WHEN NOT bad AND w.window_start - since >= INTERVAL 600 SECOND THEN NULL ELSE since END FROM f JOIN w ON w.run_id = f.run_id AND w.n = f.n + 1)
+  SELECT run_id, window_start, since IS NOT NULL AS open FROM f"""
+
+
+def _health_windows(spark, d):
     rows = role(spark, d, "ledger").groupBy("run_id", F.window("ts", "300 seconds")["start"].alias("window_start"))
-    health = rows.agg((F.sum("cost_eur") / F.countDistinct("company_id")).alias("cost_per_company"), F.avg((~F.col("success")).cast("int")).alias("error_rate"))
-    return A.circuit_breaker(health)
+    return rows.agg((F.sum("cost_eur") / F.countDistinct("company_id")).alias("cost_per_company"), F.avg((~F.col("success")).cast("int")).alias("error_rate"), F.count_if(F.col("http_status") == 429).alias("exhausted"))
+
+
+@query("circuit_breaker", _breaker)
+def circuit_breaker(spark, d):
+    return A.circuit_breaker(_health_windows(spark, d))
 
 
-@query("cooldown")
+@query("alerts", f"""SELECT window_start, unnest(CASE WHEN cost > 0.02 THEN ['COST_RUNAWAY'] ELSE [] END || CASE WHEN exhausted > 0 THEN ['PROVIDER_EXHAUSTION'] ELSE [] END) AS alert, exhausted FROM (SELECT time_bucket(INTERVAL 300 SECOND, ts) AS window_start, sum(cost_eur) / count(DISTINCT company_id) AS cost, count(*) FILTER (http_status = 429) AS exhausted FROM {LEDGER} GROUP BY ALL)""")
+def alerts(spark, d):
+    rows = role(spark, d, "ledger").groupBy(F.window("ts", "300 seconds")["start"].alias("window_start"))
+    health = rows.agg((F.sum("cost_eur") / F.countDistinct("company_id")).alias("cost_per_company"), F.count_if(F.col("http_status") == 429).alias("exhausted"))
+    return A.alerts(health, 0.02, 0).join(health.select("window_start", "exhausted"), "window_start").select("window_start", "alert", "exhausted")
+
+
+_cooled = lambda seconds: f"""WITH RECURSIVE e AS (SELECT company_id, event_id, ts, row_number() OVER (PARTITION BY company_id ORDER BY ts, event_id) AS n FROM {LEDGER}),
+  f AS (SELECT company_id, event_id, n, ts AS last, true AS approved FROM e WHERE n = 1
+    UNION ALL SELECT e.company_id, e.event_id, e.n, CASE WHEN e.ts - last >= INTERVAL {seconds} SECOND THEN e.ts ELSE last END, e.ts - last >= INTERVAL {seconds} SECOND FROM f JOIN e ON e.company_id = f.company_id AND e.n = f.n + 1)
+  SELECT event_id, company_id, approved FROM f"""
+
+
+@query("cooldown", _cooled(86_400))
 def cooldown(spark, d):
     return A.cooldown(role(spark, d, "ledger"), "company_id", 86_400)
 
@@ -673,13 +785,53 @@ def guess_domains(spark, d):
     return role(spark, d, "companies").select("row_id", F.explode(G.guess_domains(F.col("company_name"))).alias("domain"))
 
 
-@query("search_frontier", f"""SELECT row_id, row_number() OVER (PARTITION BY row_id ORDER BY "precision" DESC) AS place, query, "precision" FROM (SELECT row_id, unnest([
-    '"' || vat || '" partita iva', '"' || phone || '" contatti', '"' || company_name || '" "' || address || '"', '"' || company_name || '" "' || city || '" sito ufficiale', '"' || company_name || '" "' || city || '" contatti',
-    '"' || company_name || '" "' || city || '"', 'site:.it "' || company_name || '"', '"' || company_name || '"']) AS query, unnest([0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.65, 0.55]::DOUBLE[]) AS "precision"
-  FROM {COMPANIES}) WHERE query IS NOT NULL""")
+_excluded = " ".join(f"-site:{x}" for x in G.EXCLUDED)
+_q = lambda x: f"trim(coalesce({x}, ''))"
+_tidy = lambda x: f"""trim(regexp_replace(regexp_replace({x}, '\\s""', '', 'g'), '""\\s', '', 'g'))"""
+
+
+@query(
+    "search_frontier",
+    f"""SELECT row_id, row_number() OVER (PARTITION BY row_id ORDER BY x.p DESC) AS place, {_tidy("x.t")} AS query, x.k AS kind, x.p AS "precision" FROM (SELECT row_id, unnest(list_filter([
+      {{t: '"P.IVA ' || vat || '"', k: 'vat_anchor', p: 0.95::DOUBLE, w: length(vat) = 11}}, {{t: '"' || vat || '" site:.it', k: 'vat_anchor', p: 0.9::DOUBLE, w: length(vat) = 11}},
+      {{t: 'site:' || mail, k: 'domain_probe', p: 0.88::DOUBLE, w: contains(email, '@') AND mail <> '' AND NOT (contains(mail, 'gmail') OR contains(mail, 'yahoo') OR contains(mail, 'hotmail') OR contains(mail, 'pec.it'))}},
+      {{t: '"' || phone || '" "' || name || '"', k: 'contact_vector', p: 0.82::DOUBLE, w: length(phone) >= 7}}, {{t: '"' || name || '" "' || city || '" {_excluded}', k: 'exclusionary', p: 0.8::DOUBLE, w: true}},
+      {{t: 'intitle:"' || name || '" "contatti" "' || city || '"', k: 'contact_vector', p: 0.78::DOUBLE, w: true}}, {{t: '"' || address || '" "' || city || '" "' || name || '"', k: 'contact_vector', p: 0.75::DOUBLE, w: length(address) > 5}},
+      {{t: '"' || name || '" "' || city || '" "privacy policy" OR "note legali"', k: 'contact_vector', p: 0.72::DOUBLE, w: true}}, {{t: 'site:.it "' || name || '" "' || city || '"', k: 'domain_probe', p: 0.65::DOUBLE, w: true}},
+      {{t: '"' || name || '" "' || category || '" ' || city || ' sito', k: 'standard', p: 0.62::DOUBLE, w: length(category) > 2}}, {{t: '"' || name || '" "' || province || '" sito ufficiale', k: 'standard', p: 0.58::DOUBLE, w: length(province) >= 2 AND province <> city}},
+      {{t: '"' || name || '" ' || city || ' sito ufficiale', k: 'standard', p: 0.55::DOUBLE, w: true}}], lambda z: z.w)) AS x
+    FROM (SELECT row_id, {_q("company_name")} AS name, {_q("city")} AS city, {_q("phone")} AS phone, {_q("address")} AS address, {_q("category")} AS category, {_q("province")} AS province, {_q("email")} AS email,
+      split_part({_q("email")}, '@', 2) AS mail, {sql_digits("vat")} AS vat FROM {COMPANIES}))""",
+)
 def search_frontier(spark, d):
+    return G.search_frontier(role(spark, d, "companies"))
+
+
+_core = "trim(regexp_replace(name, '(?i)\\b(srl|snc|sas|spa)\\b', '', 'g'))"
+_loc = "CASE WHEN city <> '' THEN ' ' || city ELSE '' END"
+_place = "CASE WHEN city <> '' THEN ' \"' || city || '\"' ELSE '' END"
+_clean = "substr(trim(regexp_replace(regexp_replace(regexp_replace({x}, '[\"''«»‹›„“”‘’]', '', 'g'), '[()\\[\\]{{}}<>|&!^~*?:/\\\\]', ' ', 'g'), '\\s+', ' ', 'g')), 1, 200)".format
+
+
+@query(
+    "query_forms",
+    f"""SELECT row_id, x.f AS form, {_tidy("x.q")} AS query FROM (SELECT row_id, unnest([
+      {{f: 'initial', q: '"' || name || '" ' || city, w: name <> ''}}, {{f: 'fallback', q: '"' || name || '" ' || city || ' sito ufficiale', w: name <> ''}}, {{f: 'fallback', q: name || ' ' || city || ' website', w: name <> ''}},
+      {{f: 'phone', q: '"' || phone || '" "' || name || '"', w: length(d) >= 7}}, {{f: 'phone', q: '"' || d || '" ' || city || ' sito', w: length(d) >= 7}}, {{f: 'phone', q: '"' || substr(d, 3) || '" ' || city || ' "' || name || '"', w: starts_with(d, '39') AND length(d) > 10}},
+      {{f: 'contact', q: '"' || name || '" "' || city || '" ("chi siamo" OR "contatti" OR "about us")', w: true}}, {{f: 'nuclear', q: '"' || core || '" "cookie policy"', w: true}}, {{f: 'nuclear', q: 'intitle:"' || core || '" ' || city, w: true}},
+      {{f: 'vat', q: '"' || vat || '" filetype:pdf', w: vat <> ''}}, {{f: 'legal_name', q: '"' || name || '"' || {_place}, w: name <> ''}}, {{f: 'site', q: '"' || name || '"' || {_loc}, w: name <> ''}},
+      {{f: 'company', q: clean || ' ' || place, w: clean <> '' AND place <> ''}}, {{f: 'balance', q: '"' || clean || '" ' || place || ' filetype:pdf bilancio OR "stato patrimoniale"', w: clean <> ''}}]) AS x
+    FROM (SELECT *, {_core} AS core, {_clean(x="name")} AS clean, {_clean(x="city")} AS place FROM (SELECT row_id, {_q("company_name")} AS name, {_q("city")} AS city, {_q("phone")} AS phone, {_q("vat")} AS vat, {sql_digits("phone")} AS d FROM {COMPANIES}))) WHERE x.w""",
+)
+def query_forms(spark, d):
+    """Some strings of each form; all of them are made."""
+    forms = ["initial", "fallback", "phone", "contact", "nuclear", "vat", "legal_name", "site", "company", "balance"]
     c = role(spark, d, "companies")
-    return G.search_frontier(c.withColumns({x: F.trim(x) for x in ("company_name", "city", "phone")}))
+    named = lambda f: F.transform(G.query_forms(c, f), lambda x: F.struct(F.lit(f).alias("form"), x.alias("query")))
+    rows = c.select("row_id", F.explode(F.concat(*[named(f) for f in forms])).alias("x")).select("row_id", "x.form", "x.query")
+    kept = F.when(F.col("form") == "nuclear", F.contains("query", F.lit("cookie policy")) | F.col("query").startswith("intitle:")).when(F.col("form") == "vat", F.col("query").endswith("filetype:pdf"))
+    kept = kept.when(F.col("form") == "legal_name", F.col("query").startswith('"') & ~F.col("query").rlike("Via Roma|contattaci|sito ufficiale|Partita IVA")).when(F.col("form") == "site", ~F.col("query").rlike("sito ufficiale|site:")).when(F.col("form") == "company", ~F.contains("query", F.lit('"')))
+    return rows.where(kept.otherwise(F.lit(True)))
 
 
 @query("url_plan", f"SELECT row_id, unnest(list_distinct([website, 'https://' || h, 'http://' || h])) AS url FROM (SELECT row_id, website, regexp_extract(website, '^https?://([^/?#]+)', 1) AS h FROM {COMPANIES} WHERE website IS NOT NULL)")
@@ -692,9 +844,21 @@ def missing_website(spark, d):
     return IO.missing_website(role(spark, d, "companies")).select("row_id")
 
 
-@query("split_by_score", f"SELECT row_id FROM {COMPANIES} WHERE balance > 4000")
+@query("split_by_score", f"SELECT company_name, coalesce(vat, CASE WHEN balance > 4000 THEN NULL ELSE '' END) AS vat, balance > 4000 AS above FROM {COMPANIES}")
 def split_by_score(spark, d):
-    return IO.split_by_score(role(spark, d, "companies").withColumn("score", F.col("balance").cast("string")), 4000)[0].select("row_id")
+    above, rest = IO.split_by_score(role(spark, d, "companies").withColumn("score", F.col("balance").cast("string")), 4000)
+    return above.select("company_name", "vat", F.lit(True).alias("above")).unionByName(rest.select("company_name", "vat", F.lit(False).alias("above")))
+
+
+@query("retry_rows", f"SELECT event_id FROM {LEDGER} WHERE NOT success AND provider <> 'view'")
+def retry_rows(spark, d):
+    status = F.when(F.col("success"), "OK").when(F.col("provider") == "view", "").otherwise("ERROR")
+    return IO.retry_rows(role(spark, d, "ledger").withColumn("status", status)).select("event_id")
+
+
+@query("without_http", f"SELECT row_id FROM {COMPANIES} WHERE website IS NULL OR NOT contains(website, 'http')")
+def without_http(spark, d):
+    return IO.missing_website(role(spark, d, "companies"), "http").select("row_id")
 
 
 @query("unify_campaigns", f"SELECT row_id, company_name, replace(vat, ' ', '') AS vat, city, 'IT' AS country FROM {COMPANIES}")
@@ -711,7 +875,7 @@ def _pages(spark, d):
 @query("extract_pages")
 def extract_pages(spark, d):
     out = H.extract_page(_pages(spark, d))
-    return out.select("page_id", "title", F.length("text").alias("n_text"), F.size("h1").alias("n_h1"), F.size("internal").alias("n_internal"), F.size("external").alias("n_external"), F.md5("text").alias("text_md5"))
+    return out.select("page_id", "title", F.length("text").alias("n_text"), F.md5("text").alias("text_md5"), *[F.size(x).alias(f"n_{x}") for x in ("h1", "internal", "external", "contact", "privacy", "emails", "vats")])
 
 
 @query("html_to_text")
@@ -726,9 +890,9 @@ def clean_html(spark, d):
 
 @query("serp_rows")
 def serp_rows(spark, d):
-    """Result rows of every stored page after its relative links are made absolute."""
-    page = _pages(spark, d).select("page_id", F.regexp_replace("html", 'href="/', 'href="https://found.example.org/').alias("html"))
-    return H.serp_rows(page, ["google.com"])
+    """Result rows of every stored page, whose relative links are taken from its own site as a browser does."""
+    page = _pages(spark, d).select("page_id", F.regexp_replace("html", F.lit('href="/'), F.concat(F.lit('href="'), F.coalesce(F.regexp_extract("url", "^(https?://[^/?#]+)", 1), F.lit("")), F.lit("/"))).alias("html"))
+    return H.serp_rows(page, C.SEARCH_ENGINES)
 
 
 @query("listing_rows")
@@ -743,9 +907,9 @@ def labelled_fields(spark, d):
 
 @query("schema_org")
 def schema_org(spark, d):
-    """Each page with a JSON-LD node made from its id, compared with a company of the same id."""
-    node = F.format_string('{"@graph": [{"@type": "Organization", "url": "https://www.h%d.it/", "telephone": "+39 02 %07d", "vatID": "IT%011d"}]}', F.col("page_id") % 50, F.col("page_id"), F.col("page_id"))
-    rows = _pages(spark, d).select("page_id", F.array(node).alias("jsonld"), F.format_string("https://h%d.it", F.col("page_id") % 49).alias("website"), F.format_string("02%07d", F.col("page_id") % 100).alias("phone"), F.format_string("%011d", F.col("page_id")).alias("vat"))
+    """The JSON-LD of each stored page, compared with the company of its id."""
+    found = H.extract_page(_pages(spark, d)).select("page_id", "jsonld")
+    rows = found.join(role(spark, d, "companies").select(F.col("row_id").alias("page_id"), "website", "phone", "vat"), "page_id", "left")
     return H.schema_org_signals(rows).join(H.jsonld_walk(rows, ["telephone", "vatid"]), "page_id")
 
 
@@ -767,11 +931,11 @@ def trap_check(spark, d):
     return _pages(spark, d).select("page_id", farm.alias("link_farm"), parked.alias("parked"))
 
 
-@query("search_json", f"""SELECT event_id AS page_id, 1 AS place, 'https://h' || event_id || '.it' AS url, CASE WHEN event_id % 4 < 3 THEN 'T' END AS title FROM {LEDGER}""")
+@query("search_json", """SELECT doc_id AS page_id, unnest(range(1, len(u) + 1)) AS place, unnest(u) AS url, NULL::VARCHAR AS title FROM (SELECT doc_id, list_distinct(u) AS d, list_filter(u, lambda x, i: list_position(u, x) = i) AS u
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), 'https?://[^\\s"''<>)\\]]+') AS u FROM documents))""")
 def search_json(spark, d):
-    item = F.format_string('{"title": "T", "url": "https://h%d.it"}', "event_id")
-    body = F.when(F.col("event_id") % 4 == 0, F.concat(F.lit('{"data": ['), item, F.lit("]}"))).when(F.col("event_id") % 4 == 1, F.concat(F.lit('{"results": ['), item, F.lit("]}"))).when(F.col("event_id") % 4 == 2, F.concat(F.lit("["), item, F.lit("]"))).otherwise(F.format_string("see https://h%d.it now", "event_id"))
-    return IO.parse_search_json(role(spark, d, "ledger").select(F.col("event_id").alias("page_id"), body.alias("body"))).select("page_id", "place", "url", "title")
+    """Stored texts as search responses: what is no JSON gives its URLs."""
+    return IO.parse_search_json(_docs(spark, d).select(F.col("doc_id").alias("page_id"), F.coalesce("text", F.lit("")).alias("body"))).select("page_id", "place", "url", "title")
 
 
 @query("candidates_with_pages", f"SELECT company_id, pos, l.event_id FROM {CANDIDATES} c JOIN (SELECT max(event_id) AS event_id, 'https://www.site' || (event_id % 100) || '.it/A' AS u FROM {LEDGER} WHERE http_status < 400 GROUP BY u) l ON u = source_url")
@@ -787,13 +951,33 @@ def pages_by_vat(spark, d):
     return J.pages_by_vat(c.select(F.col("row_id").alias("page_id"), F.concat(F.lit("P.IVA: "), F.regexp_replace("vat", "^IT", "")).alias("text")), c)
 
 
-@query("match_phones", f"SELECT a.row_id, b.row_id AS page_id FROM {COMPANIES} a JOIN {COMPANIES} b ON a.phone = b.phone AND a.row_id % 4 < 3 AND b.row_id % 4 < 3".replace("a.phone = b.phone", "right({a}, 8) = right({b}, 8)").format(a=sql_digits("a.phone"), b=sql_digits("b.phone")))
+_variants = lambda p: f"list_filter([{p}, regexp_replace({p}, '^39', ''), '39' || regexp_replace({p}, '^39', ''), regexp_replace(regexp_replace({p}, '^39', ''), '^0', '')], lambda v: length(v) > 0)"
+
+
+@query(
+    "match_phones",
+    f"""WITH p AS (SELECT DISTINCT row_id, regexp_replace(replace(unnest({_parts}), '+', ''), '^00', '') AS raw FROM {COMPANIES}), n AS (SELECT row_id, CASE WHEN starts_with(raw, '0') OR starts_with(raw, '3') THEN '39' || raw ELSE raw END AS a, raw AS b FROM p),
+      pages AS (SELECT b, min(row_id) AS page_id, count(DISTINCT row_id) AS n_pages FROM n GROUP BY b),
+      pairs AS (SELECT DISTINCT a, pages.* FROM (SELECT DISTINCT a FROM n) x JOIN pages ON right(x.a, 8) = right(pages.b, 8) AND len(list_filter({_variants("x.a")}, lambda x1: len(list_filter({_variants("pages.b")},
+        lambda y1: x1 = y1 OR (least(length(x1), length(y1)) >= 8 AND (ends_with(x1, y1) OR ends_with(y1, x1))))) > 0)) > 0)
+      SELECT row_id, min(page_id) AS page_id, sum(n_pages)::BIGINT AS n_pages FROM (SELECT DISTINCT row_id, a FROM n) JOIN pairs USING (a) GROUP BY row_id""",
+)
 def match_phones(spark, d):
-    c = role(spark, d, "companies").where("row_id % 4 < 3")
-    return J.match_phones(c.select("row_id", F.array("phone").alias("phones")), c.select(F.col("row_id").alias("page_id"), F.array(F.regexp_replace("phone", "[^0-9]", "")).alias("found")))
+    """All numbers of all companies, as written with the country's prefix, against those shown without it."""
+    c = role(spark, d, "companies")
+    formatted, raw = C.normalize_phones(F.col("phone"))
+    return J.match_phones(c.select("row_id", formatted.alias("phones")), c.select(F.col("row_id").alias("page_id"), raw.alias("found")))
+
+
+_cover = lambda name, folded: f"CASE WHEN len({sql_tokens(name)}) = 0 THEN 0 ELSE len(list_filter({sql_tokens(name)}, lambda t: contains(' ' || {folded} || ' ', ' ' || t || ' ') OR (length(t) >= 4 AND contains({folded}, t)))) / len({sql_tokens(name)}) END"
 
 
-@query("best_listing")
+@query(
+    "best_listing",
+    f"""WITH c AS (SELECT *, right({sql_digits("phone")}, 8) AS k FROM {COMPANIES}), l AS (SELECT k, row_id AS listing_id, {sql_fold("CASE WHEN row_id % 2 = 0 THEN company_name ELSE category END")} AS f FROM c)
+      SELECT row_id, listing_id, round(s, 6) AS name_score, m AS n_listings FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY s DESC, listing_id) AS n, count(*) OVER (PARTITION BY row_id) AS m
+        FROM (SELECT row_id, listing_id, {_cover("company_name", "f")} AS s FROM c JOIN l USING (k))) WHERE n = 1 AND (s >= 0.15 OR m = 1)""",
+)
 def best_listing(spark, d):
     c = role(spark, d, "companies").withColumn("phone_key", F.substring(F.regexp_replace("phone", "[^0-9]", ""), -8, 8))
     listings = c.select("phone_key", F.col("row_id").alias("listing_id"), F.when(F.col("row_id") % 2 == 0, F.col("company_name")).otherwise(F.col("category")).alias("listing_name"))
@@ -813,13 +997,38 @@ def known_domains(spark, d):
     return J.known_domains(guess_domains(spark, d), live)
 
 
-@query("page_boosts", f"""SELECT row_id, round(x, 6) AS confidence, CASE WHEN x >= 0.85 THEN 'RULE_STRONG' ELSE 'RULE_WEAK' END AS level FROM (SELECT row_id, CASE WHEN t >= 0.6 AND y < 0.85 THEN y + 0.1 ELSE y END AS x FROM (
-  SELECT row_id, (row_id % 7) / 7 AS t, CASE WHEN row_id % 2 = 0 AND z < 0.9 THEN z - 0.03 ELSE z END AS y FROM (SELECT row_id, least(0.99, CASE WHEN row_id % 11 = 0 THEN greatest(c, 0.99) ELSE c END + CASE WHEN row_id % 3 = 0 THEN 0.1 ELSE 0 END + CASE WHEN row_id % 5 = 0 THEN 0.05 ELSE 0 END) AS z
-  FROM (SELECT row_id, (row_id % 100) / 100 AS c FROM {COMPANIES}))))""")
+@query("page_boosts", f"""SELECT company_id, pos, round(x, 6) AS confidence, CASE WHEN x >= 0.85 THEN 'RULE_STRONG' ELSE 'RULE_WEAK' END AS level FROM (SELECT *, CASE WHEN t >= 0.6 AND y < 0.85 THEN y + 0.1 ELSE y END AS x FROM (
+  SELECT *, CASE WHEN layer = 4 AND z < 0.9 THEN z - 0.03 ELSE z END AS y FROM (SELECT company_id, pos, layer, final_score / 100 AS t, least(0.99, CASE WHEN n_vats > 0 AND n_phones > 0 THEN greatest(confidence, 0.99) ELSE confidence END + CASE WHEN n_phones > 1 THEN 0.1 ELSE 0 END + CASE WHEN n_vats > 0 THEN 0.05 ELSE 0 END) AS z
+  FROM {CANDIDATES})))""")
 def page_boosts(spark, d):
-    k = F.col("row_id")
-    x, level = S.apply_page_boosts((k % 100) / 100, k % 11 == 0, k % 3 == 0, k % 5 == 0, k % 2 == 0, (k % 7) / 7)
-    return role(spark, d, "companies").select("row_id", F.round(x, 6).alias("confidence"), level.alias("level"))
+    vats, phones = F.col("n_vats") > 0, F.col("n_phones")
+    x, level = S.apply_page_boosts(F.col("confidence"), vats & (phones > 0), phones > 1, vats, F.col("layer") == 4, F.col("final_score") / 100)
+    return role(spark, d, "candidates").select("company_id", "pos", F.round(x, 6).alias("confidence"), level.alias("level"))
+
+
+@query("priorities", f"SELECT company_id, pos, round(confidence + 0.25 * CASE WHEN length(j) >= 3 AND contains(h, j) THEN 1 WHEN len(t) = 0 THEN 0 ELSE len(list_filter(t, lambda x: contains(h, x))) / len(t) END, 6) AS priority, round(0.6 + 0.2 * confidence, 6) AS search_confidence FROM (SELECT *, {sql_tokens('company_name')} AS t, array_to_string({sql_tokens('company_name')}, '') AS j, regexp_replace({sql_host('source_url')}, '[^a-z0-9]', '', 'g') AS h FROM {CANDIDATES})")
+def priorities(spark, d):
+    c = F.col("confidence")
+    return role(spark, d, "candidates").select("company_id", "pos", F.round(S.candidate_priority(c, M.domain_coverage(F.col("company_name"), F.col("source_url"))), 6).alias("priority"), F.round(S.search_confidence(c), 6).alias("search_confidence"))
+
+
+@query("token_shares", f"""SELECT p_partkey, CASE WHEN len(a) = 0 THEN 0 ELSE len(list_filter(a, lambda x: list_contains(b, x))) / len(a) END AS overlap, CASE WHEN len(a) = 0 THEN 0 ELSE len(list_filter(a, lambda x: contains(lower(p_type), x))) / len(a) END AS hits
+  FROM (SELECT *, {_words_of("p_name")} AS a, {_words_of("p_type")} AS b FROM part)""")
+def token_shares(spark, d):
+    tokens, text = M.long_tokens(F.col("p_name")), F.col("p_type")
+    return spark.read.parquet(f"{d}/part.parquet").select("p_partkey", M.token_overlap(tokens, text).alias("overlap"), M.token_hits(tokens, text).alias("hits"))
+
+
+@query("page_predicates", """SELECT doc_id, contains(t, 'fatturato') AND (contains(t, 'partita iva') OR contains(t, 'p.iva') OR contains(t, 'codice fiscale')) AS company_page, nullif(regexp_replace(coalesce(text, ''), '[^0-9,-]', '', 'g'), '') AS currency,
+  nullif(trim(regexp_extract(coalesce(text, ''), '^\\s*#*[ \\t]*([^\\n]*)', 1)), '') AS first_line FROM (SELECT *, lower(coalesce(text, '')) AS t FROM documents)""")
+def page_predicates(spark, d):
+    t = F.col("text")
+    return _docs(spark, d).select("doc_id", P.is_valid_company_page(t).alias("company_page"), P.clean_currency(F.coalesce(t, F.lit(""))).alias("currency"), P.first_line_title(t).alias("first_line"))
+
+
+@query("official_urls", f"SELECT company_id, pos, {sql_host('source_url')} <> 'facebook.com' AND regexp_matches(lower(source_url), '^https?://') AS official FROM {CANDIDATES}")
+def official_urls(spark, d):
+    return role(spark, d, "candidates").select("company_id", "pos", P.likely_official_url(F.col("source_url"), "facebook.com").alias("official"))
 
 
 @query("url_heuristics", f"SELECT company_id, pos, CASE WHEN contains('site' || (company_id % 100), 'site') AND contains(regexp_replace({sql_host('source_url')}, '[^a-z0-9]', '', 'g'), 'site' || (company_id % 100)) THEN 5 ELSE 0 END + CASE WHEN {sql_host('source_url')} LIKE '%.it' THEN 2 ELSE 0 END + CASE WHEN {listed(sql_host('source_url'), C.DIRECTORIES)} THEN -10 ELSE 0 END AS score FROM {CANDIDATES}")
@@ -827,20 +1036,31 @@ def url_heuristics(spark, d):
     return role(spark, d, "candidates").select("company_id", "pos", S.url_heuristic_score(F.concat(F.lit("site"), (F.col("company_id") % 100).cast("string")), F.col("source_url")).alias("score"))
 
 
-@query("figures", f"SELECT row_id, '1.5 mln' AS revenue, (row_id % 90)::VARCHAR AS employees, '2023' AS year, 1000 * (row_id % 900 + 1) AS amount FROM {COMPANIES}")
+_tried = lambda patterns: "coalesce(" + ", ".join(f"nullif(trim(regexp_extract(t, '{q(p)}', 1)), '')" for p in patterns) + ")"
+
+
+@query("figures", f"""SELECT doc_id, {_tried(P.REVENUE)} AS revenue, {_tried(P.EMPLOYEES)} AS employees, {_tried([r"(?i)fatturato[^\n]{0,40}?\b(20[12]\d)\b", r"\b(20[12]\d)\b"])} AS year,
+  try_cast(nullif(replace(regexp_extract(t, '(\\d{{1,3}}(?:\\.\\d{{3}})+)', 1), '.', ''), '') AS BIGINT) AS amount FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""")
 def figures(spark, d):
-    text = F.format_string("Fatturato: € 1.5 mln nel 2023. Dipendenti: %d", F.col("row_id") % 90)
-    amount, _ = P.snippet_revenue(F.format_string("utile %d.000 euro 2021", F.col("row_id") % 900 + 1))
-    return role(spark, d, "companies").select("row_id", P.financials(text).alias("f"), amount.alias("amount")).select("row_id", "f.revenue", "f.employees", "f.year", "amount")
+    t = F.col("text")
+    return _docs(spark, d).select("doc_id", P.financials(t).alias("f"), P.snippet_revenue(t)[0].alias("amount")).select("doc_id", "f.revenue", "f.employees", "f.year", "amount")
 
 
 # --- streams ---------------------------------------------------------------------------------------------------------
 def _streamed(spark, d, name: str, columns: list[str]):
-    """A role as a stream: written once, then read file by file."""
+    """A role as a stream of some batches: written in the order of ``ts`` (if it has one) as several files, read one by one."""
     path = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
     rows = role(spark, d, name).select(*[F.col(c).cast("timestamp").alias(c) if c == "ts" else c for c in columns])
-    rows.write.parquet(f"{path}/in")
-    return spark.readStream.schema(rows.schema).parquet(f"{path}/in"), path
+    if "ts" in columns:
+        ends = rows.agg(F.min("ts"), F.max("ts")).first()
+        steps = [ends[0] + (ends[1] - ends[0]) * i / 3 for i in range(1, 3)] if ends[0] else []
+        part = sum([(F.col("ts") > F.lit(x)).cast("int") for x in steps], F.lit(0))
+        for i in range(len(steps) + 1):
+            rows.where(part == i).write.mode("append").parquet(f"{path}/in")
+    else:
+        rows.repartition(3).write.parquet(f"{path}/in")
+    files = len(spark.read.parquet(f"{path}/in").inputFiles())
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, files // 3)).parquet(f"{path}/in"), path
 
 
 @query("stream_block_counts", f"SELECT domain, block_type, count(*) AS n, count(*) >= 5 AS hot FROM (SELECT event_id, {sql_host('url')} AS domain FROM {LEDGER}) JOIN ({ORACLES['classify_blocks']}) USING (event_id) WHERE block_type <> 'NONE' GROUP BY ALL")
@@ -852,33 +1072,80 @@ def stream_block_counts(spark, d):
 
 @query("stream_running_totals", f"SELECT provider, count(*) AS processed, count(*) FILTER (success) AS found, round(avg(success::INT), 9) AS yield FROM {LEDGER} GROUP BY provider")
 def stream_running_totals(spark, d):
-    rows, path = _streamed(spark, d, "ledger", ["provider", "success"])
+    rows, path = _streamed(spark, d, "ledger", ["ts", "provider", "success"])
     return T.drain(T.running_totals_stream(rows), f"{path}/out", f"{path}/checkpoint", "complete").withColumn("yield", F.round("yield", 9))
 
 
-@query("stream_campaigns", f"SELECT DISTINCT vat FROM {COMPANIES}")
+@query("stream_failure_runs", f"SELECT provider, processed, consecutive_failures FROM ({ORACLES['running_totals']})")
+def stream_failure_runs(spark, d):
+    """The last figures of each provider."""
+    rows, path = _streamed(spark, d, "ledger", ["ts", "event_id", "provider", "success"])
+    out = T.drain(T.failure_runs_stream(rows), f"{path}/out", f"{path}/checkpoint")
+    last = out.groupBy("provider").agg(F.max_by(F.struct("processed", "consecutive_failures"), "processed").alias("x"))
+    return last.select("provider", "x.processed", "x.consecutive_failures")
+
+
+_made_id = f"md5(lower(trim(company_name)) || '|' || {sql_digits('phone')} || '|' || lower(trim(city)) || '|' || lower(trim(address)))"
+
+
+@query("stream_campaigns", f"SELECT DISTINCT {_made_id} AS company_id FROM {COMPANIES}")
 def stream_campaigns(spark, d):
-    rows, path = _streamed(spark, d, "companies", ["vat"])
-    return T.drain(T.campaign_stream(rows, "vat"), f"{path}/out", f"{path}/checkpoint")
+    """New campaign files of a folder, normalised, given ids, first seen only, written over a table by id."""
+    path = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    c = role(spark, d, "companies").select("company_name", "city", "phone", "address")
+    c.repartition(3).write.option("header", True).csv(f"{path}/in")
+    rows = T.watch_campaigns(spark, f"{path}/in", c.schema, 1)
+    T.upsert_stream(T.campaign_stream(rows), f"{path}/table", f"{path}/checkpoint")
+    return T.upserted(spark, f"{path}/table").select("company_id")
 
 
-@query("stream_health")
+@query("stream_ledger", f"SELECT provider, count(*) AS calls, round(sum(cost_eur), 6) AS cost_eur, count(*) FILTER (cache_hit) AS hits FROM {LEDGER} GROUP BY provider")
+def stream_ledger(spark, d):
+    """A call log as JSON lines, read as a stream; the same log read at once gives the costs."""
+    path = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    log = role(spark, d, "ledger").select(F.col("ts").cast("timestamp").alias("timestamp"), "provider", "cost_eur", "cache_hit", "duration_ms", "success", "company_id")
+    log.repartition(3).write.json(f"{path}/in")
+    rows = T.read_ledger_stream(spark, f"{path}/in", IO.LEDGER, 1)
+    counts = T.drain(rows.groupBy("provider").agg(F.count("*").alias("calls"), F.count_if("cache_hit").alias("hits")), f"{path}/out", f"{path}/checkpoint", "complete")
+    return counts.join(IO.read_ledger(spark, f"{path}/in").groupBy("provider").agg(F.round(F.sum("cost_eur"), 6).alias("cost_eur")), "provider")
+
+
+@query(
+    "stream_health",
+    f"""SELECT window_start, count(*) AS total_calls, round(avg((NOT success)::INT), 9) AS error_rate, round(avg(duration_ms), 6) AS avg_duration_ms, round(sum(cost_eur), 6) AS cost_eur, round(avg(cache_hit::INT), 9) AS cache_hit_rate
+      FROM (SELECT *, time_bucket(INTERVAL 30 SECOND, ts) - INTERVAL 30 SECOND * unnest(range(0, 10)) AS window_start FROM {LEDGER}) GROUP BY window_start""",
+)
 def stream_health(spark, d):
-    """Sliding windows that the watermark has closed; the last ones are still open when the input ends."""
+    """All sliding windows, those still open at the end of the input included."""
     rows, path = _streamed(spark, d, "ledger", ["ts", "success", "duration_ms", "cost_eur", "cache_hit", "company_id"])
-    return T.drain(T.ledger_health_stream(rows), f"{path}/out", f"{path}/checkpoint")
+    out = T.drain(T.ledger_health_stream(rows), f"{path}/out", f"{path}/checkpoint", "complete")
+    return out.select("window_start", "total_calls", F.round("error_rate", 9).alias("error_rate"), F.round("avg_duration_ms", 6).alias("avg_duration_ms"), F.round("cost_eur", 6).alias("cost_eur"), F.round("cache_hit_rate", 9).alias("cache_hit_rate"))
 
 
-@query("stream_cooldown")
+@query("stream_cooldown", f"SELECT company_id, event_id, approved FROM ({_cooled(86_400)})")
 def stream_cooldown(spark, d):
     rows, path = _streamed(spark, d, "ledger", ["company_id", "event_id", "ts"])
     return T.drain(T.cooldown_stream(rows, "company_id", 86_400), f"{path}/out", f"{path}/checkpoint").select("company_id", "event_id", "approved")
 
 
-@query("stream_dedup_ttl")
+@query("stream_dedup_ttl", f"SELECT company_id, event_id FROM ({_cooled(5 * 86_400)}) WHERE approved")
 def stream_dedup_ttl(spark, d):
-    rows, path = _streamed(spark, d, "ledger", ["company_id", "ts"])
-    return T.drain(T.dedup_ttl(rows, ["company_id"], "60 days"), f"{path}/out", f"{path}/checkpoint").select("company_id")
+    rows, path = _streamed(spark, d, "ledger", ["company_id", "event_id", "ts"])
+    return T.drain(T.dedup_ttl(rows, "company_id", 5 * 86_400), f"{path}/out", f"{path}/checkpoint").select("company_id", "event_id")
+
+
+@query("stream_breaker", _breaker)
+def stream_breaker(spark, d):
+    """Health windows of each run, arriving in order."""
+    path = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    health = materialize(_health_windows(spark, d).drop("exhausted"))
+    health = health.withColumn("window_start", F.col("window_start").cast("timestamp"))
+    middle = health.agg(F.percentile_approx(F.unix_seconds("window_start"), 0.5)).first()[0] or 0
+    late = F.unix_seconds("window_start") > middle
+    for part in (~late, late):
+        health.where(part).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    rows = spark.readStream.schema(health.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    return T.drain(T.breaker_stream(rows), f"{path}/out", f"{path}/checkpoint")
 
 
 @query("needs_review", f"SELECT row_id FROM {COMPANIES} WHERE balance / 10000 < 0.4 AND row_id % 5 <> 0 AND (row_id % 3 <> 0 OR row_id % 2 = 0)")
@@ -888,10 +1155,18 @@ def needs_review(spark, d):
     return W.needs_llm_review(rows).select("row_id")
 
 
-@query("sql_functions", f"SELECT row_id, {sql_norm} AS company, {sql_host('website')} AS domain, coalesce({_luhn(_vat_key)}, false) AS vat_ok FROM {COMPANIES}")
+@query("sql_functions", f"SELECT row_id, {sql_norm} AS company, {sql_host('website')} AS domain, coalesce({_luhn(_vat_key)}, false) AS vat_ok, round({_cover("company_name", sql_fold("email || ' ' || address"))}, 6) AS coverage FROM {COMPANIES}")
 def sql_functions(spark, d):
     register(spark)
-    return spark.sql("SELECT row_id, normalize_company(company_name) AS company, root_domain(website) AS domain, vat_checksum(regexp_replace(vat, '^IT', '')) AS vat_ok FROM {c}", c=role(spark, d, "companies"))
+    return spark.sql("SELECT row_id, normalize_company(company_name) AS company, root_domain(website) AS domain, vat_checksum(regexp_replace(vat, '^IT', '')) AS vat_ok, round(name_coverage(company_name, email || ' ' || address), 6) AS coverage FROM {c}", c=role(spark, d, "companies"))
+
+
+@query("sql_guesses", f"SELECT row_id, domain FROM ({ORACLES['guess_domains']})")
+def sql_guesses(spark, d):
+    """The guesses of guess_domains by the table function."""
+    register(spark)
+    c = role(spark, d, "companies").select("row_id", N.name_tokens(F.col("company_name")).alias("t"))
+    return spark.sql("SELECT row_id, g.domain FROM {c}, LATERAL guessed_domains(t) g", c=c)
 
 
 @query("flatten_runs", f"SELECT company_name, city, CASE WHEN row_id % 2 = 0 THEN 'FOUND' ELSE 'NOT_FOUND' END AS status, website AS url, balance AS confidence, 'L' || row_id % 3 AS layer, row_id AS duration_ms, 'L0;L' || row_id % 3 AS layers FROM {COMPANIES}")
@@ -902,10 +1177,11 @@ def flatten_runs(spark, d):
     return IO.flatten_run_results(nested)
 
 
-@query("sanitize_master", f"SELECT row_id, 'x (MI) y' AS address, coalesce(province, 'MI') AS province FROM {COMPANIES}")
+@query("sanitize_master", f"SELECT row_id, address || ' ' || city AS address, coalesce(province, nullif(regexp_extract(city, '\\(([A-Z]{{2}})\\)', 1), '')) AS province, company_id FROM {COMPANIES}")
 def sanitize_master(spark, d):
-    c = role(spark, d, "companies").select("row_id", F.lit("x (MI)\r\n\ty").alias("address"), "province", "category")
-    return IO.sanitize_master(c).select("row_id", "address", "province")
+    """Addresses with the city on a line of its own; then rows without their repeats."""
+    c = role(spark, d, "companies").select("row_id", "company_id", "company_name", "phone", "city", F.concat("address", F.lit("\r\n\t"), "city").alias("address"), "province", "category")
+    return D.deterministic_company_id(IO.sanitize_master(c))[0].select("row_id", "address", "province", "company_id")
 
 
 @query("csv_round_trip", f"SELECT company_name, city, phone, address, source_file FROM (SELECT *, CASE WHEN row_id % 2 = 0 THEN 'a' ELSE 'b' END AS source_file FROM {COMPANIES})")

@@ -104,7 +104,16 @@ def test_pages(spark):
     assert tuple(pages.schema_org_signals(signals).orderBy("page_id").first()) == (1, True, True, True, True)
     serp = pages.serp_rows(df.where("page_id = 1"), ["acme.it"]).collect()
     assert [r.url for r in serp][:2] == ["https://other.it/", "https://found.it/"]
-    assert pages.listing_rows(df.where("page_id = 1")).first().asDict() == {"page_id": 1, "place": 1, "name": "Beta", "phone": "027654321", "website": "https://beta.it"}
+    assert pages.listing_rows(df.where("page_id = 1")).first().asDict() == {"page_id": 1, "place": 1, "name": "Beta", "phone": "027654321", "website": "https://beta.it", "street": None, "zip": None, "city": None, "province": None}
+    shop = "<h2>Gamma</h2><div>Via Roma, 12 - 20121 Milano (MI)</div><p>Tel 02 1234567, scrivi a info@gamma.it o a Beta@x.it, P.IVA 00743110157 e 12345678901</p><a href='/chi-siamo'>noi</a><a href='https://shop.gamma.it/cookie'>c</a>"
+    listed = pages.listing_rows(spark.createDataFrame([(3, shop)], "page_id long, html string")).first()
+    assert (listed.street, listed.zip, listed.city, listed.province) == ("Via Roma, 12", "20121", "Milano", "MI")
+    three = pages.extract_page(spark.createDataFrame([(3, "https://www.gamma.it/x", shop), (4, "http://[bad", shop)], "page_id long, url string, html string")).orderBy("page_id").first()
+    assert three.emails == ["info@gamma.it", "Beta@x.it"] and three.vats == ["00743110157"]
+    assert three.contact == ["https://www.gamma.it/chi-siamo"] and three.privacy == ["https://shop.gamma.it/cookie"] and three.external == []
+    fields = "<table><tr><td>Ricavi</td><td>3 mln</td></tr></table><dl><dt>Addetti</dt><dd>12</dd></dl><div>REA: MI-1</div><p><b>Utile</b> <span>7</span></p>"
+    got = pages.labelled_fields(spark.createDataFrame([(5, fields)], "page_id long, html string"), {"a": "ricavi", "b": "addetti", "c": "REA", "d": "Utile", "e": "Sede"}).first()
+    assert (got.a, got.b, got.c, got.d, got.e) == ("3 mln", "12", "MI-1", "7", None)
     assert pages.labelled_fields(df, {"revenue": "Ricavi"}).orderBy("page_id").first().revenue == "3 mln"
     assert pages.html_to_text(df, 5).orderBy("page_id").first().text.endswith("[truncated]")
     assert "BODY" in pages.clean_html(df).orderBy("page_id").first().text
@@ -165,8 +174,90 @@ def test_streams_equal_batch(spark, tmp_path):
     assert got and all(exact[k] == v for k, v in got.items())
     totals = jobs.drain(jobs.running_totals_stream(stream), str(tmp_path / "o3"), str(tmp_path / "c3"), "complete")
     assert sum(r.processed for r in totals.collect()) == 40
-    first = jobs.drain(jobs.campaign_stream(stream), str(tmp_path / "o4"), str(tmp_path / "c4"))
-    assert first.count() == 5
+    runs = jobs.drain(jobs.failure_runs_stream(stream), str(tmp_path / "o4"), str(tmp_path / "c4"))
+    assert {r.provider: r.consecutive_failures for r in runs.collect()} == {r.provider: r.consecutive_failures for r in telemetry.running_totals(batch).collect()}
     cool = jobs.drain(jobs.cooldown_stream(stream, "company_id", 300), str(tmp_path / "o5"), str(tmp_path / "c5"))
     want = {r.event_id: r.approved for r in telemetry.cooldown(batch, "company_id", 300).collect()}
     assert {r.event_id: r.approved for r in cool.collect()} == want
+
+
+def test_campaigns_are_upserted(spark, tmp_path):
+    """Files that come later in the same folder: known companies are passed over, new ones join the table."""
+    folder, table, at = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "c")
+    folder.mkdir()
+    schema = "company_name string, city string, phone string, address string"
+    head = "company_name,city,phone,address\n"
+    (folder / "Roma_1.csv").write_text(head + " Acme ,Roma,06 1,Via A\nBeta,Roma,,\n,Roma,1,\n")
+
+    def take():
+        rows = jobs.campaign_stream(jobs.watch_campaigns(spark, str(folder), schema))
+        jobs.upsert_stream(rows, table, at)
+        return {(r.company_name, r.city, r.file_city) for r in jobs.upserted(spark, table).collect()}
+
+    assert take() == {("Acme", "Roma", "Roma"), ("Beta", "Roma", "Roma")}
+    (folder / "new.csv").write_text(head + "ACME,roma,061,via a\nGamma,Pisa,,\n")
+    assert take() == {("Acme", "Roma", "Roma"), ("Beta", "Roma", "Roma"), ("Gamma", "Pisa", "unknown")}
+
+
+def test_cascade_links_by_any_key(spark):
+    schema = "row_id long, company_name string, city string, vat string, phone string, website string, address string, source string"
+    rows = [
+        (1, "Acme SRL", "Roma", "IT00743110157", "06 123456", None, "Via", "PG"), (2, "Other", "Pisa", None, "06-123456", "https://a.it", "", "Maps"), (3, "acme s.r.l.", "ROMA", None, None, "https://b.it", "Via Lunga 3", "Maps"),
+        (4, "Beta", "Roma", "123", "1", None, None, None), (5, "", None, None, None, None, None, "PG"), (6, None, None, "123", None, "https://c.it", "x", "Maps"),
+    ]
+    got = {r.row_id: r for r in resolve.dedup_priority_cascade(spark.createDataFrame(rows, schema)).collect()}
+    assert set(got) == {1, 4, 5} and got[1].n_merged == 3 and got[4].n_merged == 2
+    assert (got[1].website, got[1].source, got[1].address, got[1].phone) == ("https://a.it", "PG + Maps", "Via Lunga 3", "06 123456")
+    assert (got[4].website, got[4].source, got[4].address) == ("https://c.it", " + Maps", "x") and got[5].website is None
+
+
+def test_folds_go_on_over_batches(spark):
+    """A key of more rows than a batch holds."""
+    t = datetime(2024, 1, 1)
+    rows = [(i, "hot" if i % 10 else "cold", t + timedelta(seconds=7 * i)) for i in range(2500)] + [(9999, None, t)]
+    events = spark.createDataFrame(rows, "event_id long, company_id string, ts timestamp")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "300")
+    try:
+        got = {r.event_id: r.approved for r in telemetry.cooldown(events, "company_id", 60).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    last, want = {}, {}
+    for i, key, ts in rows[:-1]:
+        want[i] = key not in last or (ts - last[key]).total_seconds() >= 60
+        if want[i]:
+            last[key] = ts
+    assert got == want
+
+
+def test_common_numbers_make_no_pairs(spark):
+    from quarrystone.operators.joins import match_phones
+
+    entities = spark.createDataFrame([(i, ["+39021234567"] if i < 500 else ["+393331112222", "+393331112222"]) for i in range(503)], "row_id long, phones array<string>")
+    found = spark.createDataFrame([(i, ["021234567"]) for i in range(400)] + [(900, ["3331112222", "00393331112222"]), (901, None)], "page_id long, found array<string>")
+    got = {r.row_id: (r.page_id, r.n_pages) for r in match_phones(entities, found).collect()}
+    assert got == {i: (0, 400) if i < 500 else (900, 2) for i in range(503)}
+
+
+def test_shared_folder_is_named_on_clusters(spark):
+    from quarrystone.session import shared_dir
+
+    class Conf:
+        def __init__(self, **held):
+            self.held = held
+
+        def get(self, key, default=None):
+            return self.held.get(key.replace(".", "_"), default)
+
+        def set(self, key, value):
+            self.held[key.replace(".", "_")] = value
+
+    class Session:
+        def __init__(self, **held):
+            self.conf = Conf(**held)
+
+    assert shared_dir(Session(spark_checkpoint_dir="hdfs:///c/", spark_master="yarn")) == "hdfs:///c"
+    local = Session(spark_master="local[4]")
+    assert shared_dir(local).startswith("file://") and shared_dir(local) == shared_dir(local)
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]", ""):
+        with pytest.raises(ValueError):
+            shared_dir(Session(spark_master=master))
