@@ -343,27 +343,18 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = lots.select("key", "text").join(spans, "key").mapInArrow(_cut, _CUT)
     cut = materialize(cut if texts else cut.drop("kept_text", "removed"))
 
-    out = slim.join(firsts.select("key", "first"), "key").join(cut, "key", "left")
-    copy = (F.col("ord") > F.col("first")) & (F.col("n_bytes") >= SPAN)
-    empty = F.lit(hashlib.sha256(b"").hexdigest())
-    out = out.select(
-        F.col("_id").alias(id_col),
-        "n_bytes",
-        "key",
-        copy.alias("_copy"),
-        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(copy, empty).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-        *(["kept_text", "removed"] if texts else []),
-    )
-    names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    if not texts:
-        return out.select(*names)
-    whole = docs.select(key, body.cast("binary").alias("_whole")).dropDuplicates(["key"])
-    span = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
-    none = F.array().cast("array<struct<start: bigint, end: bigint>>")
-    kept = F.when(F.col("_copy"), F.lit(b"")).otherwise(F.coalesce("kept_text", "_whole"))
-    return out.join(whole, "key").select(*names, kept.alias("kept_text"), F.when(F.col("_copy"), span).otherwise(F.coalesce("removed", none)).alias("removed"))
+    # Copies are told first and need no more; so each join stands alone, where Spark can split a key with very many of them.
+    told = materialize(slim.join(firsts.select("key", "first"), "key").withColumn("copy", (F.col("ord") > F.col("first")) & (F.col("n_bytes") >= SPAN)))
+    whole = F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))
+    gone = [F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(hashlib.sha256(b"").hexdigest()).alias("kept_sha256"), *([F.lit(b"").alias("kept_text"), F.array(whole).alias("removed")] if texts else [])]
+    kept = [F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256")]
+    rest = told.where("not copy").join(cut, "key", "left")
+    if texts:
+        body = docs.select(F.unhex(F.md5(body)).alias("key"), body.cast("binary").alias("_whole")).dropDuplicates(["key"])
+        rest = rest.join(body, "key")
+        kept += [F.coalesce("kept_text", "_whole").alias("kept_text"), F.coalesce("removed", F.array().cast("array<struct<start: bigint, end: bigint>>")).alias("removed")]
+    own = [F.col("_id").alias(id_col), F.col("n_bytes")]
+    return rest.select(*own, *kept).unionByName(told.where("copy").select(*own, *gone))
 
 
 def _bytes8(value: Column | str) -> Column:
