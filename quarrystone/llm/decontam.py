@@ -105,18 +105,18 @@ def _block(docs: DataFrame, items: DataFrame, text_col: str) -> DataFrame:
     before = F.lag("p").over(Window.partitionBy("_t", "_k").orderBy("p"))
     found = found.withColumn("lo2", F.greatest("lo", F.coalesce(before + 1, F.lit(0))))
     starts = F.filter(F.sequence("lo2", "p"), lambda i: F.array_contains(F.col("s"), F.array_join(F.slice("r", i - F.col("lo") + 1, "m"), " ")))
-    windows = found.select("_t", "n", "m", "lo", "r", F.explode(starts).alias("start"))
-    windows = windows.select("_t", "n", "start", _shingles(F.slice("r", F.col("start") - F.col("lo") + 1, "n"), F.col("m")).alias("ws"))
-    windows = windows.dropDuplicates(["_t", "n", "start"])
+    windows = found.select("_t", "_k", "n", "m", "lo", "r", F.explode(starts).alias("start"))
+    windows = windows.select("_t", "_k", _shingles(F.slice("r", F.col("start") - F.col("lo") + 1, "n"), F.col("m")).alias("ws"))
     windows = windows.withColumn("wfp", simhash(F.transform("ws", lambda x: F.xxhash64(x)), longest))
-    windows = materialize(windows.select("_t", "n", "ws", "wfp"))
+    windows = materialize(windows.select("_t", "_k", "ws", "wfp"))
 
+    # A window meets its item at the blocks on which they agree: some three of all, and none if they are too far apart.
     masks = _masks()
     posts = lambda fp: F.posexplode(F.array(*[F.col(fp).bitwiseAND(m) for m in masks])).alias("blk", "val")
-    posted = items.select("_k", "n", "s", "fp", posts("fp"))
+    posted = items.select("_k", "s", "fp", posts("fp"))
     if posted.count() <= BROADCAST_ROWS:
         posted = F.broadcast(posted)
-    pairs = windows.select("_t", "n", "ws", "wfp", posts("wfp")).join(posted, ["n", "blk", "val"])
+    pairs = windows.select("_t", "_k", "ws", "wfp", posts("wfp")).join(posted, ["_k", "blk", "val"])
     x = F.col("wfp").bitwiseXOR(F.col("fp"))
     lowest = F.coalesce(*[F.when(x.bitwiseAND(m) == 0, F.lit(i)) for i, m in enumerate(masks)])
     pairs = pairs.where((F.bit_count(x) <= RADIUS) & (lowest == F.col("blk")))  # each pair once, at its first equal block
@@ -146,9 +146,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     A text is contaminated by an item if a window of as many words has a weighted similarity of 0.8 or more: multisets of
     five-word shingles (all words if an item has fewer), lesser over greater multiplicities; words are lower-cased and lie
     between ASCII separators. Windows are taken at every place that can hold the best one: where a shingle of an item
-    stands, near one of the item's seed shingles of which a similar window holds one at least. A window's SimHash is
-    looked up among the items of its size by ``RADIUS`` + 1 bit blocks, which finds every fingerprint within ``RADIUS``
-    bits, and what is found is verified on the shingles themselves. The chance that a window of similarity just 0.8 lies
+    stands, near one of the item's seed shingles of which a similar window holds one at least (SimHash of all windows of
+    all sizes would cost some hundred times as much). A window's SimHash is looked up in the item's by ``RADIUS`` + 1 bit
+    blocks, which finds every fingerprint within ``RADIUS`` bits, and what is found is verified on the shingles themselves. The chance that a window of similarity just 0.8 lies
     beyond the radius is about 1 in 5000; equal ones are at distance 0.
 
     Null and empty texts and items match nothing; equal texts and equal items share one result; null item ids are left out
