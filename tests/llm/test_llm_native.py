@@ -201,6 +201,22 @@ def test_simhash_blocks_guarantee(spark):
     assert [df.select(decontam.simhash(F.col("h"), n)).first()[0] for n in (10, 1 << 20)] == [want, want]
 
 
+def test_simhash_recall_near_the_threshold(spark):
+    """Of thousands of windows of similarity 0.80 to 0.85 nearly all lie within the radius."""
+    rng = random.Random(17)
+    rows = []
+    while len(rows) < 4000:
+        n = rng.randint(10, 60)
+        item = [rng.getrandbits(63) for _ in range(n)]
+        changed = rng.randint(1, n // 5)
+        window = item[changed:] + [rng.getrandbits(63) for _ in range(changed)]
+        if 0.8 <= weighted(item, window) <= 0.85:
+            rows.append((item, window))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>")
+    near = df.where(F.bit_count(decontam.simhash(F.col("a"), 100).bitwiseXOR(decontam.simhash(F.col("b"), 100))) <= decontam.RADIUS).count()
+    assert near >= 0.995 * len(rows), near
+
+
 def test_licenses(spark):
     rows = [
         (1, "x\nThis work is licensed under the GNU General Public License, version 3. y"), (2, "Licensed under CC BY-NC 4.0."), (3, "cc by cc by MIT license"), (4, None), (5, ""),

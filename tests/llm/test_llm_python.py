@@ -153,6 +153,48 @@ def test_url_rules_and_model(spark):
     assert urls.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_url_verdicts_match_brute_force(spark):
+    """Sample, models, threshold and verdicts of a table, said again plainly."""
+    rng = random.Random(18)
+    word = lambda letters: prose(rng, 1, letters)
+    pages = [(i, f"https://{word('abcd')}.com/{word('abef')}") for i in range(90)] + [(200 + i, f"http://{word('xyz')}.net/es/{word('xqz')}?{i}") for i in range(70)]
+    pages += [(400 + i, f"https://{word('abcdxyz')}.{rng.choice(['org', 'info'])}/{word('abqz')}") for i in range(60)] + [(500, pages[0][1]), (501, None), (502, "x" * 3000 + "://a.com/"), (503, "ü://ä.com/é")]
+    sample, longest, held = 50, 2000, urls.HELD_OUT
+    got = {r.page_id: r for r in urls.filter_urls(spark.createDataFrame(pages, "page_id long, url string"), sample=sample).collect()}
+    of = lambda verdict: {u for i, u in pages if u and len(u) <= longest and got[i].rule and got[i].verdict == verdict}
+    hashed = {r.u: r.h for r in spark.createDataFrame([(u,) for u in of("allow") | of("block")], "u string").select("u", F.xxhash64("u").alias("h")).collect()}
+    taken = {v: sorted(of(v), key=lambda u: (hashed[u], u))[:sample] for v in ("allow", "block")}
+    part = lambda v, out: [u for k, u in enumerate(taken[v]) if (k % held == 0) == out]
+
+    def log_p(model_urls, url):
+        text, total = "\x02" * urls.ORDER + url, 0.0
+        for at in range(urls.ORDER, len(text)):
+            p = 1 / 256
+            for k in range(urls.ORDER + 1):
+                context = text[at - k : at]
+                after = [t[j] for t in ("\x02" * urls.ORDER + u for u in model_urls) for j in range(urls.ORDER, len(t)) if t[j - k : j] == context]
+                if not after:
+                    break
+                p = (after.count(text[at]) + len(set(after)) * p) / (len(after) + len(set(after)))
+            total += math.log(p)
+        return total
+
+    score = lambda u: (log_p(part("allow", False), u) - log_p(part("block", False), u)) / len(u) if u else 0.0
+    good, bad = ([score(u) for u in part(v, True)] for v in ("allow", "block"))
+    cuts = sorted({*good, *bad})
+    cuts = [cuts[0] - 1, *[(x + y) / 2 for x, y in zip(cuts, cuts[1:])], cuts[-1] + 1]  # noqa: B905
+    worth = lambda c: sum(s >= c for s in good) / len(good) + sum(s < c for s in bad) / len(bad)
+    best = max(map(worth, cuts))
+    for i, u in pages:
+        if got[i].rule is None:
+            assert abs(got[i].log_ratio - score(u)) < 1e-9
+    undecided = {got[i].verdict for i, u in pages if got[i].rule is None}
+    threshold = max(s for i, u in pages if got[i].rule is None and got[i].verdict == "block" for s in [got[i].log_ratio])
+    assert undecided == {"allow", "block"} and all(r.log_ratio > threshold for r in got.values() if r.rule is None and r.verdict == "allow")
+    model = urls.UrlRatio(taken["allow"], taken["block"])
+    assert worth(model.threshold) == best and all((r.log_ratio >= model.threshold) == (r.verdict == "allow") for r in got.values() if r.rule is None)
+
+
 def test_url_model_held_out():
     rng = random.Random(7)
     good = [f"https://{prose(rng, 1, 'aeiou')}.org/wiki/{rng.randrange(999)}" for _ in range(300)]
