@@ -259,7 +259,31 @@ def similarities(spark, d):
     return part.select("p_partkey", M.jaccard_tokens(a, b).alias("jaccard"), F.round(M.levenshtein_similarity(F.col("p_name"), F.col("p_type")), 9).alias("lev"))
 
 
-@query("match_confidence")
+_variants_of = lambda d: f"list_filter([{d}, regexp_replace({d}, '^39', ''), '39' || regexp_replace({d}, '^39', ''), regexp_replace(regexp_replace({d}, '^39', ''), '^0', '')], lambda v: length(v) > 0)"
+_same_phone = lambda x, y: f"len(list_filter({_variants_of(x)}, lambda a1: len(list_filter({_variants_of(y)}, lambda b1: a1 = b1 OR (least(length(a1), length(b1)) >= 8 AND (ends_with(a1, b1) OR ends_with(b1, a1))))) > 0)) > 0"
+_found_phones = lambda t: f"list_distinct(list_filter(list_transform(regexp_extract_all({t}, '{C.PHONE}'), lambda p: regexp_replace(regexp_replace(p, '[^0-9]', '', 'g'), '^00', '')), lambda p: length(p) BETWEEN 9 AND 15 AND regexp_matches(p, '^(39|0|3)')))"
+_found_vats = lambda t: f"list_concat(list_concat(list_filter(regexp_extract_all({t}, '\\b([0-9]{{11}})\\b', 1), lambda v: substr(v, 8, 3)::INT BETWEEN 1 AND 100 OR substr(v, 8, 3)::INT IN (120, 121, 888, 999)), regexp_extract_all({t}, '{C.VAT_LABELLED}', 1)), regexp_extract_all({t}, '\\bIT\\s?([0-9]{{11}})\\b', 1))"
+_cover = lambda name, folded: f"CASE WHEN len({sql_tokens(name)}) = 0 THEN 0 ELSE len(list_filter({sql_tokens(name)}, lambda t: contains(' ' || {folded} || ' ', ' ' || t || ' ') OR (length(t) >= 4 AND contains({folded}, t)))) / len({sql_tokens(name)}) END"
+_word_in = lambda t, f: f"(contains(' ' || {f} || ' ', ' ' || {t} || ' ') AND {f} <> {t})"
+_street = f"list_filter(string_split({sql_fold('address')}, ' '), lambda t: t <> '' AND ((regexp_matches(t, '^[0-9]+$') AND length(t) >= 2) OR (NOT regexp_matches(t, '^[0-9]+$') AND length(t) >= 3 AND NOT list_contains({words(M.ADDRESS_NOISE)}, t))))[1:6]"
+_places = f"list_filter(string_split({sql_fold('city')}, ' '), lambda t: length(t) >= 3)"
+_in_host = f"""CASE WHEN length(array_to_string({sql_tokens("company_name")}, '')) >= 3 AND contains(h, array_to_string({sql_tokens("company_name")}, '')) THEN 1 WHEN len({sql_tokens("company_name")}) = 0 THEN 0
+  ELSE len(list_filter({sql_tokens("company_name")}, lambda t: contains(h, t))) / len({sql_tokens("company_name")}) END"""
+_step = lambda c, *levels: f"CASE {' '.join(f'WHEN {c} >= {at} THEN {v}' for at, v in levels)} ELSE 0 END"
+
+
+@query(
+    "match_confidence",
+    f"""WITH c AS (SELECT *, concat_ws(' ', CASE WHEN row_id % 2 = 0 THEN company_name ELSE category END, 'contatti', CASE WHEN row_id % 3 = 0 THEN city END, CASE WHEN row_id % 5 = 0 THEN phone END, CASE WHEN row_id % 7 = 0 AND vat IS NOT NULL THEN 'P.IVA ' || vat END, address) AS page FROM {COMPANIES}),
+      f AS (SELECT *, {sql_fold("page")} AS folded, {sql_fold("company_name")} AS head, coalesce(regexp_replace({sql_host("website")}, '[^a-z0-9]', '', 'g'), '') AS h FROM c),
+      s AS (SELECT row_id, {sql_digits("vat")} <> '' AND list_contains({_found_vats("page")}, {sql_digits("vat")}) AS vat, len(list_filter({_found_phones("page")}, lambda p0: length(coalesce(phone, '')) > 0 AND {_same_phone("regexp_replace(" + sql_digits("phone") + ", '^00', '')", "p0")})) > 0 AS phone,
+        {_cover("company_name", "folded")} AS name, len({_places}) > 0 AND len(list_filter({_places}, lambda t: NOT {_word_in("t", "folded")})) = 0 AS city, CASE WHEN len({_street}) = 0 THEN 0 ELSE len(list_filter({_street}, lambda t: {_word_in("t", "folded")})) / len({_street}) END AS address,
+        {_in_host} AS domain, {_any("head || ' ' || folded", M.CONTACT_WORDS)} AS contact, {_cover("company_name", "head")} AS title, length(folded) AS n FROM f),
+      a AS (SELECT *, 0.05 + CASE WHEN phone THEN 0.65 ELSE 0 END + {_step("name", (0.85, 0.26), (0.65, 0.2), (0.4, 0.12))} + CASE WHEN city THEN 0.08 ELSE 0 END + {_step("address", (0.8, 0.18), (0.65, 0.14), (0.45, 0.08))} + {_step("domain", (0.8, 0.2), (0.5, 0.1), (0.3, 0.05))}
+        + CASE WHEN contact THEN 0.08 ELSE 0 END - CASE WHEN n < 160 AND name < 0.6 AND domain < 0.6 AND title < 0.8 THEN 0.1 ELSE 0 END AS x FROM s),
+      b AS (SELECT *, CASE WHEN NOT phone AND name < 0.4 AND domain < 0.5 THEN least(x, 0.35) ELSE x END + CASE WHEN domain >= 0.8 AND name >= 0.4 THEN 0.06 ELSE 0 END + CASE WHEN (address >= 0.6)::INT + (domain >= 0.7)::INT + (title >= 0.6)::INT + city::INT >= 3 THEN 0.1 ELSE 0 END AS y FROM a)
+      SELECT row_id, round(CASE WHEN vat THEN 1.0 ELSE greatest(0, least(0.99, CASE WHEN phone AND name < 0.25 AND domain < 0.25 THEN least(y, 0.68) ELSE y END)) END, 6)::DOUBLE AS confidence, round(name, 6) AS name, round(domain, 6)::DOUBLE AS domain, phone, vat FROM b""",
+)
 def match_confidence(spark, d):
     """Companies against the text of a page made of their own and other fields."""
     c = role(spark, d, "companies")
@@ -301,7 +325,18 @@ def hot_leads(spark, d):
     return lead_scores(spark, d).select("row_id", "total").where("total >= 50").orderBy(F.desc("total"), "row_id")
 
 
-@query("site_scores")
+_numbers = f"list_distinct(list_transform({_parts}, lambda p: CASE WHEN starts_with(p, '0') OR starts_with(p, '3') THEN '+39' || p ELSE p END))"
+
+
+@query(
+    "site_scores",
+    f"""WITH c AS (SELECT row_id, {sql_norm} AS company, company_name AS title, len({_numbers}) > 0 AND row_id % 3 = 0 AS phone_hit, row_id % 5 >= 3 AS common, (row_id % 10) / 10 AS near, row_id % 4 = 0 AS vat_hit, row_id % 2 = 0 AS contact, row_id % 5 = 0 AS privacy FROM {COMPANIES}),
+      j AS (SELECT *, CASE WHEN len({_words_of("company")}) = 0 AND len({_words_of("title")}) = 0 THEN 1.0 ELSE len(list_intersect({_words_of("company")}, {_words_of("title")})) / len(list_distinct(list_concat({_words_of("company")}, {_words_of("title")}))) END AS name FROM c),
+      s AS (SELECT row_id, CASE WHEN phone_hit AND common THEN 25 WHEN phone_hit THEN 45 ELSE 0 END AS s1, CASE WHEN near > 0.5 THEN 25 * near WHEN near > 0.3 THEN 7.5 ELSE 0 END AS s2, CASE WHEN name > 0.8 THEN 20 WHEN name > 0.5 THEN 14 WHEN name > 0.3 THEN 8 ELSE 0 END AS s3,
+        CASE WHEN vat_hit THEN 100 ELSE 0 END AS s4, CASE WHEN contact::INT + privacy::INT + vat_hit::INT >= 2 THEN 8 ELSE 0 END AS c3, CASE WHEN contact THEN 5 ELSE 0 END AS c4, CASE WHEN row_id % 13 = 0 THEN 100 ELSE 0 END AS p1, CASE WHEN row_id % 17 = 0 THEN 35 ELSE 0 END AS p3 FROM j)
+      SELECT row_id, round(greatest(0, least(100, s1 + s2 + s3 + s4 + 10 + c3 + c4 + 2 - p1 - p3)), 4)::DOUBLE AS final_score,
+        array_to_string(list_filter([CASE WHEN s1 > 0 THEN 'S1' END, CASE WHEN s2 > 0 THEN 'S2' END, CASE WHEN s3 > 0 THEN 'S3' END, CASE WHEN s4 > 0 THEN 'S4' END, 'C1', CASE WHEN c3 > 0 THEN 'C3' END, CASE WHEN c4 > 0 THEN 'C4' END, 'C5', CASE WHEN p1 > 0 THEN 'P1' END, CASE WHEN p3 > 0 THEN 'P3' END], lambda x: x IS NOT NULL), ',') AS details FROM s""",
+)
 def site_scores(spark, d):
     c = N.normalize_entity(role(spark, d, "companies"))
     e = F.struct(
@@ -775,7 +810,18 @@ def cooldown(spark, d):
 
 
 # --- generators ------------------------------------------------------------------------------------------------------
-@query("domain_candidates")
+_sector = "CASE " + " ".join(f"WHEN c <> '' AND (contains(c, '{k}') OR contains('{k}', c)) THEN {words(v)}" for k, v in G.SECTORS) + " ELSE []::VARCHAR[] END"
+
+
+@query(
+    "domain_candidates",
+    f"""WITH t AS (SELECT row_id, {sql_tokens("company_name")} AS t, replace({sql_fold("city")}, ' ', '') AS place, lower(coalesce(province, '')) AS p, lower(coalesce(category, '')) AS c FROM {COMPANIES}),
+      n AS (SELECT *, array_to_string(t, '') AS j, array_to_string(t, '-') AS d, array_to_string(list_transform(t, lambda x: substr(x, 1, 1)), '') AS i, {_sector} AS sx FROM t WHERE len(t) > 0),
+      stems AS (SELECT DISTINCT row_id, unnest(list_concat(list_concat(list_concat([j, d, t[1], array_to_string(t[1:2], ''), array_to_string(t[1:2], '-')], [{", ".join(f"replace(j, '{x}', '{y}')" for x, y in G.SOUNDS)}]), CASE WHEN len(t) >= 2 THEN [i, i || t[-1], i || '-' || t[-1]] ELSE [] END),
+        list_concat(list_concat(list_transform(sx, lambda x: j || x), list_transform(sx, lambda x: j || '-' || x)), [j || place, j || '-' || place, d || '-' || place, j || p, j || '-' || p]))) AS stem FROM n),
+      hosts AS (SELECT row_id, w || stem || '.' || e AS domain FROM stems, (VALUES ('it'), ('com'), ('eu')) x(e), (VALUES (''), ('www.')) y(w) WHERE regexp_full_match(stem, '[a-z0-9][a-z0-9-]*[a-z0-9]'))
+      SELECT row_id, place, domain FROM (SELECT row_id, domain, row_number() OVER (PARTITION BY row_id ORDER BY NOT ends_with(domain, '.it'), length(domain), length(domain) - length(replace(domain, '-', '')), domain) AS place FROM hosts WHERE length(domain) <= 70) WHERE place <= 80""",
+)
 def domain_candidates(spark, d):
     return G.domain_candidates(role(spark, d, "companies"))
 
@@ -951,15 +997,11 @@ def pages_by_vat(spark, d):
     return J.pages_by_vat(c.select(F.col("row_id").alias("page_id"), F.concat(F.lit("P.IVA: "), F.regexp_replace("vat", "^IT", "")).alias("text")), c)
 
 
-_variants = lambda p: f"list_filter([{p}, regexp_replace({p}, '^39', ''), '39' || regexp_replace({p}, '^39', ''), regexp_replace(regexp_replace({p}, '^39', ''), '^0', '')], lambda v: length(v) > 0)"
-
-
 @query(
     "match_phones",
     f"""WITH p AS (SELECT DISTINCT row_id, regexp_replace(replace(unnest({_parts}), '+', ''), '^00', '') AS raw FROM {COMPANIES}), n AS (SELECT row_id, CASE WHEN starts_with(raw, '0') OR starts_with(raw, '3') THEN '39' || raw ELSE raw END AS a, raw AS b FROM p),
       pages AS (SELECT b, min(row_id) AS page_id, count(DISTINCT row_id) AS n_pages FROM n GROUP BY b),
-      pairs AS (SELECT DISTINCT a, pages.* FROM (SELECT DISTINCT a FROM n) x JOIN pages ON right(x.a, 8) = right(pages.b, 8) AND len(list_filter({_variants("x.a")}, lambda x1: len(list_filter({_variants("pages.b")},
-        lambda y1: x1 = y1 OR (least(length(x1), length(y1)) >= 8 AND (ends_with(x1, y1) OR ends_with(y1, x1))))) > 0)) > 0)
+      pairs AS (SELECT DISTINCT a, pages.* FROM (SELECT DISTINCT a FROM n) x JOIN pages ON right(x.a, 8) = right(pages.b, 8) AND {_same_phone("x.a", "pages.b")})
       SELECT row_id, min(page_id) AS page_id, sum(n_pages)::BIGINT AS n_pages FROM (SELECT DISTINCT row_id, a FROM n) JOIN pairs USING (a) GROUP BY row_id""",
 )
 def match_phones(spark, d):
@@ -969,9 +1011,6 @@ def match_phones(spark, d):
     return J.match_phones(c.select("row_id", formatted.alias("phones")), c.select(F.col("row_id").alias("page_id"), raw.alias("found")))
 
 
-_cover = lambda name, folded: f"CASE WHEN len({sql_tokens(name)}) = 0 THEN 0 ELSE len(list_filter({sql_tokens(name)}, lambda t: contains(' ' || {folded} || ' ', ' ' || t || ' ') OR (length(t) >= 4 AND contains({folded}, t)))) / len({sql_tokens(name)}) END"
-
-
 @query(
     "best_listing",
     f"""WITH c AS (SELECT *, right({sql_digits("phone")}, 8) AS k FROM {COMPANIES}), l AS (SELECT k, row_id AS listing_id, {sql_fold("CASE WHEN row_id % 2 = 0 THEN company_name ELSE category END")} AS f FROM c)
