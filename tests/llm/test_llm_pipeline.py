@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from quarrystone.llm import registry
+from quarrystone.llm import neardup, registry
 
 
 def prose(rng, n):
@@ -60,3 +60,35 @@ def test_stages(spark, folder):
         out = stage(spark, docs, folder)
         assert out.columns == docs.columns, name
         assert stage(spark, docs.limit(0), folder).count() == 0
+
+
+def test_stages_take_odd_rows(spark, folder):
+    """Null ids, texts and sources, repeated rows, a very long text, and extra columns of any name."""
+    rng = random.Random(22)
+    text = prose(rng, 70)
+    rows = [(i, prose(rng, 70), "en", "a", 1) for i in range(12)] + [(20, text, "en", "a", 1), (20, text, "en", "a", 1), (None, prose(rng, 80), None, None, None), (None, None, None, None, None), (21, " ".join(f"w{i}" for i in range(30_000)), "en", "b", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "'x' as epoch", "'y' as _doc", "'z' as KEPT")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder).cache()
+        assert docs.columns == columns, name
+        assert {(r.epoch, r._doc, r.KEPT) for r in docs.collect()} == {("x", "y", "z")}
+    left = {r.doc_id for r in docs.collect()}
+    assert left == {*range(12), 20, None, 21} and docs.where("text is null").count() == 0
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
+    assert len(out) == docs.count() and len({(r.shard, r.slot) for r in out}) == len(out)
+
+
+def test_near_duplicates_of_eighty_percent_go(spark, folder):
+    """The stage takes 0.8; the registered query keeps what its contract says."""
+    words = [f"w{i}" for i in range(104)]
+    near = [*words[:93], "other", *words[94:]]
+    near[40] = "changed"
+    rows = [(1, " ".join(words), "en", "a", 1), (2, " ".join(near), "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    sets = [{tuple(w[i : i + 5]) for i in range(100)} for w in (words, near)]
+    share = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+    assert 0.8 <= share < 0.85
+    assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, folder).collect()] == [1]
+    assert neardup.near_duplicates(docs, percent=neardup.QUERY_PERCENT).where("kept").count() == 2
+    assert (neardup.least_matches(80), neardup.least_matches(85), neardup.least_matches(100)) == (35, 40, 64)
