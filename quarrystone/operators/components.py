@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrystone.session import materialize
+from quarrystone.session import materialize, release
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", jumps: int = 2) -> DataFrame:
@@ -27,25 +27,32 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", jumps: in
     mapping = materialize(
         live.select(F.explode(F.array("u", "v")).alias("node")).distinct().select("node", F.col("node").alias("component"))
     )
+    held = live
     live = live.where("u <> v")
     while not live.isEmpty():
         both = live.select("u", "v").unionByName(live.select(F.col("v").alias("u"), F.col("u").alias("v")))
         parent = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("p"))
-        parent = materialize(parent)
+        parent = near = materialize(parent)
         for _ in range(jumps):
             up = parent.select(F.col("u").alias("p"), F.col("p").alias("pp"))
             parent = parent.join(up, "p").select("u", F.col("pp").alias("p"))
         parent = materialize(parent)
+        release(near)
+        before = mapping
         mapping = materialize(
             mapping.join(parent.select(F.col("u").alias("component"), "p"), "component", "left").select(
                 "node", F.coalesce("p", "component").alias("component")
             )
         )
+        release(before)
         left = live.join(parent, "u").select(F.col("p").alias("u"), "v")
         moved = left.join(parent.select(F.col("u").alias("v"), "p"), "v").select("u", F.col("p").alias("v"))
-        live = materialize(
+        before = held
+        live = held = materialize(
             moved.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         )
+        release(before, parent)
+    release(held)
     return mapping
 
 

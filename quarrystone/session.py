@@ -33,7 +33,16 @@ def materialize(df: DataFrame, compression: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.written_to = path
+    return written
+
+
+def release(*written: DataFrame) -> None:
+    """Delete the files of ``materialize``d tables that nothing will read again: what was made of them is written itself."""
+    for df in written:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def broadcast_if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
