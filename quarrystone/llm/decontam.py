@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarrystone.llm.common import Boxed, col_of, let, need, plain_text
-from quarrystone.session import broadcast_if_small, materialize, table
+from quarrystone.session import broadcast_if_small, materialize, release, table
 
 WORDS = 5
 #: Least weighted similarity, as a fraction.
@@ -90,7 +90,9 @@ def _block(docs: DataFrame, items: DataFrame, text_col: str) -> DataFrame:
     )
     anchors = [r[0] for r in seeds.select("anchor").distinct().collect()]  # ANCHORS at most
     if not anchors:
-        return docs.sparkSession.createDataFrame([], "_t string, _k string, same int, of int")
+        none = docs.sparkSession.createDataFrame([], "_t string, _k string, same int, of int")
+        none.made = [items, seeds]
+        return none
     words = docs.select(F.md5(F.coalesce(col_of(text_col), F.lit(""))).alias("_t"), F.split(plain_text(col_of(text_col)), " ").alias("w"))
     words = words.where(F.arrays_overlap("w", F.lit(anchors)))
     found = words.select(
@@ -121,7 +123,9 @@ def _block(docs: DataFrame, items: DataFrame, text_col: str) -> DataFrame:
     lowest = F.coalesce(*[F.when(x.bitwiseAND(m) == 0, F.lit(i)) for i, m in enumerate(masks)])
     pairs = pairs.where((F.bit_count(x) <= RADIUS) & (lowest == F.col("blk")))  # each pair once, at its first equal block
     pairs = pairs.select("_t", "_k", (F.size("ws") + F.size("s")).alias("both"), _overlap(F.col("ws"), F.col("s")).alias("same"))
-    return pairs.select("_t", "_k", "same", (F.col("both") - F.col("same")).alias("of")).where(f"{DEN} * same >= {NUM} * of")
+    pairs = pairs.select("_t", "_k", "same", (F.col("both") - F.col("same")).alias("of")).where(f"{DEN} * same >= {NUM} * of")
+    pairs.made = [items, seeds, windows]  # written for it
+    return pairs
 
 
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", anchors: int = ANCHORS) -> DataFrame:
@@ -136,8 +140,9 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     pairs = reduce(DataFrame.unionByName, found)
     ids = benchmark.select(F.col(item_col).alias("item"), F.md5(plain_text(F.col(item_text_col))).alias("_k"))
     pairs = pairs.groupBy("_t", "_k").agg(F.max(F.col("same") / F.col("of")).alias("sim"))
-    pairs = pairs.join(ids, "_k").groupBy("_t").agg(F.array_sort(F.collect_set("item")).alias("items"), F.max("sim").alias("similarity"))
-    return materialize(pairs)
+    pairs = materialize(pairs.join(ids, "_k").groupBy("_t").agg(F.array_sort(F.collect_set("item")).alias("items"), F.max("sim").alias("similarity")))
+    release(items, *[x for part in found for x in part.made])
+    return pairs
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

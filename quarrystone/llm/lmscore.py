@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrystone.llm.common import Boxed, bucket, col_of, need
-from quarrystone.session import materialize, table
+from quarrystone.session import materialize, release, table
 
 #: Most frequent words that tasks hold at most, none longer than LONGEST bytes; so the model's size is bounded. All others
 #: are looked up in the written counts by a join. A word's code (VOCABULARY + SHARED at most) has 16 bits.
@@ -387,11 +387,13 @@ def train(coded: DataFrame, vocabulary_b, words: int, rounds: int = ROUNDS) -> W
         dealt = dealt.repartitionById(shards, F.col("part")).sortWithinPartitions("_key", "_codes").select("part", "_codes")
         kind = "part int, w binary, n long"
         summed = materialize(dealt.mapInArrow(fit, kind))  # a row per shard
-        while (parts := summed.count()) > 1:
-            fewer = -(-parts // FAN_IN)
-            summed = materialize(summed.repartitionById(fewer, F.pmod("part", F.lit(fewer))).sortWithinPartitions("part").mapInArrow(_summed, kind).withColumn("part", F.pmod("part", F.lit(fewer))))
+        while (left := summed.count()) > 1:
+            fewer = -(-left // FAN_IN)
+            parts, summed = summed, materialize(summed.repartitionById(fewer, F.pmod("part", F.lit(fewer))).sortWithinPartitions("part").mapInArrow(_summed, kind).withColumn("part", F.pmod("part", F.lit(fewer))))
+            release(parts)
         for row in summed.collect():  # one of some 5 MB at most
             weights = Weights.of(np.frombuffer(bytes(row.w), dtype=np.float32))
+        release(summed)
     return weights
 
 

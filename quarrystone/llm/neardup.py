@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quarrystone.llm.common import Boxed, col_of, need
 from quarrystone.llm.shingles import minhash, set_key, shingle_set
 from quarrystone.operators.components import connected_components
-from quarrystone.session import broadcast_if_small, materialize, table
+from quarrystone.session import broadcast_if_small, materialize, release, table
 
 #: Signature coordinates, and the chance that a pair of just the least similarity has fewer equal ones than are asked for.
 COORDINATES = 64
@@ -99,7 +99,9 @@ def _crowded_pairs(open_nodes: DataFrame, sets: DataFrame, percent: int) -> Data
     a = first.select("x", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("i").alias("ia"))
     b = first.select("x", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("i").alias("ib"))
     enough = f"(1 + least(na - ia, nb - ib)) * {100 + percent} >= {percent} * (na + nb)"
-    return a.join(b, "x").where(f"a < b and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb) and {enough}").select("a", "b").distinct()
+    pairs = a.join(b, "x").where(f"a < b and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb) and {enough}").select("a", "b").distinct()
+    pairs.made = [rows, first]  # written for it
+    return pairs
 
 
 def _row_key(id_col: str, text_col: str) -> Column:
@@ -128,8 +130,8 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, percent: int, matches
     prefix = materialize(posted.where(F.col("_r") <= F.col("_m") - (matches - 1)).select("node", "post", "company"))
 
     wanted = prefix.select("node").distinct().join(nodes.select("node", "_row"), "node")
-    wanted = broadcast_if_small(materialize(wanted.select("_row").distinct()))  # a number for each candidate
-    sets = bare.join(wanted, "_row", "left_semi").select("_text")
+    wanted = materialize(wanted.select("_row").distinct())
+    sets = bare.join(broadcast_if_small(wanted), "_row", "left_semi").select("_text")  # a number for each candidate
     sets = sets.mapInArrow(_sets, "node binary, hashes binary, signature binary").groupBy("node").agg(F.first("hashes").alias("h"), F.first("signature").alias("s"))
     sets = materialize(sets)
 
@@ -150,9 +152,12 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, percent: int, matches
     apart = materialize(prefix.join(part, "node", "left").select("post", "node", label))
     mixed = apart.groupBy("post").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("post")
     open_nodes = materialize(apart.join(mixed, "post").select("node", "label").distinct())
-    more = verified(_crowded_pairs(open_nodes, sets, percent).join(tried, ["a", "b"], "left_anti"))
+    crowded = _crowded_pairs(open_nodes, sets, percent)
+    more = verified(crowded.join(tried, ["a", "b"], "left_anti"))
     if not more.isEmpty():
-        part = connected_components(links.unionByName(more))
+        held, part = part, connected_components(links.unionByName(more))
+        release(held)
+    release(prefix, wanted, sets, tried, links, apart, open_nodes, more, *crowded.made)
 
     grouped = nodes.select("node", "_first").join(part, "node", "left").select("node", "_first", F.coalesce("component", "node").alias("component"))
     least = grouped.groupBy("component").agg(F.min("_first").alias("component_id"))

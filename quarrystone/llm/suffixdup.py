@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quarrystone.llm.common import need
 from quarrystone.llm.suffixes import anchors, common_prefixes, line_up, suffix_order, words
-from quarrystone.session import materialize, table
+from quarrystone.session import materialize, release, table
 
 #: Length of the strings that count, and of their anchors.
 SPAN = 50
@@ -333,18 +333,21 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lots = materialize(long.join(chosen, ["key", "ord"]).dropDuplicates(["key", "ord"]), "zstd")
     contexts = lots.mapInArrow(_contexts(groups, hot), "h long, context binary, keys binary, places binary").withColumn("arr", F.pmod("h", F.lit(arrays)))
     spans = contexts.groupBy("arr").applyInArrow(_spans, "key binary, spans binary")
+    grams = []
     if len(hot):
         busy = lots.where(F.exists("codes", lambda c: c["grp"] < 0))
-        grams = materialize(busy.mapInArrow(_digests(hot), "key binary, ord long, start long, digest binary"))
-        source = grams.groupBy("digest").agg(F.min("ord").alias("source"))
-        more = grams.join(source, "digest").where("source < ord").select("key", F.concat(_bytes8("start"), _bytes8(F.col("start") + SPAN)).alias("spans"))
+        grams = [materialize(busy.mapInArrow(_digests(hot), "key binary, ord long, start long, digest binary"))]
+        source = grams[0].groupBy("digest").agg(F.min("ord").alias("source"))
+        more = grams[0].join(source, "digest").where("source < ord").select("key", F.concat(_bytes8("start"), _bytes8(F.col("start") + SPAN)).alias("spans"))
         spans = spans.unionByName(more)
     spans = materialize(spans.groupBy("key").agg(F.collect_list("spans").alias("spans")))
     cut = lots.select("key", "text").join(spans, "key").mapInArrow(_cut, _CUT)
     cut = materialize(cut if texts else cut.drop("kept_text", "removed"))
+    release(lots, spans, shared, *grams)
 
     # Copies are told first and need no more; so each join stands alone, where Spark can split a key with very many of them.
     told = materialize(slim.join(firsts.select("key", "first"), "key").withColumn("copy", (F.col("ord") > F.col("first")) & (F.col("n_bytes") >= SPAN)))
+    release(slim, firsts)
     whole = F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))
     gone = [F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(hashlib.sha256(b"").hexdigest()).alias("kept_sha256"), *([F.lit(b"").alias("kept_text"), F.array(whole).alias("removed")] if texts else [])]
     kept = [F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256")]
