@@ -25,7 +25,7 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def brute_classes(rows):
+def brute_classes(rows, percent):
     sets = [shingles(t) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -37,7 +37,7 @@ def brute_classes(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 parent[find(i)] = find(j)
     out = {}
     for i in range(len(rows)):
@@ -46,7 +46,8 @@ def brute_classes(rows):
     return [(rows[i][0], len(sets[i]), out[i]) for i in range(len(rows))]
 
 
-def test_near_duplicates_match_brute_force(spark):
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates_match_brute_force(spark, percent):
     rng = random.Random(2)
     base = [prose(rng, n) for n in (60, 80, 70, 3, 120)]
     rows = [(i, t) for i, t in enumerate(base)] + [(10, None), (11, ""), (12, " \t"), (13, base[0]), (14, base[3].upper()), (None, base[1]), (15, "One two"), (16, "one  TWO"), (17, base[4]), (17, base[4])]
@@ -56,10 +57,10 @@ def test_near_duplicates_match_brute_force(spark):
             w[rng.randrange(len(w))] = f"e{rng.randrange(6)}"
         rows.append((100 + k, " ".join(w)))
     d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("clash"))
-    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in neardup.near_duplicates(d).collect()), key=str)
-    assert got == sorted(brute_classes(rows), key=str)
-    kept = neardup.drop_near_duplicates(d)
-    assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {i for i, _, c in brute_classes(rows) if i == c}
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in neardup.near_duplicates(d, percent=percent).collect()), key=str)
+    assert got == sorted(brute_classes(rows, percent), key=str)
+    kept = neardup.drop_near_duplicates(d, percent=percent)
+    assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {i for i, _, c in brute_classes(rows, percent) if i == c}
     assert neardup.near_duplicates(d.limit(0)).count() == 0
 
 
