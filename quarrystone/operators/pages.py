@@ -225,7 +225,8 @@ def schema_org_signals(df: DataFrame) -> DataFrame:
 
 
 def serp_rows(pages: DataFrame, own: list[str], most: int = 10) -> DataFrame:
-    """(page_id, place, url, title) of stored result pages: outbound links with a text, redirects resolved, distinct."""
+    """(page_id, place, url, title) of stored result pages: links with a text to sites other than ``own``, taken from the page's
+    url, redirects resolved, distinct."""
 
     def target(href: str) -> str:
         for name in ("q", "uddg", "url"):
@@ -237,18 +238,23 @@ def serp_rows(pages: DataFrame, own: list[str], most: int = 10) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for page_id, html in zip(b["page_id"], b["html"], strict=True):
+            for page_id, base, html in zip(b["page_id"], b["url"], b["html"], strict=True):
                 seen: dict[str, str] = {}
                 for href, text in Page(html or "").links:
-                    url = target(href)
+                    url = target(_joined(base or "", href))
                     if url.startswith("http") and text and not any(_host(url).endswith(o) for o in own):
                         seen.setdefault(url, text)
                 rows += [(page_id, i + 1, u, t) for i, (u, t) in enumerate(list(seen.items())[:most])]
             yield pd.DataFrame(rows, columns=["page_id", "place", "url", "title"])
 
-    return pages.select("page_id", "html").mapInPandas(run, "page_id long, place int, url string, title string")
+    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, place int, url string, title string")
 
 
+# Labels of a company's profile.
+PROFILE_LABELS = {
+    "legal_name": "Ragione sociale", "vat": "Partita IVA", "fiscal_code": "Codice Fiscale", "rea": "REA", "legal_form": "Forma giuridica", "founded": "Anno Fondazione", "status": "Stato Attività", "address": "Indirizzo", "city": "Città",
+    "province": "Provincia", "region": "Regione", "revenue": "Fatturato", "employees": "Dipendenti", "profit": "Utile", "personnel_cost": "Costo del personale", "activity": "Attività prevalente",
+}
 ADDRESS = re.compile(r"(?P<street>[^,\n|]*(?:,\s*[0-9]+[a-zA-Z/]*)?)[\s,-]*\b(?P<zip>[0-9]{5})\b[\s,-]*(?P<city>[^()\n|]*?)\s*\((?P<province>[A-Z]{2})\)")
 
 
@@ -260,16 +266,16 @@ def _address(page: Page) -> tuple[str | None, str | None, str | None, str | None
     return None, None, None, None
 
 
-def listing_rows(pages: DataFrame) -> DataFrame:
-    """(page_id, place, name, phone, website, street, zip, city, province): a row for each heading of a stored listing, with
-    what follows it."""
+def listing_rows(pages: DataFrame, levels: str = "23") -> DataFrame:
+    """(page_id, place, name, phone, website, street, zip, city, province): a row for each heading (of these ``levels``) of a
+    stored listing, with what follows it."""
     names = ["page_id", "place", "name", "phone", "website", "street", "zip", "city", "province"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for page_id, html in zip(b["page_id"], b["html"], strict=True):
-                parts = re.split(r"(?is)<h[23][^>]*>(.*?)</h[23]>", html or "")
+                parts = re.split(rf"(?is)<h[{levels}][^>]*>(.*?)</h[{levels}]>", html or "")
                 for i in range(1, len(parts), 2):
                     page = Page(parts[i + 1])
                     phone = re.search(r"(?:\+39|0)[\d ./-]{6,}", squeezed(page.text))

@@ -531,10 +531,10 @@ def upsert(spark, d):
     return D.upsert(c.where("row_id % 2 = 0"), c.where("row_id % 2 = 1"), "k").select("k", "row_id")
 
 
-@query("merge_status", f"SELECT row_id, CASE WHEN row_id % 5 = 0 THEN 'OK' WHEN row_id % 2 = 0 THEN 'ERROR' ELSE 'NO_DOMAIN_FOUND' END AS status FROM {COMPANIES}")
+@query("merge_status", f"SELECT row_id, CASE WHEN balance > 5000 THEN 'OK' WHEN row_id % 2 = 0 THEN 'ERROR' ELSE 'NO_DOMAIN_FOUND' END AS status FROM {COMPANIES}")
 def merge_status(spark, d):
-    c = role(spark, d, "companies").select("row_id", F.when(F.col("row_id") % 2 == 0, "ERROR").otherwise("NO_DOMAIN_FOUND").alias("status"))
-    return D.keyed_merge_status(c, c.where("row_id % 5 = 0").withColumn("status", F.lit("OK")), "row_id")
+    c = role(spark, d, "companies").select("row_id", "balance", F.when(F.col("row_id") % 2 == 0, "ERROR").otherwise("NO_DOMAIN_FOUND").alias("status"))
+    return D.keyed_merge_status(c.drop("balance"), c.where("balance > 5000").withColumn("status", F.lit("OK")), "row_id")
 
 
 @query("phone_frequency", f"""WITH p AS (SELECT row_id, unnest(list_distinct(list_transform({_parts}, lambda p: CASE WHEN starts_with(p, '0') OR starts_with(p, '3') THEN '+39' || p ELSE p END))) AS phone FROM {COMPANIES})
@@ -638,10 +638,10 @@ def pending(spark, d):
     return J.pending(role(spark, d, "companies"), done).select("company_id")
 
 
-@query("run_pending", f"SELECT row_id FROM {COMPANIES} WHERE lower(trim(company_name)) || '|' || lower(trim(city)) || '|' || lower(trim(address)) NOT IN (SELECT lower(trim(company_name)) || '|' || lower(trim(city)) || '|' || lower(trim(address)) FROM {COMPANIES} WHERE row_id % 3 = 0 OR row_id % 7 = 0)")
+@query("run_pending", f"SELECT row_id FROM {COMPANIES} WHERE lower(trim(company_name)) || '|' || lower(trim(city)) || '|' || lower(trim(address)) NOT IN (SELECT lower(trim(company_name)) || '|' || lower(trim(city)) || '|' || lower(trim(address)) FROM {COMPANIES} WHERE balance < 0 OR balance > 8000)")
 def run_pending(spark, d):
     c = role(spark, d, "companies")
-    return J.run_pending(c, [c.where("row_id % 3 = 0"), c.where("row_id % 7 = 0")]).select("row_id")
+    return J.run_pending(c, [c.where("balance < 0"), c.where("balance > 8000")]).select("row_id")
 
 
 @query("export_enriched", f"SELECT c.company_id, company_name, sum(o_totalprice) AS lead_score FROM {COMPANIES} c JOIN orders ON o_custkey = row_id GROUP BY ALL".replace("sum(o_totalprice)", "max(o_totalprice)"))
@@ -656,11 +656,11 @@ def already_enriched(spark, d):
     return J.already_enriched(role(spark, d, "companies"), done).select("company_id", "status")
 
 
-_registry = f"(SELECT row_id AS piva, {sql_clean('company_name')} AS r_norm, coalesce(province, '-') AS r_province, city AS r_city FROM {COMPANIES} WHERE row_id % 2 = 1)"
+_registry = f"(SELECT row_id AS piva, {sql_clean('company_name')} AS r_norm, coalesce(province, '-') AS r_province, city AS r_city FROM {COMPANIES})"
 
 
 def _registry_of(c):
-    return c.where("row_id % 2 = 1").select(F.col("row_id").alias("piva"), F.col("company_name").alias("ragione_sociale"), N.clean_company_name(F.col("company_name")).alias("normalized_name"), F.coalesce("province", F.lit("-")).alias("provincia"), F.col("city").alias("citta"))
+    return c.select(F.col("row_id").alias("piva"), F.col("company_name").alias("ragione_sociale"), N.clean_company_name(F.col("company_name")).alias("normalized_name"), F.coalesce("province", F.lit("-")).alias("provincia"), F.col("city").alias("citta"))
 
 
 @query("registry_lookup", f"""SELECT row_id, min(piva) AS piva FROM (SELECT *, {sql_clean("company_name")} AS norm FROM {COMPANIES}) JOIN {_registry} ON norm = r_norm AND (province = r_province OR city = r_city) GROUP BY row_id""")
@@ -669,7 +669,7 @@ def registry_lookup(spark, d):
     return J.registry_lookup(c, _registry_of(c)).select("row_id", "piva")
 
 
-@query("registry_fuzzy", f"""SELECT row_id, min(piva) AS piva FROM (SELECT *, {sql_fold(sql_clean("company_name"))} AS core FROM {COMPANIES}) c JOIN (SELECT row_id AS piva, ' ' || {sql_fold("company_name")} || ' ' AS legal, city FROM {COMPANIES} WHERE row_id % 2 = 1) r
+@query("registry_fuzzy", f"""SELECT row_id, min(piva) AS piva FROM (SELECT *, {sql_fold(sql_clean("company_name"))} AS core FROM {COMPANIES}) c JOIN (SELECT row_id AS piva, ' ' || {sql_fold("company_name")} || ' ' AS legal, city FROM {COMPANIES}) r
   ON r.city = c.city AND contains(legal, ' ' || core || ' ') GROUP BY row_id""")
 def registry_fuzzy(spark, d):
     c = role(spark, d, "companies")
@@ -936,19 +936,17 @@ def clean_html(spark, d):
 
 @query("serp_rows")
 def serp_rows(spark, d):
-    """Result rows of every stored page, whose relative links are taken from its own site as a browser does."""
-    page = _pages(spark, d).select("page_id", F.regexp_replace("html", F.lit('href="/'), F.concat(F.lit('href="'), F.coalesce(F.regexp_extract("url", "^(https?://[^/?#]+)", 1), F.lit("")), F.lit("/"))).alias("html"))
-    return H.serp_rows(page, C.SEARCH_ENGINES)
+    return H.serp_rows(_pages(spark, d), C.SEARCH_ENGINES)
 
 
 @query("listing_rows")
 def listing_rows(spark, d):
-    return H.listing_rows(_pages(spark, d).select("page_id", F.regexp_replace("html", "h1>", "h2>").alias("html")))
+    return H.listing_rows(_pages(spark, d), "123")
 
 
 @query("labelled_fields")
 def labelled_fields(spark, d):
-    return H.labelled_fields(_pages(spark, d), {"after_the": "the ", "after_der": "der "})
+    return H.labelled_fields(_pages(spark, d), H.PROFILE_LABELS)
 
 
 @query("schema_org")
