@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,10 +21,14 @@ def _has(c: Column) -> Column:
 
 
 def dedup_exact(df: DataFrame, keys: list[str | Column], row_id: str = "row_id", keep: str = "first") -> DataFrame:
-    """One row per key: the first (or last) by row id. Null keys are a key of their own."""
-    order = F.col(row_id).asc() if keep == "first" else F.col(row_id).desc()
-    w = Window.partitionBy(*keys).orderBy(order)
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    """One row per key: the first (or last) by row id, null ids before all others. Null keys are a key of their own."""
+    at = F.struct(F.col(row_id).isNotNull().alias("some"), F.col(row_id).alias("id"))
+    return _best_row(df, keys, at, F.min_by if keep == "first" else F.max_by)
+
+
+def _best_row(df: DataFrame, keys: list[str | Column], order: Column, pick: Callable = F.min_by) -> DataFrame:
+    """The row of least (or greatest) ``order`` per key, by partial aggregates: a key of very many rows meets in no task."""
+    return df.groupBy(*keys).agg(pick(F.struct(*df.columns), order).alias("_best")).select("_best.*")
 
 
 def company_id() -> Column:
@@ -42,9 +48,9 @@ def deterministic_company_id(df: DataFrame, row_id: str = "row_id") -> tuple[Dat
 def overlay(base: DataFrame, retry: DataFrame, keys: list[str], row_id: str = "row_id") -> DataFrame:
     """Retry rows replace base rows of equal key; rows keep the base's place."""
     both = base.withColumn("_late", F.lit(0)).unionByName(retry.withColumn("_late", F.lit(1)), allowMissingColumns=True)
-    w = Window.partitionBy(*keys)
-    both = both.withColumn("place", F.min(F.when(F.col("_late") == 0, F.col(row_id))).over(w))
-    return both.withColumn("_n", F.row_number().over(w.orderBy(F.desc("_late"), F.desc(row_id)))).where("_n = 1").drop("_n", "_late")
+    columns = [c for c in both.columns if c != "_late"]
+    best = F.max_by(F.struct(*columns), F.struct("_late", row_id)).alias("_best")
+    return both.groupBy(*keys).agg(best, F.min(F.when(F.col("_late") == 0, F.col(row_id))).alias("place")).select("_best.*", "place")
 
 
 def merge_by_phone(main: DataFrame, rescue: DataFrame, fields: list[str], row_id: str = "row_id") -> DataFrame:
@@ -53,8 +59,8 @@ def merge_by_phone(main: DataFrame, rescue: DataFrame, fields: list[str], row_id
     phone = F.trim(F.coalesce("phone", F.lit("")))
     both = both.withColumn("merge_key", F.when(F.length(phone) > 5, phone).otherwise(name_city_slug(F.col("company_name"), F.col("city"))))
     filled = sum((_has(F.col(f)).cast("int") for f in fields), F.lit(0))
-    w = Window.partitionBy("merge_key").orderBy(_has(F.col("website")).desc(), filled.desc(), "_late", row_id)
-    return both.where(F.length("merge_key") >= 5).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_late")
+    order = F.struct((~_has(F.col("website"))).alias("a"), (-filled).alias("b"), F.col("_late").alias("c"), F.col(row_id).alias("d"))
+    return _best_row(both.where(F.length("merge_key") >= 5), ["merge_key"], order).drop("_late")
 
 
 def record_keys() -> Column:
@@ -249,8 +255,7 @@ def merge_runs(valid: list[DataFrame], key: list[str], invalid: list[DataFrame],
 def upsert(table: DataFrame, rows: DataFrame, key: str, row_id: str = "row_id") -> DataFrame:
     """Insert or replace by key; of new rows with one key the last wins."""
     both = table.withColumn("_new", F.lit(0)).unionByName(rows.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy(F.desc("_new"), F.desc(row_id))
-    return both.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_new")
+    return _best_row(both, [key], F.struct("_new", row_id), F.max_by).drop("_new")
 
 
 def keyed_merge_status(results: DataFrame, recovered: DataFrame, key: str, status: str = "status") -> DataFrame:
