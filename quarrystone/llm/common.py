@@ -79,3 +79,19 @@ class Boxed:
 def bucket(v: str, bits: int = 6) -> str:
     """SQL: the lower end of the sketch bucket of a whole number: exact below 2**bits, else its leading bits."""
     return f"CASE WHEN {v} < {1 << bits} THEN {v} ELSE shiftleft(shiftright({v}, length(bin({v})) - {bits}), length(bin({v})) - {bits}) END"
+
+
+#: A key with this share of all rows is joined by broadcast; fewer keys than this many can have it.
+HOT_SHARE = 1000
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` joined to their ``groups`` (one for each ``key``; ``size``: how many of the rows have it), both written tables.
+
+    Keys with over 1 / HOT_SHARE of the rows are fewer than HOT_SHARE whatever the data, so these are broadcast and their rows
+    stay where they are; a partition of the shuffle for the others gets no large key.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = F.col(size) * HOT_SHARE > total
+    often = groups.where(hot)
+    return rows.join(F.broadcast(often), key).unionByName(rows.join(F.broadcast(often.select(key)), key, "left_anti").join(groups.where(~hot), key))

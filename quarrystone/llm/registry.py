@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from quarrystone.llm import decontam, licenses, lmscore, mixing, neardup, quality, sharding, suffixdup, urls, warc
+from quarrystone.llm import decontam, exactdup, licenses, lmscore, mixing, neardup, quality, sharding, suffixdup, urls, warc
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_pseudo_likelihood": lmscore.op8_pseudo_likelihood,
     "op9_licenses": licenses.op9_licenses,
     "op10_mix": mixing.op10_mix,
+    "op12_exact_dedup": exactdup.op12_exact_dedup,
 }
 
 ORACLES = {
@@ -27,4 +28,5 @@ ORACLES = {
     "op7_interleave": sharding.OP7_SQL,
     "op9_licenses": licenses.OP9_SQL,
     "op10_mix": mixing.OP10_SQL,
+    "op12_exact_dedup": exactdup.OP12_SQL,
 }
