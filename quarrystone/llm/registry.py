@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from quarrystone.llm import decontam, exactdup, licenses, lmscore, mixing, neardup, quality, sharding, suffixdup, urls, warc, whitening
+from quarrystone.llm import crosstok, decontam, exactdup, licenses, lmscore, mixing, neardup, quality, sharding, suffixdup, urls, warc, whitening
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_pseudo_likelihood": lmscore.op8_pseudo_likelihood,
     "op9_licenses": licenses.op9_licenses,
     "op10_mix": mixing.op10_mix,
+    "op11_token_alignment": crosstok.op11_token_alignment,
     "op12_exact_dedup": exactdup.op12_exact_dedup,
     "op13_whitening": whitening.op13_whitening,
 }
