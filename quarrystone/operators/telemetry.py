@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarrystone.operators import folds
+from quarrystone.session import materialize
+
 
 def run_metrics(df: DataFrame) -> DataFrame:
     s = F.col("status")
@@ -125,50 +125,23 @@ def alerts(health: DataFrame, cost_per_company: float = 0.06, exhaustions: int =
     return health.select("window_start", F.explode(found).alias("_a")).select("window_start", "_a.alert", "_a.value")
 
 
-def _folded(rows: DataFrame, key: str, order: list[str], fold, schema: str) -> DataFrame:
-    """Rows of a key in order, one after another through ``fold(state, row) -> (state, value)``, in batches: a task holds a
-    batch and one state, however many rows a key has."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, state = None, None
-        for b in batches:
-            out = []
-            for row in b.itertuples(index=False):
-                if row[0] != at:
-                    at, state = row[0], None
-                state, value = fold(state, row)
-                out.append(value)
-            yield b.drop(columns=list(b.columns[1:])).assign(**{order[-1]: b[order[-1]], "value": out})
-
-    cols = [key, *[c for c in rows.columns if c != key]]
-    return rows.select(*cols).repartition(key).sortWithinPartitions(key, *order).mapInPandas(run, schema)
-
-
 def circuit_breaker(health: DataFrame, cost: float = 0.04, errors: float = 0.25, hold_s: float = 600) -> DataFrame:
     """(run_id, window_start, open): opens on cost per company or error rate, closes only when clean and ``hold_s`` after
-    opening. A fold over the windows of a run; runs are spread over tasks."""
-
-    def fold(since, row):
-        bad = row.cost_per_company > cost or row.error_rate > errors
-        if since is None and bad:
-            since = row.window_start
-        elif since is not None and not bad and (row.window_start - since).total_seconds() >= hold_s:
-            since = None
-        return since, since is not None
-
-    rows = health.select(F.col("run_id").cast("string").alias("run_id"), "window_start", "cost_per_company", "error_rate")
-    return _folded(rows, "run_id", ["window_start"], fold, "run_id string, window_start timestamp, value boolean").withColumnRenamed("value", "open")
+    opening. Openings are followed by pointers, so a run's windows are spread over tasks, however many it has. Missing figures are
+    clean; rows without a time are left out; a time with a bad and a clean row is bad."""
+    is_bad = F.coalesce(F.col("cost_per_company") > cost, F.lit(False)) | F.coalesce(F.col("error_rate") > errors, F.lit(False))
+    rows = health.where(F.col("window_start").isNotNull()).select(F.struct(F.col("run_id").cast("string").alias("run_id")).alias("k"), F.col("window_start").cast("timestamp").alias("window_start"), is_bad.alias("bad"))
+    points = materialize(rows.groupBy("k", "window_start", folds.micros(F.col("window_start")).alias("t")).agg(F.bool_or("bad").alias("bad")))
+    inside = folds.within_spells(points, folds.open_spells(points, hold_s), round(max(hold_s, 60) * 1_000_000))
+    return points.join(inside, ["k", "t"]).select("k.run_id", "window_start", F.col("inside").alias("open"))
 
 
 def cooldown(events: DataFrame, key: str, seconds: float) -> DataFrame:
     """(event_id, key, approved): an event is approved if the key's last approved one lies ``seconds`` back. The same rule
-    gives first writes with a time to live: what isn't approved is a cache hit. Rows without a key or time are left out."""
-    kind = events.schema[key].dataType.simpleString()
-
-    def fold(last, row):
-        fresh = last is None or (row.ts - last).total_seconds() >= seconds
-        return row.ts if fresh else last, fresh
-
-    rows = events.select(key, "ts", "event_id").where(F.col(key).isNotNull() & F.col("ts").isNotNull())
-    out = _folded(rows, key, ["ts", "event_id"], fold, f"`{key}` {kind}, event_id long, value boolean")
-    return out.select("event_id", key, F.col("value").alias("approved"))
+    gives first writes with a time to live: what isn't approved is a cache hit. At one time the least event_id counts. Rows
+    without a key or time are left out. Approved times are followed by pointers, so a key's events are spread over tasks."""
+    rows = events.where(F.col(key).isNotNull() & F.col("ts").isNotNull()).select(F.col(key).alias("k"), folds.micros(F.col("ts")).alias("t"), "event_id")
+    taken = folds.spaced_out(rows, seconds)
+    first = rows.groupBy("k", "t").agg(F.min("event_id").alias("_first"), F.lit(True).alias("_taken")).join(taken, ["k", "t"])
+    out = rows.join(first, ["k", "t"], "left")
+    return out.select("event_id", F.col("k").alias(key), (F.col("_taken").isNotNull() & F.col("event_id").eqNullSafe(F.col("_first"))).alias("approved"))
