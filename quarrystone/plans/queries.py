@@ -23,6 +23,7 @@ from quarrystone.operators import telemetry as A
 from quarrystone.plans.roles import role, role_sql
 from quarrystone.session import materialize, shared_dir
 from quarrystone.sources import files as IO
+from quarrystone.sources import tables as IO_TABLES
 from quarrystone.streaming import jobs as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1084,22 +1085,33 @@ def figures(spark, d):
 
 
 # --- streams ---------------------------------------------------------------------------------------------------------
-def _streamed(spark, d, name: str, columns: list[str]):
-    """A role as a stream of some batches: written in the order of ``ts`` (if it has one) as several files, read one by one."""
+def _streamed(spark, d, name: str, columns: list[str], behind: Column | None = None):
+    """A role as a stream of three batches: written by thirds of the span of ``ts`` (rows without a time in the first), or
+    anyhow if it has none, and read one by one. Rows of ``behind`` come with the last third, whatever their time."""
     path = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
-    rows = role(spark, d, name).select(*[F.col(c).cast("timestamp").alias(c) if c == "ts" else c for c in columns])
+    rows = role(spark, d, name)
+    rows = rows.withColumn("ts", F.col("ts").cast("timestamp")) if "ts" in columns else rows
     if "ts" in columns:
         ends = rows.agg(F.min("ts"), F.max("ts")).first()
         steps = [ends[0] + (ends[1] - ends[0]) * i / 3 for i in range(1, 3)] if ends[0] else []
-        part = sum([(F.col("ts") > F.lit(x)).cast("int") for x in steps], F.lit(0))
+        part = sum([F.coalesce(F.col("ts") > F.lit(x), F.lit(False)).cast("int") for x in steps], F.lit(0))
+        part = part if behind is None else F.when(behind, len(steps)).otherwise(part)
         for i in range(len(steps) + 1):
-            rows.where(part == i).write.mode("append").parquet(f"{path}/in")
+            rows.where(part == i).select(*columns).write.mode("append").parquet(f"{path}/in")
     else:
-        rows.repartition(3).write.parquet(f"{path}/in")
+        rows.select(*columns).repartition(3).write.parquet(f"{path}/in")
+    rows = rows.select(*columns)
     files = len(spark.read.parquet(f"{path}/in").inputFiles())
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, files // 3)).parquet(f"{path}/in"), path
 
 
+def _straggling(spark, d, columns: list[str]):
+    """The ledger as a stream in which every tenth call of the first third comes with the last third."""
+    ends = role(spark, d, "ledger").select(F.col("ts").cast("timestamp").alias("ts")).agg(F.min("ts"), F.max("ts")).first()
+    first = F.col("ts") <= F.lit(ends[0] + (ends[1] - ends[0]) / 3) if ends[0] else F.lit(False)
+    return _streamed(spark, d, "ledger", columns, (F.col("event_id") % 10 == 0) & first)
+
+
 @query("stream_block_counts", f"SELECT domain, block_type, count(*) AS n, count(*) >= 5 AS hot FROM (SELECT event_id, {sql_host('url')} AS domain FROM {LEDGER}) JOIN ({ORACLES['classify_blocks']}) USING (event_id) WHERE block_type <> 'NONE' GROUP BY ALL")
 def stream_block_counts(spark, d):
     rows, path = _streamed(spark, d, "ledger", ["ts", "url", "http_status", "body"])
@@ -1125,15 +1137,27 @@ def stream_failure_runs(spark, d):
 _made_id = f"md5(lower(trim(company_name)) || '|' || {sql_digits('phone')} || '|' || lower(trim(city)) || '|' || lower(trim(address)))"
 
 
-@query("stream_campaigns", f"SELECT DISTINCT {_made_id} AS company_id FROM {COMPANIES}")
+@query("stream_campaigns", f"SELECT {_made_id} AS company_id, min(company_name) AS company_name, min(city) AS city, min(phone) AS phone, min(address) AS address, 'unknown' AS file_city FROM {COMPANIES} GROUP BY 1")
 def stream_campaigns(spark, d):
-    """New campaign files of a folder, normalised, given ids, first seen only, written over a table by id."""
+    """New campaign files of a folder, normalised, given ids, first seen only, merged into a table by id; all its fields."""
     path = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
     c = role(spark, d, "companies").select("company_name", "city", "phone", "address")
-    c.repartition(3).write.option("header", True).csv(f"{path}/in")
+    padded = c.select(*[F.concat(F.lit(" "), x, F.lit("  ")).alias(x) for x in c.columns])
+    padded.repartition(3).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/in")
     rows = T.watch_campaigns(spark, f"{path}/in", c.schema, 1)
-    T.upsert_stream(T.campaign_stream(rows), f"{path}/table", f"{path}/checkpoint")
-    return T.upserted(spark, f"{path}/table").select("company_id")
+    T.upsert_stream(T.campaign_stream(rows).drop("file"), f"{path}/table", f"{path}/checkpoint", buckets=8)
+    return T.upserted(spark, f"{path}/table").select("company_id", "company_name", "city", "phone", "address", "file_city")
+
+
+@query("upsert_table", f"""SELECT company_id, n_calls, last_event FROM (SELECT company_id, count(*) AS n_calls, max(event_id) AS last_event FROM {LEDGER} GROUP BY company_id)""")
+def upsert_table(spark, d):
+    """Each company's calls in three batches by event, each merged over the table of the batches before."""
+    table = IO_TABLES.BucketTable(spark, f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}", "company_id", 16)
+    log = role(spark, d, "ledger").select("company_id", "event_id")
+    for n in range(3):
+        so_far = log.groupBy("company_id").agg(F.count_if(F.col("event_id") % 3 <= n).alias("n_calls"), F.max(F.when(F.col("event_id") % 3 <= n, F.col("event_id"))).alias("last_event"))
+        table.merge(so_far.where("n_calls > 0"), n)
+    return table.read().select("company_id", "n_calls", "last_event")
 
 
 @query("stream_ledger", f"SELECT provider, count(*) AS calls, round(sum(cost_eur), 6) AS cost_eur, count(*) FILTER (cache_hit) AS hits FROM {LEDGER} GROUP BY provider")
@@ -1171,6 +1195,38 @@ def stream_dedup_ttl(spark, d):
     return T.drain(T.dedup_ttl(rows, "company_id", 5 * 86_400), f"{path}/out", f"{path}/checkpoint").select("company_id", "event_id")
 
 
+# The same log with every tenth call of its first third arriving with the last third, far behind the watermark.
+_thirds = f"(SELECT *, ts > lo + (hi - lo) / 3 AS second, ts > lo + (hi - lo) * 2 / 3 AS third FROM {LEDGER}, (SELECT min(ts) AS lo, max(ts) AS hi FROM {LEDGER}))"
+_behind = "(event_id % 10 = 0 AND NOT second)"
+
+
+@query("stream_late_counts", f"SELECT provider, count(*) AS rows, count(*) FILTER ({_behind} AND ts < (SELECT max(ts) FROM {_thirds} WHERE NOT third) - INTERVAL 60 SECOND) AS late FROM {_thirds} GROUP BY provider")
+def stream_late_counts(spark, d):
+    """Calls of each provider and how many came too late, last figures."""
+    rows, path = _straggling(spark, d, ["ts", "provider"])
+    out = T.drain(T.late_counts_stream(rows, "provider"), f"{path}/out", f"{path}/checkpoint")
+    return out.groupBy("provider").agg(F.max("rows").alias("rows"), F.max("late").alias("late"))
+
+
+_on_time = f"(SELECT event_id, company_id, ts FROM {_thirds} WHERE NOT {_behind})"
+
+
+@query("stream_cooldown_late", f"SELECT company_id, event_id, approved FROM ({_cooled(86_400).replace(LEDGER, _on_time)})")
+def stream_cooldown_late(spark, d):
+    """The rest of the log is judged as if the late calls had never come."""
+    rows, path = _straggling(spark, d, ["company_id", "event_id", "ts"])
+    return T.drain(T.cooldown_stream(rows, "company_id", 86_400), f"{path}/out", f"{path}/checkpoint").select("company_id", "event_id", "approved")
+
+
+@query("stream_health_late", f"""SELECT time_bucket(INTERVAL 300 SECOND, ts) AS window_start, count(*) AS total_calls, round(avg((NOT success)::INT), 9) AS error_rate FROM {_thirds} WHERE NOT {_behind} GROUP BY 1
+  HAVING window_start + INTERVAL 300 SECOND <= (SELECT max(ts) FROM {_thirds}) - INTERVAL 60 SECOND""")
+def stream_health_late(spark, d):
+    """Windows that are over, each written once (append mode): late calls change none of them."""
+    rows, path = _straggling(spark, d, ["ts", "success", "duration_ms", "cost_eur", "cache_hit", "company_id"])
+    out = T.drain(T.ledger_health_stream(rows, "300 seconds", "300 seconds"), f"{path}/out", f"{path}/checkpoint")
+    return out.select("window_start", "total_calls", F.round("error_rate", 9).alias("error_rate"))
+
+
 @query("stream_breaker", _breaker)
 def stream_breaker(spark, d):
     """Health windows of each run, arriving in order."""

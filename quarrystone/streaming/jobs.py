@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from quarrystone.operators.resolve import company_id
+from quarrystone.sources.tables import BucketTable
 
 
 def watch_campaigns(spark: SparkSession, folder: str, schema: StructType | str, files: int = 100) -> DataFrame:
@@ -49,14 +50,15 @@ def block_counts_stream(blocks: DataFrame, hot: int = 5, tumbling: str | None =
     return out.withColumn("hot", F.col("n") >= hot)
 
 
-def dedup_ttl(events: DataFrame, key: str, seconds: float) -> DataFrame:
+def dedup_ttl(events: DataFrame, key: str, seconds: float, late: str = "1 minute") -> DataFrame:
     """Events that come first or ``seconds`` after the last one let through of their key, by event time."""
-    return cooldown_stream(events, key, seconds).where("approved").drop("approved")
+    return cooldown_stream(events, key, seconds, late).where("approved").drop("approved")
 
 
-def cooldown_stream(events: DataFrame, key: str, seconds: float) -> DataFrame:
-    """(key, event_id, ts, approved): approved if the key's last approved event lies ``seconds`` back. State: one time per key,
-    dropped when it can no longer matter."""
+def cooldown_stream(events: DataFrame, key: str, seconds: float, late: str = "1 minute") -> DataFrame:
+    """(key, event_id, ts, approved): approved if the key's last approved event lies ``seconds`` back. Events behind the watermark
+    (``late`` behind the latest time of the batches before) are left out and change nothing; ``late_counts_stream`` counts
+    them. State: one time per key, dropped when it can no longer matter."""
     kind = events.schema[key].dataType.simpleString()
 
     def fold(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -75,10 +77,28 @@ def cooldown_stream(events: DataFrame, key: str, seconds: float) -> DataFrame:
         state.setTimeoutTimestamp(max(int((last + seconds) * 1000), state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({key: [group[0]] * len(rows), "event_id": rows["event_id"].to_numpy(), "ts": rows["ts"].to_numpy(), "approved": taken})
 
-    rows = events.withWatermark("ts", "1 minute").select(key, "event_id", "ts")
+    rows = events.withWatermark("ts", late).select(key, "event_id", "ts")
     return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {kind}, event_id long, ts timestamp, approved boolean", "last double", "append", GroupStateTimeout.EventTimeTimeout)
 
 
+def late_counts_stream(events: DataFrame, key: str, late: str = "1 minute") -> DataFrame:
+    """(key, rows, late): after each batch, the keys it held with all their rows so far and how many came behind the watermark. Over
+    the same batches these are the events that ``cooldown_stream`` and ``dedup_ttl`` leave out for their ``late``, and of those that
+    a windowed aggregation in append mode is given, the ones that may come too late for their window. State: two numbers per
+    key."""
+    kind = events.schema[key].dataType.simpleString()
+
+    def fold(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        (n, behind), mark = state.get if state.exists else (0, 0), pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
+        for batch in batches:
+            n, behind = n + len(batch), behind + int((batch["ts"] < mark).sum())
+        state.update((n, behind))
+        yield pd.DataFrame({key: [group[0]], "rows": [n], "late": [behind]})
+
+    rows = events.withWatermark("ts", late).select(key, "ts")
+    return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {kind}, rows long, late long", "n long, late long", "append", GroupStateTimeout.NoTimeout)
+
+
 def breaker_stream(health: DataFrame, cost: float = 0.04, errors: float = 0.25, hold_s: float = 600) -> DataFrame:
     """(run_id, window_start, open): the circuit breaker over health windows; state: the time of opening, per run."""
 
@@ -100,32 +120,26 @@ def breaker_stream(health: DataFrame, cost: float = 0.04, errors: float = 0.25,
 
 
 def campaign_stream(rows: DataFrame) -> DataFrame:
-    """Rows of new campaigns with trimmed fields and their company id, the first of each id; rows without a name are dropped."""
+    """Rows of new campaigns with trimmed fields and their company id; rows without a name are dropped."""
     text = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "string"]
     clean = rows.withColumns({c: F.nullif(F.trim(c), F.lit("")) for c in text}).where("company_name is not null")
     if "company_id" not in rows.columns:
         clean = clean.withColumn("company_id", F.lit(None).cast("string"))
-    return clean.withColumn("company_id", company_id()).dropDuplicates(["company_id"])
-
-
-def upsert_stream(rows: DataFrame, path: str, checkpoint: str, key: str = "company_id") -> None:
-    """Write each batch of a stream over the table at ``path`` by key: a batch's own row wins. Tables are written in turns
-    beside each other and named by the batch, so one that is run again writes the same table again."""
-    spark = rows.sparkSession
+    return clean.withColumn("company_id", company_id())
 
-    def save(batch: DataFrame, n: int) -> None:
-        if n:
-            held = spark.read.parquet(f"{path}/batch={n - 1}")
-            batch = batch.unionByName(held.join(batch.select(key), key, "left_anti"))
-        batch.write.mode("overwrite").parquet(f"{path}/batch={n}")
 
+def upsert_stream(rows: DataFrame, path: str, checkpoint: str, key: str = "company_id", wins: str = "old", buckets: int = 64) -> None:
+    """Merge each batch of a stream into the ``BucketTable`` at ``path``: keys that are there stay as first seen (``wins="old"``) or are
+    replaced (``"new"``). The table itself is what has been seen, so the stream keeps no state; only touched buckets are rewritten,
+    and a batch that is run again changes nothing."""
+    table = BucketTable(rows.sparkSession, path, key, buckets)
+    save: Callable = lambda batch, n: table.merge(batch, n, wins)
     rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(save).start().awaitTermination()
 
 
-def upserted(spark: SparkSession, path: str) -> DataFrame:
-    """The last table of ``upsert_stream``."""
-    batches = spark.read.parquet(path)
-    return batches.where(F.col("batch") == batches.agg(F.max("batch")).first()[0]).drop("batch")
+def upserted(spark: SparkSession, path: str, key: str = "company_id") -> DataFrame:
+    """The rows of ``upsert_stream``."""
+    return BucketTable(spark, path, key).read()
 
 
 def running_totals_stream(log: DataFrame, key: str = "provider") -> DataFrame:
