@@ -67,6 +67,9 @@ def cooldown_stream(events: DataFrame, key: str, seconds: float, late: str = "1
             return
         last = state.get[0] if state.exists else None
         rows = pd.concat(list(batches)).sort_values(["ts", "event_id"])
+        rows = rows[rows["ts"] >= pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")]  # Spark's own filter is a batch behind
+        if rows.empty:
+            return
         taken = []
         for ts in rows["ts"]:
             now = ts.timestamp()
