@@ -53,21 +53,42 @@ def registry_lookup(inputs: DataFrame, registry: DataFrame) -> DataFrame:
     return found.withColumn("_n", F.row_number().over(w)).where("_n = 1").select("row_id", "piva", "legal", F.lit(0.9).alias("confidence"))
 
 
-def registry_fuzzy(inputs: DataFrame, registry: DataFrame, name: str = "company_name", most: int = 5) -> DataFrame:
-    """Registry rows whose folded name holds the input's core name as a phrase, in the same city; the first of them.
+#: Words of the longest phrase that the registry index holds.
+PHRASE = 3
 
-    A phrase implies each of its words, so rows meet on the input's rarest word (by registry frequency) and city."""
-    words = lambda c: F.array_distinct(F.split(fold_text(c), " "))
+
+def _phrases(words: Column, sizes: list[int]) -> Column:
+    """Distinct runs of so many adjacent words."""
+    runs = lambda k: F.when(F.size(words) >= k, F.transform(F.sequence(F.lit(1), F.size(words) - (k - 1)), lambda i: F.array_join(F.slice(words, i, k), " "))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(*[runs(k) for k in sizes]))
+
+
+def registry_fuzzy(inputs: DataFrame, registry: DataFrame, name: str = "company_name") -> DataFrame:
+    """(row_id, piva, confidence): of the registry rows of the input's city whose folded name holds the input's core name as a phrase the
+    one with the smallest number.
+
+    The registry is indexed by phrases of adjacent words, one to ``PHRASE``, and city, each with its smallest number by partial
+    aggregates. A core of so few words is looked up whole, so however common it is, it meets one index row. A longer core is
+    looked up by its rarest phrase of ``PHRASE`` words, and distinct names found so are checked. Equal cores, and equal registry
+    names of a city, are one row each.
+    """
     reg = registry.select("piva", fold_text(F.col("ragione_sociale")).alias("legal"), F.col("citta").alias("city"))
-    posted = reg.select("piva", "legal", "city", F.explode(words(F.col("legal"))).alias("word"))
-    df = posted.groupBy("word").agg(F.count("*").alias("df"))
-    asked = inputs.select("row_id", "city", fold_text(clean_company_name(F.col(name))).alias("core")).where("core <> ''")
-    rare = asked.select("row_id", "city", "core", F.explode(words(F.col("core"))).alias("word")).join(df, "word", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    w = Window.partitionBy("row_id").orderBy("df", "word")
-    rare = rare.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "df")
-    hits = rare.join(posted, ["word", "city"]).where(F.contains(F.concat(F.lit(" "), "legal", F.lit(" ")), F.concat(F.lit(" "), "core", F.lit(" "))))
-    best = Window.partitionBy("row_id").orderBy("piva")
-    return hits.withColumn("_n", F.row_number().over(best)).where("_n = 1").select("row_id", "piva", F.lit(0.8).alias("confidence"))
+    reg = reg.where("legal <> '' and city is not null").groupBy("legal", "city").agg(F.min("piva").alias("piva"))
+    wanted = inputs.select("row_id", "city", fold_text(clean_company_name(F.col(name))).alias("core")).where("core <> '' and city is not null")
+    cores = wanted.select("city", "core").distinct().withColumn("w", F.split("core", " "))
+
+    index = reg.select("city", "piva", F.explode(_phrases(F.split("legal", " "), list(range(1, PHRASE + 1)))).alias("phrase"))
+    index = index.groupBy("phrase", "city").agg(F.min("piva").alias("piva"))
+    short = cores.where(F.size("w") <= PHRASE).select("city", "core", F.col("core").alias("phrase")).join(index, ["phrase", "city"]).select("city", "core", "piva")
+
+    # Longer ones: by the rarest of their phrases, told by how many names of the city hold it.
+    posted = reg.select("city", "piva", "legal", F.explode(_phrases(F.split("legal", " "), [PHRASE])).alias("phrase"))
+    df = posted.groupBy("phrase", "city").agg(F.count("*").alias("df"))
+    long_ = cores.where(F.size("w") > PHRASE).select("city", "core", F.explode(_phrases(F.col("w"), [PHRASE])).alias("phrase")).join(df, ["phrase", "city"])
+    rarest = long_.groupBy("city", "core").agg(F.min_by("phrase", F.struct("df", "phrase")).alias("phrase"))
+    holds = F.contains(F.concat(F.lit(" "), "legal", F.lit(" ")), F.concat(F.lit(" "), "core", F.lit(" ")))
+    found = rarest.join(posted, ["phrase", "city"]).where(holds).groupBy("city", "core").agg(F.min("piva").alias("piva"))
+    return wanted.join(short.unionByName(found), ["city", "core"]).select("row_id", "piva", F.lit(0.8).alias("confidence"))
 
 
 def filter_blacklisted(candidates: DataFrame, blacklist: DataFrame, url: str = "source_url", key: str = "cand_id") -> DataFrame:

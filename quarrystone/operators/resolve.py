@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quarrystone.functions.contacts import canonical_url, digits, host, is_listed, normalize_vat, url_key
 from quarrystone.functions.names import clean_company_name, name_city_slug, slug
 from quarrystone.operators.components import connected_components, star_edges
-from quarrystone.session import materialize
+from quarrystone.session import broadcast_if_small, materialize
 
 # How far a source is trusted when records are merged.
 TRUST = {"REGISTRY": 100, "WEBSITE": 80, "DIRECTORY": 60, "MAPS": 50, "GUESS": 20, "UNKNOWN": 10}
@@ -147,32 +147,42 @@ def dedup_priority_cascade(df: DataFrame, row_id: str = "row_id") -> DataFrame:
     return out.drop("_site", "_phone", "_long", "_last")
 
 
-def fuzzy_pairs(df: DataFrame, name: str, row_id: str = "row_id", percent: int = 85) -> DataFrame:
-    """(a, b, similarity) of distinct cleaned names with Levenshtein similarity of ``percent`` or more, without a cross join.
+#: Characters of a gram.
+GRAM = 3
+
+
+def fuzzy_candidates(df: DataFrame, name: str, row_id: str = "row_id", percent: int = 85) -> DataFrame:
+    """(a, b, x, y): distinct cleaned names x and y, with their smallest row ids, that can be ``percent`` similar.
 
-    Names of length n allow t = floor((100 - percent)% of the longer) edits; cut the longer name into t + 1 even segments,
-    and one of them stands in the other name unchanged, shifted by t places at most. Segments are join keys.
+    Edits allowed between two names, t, are (100 - percent)% of the longer length. One edit changes ``GRAM`` grams at most, so of
+    a name's GRAM t + 1 rarest grams one stands in the other name too, moved by t places at most; and it is among the rarest
+    there as well, if both follow one order of rarity. So names meet on (gram, length of the longer) for their rarest grams
+    only, and a part that very many names share, being made of frequent grams, joins nothing, as long as GRAM t + 1 grams (about
+    half) of a name lie outside of it.
     """
     names = df.groupBy(clean_company_name(F.col(name)).alias("nm")).agg(F.min(row_id).alias("id")).where("nm <> ''")
-    names = names.withColumn("n", F.length("nm"))
+    names = names.select("id", "nm", F.length("nm").alias("n")).where(F.col("n") >= GRAM)
     share = 100 - percent
-    # Longer side: its own length gives t. Key: (length of the longer, segment number, segment).
-    edits = F.floor(F.col("n") * share / 100).cast("int")
-    cut = lambda i, n, t: F.floor(n * i / (t + 1)).cast("int")
-    segments = F.transform(F.sequence(F.lit(0), F.col("t")), lambda i: F.struct(i.alias("i"), F.substring(F.col("nm"), cut(i, F.col("n"), F.col("t")) + 1, cut(i + 1, F.col("n"), F.col("t")) - cut(i, F.col("n"), F.col("t"))).alias("s")))
-    longer = names.withColumn("t", edits).select(F.col("id").alias("a"), F.col("nm").alias("x"), F.col("n").alias("ln"), "t", F.explode(segments).alias("seg"))
-    # Shorter (or equal) side: for every admissible longer length, substrings at the segments' places, shifted by t at most.
-    most = F.floor(F.col("n") * 100 / percent).cast("int")
-    places = names.withColumn("ln", F.explode(F.sequence(F.col("n"), most))).withColumn("t", F.floor(F.col("ln") * share / 100).cast("int")).where("ln - n <= t")
-    places = places.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("t"))))
-    start, size = cut(F.col("i"), F.col("ln"), F.col("t")), cut(F.col("i") + 1, F.col("ln"), F.col("t")) - cut(F.col("i"), F.col("ln"), F.col("t"))
-    places = places.withColumns({"st": start, "sz": size}).withColumn("p", F.explode(F.sequence(F.greatest(F.lit(0), F.col("st") - F.col("t")), F.greatest(F.greatest(F.lit(0), F.col("st") - F.col("t")), F.least(F.col("n") - F.col("sz"), F.col("st") + F.col("t"))))))
-    shorter = places.select(F.col("id").alias("b"), F.col("nm").alias("y"), "ln", F.struct("i", F.substring("nm", F.col("p") + 1, F.col("sz")).alias("s")).alias("seg")).distinct()
-    pairs = longer.join(shorter, ["ln", "seg"]).where("a <> b").select("a", "b", "x", "y").distinct()
-    longest = F.greatest(F.length("x"), F.length("y"))
-    near = F.levenshtein("x", "y") * 100 <= longest * share
-    pairs = pairs.where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (1 - F.levenshtein("x", "y") / longest).alias("similarity"))
-    return pairs.distinct()
+    longest = F.floor(F.col("n") * 100 / percent).cast("int")  # of a name that can be similar
+    spelled = F.transform(F.sequence(F.lit(1), F.col("n") - (GRAM - 1)), lambda p: F.struct(F.col("nm").substr(p, F.lit(GRAM)).alias("g"), p.alias("p")))
+    posted = materialize(names.select("id", F.explode(spelled).alias("x")).select("id", "x.g", "x.p"))
+    df_ = broadcast_if_small(materialize(posted.groupBy("g").agg(F.count("*").alias("df"))))
+    rank = F.rank().over(Window.partitionBy("id").orderBy("df", "g"))  # a name's grams; those at the end come all or not at all
+    t = lambda n: F.floor(n * share / 100)
+    rare = posted.join(df_, "g").withColumn("_r", rank).join(names, "id").where(F.col("_r") <= GRAM * t(longest) + 1).select("id", "nm", "n", "g", "p", "_r")
+    rare = materialize(rare)
+    longer = rare.where(F.col("_r") <= GRAM * t(F.col("n")) + 1).select(F.col("id").alias("a"), F.col("nm").alias("x"), F.col("n").alias("ln"), "g", F.col("p").alias("pa"))
+    shorter = rare.withColumn("ln", F.explode(F.sequence(F.col("n"), longest))).where(F.col("_r") <= GRAM * t(F.col("ln")) + 1)
+    shorter = shorter.select(F.col("id").alias("b"), F.col("nm").alias("y"), "n", "g", F.col("p").alias("pb"), "ln")
+    met = longer.join(shorter, ["ln", "g"]).where((F.abs(F.col("pa") - F.col("pb")) <= t(F.col("ln"))) & (F.col("ln") - F.col("n") <= t(F.col("ln"))))
+    return met.where((F.col("ln") > F.col("n")) | (F.col("a") < F.col("b"))).select("a", "b", "x", "y").distinct()
+
+
+def fuzzy_pairs(df: DataFrame, name: str, row_id: str = "row_id", percent: int = 85) -> DataFrame:
+    """(a, b, similarity) of distinct cleaned names with Levenshtein similarity of ``percent`` or more: ``fuzzy_candidates``, verified."""
+    pairs, longest = fuzzy_candidates(df, name, row_id, percent), F.greatest(F.length("x"), F.length("y"))
+    pairs = pairs.where(F.levenshtein("x", "y") * 100 <= longest * (100 - percent))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (1 - F.levenshtein("x", "y") / longest).alias("similarity"))
 
 
 def fuzzy_dedup(df: DataFrame, name: str = "company_name", row_id: str = "row_id", percent: int = 85) -> DataFrame:
