@@ -1,4 +1,4 @@
-"""License scan by a positional index of rare licence words."""
+"""License scan by a positional index of licence words weighted by rarity."""
 
 from __future__ import annotations
 
@@ -38,15 +38,13 @@ TEMPLATES = [
 ]
 #: Labels that do not stand beside another whose passages hold theirs, fixed values: label, the wider one.
 WITHIN = [("bsd-2-clause", "bsd-3-clause")]
-#: Licence words of a file that are looked up, those of highest IDF. Two whole notices have fewer.
-RARE = 40
 #: Words that a word may be shifted by against the rest of its passage, and the least percentage of a passage's IDF weight
 #: that must be found so.
 SLACK = 8
 MATCH = 60
 #: IDF weights are whole thousandths, so that sums are the same in any order.
 SCALE = 1000
-#: Every phrase, base or mandatory, holds one of these words; other files are not looked at further.
+#: Every base phrase, and of each template one mandatory phrase at least, holds one of these words; other files are not looked at further.
 LEADS = ["license", "by", "mit", "apache", "gnu", "cc0", "mozilla", "permission", "redistribution", "granted", "foundation", "unencumbered"]
 PHRASES = sorted({p for _, _, ps in TEMPLATES for p in ps})
 
@@ -113,12 +111,13 @@ def _matches(scanned: DataFrame) -> DataFrame:
     index = spark.createDataFrame(_postings(), "p int, ti int, w string").join(weights, "w")
 
     files = scanned.where("size(phrases) > 0").select("_n", "there", "placed", "phrases")
-    # Each file's rarest licence words, and where postings of them meet at one position relative to the passage.
-    rarest = Window.partitionBy("_n").orderBy(F.desc("v"), "w")  # the licence words of a file
-    chosen = files.select("_n", F.explode("there").alias("w")).join(F.broadcast(weights), "w").withColumn("_r", F.row_number().over(rarest)).where(f"_r <= {RARE}")
-    chosen = chosen.groupBy("_n").agg(F.collect_set("w").alias("rare"))
-    looked_up = files.join(chosen, "_n").select("_n", F.explode(F.filter("placed", lambda y: F.array_contains("rare", y["w"]))).alias("y"))
-    met = looked_up.select("_n", "y.w", "y.i").join(F.broadcast(index), "w").groupBy("_n", "p", (F.col("i") - F.col("ti")).alias("shift")).agg(F.sum("v").alias("got"))
+    # Where postings of a file's licence words meet at one position relative to a passage, for every passage whose key phrases
+    # are there: words are looked up from the rarest down to the commonest, as a file of many licences has rarer ones than a
+    # given passage holds. A file without key phrases is not looked at.
+    of = {p: TEMPLATES[t][2] for p, t, _ in _passages()}
+    possible = F.array_compact(F.array(*[F.when(F.size(F.array_except(F.lit(n), F.col("phrases"))) == 0, F.lit(p)) for p, n in of.items()]))
+    looked_up = files.select("_n", possible.alias("ps"), F.explode("placed").alias("y")).where("size(ps) > 0").select("_n", "ps", "y.w", "y.i")
+    met = looked_up.join(F.broadcast(index), "w").where(F.array_contains("ps", F.col("p"))).groupBy("_n", "p", (F.col("i") - F.col("ti")).alias("shift")).agg(F.sum("v").alias("got"))
     best = met.groupBy("_n", "p").agg(F.max(F.struct("got", (-F.col("shift")).alias("back")))["back"].alias("back"))
 
     # Then all words of the passage, within SLACK of that position, and the mandatory phrases.
@@ -141,7 +140,8 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: list[str] | Non
     ``labels`` with those of matching templates; ``score``, the best template's share of matched weight, 0 without one.
 
     Words lie between ASCII separators, A-Z lower-cased. The IDF of every licence word is taken over all files. Of each file
-    with a mandatory phrase the ``RARE`` licence words of highest IDF are looked up in the positional index of all passages;
+    that holds the key phrases of a template, the licence words are looked up in the positional index of its passages, each with
+    the weight of its IDF, down to the commonest, so that none is lost in a file of very many licences;
     postings are intersected by relative position (file position less passage position), the heaviest position of a passage
     (the first of equal ones) is verified on all its words, which may be shifted by ``SLACK`` against each other,
     and a template matches if all its passages reach ``MATCH`` percent of their weight and its key phrases stand in the
@@ -196,10 +196,8 @@ def _sql() -> str:
     parts(p, t, n_parts, label, needed) AS (VALUES {parts}),
     df AS (SELECT w, count(*) AS df FROM (SELECT unnest(list_distinct(w)) AS w FROM words) GROUP BY w),
     weights AS (SELECT w, round((ln((1.0 + (SELECT count(*) FROM words)) / (1.0 + coalesce(df, 0))) + 1) * {SCALE})::BIGINT AS v FROM (SELECT DISTINCT w FROM postings) LEFT JOIN df USING (w)),
-    chosen AS (SELECT doc_id, w FROM (SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY v DESC, w) AS r
-      FROM (SELECT doc_id, unnest(list_distinct(w)) AS w FROM files) JOIN weights USING (w)) WHERE r <= {RARE}),
     placed AS (SELECT doc_id, unnest(w) AS w, unnest(range(len(w))) AS i FROM files),
-    met AS (SELECT doc_id, p, i - ti AS shift, sum(v) AS got FROM placed JOIN chosen USING (doc_id, w) JOIN postings USING (w) JOIN weights USING (w) GROUP BY ALL),
+    met AS (SELECT doc_id, p, i - ti AS shift, sum(v) AS got FROM placed JOIN postings USING (w) JOIN weights USING (w) GROUP BY ALL),
     best AS (SELECT doc_id, p, shift FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, p ORDER BY got DESC, shift) AS r FROM met) WHERE r = 1),
     seen AS (SELECT DISTINCT b.doc_id, b.p, q.ti, v FROM best b JOIN postings q ON q.p = b.p JOIN weights USING (w) JOIN placed x ON x.doc_id = b.doc_id AND x.w = q.w AND abs(x.i - q.ti - b.shift) <= {SLACK}),
     got AS (SELECT doc_id, p, sum(v) AS got FROM seen GROUP BY ALL),

