@@ -44,7 +44,7 @@ def joined(c: Column) -> Column:
     return F.array_join(F.sort_array(c), ",")
 
 
-COMPANIES, CANDIDATES, LEDGER, LEADS = (role_sql(x) for x in ("companies", "candidates", "ledger", "leads"))
+COMPANIES, CANDIDATES, LEDGER, LEADS, REPORTS, RESPONSES = (role_sql(x) for x in ("companies", "candidates", "ledger", "leads", "reports", "responses"))
 q = lambda s: s.replace("'", "''")
 words = lambda xs: "[" + ", ".join(f"'{q(x)}'" for x in xs) + "]"
 alternatives = "|".join
@@ -81,14 +81,14 @@ def names(spark, d):
 @query(
     "places",
     f"""SELECT row_id, CASE WHEN city LIKE '%(BS)' THEN 'Brescia' ELSE city END AS bare_city, CASE WHEN city LIKE '%(BS)' THEN 'BS' END AS code,
-      CASE province WHEN 'MI' THEN 'MI' WHEN 'rm' THEN 'RM' WHEN 'Torino' THEN 'TO' END AS province, 'roma,' AS address,
-      CASE WHEN row_id >= 10000 AND row_id < 100000 THEN row_id::VARCHAR END AS cap, replace(replace(lower(trim(city)), '.', ''), ',', '') AS city_norm FROM {COMPANIES}""",
+      CASE province WHEN 'MI' THEN 'MI' WHEN 'rm' THEN 'RM' WHEN 'Torino' THEN 'TO' END AS province, lower(category) || ',' AS address,
+      CASE WHEN row_id % 3 = 0 THEN '20' || lpad((row_id % 1000)::VARCHAR, 3, '0') WHEN row_id >= 10000 AND row_id < 100000 THEN row_id::VARCHAR END AS cap, replace(replace(lower(trim(city)), '.', ''), ',', '') AS city_norm FROM {COMPANIES}""",
 )
 def places(spark, d):
     bare, code = N.split_province(F.col("city"), F.col("company_name"))
     return role(spark, d, "companies").select(
-        "row_id", bare.alias("bare_city"), code.alias("code"), N.normalize_province(F.col("province")).alias("province"), F.concat(F.array_join(N.address_tokens(F.regexp_replace("address", ",", " ,")), ","), F.lit(",")).alias("address"),
-        N.normalize_cap(F.col("row_id").cast("string")).alias("cap"), N.normalize_city(F.col("city")).alias("city_norm"),
+        "row_id", bare.alias("bare_city"), code.alias("code"), N.normalize_province(F.col("province")).alias("province"), F.concat(F.array_join(N.address_tokens(F.concat(F.lit("Via "), "category", F.lit(" "), (F.col("row_id") % 90 + 1).cast("string"))), ","), F.lit(",")).alias("address"),
+        N.normalize_cap(F.when(F.col("row_id") % 3 == 0, F.concat(F.lit(" 20"), F.lpad((F.col("row_id") % 1000).cast("string"), 3, "0"))).otherwise(F.col("row_id").cast("string"))).alias("cap"), N.normalize_city(F.col("city")).alias("city_norm"),
     )
 
 
@@ -164,11 +164,11 @@ def email_candidates(spark, d):
     "extract_contacts",
     f"""SELECT doc_id, {list_join(f"list_distinct(list_transform(regexp_extract_all(coalesce(text, ''), '{C.EMAIL}'), lambda m: lower(m)))")} AS emails,
       {list_join(f"list_distinct(list_filter(list_transform(regexp_extract_all(coalesce(text, ''), '{C.PHONE}'), lambda p: regexp_replace(regexp_replace(p, '[^0-9]', '', 'g'), '^00', '')), lambda p: length(p) BETWEEN 9 AND 15 AND regexp_matches(p, '^(39|0|3)')))")} AS phones
-      FROM documents""",
+      FROM {REPORTS}""",
 )
 def extract_contacts(spark, d):
     found = P.contacts_from_text(F.col("text"))
-    return _docs(spark, d).select("doc_id", found.alias("x")).select("doc_id", joined(F.col("x.emails")).alias("emails"), joined(F.col("x.phones")).alias("phones"))
+    return role(spark, d, "reports").select("doc_id", found.alias("x")).select("doc_id", joined(F.col("x.emails")).alias("emails"), joined(F.col("x.phones")).alias("phones"))
 
 
 def _docs(spark, d):
@@ -184,11 +184,11 @@ _count = lambda t, xs: "(" + " + ".join(f"contains({t}, '{q(x)}')::INT" for x in
     "content_checks",
     f"""SELECT doc_id, NOT ({_any("t", P.PARKING)} OR length(t) < 500 AND {_any("t", P.CONSTRUCTION)}) AS valid, length(t) < 120 OR {_count("t", P.STOP_WORDS["it"])} >= CASE WHEN length(t) > 2000 THEN 3 ELSE 4 END AS italian,
       {_any("t", P.DIRECTORY_TITLES)} AS directory_title, {_count("t", ["the", "der", "tion"])} / 3 AS relevance, {_any("substr(t, 1, 2048)", P.PARKED_START)} OR {_any("substr(t, 1, 5000)", P.PARKING)} OR length(t) < 100 AS parked
-      FROM (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents)""",
+      FROM (SELECT doc_id, lower(coalesce(text, '')) AS t FROM {REPORTS})""",
 )
 def content_checks(spark, d):
     t = F.col("text")
-    return _docs(spark, d).select(
+    return role(spark, d, "reports").select(
         "doc_id", P.content_validity(t)[0].alias("valid"), P.stopword_language(t).alias("italian"), P.is_directory_title(t).alias("directory_title"), P.keyword_relevance(t, ["The", "der", "tion"])[2].alias("relevance"), P.is_parked(t).alias("parked")
     )
 
@@ -251,13 +251,13 @@ _words_of = lambda x: f"list_distinct(list_filter(string_split_regex(regexp_repl
 
 @query(
     "similarities",
-    f"""SELECT p_partkey, CASE WHEN len(a) = 0 AND len(b) = 0 THEN 1.0 ELSE len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) END AS jaccard, round(1 - levenshtein(p_name, p_type) / greatest(length(p_name), length(p_type)), 9) AS lev
+    f"""SELECT p_partkey, CASE WHEN len(a) = 0 AND len(b) = 0 THEN 1.0 ELSE len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) END AS jaccard, round(1 - levenshtein(lower(p_name), lower(p_type)) / greatest(length(p_name), length(p_type)), 9) AS lev
       FROM (SELECT *, {_words_of("p_name || ' ' || p_brand")} AS a, {_words_of("p_type || ' ' || p_brand || ' ring'")} AS b FROM part)""",
 )
 def similarities(spark, d):
     part = spark.read.parquet(f"{d}/part.parquet")
     a, b = F.concat_ws(" ", "p_name", "p_brand"), F.concat_ws(" ", "p_type", "p_brand", F.lit("ring"))
-    return part.select("p_partkey", M.jaccard_tokens(a, b).alias("jaccard"), F.round(M.levenshtein_similarity(F.col("p_name"), F.col("p_type")), 9).alias("lev"))
+    return part.select("p_partkey", M.jaccard_tokens(a, b).alias("jaccard"), F.round(M.levenshtein_similarity(F.lower("p_name"), F.lower("p_type")), 9).alias("lev"))
 
 
 _variants_of = lambda d: f"list_filter([{d}, regexp_replace({d}, '^39', ''), '39' || regexp_replace({d}, '^39', ''), regexp_replace(regexp_replace({d}, '^39', ''), '^0', '')], lambda v: length(v) > 0)"
@@ -970,17 +970,20 @@ def minify_html(spark, d):
     return _pages(spark, d).select("page_id", F.md5(P.minify_html(F.col("html"))).alias("md5"))
 
 
-@query("trap_check", f"SELECT page_id, len(regexp_extract_all(lower(coalesce(html, '')), '<a\\s')) > 20 AS link_farm, {_any('lower(coalesce(html, chr(32)))', P.PARKING)} AS parked FROM pages")
+@query("trap_check", f"SELECT page_id, len(regexp_extract_all(lower(coalesce(html, '')), '<a\\s')) > 5 AS link_farm, {_any('lower(coalesce(html, chr(32)))', P.PARKING)} AS parked FROM pages")
 def trap_check(spark, d):
-    farm, parked = P.trap_check(F.col("html"), 20)
+    farm, parked = P.trap_check(F.col("html"), 5)
     return _pages(spark, d).select("page_id", farm.alias("link_farm"), parked.alias("parked"))
 
 
-@query("search_json", """SELECT doc_id AS page_id, unnest(range(1, len(u) + 1)) AS place, unnest(u) AS url, NULL::VARCHAR AS title FROM (SELECT doc_id, list_distinct(u) AS d, list_filter(u, lambda x, i: list_position(u, x) = i) AS u
-  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), 'https?://[^\\s"''<>)\\]]+') AS u FROM documents))""")
+@query("search_json", f"""SELECT page_id, place, url, title, description FROM (
+    SELECT page_id, 1 AS place, url, title, 'd' AS description FROM {RESPONSES} WHERE form < 3 UNION ALL SELECT page_id, 2, url || '/more', NULL, title FROM {RESPONSES} WHERE form < 3
+    UNION ALL SELECT page_id, unnest(range(1, len(u) + 1)), unnest(u), NULL, NULL FROM (SELECT page_id, list_filter(u, lambda x, i: list_position(u, x) = i) AS u
+      FROM (SELECT page_id, regexp_extract_all(body || ' https://www.' || page_id || '.it/a?b=' || page_id || ' https://b.it', 'https?://[^\\s"''<>)\\]]+') AS u FROM {RESPONSES} WHERE form = 3)))""")
 def search_json(spark, d):
-    """Stored texts as search responses: what is no JSON gives its URLs."""
-    return IO.parse_search_json(_docs(spark, d).select(F.col("doc_id").alias("page_id"), F.coalesce("text", F.lit("")).alias("body"))).select("page_id", "place", "url", "title")
+    """Responses of all three JSON forms; what is no JSON, stored pages with two addresses in their text, gives its URLs."""
+    body = F.when(F.col("form") == 3, F.concat("body", F.lit(" https://www."), "page_id", F.lit(".it/a?b="), "page_id", F.lit(" https://b.it"))).otherwise(F.col("body"))
+    return IO.parse_search_json(role(spark, d, "responses").select("page_id", body.alias("body"))).select("page_id", "place", "url", "title", "description")
 
 
 @query("candidates_with_pages", f"SELECT company_id, pos, l.event_id FROM {CANDIDATES} c JOIN (SELECT max(event_id) AS event_id, 'https://www.site' || (event_id % 100) || '.it/A' AS u FROM {LEDGER} WHERE http_status < 400 GROUP BY u) l ON u = source_url")
@@ -1057,11 +1060,11 @@ def token_shares(spark, d):
     return spark.read.parquet(f"{d}/part.parquet").select("p_partkey", M.token_overlap(tokens, text).alias("overlap"), M.token_hits(tokens, text).alias("hits"))
 
 
-@query("page_predicates", """SELECT doc_id, contains(t, 'fatturato') AND (contains(t, 'partita iva') OR contains(t, 'p.iva') OR contains(t, 'codice fiscale')) AS company_page, nullif(regexp_replace(coalesce(text, ''), '[^0-9,-]', '', 'g'), '') AS currency,
-  nullif(trim(regexp_extract(coalesce(text, ''), '^\\s*#*[ \\t]*([^\\n]*)', 1)), '') AS first_line FROM (SELECT *, lower(coalesce(text, '')) AS t FROM documents)""")
+@query("page_predicates", f"""SELECT doc_id, contains(t, 'fatturato') AND (contains(t, 'partita iva') OR contains(t, 'p.iva') OR contains(t, 'codice fiscale')) AS company_page, nullif(regexp_replace(coalesce(text, ''), '[^0-9,-]', '', 'g'), '') AS currency,
+  nullif(trim(regexp_extract(coalesce(text, ''), '^\\s*#*[ \\t]*([^\\n]*)', 1)), '') AS first_line FROM (SELECT *, lower(coalesce(text, '')) AS t FROM {REPORTS})""")
 def page_predicates(spark, d):
     t = F.col("text")
-    return _docs(spark, d).select("doc_id", P.is_valid_company_page(t).alias("company_page"), P.clean_currency(F.coalesce(t, F.lit(""))).alias("currency"), P.first_line_title(t).alias("first_line"))
+    return role(spark, d, "reports").select("doc_id", P.is_valid_company_page(t).alias("company_page"), P.clean_currency(F.coalesce(t, F.lit(""))).alias("currency"), P.first_line_title(t).alias("first_line"))
 
 
 @query("official_urls", f"SELECT company_id, pos, {sql_host('source_url')} <> 'facebook.com' AND regexp_matches(lower(source_url), '^https?://') AS official FROM {CANDIDATES}")
@@ -1078,10 +1081,10 @@ _tried = lambda patterns: "coalesce(" + ", ".join(f"nullif(trim(regexp_extract(t
 
 
 @query("figures", f"""SELECT doc_id, {_tried(P.REVENUE)} AS revenue, {_tried(P.EMPLOYEES)} AS employees, {_tried([r"(?i)fatturato[^\n]{0,40}?\b(20[12]\d)\b", r"\b(20[12]\d)\b"])} AS year,
-  try_cast(nullif(replace(regexp_extract(t, '(\\d{{1,3}}(?:\\.\\d{{3}})+)', 1), '.', ''), '') AS BIGINT) AS amount FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""")
+  try_cast(nullif(replace(regexp_extract(t, '(\\d{{1,3}}(?:\\.\\d{{3}})+)', 1), '.', ''), '') AS BIGINT) AS amount FROM (SELECT doc_id, coalesce(text, '') AS t FROM {REPORTS})""")
 def figures(spark, d):
     t = F.col("text")
-    return _docs(spark, d).select("doc_id", P.financials(t).alias("f"), P.snippet_revenue(t)[0].alias("amount")).select("doc_id", "f.revenue", "f.employees", "f.year", "amount")
+    return role(spark, d, "reports").select("doc_id", P.financials(t).alias("f"), P.snippet_revenue(t)[0].alias("amount")).select("doc_id", "f.revenue", "f.employees", "f.year", "amount")
 
 
 # --- streams ---------------------------------------------------------------------------------------------------------

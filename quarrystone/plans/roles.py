@@ -54,7 +54,24 @@ SELECT *, CASE WHEN row_id % 7 = 0 THEN 'a@pec.it' END AS pec, CASE WHEN row_id
   CASE WHEN row_id % 9 = 0 THEN 'Anna Neri' END AS ceo_name, row_id % 6 <> 0 AS ssl_valid, CASE WHEN row_id % 2 = 0 THEN row_id % 10 <> 0 END AS dns_valid, true AS keyword_match
 FROM ({COMPANIES})"""
 
-ROLES = {"companies": COMPANIES, "candidates": CANDIDATES, "ledger": LEDGER, "leads": LEADS}
+#: Company sites: each document's whole text, and an imprint whose kind and figures follow from the text's length.
+REPORTS = f"""
+SELECT doc_id, text || CASE n % 6
+    WHEN 0 THEN ' Fatturato: ' || {_n("n")} || '.500 mln nel 2021. Dipendenti: ' || {_n("n % 90 + 1")} || ' - P.IVA 0' || lpad({_n("n * 7919 % 10000000000")}, 10, '0')
+    WHEN 1 THEN ' Ricavi: ' || {_n("n % 700")} || ' mila; organico: ' || {_n("n % 50")} || ' (bilancio 2019)'
+    WHEN 2 THEN ' Trova aziende: elenco imprese in provincia. Tel. +39 02 ' || lpad({_n("n * 104729 % 10000000")}, 7, '0')
+    WHEN 3 THEN ' Codice fiscale e fatturato su richiesta, tel. 333 ' || lpad({_n("n * 7907 % 10000000")}, 7, '0') || ', volume d''affari ' || {_n("n % 31")} || ',5 milioni'
+    WHEN 4 THEN ' Fatturato da 1.' || lpad({_n("n % 1000")}, 3, '0') || '.000 euro' ELSE '' END AS text
+FROM (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM {{documents}})"""
+
+#: Search responses: title and url of each page as JSON of three forms, or its whole html, by the length of the html.
+RESPONSES = f"""
+SELECT page_id, url, title, n % 4 AS form, CASE n % 4 WHEN 0 THEN '{{{{"data": [' || items || ']}}}}' WHEN 1 THEN '{{{{"results": [' || items || ']}}}}' WHEN 2 THEN '[' || items || ']' ELSE html END AS body FROM (
+  SELECT *, '{{{{"title": "' || title || '", "url": "' || url || '", "description": "d"}}}}, {{{{"url": "' || url || '/more", "content": "' || title || '"}}}}' AS items FROM (
+    SELECT page_id, coalesce(html, '') AS html, length(coalesce(html, '')) AS n, translate(coalesce(url, ''), '"' || chr(92), '__') AS url,
+      translate(regexp_extract(coalesce(html, ''), '<title>([^<]*)</title>', 1), '"' || chr(92) || chr(9) || chr(10) || chr(13), '_____') AS title FROM {{pages}}))"""
+
+ROLES = {"reports": REPORTS, "responses": RESPONSES, "companies": COMPANIES, "candidates": CANDIDATES, "ledger": LEDGER, "leads": LEADS}
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
