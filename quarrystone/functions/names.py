@@ -20,7 +20,18 @@ ADDRESS_NOISE = ["via", "viale", "piazza", "pzza", "corso", "strada", "s", "snc"
 STREET_TYPES = ["via", "viale", "piazza", "corso", "vicolo", "strada", "piazzale", "largo"]
 # Cities with a province of their own name.
 PROVINCE_OF = {"milano": "MI", "roma": "RM", "torino": "TO", "napoli": "NA", "brescia": "BS", "bergamo": "BG", "bologna": "BO", "firenze": "FI", "venezia": "VE", "verona": "VR", "genova": "GE", "padova": "PD"}
-ACCENTED, PLAIN = "àáâãäåèéêëìíîïòóôõöùúûüçñýÿ", "aaaaaaeeeeiiiiooooouuuucnyy"
+
+
+def _decompositions() -> tuple[str, str]:
+    """For ``translate``: letters whose full canonical decomposition is an ASCII letter and marks, by that letter; and the combining
+    marks themselves, which have no counterpart and so go. After it, text is as NFD without marks wherever it is a-z or 0-9."""
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    known = {chr(c): unicodedata.normalize("NFD", chr(c)) for c in [*range(0xC0, 0x2000), 0x212A, 0x212B]}
+    letters = {c: d[0] for c, d in known.items() if d != c and "a" <= d[0].lower() <= "z" and all(m in marks for m in d[1:])}
+    return "".join([*letters, *marks]), "".join(letters.values()).lower()
+
+
+ACCENTED, PLAIN = _decompositions()
 # The Italian provinces, code and name.
 PROVINCE_NAMES = {
     "AG": "Agrigento", "AL": "Alessandria", "AN": "Ancona", "AO": "Aosta", "AR": "Arezzo", "AP": "Ascoli Piceno", "AT": "Asti", "AV": "Avellino", "BA": "Bari", "BT": "Barletta-Andria-Trani",
@@ -63,7 +74,7 @@ def clean_company_name(c: Column) -> Column:
 
 
 def fold_text(c: Column) -> Column:
-    """Lower case, Latin accents off, runs of anything but a-z and 0-9 to one space."""
+    """Lower case, accents and combining marks off as by NFD, runs of anything but a-z and 0-9 to one space."""
     return F.trim(F.regexp_replace(F.translate(F.lower(_text(c)), ACCENTED, PLAIN), "[^a-z0-9]+", " "))
 
 

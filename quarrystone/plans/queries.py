@@ -725,11 +725,11 @@ def provider_health(spark, d):
     return A.provider_health(role(spark, d, "ledger")).withColumns({"error_rate": F.round("error_rate", 9), "avg_ms": F.round("avg_ms", 6)})
 
 
-@query("block_profile", f"""SELECT domain, block_type, n, sum(n) OVER (PARTITION BY domain)::BIGINT AS domain_total, sum(n) OVER (PARTITION BY domain) >= 5 AS hot
+@query("block_profile", f"""SELECT domain, block_type, n, sum(n) OVER (PARTITION BY domain)::BIGINT AS domain_total, sum(n) OVER (PARTITION BY domain) >= 200 AS hot
   FROM (SELECT domain, block_type, count(*) AS n FROM (SELECT event_id, {sql_host("url")} AS domain FROM {LEDGER}) JOIN ({ORACLES["classify_blocks"]}) USING (event_id) WHERE block_type <> 'NONE' GROUP BY ALL)""")
 def block_profile(spark, d):
     kind, _ = P.classify_block(F.col("http_status"), F.col("body"))
-    return A.block_profile(role(spark, d, "ledger").select(P.block_domain(F.col("url")).alias("domain"), kind.alias("block_type")))
+    return A.block_profile(role(spark, d, "ledger").select(P.block_domain(F.col("url")).alias("domain"), kind.alias("block_type")), 200)
 
 
 @query("run_metrics", f"SELECT count(*) AS total, count(*) FILTER (success) AS ok, count(*) FILTER (NOT success AND event_id % 2 = 0) AS no_domain, count(*) FILTER (NOT success AND event_id % 2 = 1) AS error, floor(avg(duration_ms) + 0.5)::BIGINT AS avg_latency_ms FROM {LEDGER}")
@@ -1115,11 +1115,11 @@ def _straggling(spark, d, columns: list[str]):
     return _streamed(spark, d, "ledger", columns, (F.col("event_id") % 10 == 0) & first)
 
 
-@query("stream_block_counts", f"SELECT domain, block_type, count(*) AS n, count(*) >= 5 AS hot FROM (SELECT event_id, {sql_host('url')} AS domain FROM {LEDGER}) JOIN ({ORACLES['classify_blocks']}) USING (event_id) WHERE block_type <> 'NONE' GROUP BY ALL")
+@query("stream_block_counts", f"SELECT domain, block_type, count(*) AS n, count(*) >= 30 AS hot FROM (SELECT event_id, {sql_host('url')} AS domain FROM {LEDGER}) JOIN ({ORACLES['classify_blocks']}) USING (event_id) WHERE block_type <> 'NONE' GROUP BY ALL")
 def stream_block_counts(spark, d):
     rows, path = _streamed(spark, d, "ledger", ["ts", "url", "http_status", "body"])
     rows = rows.select("ts", P.block_domain(F.col("url")).alias("domain"), P.classify_block(F.col("http_status"), F.col("body"))[0].alias("block_type"))
-    return T.drain(T.block_counts_stream(rows), f"{path}/out", f"{path}/checkpoint", "complete")
+    return T.drain(T.block_counts_stream(rows, 30), f"{path}/out", f"{path}/checkpoint", "complete")
 
 
 @query("stream_running_totals", f"SELECT provider, count(*) AS processed, count(*) FILTER (success) AS found, round(avg(success::INT), 9) AS yield FROM {LEDGER} GROUP BY provider")
@@ -1140,16 +1140,19 @@ def stream_failure_runs(spark, d):
 _made_id = f"md5(lower(trim(company_name)) || '|' || {sql_digits('phone')} || '|' || lower(trim(city)) || '|' || lower(trim(address)))"
 
 
-@query("stream_campaigns", f"SELECT {_made_id} AS company_id, min(company_name) AS company_name, min(city) AS city, min(phone) AS phone, min(address) AS address, 'unknown' AS file_city FROM {COMPANIES} GROUP BY 1")
+@query("stream_campaigns", f"""SELECT {_made_id} AS company_id, arg_min(company_name, row_id % 3) AS company_name, arg_min(city, row_id % 3) AS city, arg_min(phone, row_id % 3) AS phone, arg_min(address, row_id % 3) AS address,
+  CASE min(row_id % 3) WHEN 0 THEN 'Milano' WHEN 1 THEN 'Reggio Emilia' ELSE 'unknown' END AS file_city FROM {COMPANIES} GROUP BY 1""")
 def stream_campaigns(spark, d):
-    """New campaign files of a folder, normalised, given ids, first seen only, merged into a table by id; all its fields."""
+    """New campaign files of a folder, one at a time, normalised, given ids, first seen only, merged into a table by id; all its fields."""
     path = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
-    c = role(spark, d, "companies").select("company_name", "city", "phone", "address")
-    padded = c.select(*[F.concat(F.lit(" "), x, F.lit("  ")).alias(x) for x in c.columns])
-    padded.repartition(3).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/in")
-    rows = T.watch_campaigns(spark, f"{path}/in", c.schema, 1)
+    c = role(spark, d, "companies")
+    fields = ["company_name", "city", "phone", "address"]
+    padded = c.select("row_id", *[F.concat(F.lit(" "), x, F.lit("  ")).alias(x) for x in fields])
+    for i, name in enumerate(["Milano_1.csv", "Reggio Emilia_nord_2.csv", "rest.csv"]):
+        IO.write_named_csv(padded.where(F.col("row_id") % 3 == i).select(*fields), f"{path}/in/{name}", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    rows = T.watch_campaigns(spark, f"{path}/in", c.select(*fields).schema, 1)
     T.upsert_stream(T.campaign_stream(rows).drop("file"), f"{path}/table", f"{path}/checkpoint", buckets=8)
-    return T.upserted(spark, f"{path}/table").select("company_id", "company_name", "city", "phone", "address", "file_city")
+    return T.upserted(spark, f"{path}/table").select("company_id", *fields, "file_city")
 
 
 @query("upsert_table", f"""SELECT company_id, n_calls, last_event FROM (SELECT company_id, count(*) AS n_calls, max(event_id) AS last_event FROM {LEDGER} GROUP BY company_id)""")
@@ -1265,6 +1268,102 @@ def sql_guesses(spark, d):
     return spark.sql("SELECT row_id, g.domain FROM {c}, LATERAL guessed_domains(t) g", c=c)
 
 
+@query("sql_candidates", ORACLES["domain_candidates"])
+def sql_candidates(spark, d):
+    """The guesses of domain_candidates by the SQL table function of this name."""
+    register(spark)
+    return spark.sql("SELECT row_id, g.place, g.domain FROM {c}, LATERAL domain_candidates(company_name, city, province, category) g", c=role(spark, d, "companies"))
+
+
+@query("invalid_rows", f"SELECT row_id, CASE WHEN row_id % 7 = 0 THEN 'invalid_row_' || row_id ELSE company_name END AS company_name, CASE WHEN row_id % 7 = 0 THEN 'MISSING_COMPANY_NAME' END AS ingest_error FROM {COMPANIES}")
+def invalid_rows(spark, d):
+    """Every seventh company without its name: null, empty or blank."""
+    gone = F.when(F.col("row_id") % 7 == 0, F.when(F.col("row_id") % 2 == 0, F.lit("  ")).when(F.col("row_id") % 3 == 0, F.lit(""))).otherwise(F.col("company_name"))
+    return IO.flag_invalid_rows(role(spark, d, "companies").select("row_id", gone.alias("company_name")))
+
+
+@query("campaign_dir", f"SELECT row_id::VARCHAR AS row_id, company_name, CASE row_id % 3 WHEN 0 THEN city END AS city, CASE row_id % 3 WHEN 1 THEN phone END AS phone FROM {COMPANIES} WHERE row_id % 3 < 2")
+def campaign_dir(spark, d):
+    """Two folders of campaigns with other columns, read as one; the consolidated file beside them is left out."""
+    path = f"{shared_dir(spark)}/csv/{uuid.uuid4().hex}"
+    c = role(spark, d, "companies")
+    for i, cols in enumerate((["row_id", "company_name", "city"], ["row_id", "phone", "company_name"])):
+        c.where(F.col("row_id") % 3 == i).select(*cols).write.option("header", True).csv(f"{path}/{i}")
+    IO.write_named_csv(c.where("row_id % 3 = 2").select("row_id", "company_name"), f"{path}/1/MASTER_CONSOLIDATED_1.csv")
+    return IO.read_campaign_dir(spark, [f"{path}/0", f"{path}/1"]).select("row_id", "company_name", "city", "phone")
+
+
+@query("results_csv", f"""SELECT row_id::VARCHAR AS row_id, '{{"city":"' || city || '","tags":["' || category || '","x, y"]}}' AS evidence, company_name FROM {COMPANIES}""")
+def results_csv(spark, d):
+    """Results with a nested column written as CSV and read again: JSON in a field."""
+    path = f"{shared_dir(spark)}/csv/{uuid.uuid4().hex}"
+    nested = F.struct("city", F.array("category", F.lit("x, y")).alias("tags"))
+    IO.write_results_csv(role(spark, d, "companies").select("row_id", nested.alias("evidence"), "company_name"), path)
+    return spark.read.option("header", True).csv(path)
+
+
+@query("by_province", f"SELECT row_id::VARCHAR AS row_id, company_name, coalesce(province, 'unknown') AS folder, n.n FROM {COMPANIES}, (SELECT count(*) AS n FROM customer) n")
+def by_province(spark, d):
+    """A folder for each province, and all rows beside it."""
+    path = f"{shared_dir(spark)}/csv/{uuid.uuid4().hex}"
+    IO.write_by_province(role(spark, d, "companies"), path, ["row_id", "company_name", "province"])
+    parts = spark.read.option("header", True).csv(f"{path}/by_province").select("row_id", "company_name", F.col("province_part").alias("folder"))
+    return parts.crossJoin(spark.read.option("header", True).csv(f"{path}/all").agg(F.count("*").alias("n")))
+
+
+_segment = "CASE row_id % 4 WHEN 0 THEN 'HOT' WHEN 1 THEN 'WARM' WHEN 2 THEN 'COLD' ELSE 'DEAD' END"
+
+
+def _graded(spark, d):
+    return role(spark, d, "companies").withColumns({"total": F.col("row_id") % 100, "category": F.expr(_segment)})
+
+
+@query("exported_leads", f"SELECT company_id, company_name, row_id % 100 AS total FROM {COMPANIES} WHERE row_id % 100 >= 30 AND row_id % 4 < 2")
+def exported_leads(spark, d):
+    """Hot and warm leads from 30 on, three fields, by score, as JSON lines read again."""
+    path = f"{shared_dir(spark)}/csv/{uuid.uuid4().hex}"
+    IO.export_leads(_graded(spark, d), path, "json", min_score=30, categories=["HOT", "WARM"], fields=["company_id", "company_name", "total"])
+    return spark.read.schema("company_id string, company_name string, total long").json(path)
+
+
+@query("exported_segments", f"SELECT {_segment} AS segment, count(*) AS n, min(row_id)::BIGINT AS first_row FROM {COMPANIES} WHERE row_id % 4 <> 2 GROUP BY ALL")
+def exported_segments(spark, d):
+    """A folder for each segment; the one without rows does not come to be."""
+    path = f"{shared_dir(spark)}/csv/{uuid.uuid4().hex}"
+    IO.export_segmented(_graded(spark, d).where("category <> 'COLD'").select("row_id", "company_name", "category"), path)
+    return spark.read.option("header", True).csv(path).groupBy("segment").agg(F.count("*").alias("n"), F.min(F.col("row_id").cast("long")).alias("first_row"))
+
+
+@query("pending_limit", f"SELECT company_id FROM {COMPANIES} WHERE company_id NOT IN (SELECT user_id::VARCHAR FROM events) ORDER BY company_id LIMIT 50")
+def pending_limit(spark, d):
+    done = spark.read.parquet(f"{d}/events.parquet").select(F.col("user_id").cast("string").alias("company_id"))
+    return J.pending(role(spark, d, "companies"), done, limit=50).select("company_id")
+
+
+@query("input_quality", f"""SELECT row_id, CASE WHEN p AND a AND m THEN 1.0 ELSE greatest(0.1, round(0.5 + CASE WHEN m THEN 0.2 ELSE 0 END + CASE WHEN p THEN 0.15 ELSE 0 END + CASE WHEN a THEN 0.15 ELSE 0 END, 4)) END::DOUBLE AS quality
+  FROM (SELECT row_id, row_id % 2 = 0 AS p, row_id % 3 > 0 AS a, row_id % 5 > 1 AS m FROM {COMPANIES})""")
+def input_quality(spark, d):
+    only = lambda cond, c: F.when(F.expr(cond), F.col(c)).otherwise(F.lit(" "))
+    quality = N.input_quality(F.col("company_name"), F.col("city"), only("row_id % 2 = 0", "phone"), only("row_id % 3 > 0", "address"), only("row_id % 5 > 1", "website_domain"))
+    return role(spark, d, "companies").withColumn("website_domain", F.lit("azienda.it")).select("row_id", quality.alias("quality"))
+
+
+@query("title_parts", f"""SELECT row_id, CASE WHEN length(a) BETWEEN 2 AND 80 THEN a END AS first, CASE WHEN length(b) BETWEEN 2 AND 80 THEN b END AS second FROM (SELECT row_id, company_name AS a, CASE row_id % 3 WHEN 0 THEN city WHEN 1 THEN 'x' END AS b FROM {COMPANIES})""")
+def title_parts(spark, d):
+    """Result titles of a company, its place and the directory, parted in two ways."""
+    mark, rest = F.when(F.col("row_id") % 2 == 0, F.lit(" | ")).otherwise(F.lit(" - ")), F.when(F.col("row_id") % 3 == 0, F.col("city")).when(F.col("row_id") % 3 == 1, F.lit("x"))
+    first, second = P.title_parts(F.concat_ws("", "company_name", F.when(rest.isNotNull(), F.concat(mark, rest, mark, F.lit("elenco")))))
+    return role(spark, d, "companies").select("row_id", first.alias("first"), second.alias("second"))
+
+
+@query("embedded_site", f"""SELECT row_id, CASE WHEN row_id % 2 = 0 THEN 'www.azienda' || row_id || '.it' WHEN website IS NOT NULL AND NOT {listed(sql_host('website'), P.SOCIAL_SITES)} THEN website END AS site FROM {COMPANIES}""")
+def embedded_site(spark, d):
+    """Even companies are named in the title; of the others the first outbound link that is not the registry or social counts."""
+    title = F.when(F.col("row_id") % 2 == 0, F.concat(F.lit("Scheda, sito: www.azienda"), "row_id", F.lit(".it")))
+    html = F.concat(F.lit('<a href="https://www.registro.it/x">r</a><a href="'), F.coalesce("website", F.lit("/contatti")), F.lit('">s</a>'))
+    return role(spark, d, "companies").select("row_id", P.embedded_site(title, html, ["registro.it"]).alias("site"))
+
+
 @query("flatten_runs", f"SELECT company_name, city, CASE WHEN row_id % 2 = 0 THEN 'FOUND' ELSE 'NOT_FOUND' END AS status, website AS url, balance AS confidence, 'L' || row_id % 3 AS layer, row_id AS duration_ms, 'L0;L' || row_id % 3 AS layers FROM {COMPANIES}")
 def flatten_runs(spark, d):
     layer = F.concat(F.lit("L"), (F.col("row_id") % 3).cast("string"))

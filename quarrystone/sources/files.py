@@ -46,6 +46,12 @@ def map_headers(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(*[filled(c) for c in cs]).alias(n) for n, cs in groups.items()])
 
 
+def file_name() -> Column:
+    """The name of a row's file; the hidden column gives it as in a URL."""
+    name = F.col("_metadata.file_name")
+    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+
+
 def _headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(path, header) of every file: the first line of each, found by its offset in the file."""
     lines = spark.read.format("text").option("wholetext", False).load(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
@@ -61,7 +67,7 @@ def read_companies_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
         names = [x.strip().strip('"').lstrip("\ufeff") for x in header.split(sep)]
         schema = StructType([StructField(n or f"_c{i}", StringType()) for i, n in enumerate(names)])
         part = spark.read.schema(schema).csv(files, sep=sep, header=True, mode="PERMISSIVE", multiLine=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, enforceSchema=True)
-        part = part.withColumn("source_file", F.col("_metadata.file_name"))
+        part = part.withColumn("source_file", file_name())
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
@@ -130,6 +136,18 @@ def write_results_csv(df: DataFrame, path: str) -> None:
     flat(df).write.option("header", True).csv(path)
 
 
+def write_named_csv(df: DataFrame, path: str, **options) -> None:
+    """One CSV file of just this name, for a table that one task can write: written beside it, then renamed."""
+    spark, (folder, _, name) = df.sparkSession, path.rpartition("/")
+    part = f"{folder}/_{name}"
+    flat(df).coalesce(1).write.options(header=True, **options).csv(part)
+    at = spark._jvm.org.apache.hadoop.fs.Path(part)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{part}/part-*.csv"))
+    fs.rename(found[0].getPath(), spark._jvm.org.apache.hadoop.fs.Path(path))
+    fs.delete(at, True)
+
+
 def write_by_province(df: DataFrame, path: str, columns: list[str]) -> None:
     """One folder per province ('unknown' for null) below ``path``/by_province, and all rows in ``path``/all."""
     rows = df.select(*columns, F.coalesce(F.nullif("province", F.lit("")), F.lit("unknown")).alias("province_part"))

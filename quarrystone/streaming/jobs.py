@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from quarrystone.operators.resolve import company_id
+from quarrystone.sources.files import file_name
 from quarrystone.sources.tables import BucketTable
 
 
@@ -18,7 +19,7 @@ def watch_campaigns(spark: SparkSession, folder: str, schema: StructType | str,
     """Each new CSV of a folder once; the city is what stands before '_' in its name, else 'unknown'."""
     rows = spark.readStream.schema(schema).option("header", True).option("maxFilesPerTrigger", files).csv(folder)
     city = F.nullif(F.regexp_extract("file", "^(.+?)_", 1), F.lit(""))
-    return rows.withColumn("file", F.col("_metadata.file_name")).withColumn("file_city", F.coalesce(city, F.lit("unknown")))
+    return rows.withColumn("file", file_name()).withColumn("file_city", F.coalesce(city, F.lit("unknown")))
 
 
 def read_ledger_stream(spark: SparkSession, folder: str, schema: str, files: int = 100) -> DataFrame:

@@ -121,3 +121,29 @@ def test_lead_score(spark):
     hot, dead = [r[0] for r in df.select(S.lead_score_v2(df)).collect()]
     assert (hot.contact, hot.data, hot.website, hot.total, hot.category) == (40, 15, 25, 80, "HOT")
     assert (dead.total, dead.category) == (0, "DEAD")
+
+
+def test_fold_equals_nfd_on_all_letters(spark):
+    import re
+    import unicodedata
+
+    from quarrystone.functions import names
+
+    chars = [chr(c) for c in range(0x20, 0x2000) if unicodedata.category(chr(c))[0] in "LMN"]
+    texts = [*chars, *[f"x{c}y" for c in chars], "Šimić d.o.o.", "Győri Bálint", "Brăila", "Kőszeg", "Ångström", "Żabka"]
+    strip = lambda t: "".join(c for c in unicodedata.normalize("NFD", t.lower()) if not 0x300 <= ord(c) < 0x370)
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", names.fold_text(F.col("t")).alias("f")).collect()
+    got = {r.i: r.f for r in rows}
+    wrong = [t for i, t in enumerate(texts) if got[i] != re.sub("[^a-z0-9]+", " ", strip(t)).strip()]
+    assert wrong == [] and got[len(texts) - 6] == "simic d o o" and got[len(texts) - 3] == "koszeg"
+
+
+def test_sql_table_function_is_plain_expressions(spark):
+    from quarrystone.functions.sql import register
+
+    register(spark)
+    out = spark.sql("SELECT n, g.* FROM VALUES ('Rossi Impianti S.r.l.'), (NULL), ('srl') AS t(n), LATERAL domain_candidates(n, 'Milano', 'MI', 'Idraulico') g")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    rows = out.collect()
+    assert "Python" not in plan and {r.n for r in rows} == {"Rossi Impianti S.r.l."} and max(r.place for r in rows) == 80
+    assert any(r.domain == "rossiimpianti.it" for r in rows)
