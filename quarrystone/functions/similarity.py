@@ -46,13 +46,17 @@ def _word_in(t: Column, text: Column) -> Column:
     return F.contains(F.concat(F.lit(" "), text, F.lit(" ")), F.concat(F.lit(" "), t, F.lit(" "))) & (text != t)
 
 
-def name_coverage(name: Column, folded: Column) -> Column:
-    """Share of the name's tokens in a folded text: as words, or from four characters on anywhere."""
-    tokens = name_tokens(name)
+def tokens_coverage(tokens: Column, folded: Column) -> Column:
+    """Share of tokens in a folded text: as words, or from four characters on anywhere."""
     hit = lambda t: _word_in(t, folded) | (folded == t) | ((F.length(t) >= 4) & F.contains(folded, t))
     return F.when(F.size(tokens) == 0, F.lit(0.0)).otherwise(F.size(F.filter(tokens, hit)) / F.size(tokens))
 
 
+def name_coverage(name: Column, folded: Column) -> Column:
+    """Share of the name's tokens in a folded text."""
+    return tokens_coverage(name_tokens(name), folded)
+
+
 def city_match(city: Column, folded: Column) -> Column:
     tokens = F.filter(folded_tokens(city), lambda t: F.length(t) >= 3)
     return (F.size(tokens) > 0) & F.forall(tokens, lambda t: _word_in(t, folded))

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrystone.functions.contacts import canonical_url, extract_vats, host_suffixes, phones_match
-from quarrystone.functions.names import clean_company_name, fold_text, name_variants
-from quarrystone.functions.similarity import name_coverage
+from quarrystone.functions.names import clean_company_name, fold_text, name_tokens, name_variants
+from quarrystone.functions.similarity import tokens_coverage
+from quarrystone.session import materialize
 
 
 def pending(companies: DataFrame, results: DataFrame, key: str = "company_id", limit: int | None = None) -> DataFrame:
@@ -146,12 +147,61 @@ def sector_suffixes(companies: DataFrame, sectors: DataFrame, category: str = "c
     return hit.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def best_directory_listing(companies: DataFrame, listings: DataFrame, least: float = 0.15) -> DataFrame:
-    """Of the listings with the company's phone the one of best name coverage; none if that is under ``least`` and there are several."""
-    pairs = companies.join(listings, "phone_key").withColumn("name_score", name_coverage(F.col("company_name"), fold_text(F.col("listing_name"))))
-    w = Window.partitionBy("row_id")
-    ranked = pairs.withColumns({"_n": F.row_number().over(w.orderBy(F.desc("name_score"), "listing_id")), "n_listings": F.count("*").over(w)})
-    return ranked.where((F.col("_n") == 1) & ((F.col("name_score") >= least) | (F.col("n_listings") == 1))).drop("_n")
+#: Listings of a phone that a token may stand in and still be followed one by one.
+COMMON = 64
+
+
+def _token_words(tokens: DataFrame, words: DataFrame) -> DataFrame:
+    """(phone_key, t, w): words of a phone's listings that show a token: the same, or from four characters on holding it. A
+    holder has the token's first four characters somewhere, so these are a join key."""
+    same = tokens.join(words.select("phone_key", F.col("w").alias("t"), "w"), ["phone_key", "t"])
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("w") - 3), lambda i: F.col("w").substr(i, F.lit(4))))
+    parts = words.where("length(w) > 4").select("phone_key", "w", F.explode(grams).alias("g"))
+    held = tokens.where("length(t) >= 4").withColumn("g", F.substring("t", 1, 4)).join(parts, ["phone_key", "g"])
+    return same.unionByName(held.where(F.contains("w", F.col("t")) & (F.col("t") != F.col("w"))).select("phone_key", "t", "w"))
+
+
+def best_directory_listing(companies: DataFrame, listings: DataFrame, least: float = 0.15, common: int = COMMON) -> DataFrame:
+    """Of the listings with the company's phone the one of best name coverage (of equal ones the smallest id); none if that is under
+    ``least`` and there are several.
+
+    Companies of one phone and equal tokens are scored once, and so are listings of one phone and equal names. Tokens are posted
+    to the listings that show them. Those in ``common`` listings of the phone or fewer lead to candidates, which are scored in full.
+    The others are few; a listing that shows only such ones scores by their number, so for each set of them that listings show
+    the smallest id stands for all. So a number shared by very many rows makes no pairs of its companies and listings.
+    """
+    tokens = name_tokens(F.col("company_name"))
+    asked = companies.select("*", tokens.alias("_t"))
+    kinds = materialize(asked.where("phone_key is not null").select("phone_key", "_t").distinct().withColumn("kind", F.xxhash64("phone_key", "_t")))
+    shown = listings.where("phone_key is not null").select("phone_key", "listing_id", fold_text(F.col("listing_name")).alias("text"))
+    phones = shown.groupBy("phone_key").agg(F.min("listing_id").alias("listing_id"), F.count("*").alias("n_listings"))
+    names = materialize(shown.groupBy("phone_key", "text").agg(F.min("listing_id").alias("listing_id")))
+    placed = names.select("phone_key", "listing_id", F.explode(F.array_distinct(F.split("text", " "))).alias("w"))
+    wanted = kinds.select("phone_key", F.explode(F.array_distinct("_t")).alias("t")).distinct()
+    shows = _token_words(wanted, placed.select("phone_key", "w").distinct())
+    posted = materialize(placed.join(shows, ["phone_key", "w"]).select("phone_key", "t", "listing_id").distinct())
+    df = posted.groupBy("phone_key", "t").agg(F.count("*").alias("df"))
+    often = materialize(df.where(F.col("df") > common).select("phone_key", "t"))
+
+    # Candidates by rarer tokens, scored in full.
+    rare = posted.join(often, ["phone_key", "t"], "left_anti")
+    met = kinds.select("phone_key", "kind", F.explode(F.array_distinct("_t")).alias("t")).join(rare, ["phone_key", "t"]).select("phone_key", "kind", "listing_id").distinct()
+    full = met.join(kinds, ["phone_key", "kind"]).join(names, ["phone_key", "listing_id"])
+    found = full.select("phone_key", "_t", "listing_id", tokens_coverage(F.col("_t"), F.col("text")).alias("name_score"))
+    # Sets of common tokens, of companies (as often as they hold each) and of listings.
+    sets = posted.join(often, ["phone_key", "t"]).groupBy("phone_key", "listing_id").agg(F.sort_array(F.collect_set("t")).alias("held"))
+    sets = sets.groupBy("phone_key", "held").agg(F.min("listing_id").alias("listing_id"))
+    held = often.groupBy("phone_key").agg(F.collect_set("t").alias("all"))  # a phone's postings / common at most
+    part = kinds.join(held, "phone_key").select("phone_key", "_t", F.filter("_t", lambda t: F.array_contains("all", t)).alias("part")).where("size(part) > 0")
+    scored = part.select("phone_key", "part").distinct().join(sets, "phone_key").withColumn("hits", F.size(F.filter("part", lambda t: F.array_contains("held", t))))
+    top = scored.groupBy("phone_key", "part").agg(F.max(F.struct("hits", (-F.col("listing_id")).alias("back"))).alias("b"))
+    few = part.join(top, ["phone_key", "part"]).select("phone_key", "_t", (-F.col("b.back")).alias("listing_id"), (F.col("b.hits") / F.size("_t")).alias("name_score"))
+    none = kinds.join(phones, "phone_key").select("phone_key", "_t", "listing_id", F.lit(0.0).alias("name_score"))
+
+    best = found.unionByName(few).unionByName(none).groupBy("phone_key", "_t").agg(F.max(F.struct("name_score", (-F.col("listing_id")).alias("back"))).alias("b"))
+    best = best.select("phone_key", "_t", "b.name_score", (-F.col("b.back")).alias("listing_id")).join(phones.drop("listing_id"), "phone_key")
+    best = best.where((F.col("name_score") >= least) | (F.col("n_listings") == 1))
+    return asked.join(best, ["phone_key", "_t"]).drop("_t").join(listings.drop("phone_key"), "listing_id")
 
 
 def confirm_identity(profiles: DataFrame, companies: DataFrame, text: str = "text") -> DataFrame:

@@ -56,3 +56,34 @@ def test_a_common_word_meets_one_row(spark):
     asked = spark.range(20_000).select(F.col("id").alias("row_id"), F.lit("Impresa").alias("company_name"), F.lit("Milano").alias("city"))
     out = joins.registry_fuzzy(asked, reg)
     assert out.agg(F.count("*"), F.max("piva")).first() == (20_000, 0)
+
+
+def test_best_listing(spark):
+    """Against all pairs; phone 'many' has common tokens, phone 'one' a single listing."""
+    rng = random.Random(12)
+    words = ["rossi"] * 5 + ["impianti"] * 4 + ["edil", "verdi", "neri", "bar", "ab", "costruzioni", "rossini", "superedil", "srl"]
+    name = lambda: " ".join(rng.choice(words) for _ in range(rng.randint(0, 4))) + rng.choice(["", f" {rng.randrange(400)}"])
+    phones = ["many"] * 6 + ["p1", "p2", "p3", None]
+    companies = [(i, name(), rng.choice(phones)) for i in range(400)] + [(900, "qq", "one"), (901, "qq", "many"), (902, "", "many")]
+    listings = [(i, name(), rng.choice(phones)) for i in range(500)] + [(950, "zz", "one")]
+    c = spark.createDataFrame(companies, "row_id long, company_name string, phone_key string")
+    li = spark.createDataFrame(listings, "listing_id long, listing_name string, phone_key string")
+    filler = {"srl"}
+    want = {}
+    for i, n, p in companies:
+        tokens = [t for t in n.split() if len(t) >= 2 and t not in filler]
+        hits = lambda text: sum(t in text.split() or (len(t) >= 4 and t in text) for t in tokens)  # noqa: B023, E731
+        scores = sorted((-(hits(x) / len(tokens) if tokens else 0.0), j) for j, x, q in listings if p is not None and q == p)
+        if scores and (-scores[0][0] >= 0.15 or len(scores) == 1):
+            want[i] = (scores[0][1], round(-scores[0][0], 9), len(scores))
+    for common in (joins.COMMON, 3):
+        got = {r.row_id: (r.listing_id, round(r.name_score, 9), r.n_listings) for r in joins.best_directory_listing(c, li, common=common).collect()}
+        assert got == want
+
+
+def test_a_switchboard_makes_no_pairs(spark):
+    """20000 companies and 20000 listings of one number, of which each pair shares a word."""
+    c = spark.range(20_000).select(F.col("id").alias("row_id"), F.concat(F.lit("Rossi impianti nr"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("company_name"), F.lit("02").alias("phone_key"))
+    li = c.select((F.col("row_id") + 100_000).alias("listing_id"), F.col("company_name").alias("listing_name"), "phone_key").where("listing_id % 2 = 0")
+    got = joins.best_directory_listing(c, li).where("name_score = 1").select(F.col("listing_id") - F.col("row_id"))
+    assert got.count() == 10_000 and got.distinct().count() == 1
