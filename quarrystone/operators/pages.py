@@ -11,6 +11,8 @@ from urllib.parse import parse_qs, urljoin, urlsplit
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from quarrystone.operators.tree import Node, parsed
+
 SKIPPED = {"script", "style", "noscript", "template"}
 LAYOUT = {"nav", "header", "footer", "aside", "form"}
 BLOCKS = {"p", "div", "li", "br", "tr", "h1", "h2", "h3", "h4", "section", "article", "td", "dt", "dd"}
@@ -224,30 +226,53 @@ def schema_org_signals(df: DataFrame) -> DataFrame:
     return df.select("page_id", "jsonld", "website", "phone", "vat").mapInPandas(run, "page_id long, is_business boolean, url_match boolean, phone_match boolean, vat_match boolean")
 
 
-def serp_rows(pages: DataFrame, own: list[str], most: int = 10) -> DataFrame:
-    """(page_id, place, url, title) of stored result pages: links with a text to sites other than ``own``, taken from the page's
-    url, redirects resolved, distinct."""
-
-    def target(href: str) -> str:
-        for name in ("q", "uddg", "url"):
-            got = parse_qs(urlsplit(href).query).get(name, [""])[0]
-            if got.startswith("http"):
-                return got
+# Classes of the blocks or links that hold one result each, by engine.
+RESULT_BLOCKS = {"google": ["yuRUbf", "kCrYT"], "bing": ["b_algo", "b_header"], "duckduckgo": ["result__a"]}
+# Parameters in which an engine's redirect names its target.
+TARGETS = ["q", "uddg", "url"]
+
+
+def _target(href: str) -> str:
+    """What a link of a result page leads to, redirects resolved."""
+    try:
+        named = parse_qs(urlsplit(href).query)
+    except ValueError:
         return href
+    return next((named[n][0] for n in TARGETS if named.get(n, [""])[0].startswith("http")), href)
+
+
+def _results(root: Node) -> tuple[str, list[Node]]:
+    """The engine whose blocks the page has, and the link of each; else all links."""
+    nodes = list(root.walk())
+    for engine, classes in RESULT_BLOCKS.items():
+        blocks = [n for n in nodes if not set(classes).isdisjoint(n.classes())]
+        links = [x for n in blocks for x in [next((y for y in n.walk() if y.tag == "a" and "href" in y.attrs), n.up("a"))] if x is not None and "href" in x.attrs]
+        if links:
+            return engine, links
+    return "", [n for n in nodes if n.tag == "a" and "href" in n.attrs]
+
+
+def serp_rows(pages: DataFrame, own: list[str], most: int = 10) -> DataFrame:
+    """(page_id, place, url, title, engine) of stored result pages, by the blocks of the engine that made them: the link of each
+    block, redirects resolved and taken from the page's url, to a site that is not in ``own`` nor below it; the title is
+    the link's heading, else its text. Pages without such blocks (engine '') give all their links. Distinct, the first ``most``."""
+    listed = lambda host: any(host == o or host.endswith("." + o) for o in own)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for page_id, base, html in zip(b["page_id"], b["url"], b["html"], strict=True):
                 seen: dict[str, str] = {}
-                for href, text in Page(html or "").links:
-                    url = target(_joined(base or "", href))
-                    if url.startswith("http") and text and not any(_host(url).endswith(o) for o in own):
-                        seen.setdefault(url, text)
-                rows += [(page_id, i + 1, u, t) for i, (u, t) in enumerate(list(seen.items())[:most])]
-            yield pd.DataFrame(rows, columns=["page_id", "place", "url", "title"])
+                engine, links = _results(parsed(html or ""))
+                for link in links:
+                    url = _target(_joined(base or "", link.attrs["href"]))
+                    title = next((t for n in link.walk() if n.tag == "h3" and (t := n.text())), link.text())
+                    if url.startswith("http") and title and not listed(_host(url)):
+                        seen.setdefault(url, title)
+                rows += [(page_id, i + 1, u, t, engine) for i, (u, t) in enumerate(list(seen.items())[:most])]
+            yield pd.DataFrame(rows, columns=["page_id", "place", "url", "title", "engine"])
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, place int, url string, title string")
+    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, place int, url string, title string, engine string")
 
 
 # Labels of a company's profile.
@@ -258,49 +283,104 @@ PROFILE_LABELS = {
 ADDRESS = re.compile(r"(?P<street>[^,\n|]*(?:,\s*[0-9]+[a-zA-Z/]*)?)[\s,-]*\b(?P<zip>[0-9]{5})\b[\s,-]*(?P<city>[^()\n|]*?)\s*\((?P<province>[A-Z]{2})\)")
 
 
-def _address(page: Page) -> tuple[str | None, str | None, str | None, str | None]:
+def _address(lines: str) -> tuple[str | None, str | None, str | None, str | None]:
     """Street, zip, city and province of the first line with a postal code and a province in brackets."""
-    for line in "".join(page.text).split("\n"):
+    for line in lines.split("\n"):
         if m := ADDRESS.search(squeezed(line)):
             return tuple(m[k].strip(" ,-") or None for k in ("street", "zip", "city", "province"))
     return None, None, None, None
 
 
+def _record(heading: Node, headings: set[int]) -> list[Node | str]:
+    """What belongs to a heading: what stands behind it, within the largest element around it that has no other heading, and if
+    others stand beside that one, what comes before the next."""
+    own, at = [], heading
+    while at.parent is not None:
+        beside = at.parent.children
+        behind = beside[next(i for i, x in enumerate(beside) if x is at) + 1 :]
+        for node in behind:
+            if isinstance(node, Node) and any(id(n) in headings for n in node.walk()):
+                return own
+            own.append(node)
+        if any(id(n) in headings and n is not heading for n in at.parent.walk()):
+            return own
+        at = at.parent
+    return own
+
+
 def listing_rows(pages: DataFrame, levels: str = "23") -> DataFrame:
     """(page_id, place, name, phone, website, street, zip, city, province): a row for each heading (of these ``levels``) of a
-    stored listing, with what follows it."""
+    stored listing, with what belongs to it by the tree of the page."""
     names = ["page_id", "place", "name", "phone", "website", "street", "zip", "city", "province"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for page_id, html in zip(b["page_id"], b["html"], strict=True):
-                parts = re.split(rf"(?is)<h[{levels}][^>]*>(.*?)</h[{levels}]>", html or "")
-                for i in range(1, len(parts), 2):
-                    page = Page(parts[i + 1])
-                    phone = re.search(r"(?:\+39|0)[\d ./-]{6,}", squeezed(page.text))
-                    site = next((h for h, _ in page.links if h.startswith("http")), None)
-                    rows.append((page_id, i // 2 + 1, squeezed(Page(parts[i]).text), re.sub(r"[^\d+]", "", phone[0]) if phone else None, site, *_address(page)))
+                found = [n for n in parsed(html or "").walk() if n.tag in {"h" + x for x in levels}]
+                ids = set(map(id, found))
+                for i, heading in enumerate(found):
+                    record = _record(heading, ids)
+                    lines = "".join(x if isinstance(x, str) else x.lines() for x in record)
+                    phone = re.search(r"(?<!\d)(?:\+39|0)[\d ./-]{6,}", squeezed(lines))
+                    links = (n.attrs["href"] for x in record if isinstance(x, Node) for n in x.walk() if n.tag == "a" and n.attrs.get("href", "").startswith("http"))
+                    rows.append((page_id, i + 1, heading.text(), re.sub(r"[^\d+]", "", phone[0]) if phone else None, next(links, None), *_address(lines)))
             yield pd.DataFrame(rows, columns=names)
 
     return pages.select("page_id", "html").mapInPandas(run, "page_id long, place int, " + ", ".join(f"{n} string" for n in names[2:]))
 
 
+def _column(cell: Node) -> Node | None:
+    """The cell below a header cell, in the next row of its table."""
+    row = cell.up("tr")
+    place = next((i for i, x in enumerate(row.elements()) if x is cell), None) if row is not None else None
+    below = next((r for r in row.after() if r.tag == "tr"), None) if row is not None else None
+    if below is None and row is not None and row.parent is not None and row.parent.tag == "thead":
+        below = next((r for part in row.parent.after() for r in part.walk() if r.tag == "tr"), None)
+    return below.elements()[place] if below is not None and place is not None and place < len(below.elements()) else None
+
+
+def _value(label: Node, name: str) -> str | None:
+    """The value beside a label's element: the rest of its own text, the element behind it, the cell below a header cell, the next cell
+    of the row, or the rest of the text around it, whichever comes first."""
+    rest = lambda text: text[text.lower().find(name.lower()) + len(name) :].strip(" :\t-\n") if name.lower() in text.lower() else ""
+    if own := rest(label.text()):
+        return own
+    cell = label.up("td", "th")
+    header = cell is not None and cell.tag == "th" and all(x.tag == "th" for x in cell.parent.elements())
+    if header and (below := _column(cell)) is not None:
+        return below.text() or None
+    behind = next((t for x in label.after() if (t := x.text())), None)
+    if behind:
+        return behind
+    if cell is not None and (t := next((t for x in cell.after() if (t := x.text())), None)):
+        return t
+    around = rest(label.parent.text()) if label.parent is not None and label.parent.parent is not None else ""
+    return around or None
+
+
 def labelled_fields(pages: DataFrame, labels: dict[str, str]) -> DataFrame:
-    """(page_id, one column per label): what stands after a label. Blocks and table cells begin lines of the text, so that is
-    the rest of the label's own element or line, else the next line that isn't blank: the sibling or the next cell."""
-
-    def find(lines: list[str], label: str) -> str | None:
-        for i, line in enumerate(lines):
-            at = line.lower().find(label.lower())
-            if at >= 0:
-                rest = line[at + len(label) :].strip(" :\t-")
-                return rest or next((x for x in lines[i + 1 :] if x), None)
-        return None
+    """(page_id, one column per label): the value beside a label, by the tree of the page. Of elements that hold the label's words (in
+    any case) the innermost ones whose text begins with them count, else the innermost; of several the first with a value."""
+
+    def fields(html: str) -> list[str | None]:
+        spoken = lambda n: any(isinstance(c, str) and c.strip() for c in n.children)
+        texts = [(n, n.text()) for n in parsed(html).walk() if n.tag not in SKIPPED and n.parent is not None and spoken(n)]
+        out = []
+        for name in labels.values():
+            word = re.compile(rf"(?<!\w){re.escape(name)}(?!\w)", re.I)
+            holds = [(n, t) for n, t in texts if word.search(t)]
+            outer: set[int] = set()
+            for n, _ in holds:
+                while (n := n.parent) is not None and id(n) not in outer:
+                    outer.add(id(n))
+            inner = sorted(((n, t) for n, t in holds if id(n) not in outer), key=lambda x: not x[1].lower().startswith(name.lower()))
+            out.append(next((v for n, _ in inner if (v := _value(n, name))), None))
+        return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            lines = [[squeezed(x) for x in "".join(Page(h or "").text).split("\n")] for h in b["html"]]
-            yield pd.DataFrame({"page_id": b["page_id"]} | {k: [find(x, v) for x in lines] for k, v in labels.items()})
+            found = [fields(h or "") for h in b["html"]]
+            yield pd.DataFrame({"page_id": b["page_id"]} | {k: [f[i] for f in found] for i, k in enumerate(labels)})
 
     return pages.select("page_id", "html").mapInPandas(run, "page_id long, " + ", ".join(f"{k} string" for k in labels))

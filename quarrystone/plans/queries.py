@@ -44,7 +44,7 @@ def joined(c: Column) -> Column:
     return F.array_join(F.sort_array(c), ",")
 
 
-COMPANIES, CANDIDATES, LEDGER, LEADS, REPORTS, RESPONSES = (role_sql(x) for x in ("companies", "candidates", "ledger", "leads", "reports", "responses"))
+COMPANIES, CANDIDATES, LEDGER, LEADS, REPORTS, RESPONSES, PROFILES = (role_sql(x) for x in ("companies", "candidates", "ledger", "leads", "reports", "responses", "profiles"))
 q = lambda s: s.replace("'", "''")
 words = lambda xs: "[" + ", ".join(f"'{q(x)}'" for x in xs) + "]"
 alternatives = "|".join
@@ -935,19 +935,27 @@ def clean_html(spark, d):
     return H.clean_html(_pages(spark, d)).select("page_id", F.length("text").alias("n_chars"), F.md5("text").alias("md5"))
 
 
-@query("serp_rows")
+@query("serp_rows", f"""SELECT page_id, 1::INT AS place, 'https://azienda' || n || '.it/' AS url, 'Azienda' AS title, CASE n % 3 WHEN 0 THEN 'google' WHEN 1 THEN 'bing' ELSE 'duckduckgo' END AS engine FROM {PROFILES}
+  UNION ALL SELECT page_id, 2, 'https://notbing.com/' || n, 'Altra', 'bing' FROM {PROFILES} WHERE n % 3 = 1""")
 def serp_rows(spark, d):
+    return H.serp_rows(role(spark, d, "profiles").select("page_id", "url", F.col("results").alias("html")), C.SEARCH_ENGINES)
+
+
+@query("page_links")
+def page_links(spark, d):
+    """Stored pages as they are, which have no engine's blocks: all their links to other sites."""
     return H.serp_rows(_pages(spark, d), C.SEARCH_ENGINES)
 
 
-@query("listing_rows")
+@query("listing_rows", f"""SELECT page_id, 1::INT AS place, 'Azienda ' || n AS name, '02' || lpad(n::VARCHAR, 7, '0') AS phone, 'https://azienda' || n || '.it/' AS website, 'Via Roma, ' || (n % 90 + 1) AS street, '20' || lpad((n % 1000)::VARCHAR, 3, '0') AS zip, 'Milano' AS city, 'MI' AS province FROM {PROFILES}""")
 def listing_rows(spark, d):
-    return H.listing_rows(_pages(spark, d), "123")
+    return H.listing_rows(role(spark, d, "profiles").select("page_id", F.col("profile").alias("html")))
 
 
-@query("labelled_fields")
+@query("labelled_fields", f"SELECT page_id, CASE n % 3 WHEN 0 THEN 'S.r.l.' WHEN 1 THEN 'Spa' END AS legal_form, n || ' mln' AS revenue, (n % 50)::VARCHAR AS employees, n::VARCHAR AS profit FROM {PROFILES}")
 def labelled_fields(spark, d):
-    return H.labelled_fields(_pages(spark, d), H.PROFILE_LABELS)
+    labels = {k: H.PROFILE_LABELS[k] for k in ("legal_form", "revenue", "employees", "profit")}
+    return H.labelled_fields(role(spark, d, "profiles").select("page_id", F.col("profile").alias("html")), labels)
 
 
 @query("schema_org")

@@ -71,7 +71,19 @@ SELECT page_id, url, title, n % 4 AS form, CASE n % 4 WHEN 0 THEN '{{{{"data": [
     SELECT page_id, coalesce(html, '') AS html, length(coalesce(html, '')) AS n, translate(coalesce(url, ''), '"' || chr(92), '__') AS url,
       translate(regexp_extract(coalesce(html, ''), '<title>([^<]*)</title>', 1), '"' || chr(92) || chr(9) || chr(10) || chr(13), '_____') AS title FROM {{pages}}))"""
 
-ROLES = {"reports": REPORTS, "responses": RESPONSES, "companies": COMPANIES, "candidates": CANDIDATES, "ledger": LEDGER, "leads": LEADS}
+#: Stored profiles and result pages: each page's whole html, then a company's record and three results in the blocks of one of three
+#: engines, made of the length of the html.
+PROFILES = f"""
+SELECT page_id, url, n, html || '<h2>Azienda ' || {_n("n")} || '</h2><div><p>Via Roma, ' || {_n("n % 90 + 1")} || ' - 20' || lpad({_n("n % 1000")}, 3, '0') || ' Milano (MI)</p><p>Tel 02 ' || lpad({_n("n")}, 7, '0') || '</p><a href="https://azienda' || {_n("n")} || '.it/">sito</a>'
+    || '<table><thead><tr><th>Dipendenti</th><th>Utile</th></tr></thead><tbody><tr><td>' || {_n("n % 50")} || '</td><td>' || {_n("n")} || '</td></tr></tbody></table>'
+    || '<dl><dt>Fatturato<dd>' || {_n("n")} || ' mln</dl>' || CASE n % 3 WHEN 0 THEN '<div>Forma giuridica: S.r.l.</div>' WHEN 1 THEN '<table><tr><td><b>Forma giuridica</b></td><td>Spa</td></tr></table>' ELSE '' END || '</div>' AS profile,
+  html || CASE n % 3
+    WHEN 0 THEN '<div class="yuRUbf"><a href="/url?q=https://azienda' || {_n("n")} || '.it/&sa=U"><h3>Azienda</h3> altro</a></div><div class="kCrYT"><a href="https://www.google.com/search?q=x">di piu</a></div>'
+    WHEN 1 THEN '<ol><li class="b_algo"><h2><a href="https://azienda' || {_n("n")} || '.it/">Azienda</a></h2><li class="b_algo"><h2><a href="https://notbing.com/' || {_n("n")} || '">Altra</a></h2></ol>'
+    ELSE '<a class="result__a" href="//duckduckgo.com/l/?uddg=https%3A%2F%2Fazienda' || {_n("n")} || '.it%2F&rut=1">Azienda</a><a class="result__a" href="https://azienda' || {_n("n")} || '.it/">di nuovo</a>' END AS results
+FROM (SELECT page_id, url, coalesce(html, '') AS html, length(coalesce(html, '')) AS n FROM {{pages}})"""
+
+ROLES = {"profiles": PROFILES, "reports": REPORTS, "responses": RESPONSES, "companies": COMPANIES, "candidates": CANDIDATES, "ledger": LEDGER, "leads": LEADS}
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
