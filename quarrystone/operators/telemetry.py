@@ -29,6 +29,21 @@ def db_stats(companies: DataFrame, results: DataFrame, log: DataFrame) -> DataFr
     return c.join(r).join(failed).select("total", "enriched", (F.col("total") - F.col("enriched")).alias("pending"), "failed")  # one row each
 
 
+#: Logarithm of a sketch's number of buckets; the standard error of a count is about 0.83 / sqrt(2 ** it), 1.3 % at 12.
+SKETCH = 12
+
+
+def distinct_sketches(log: DataFrame, by: str | Column, what: str = "company_id", lg: int = SKETCH) -> DataFrame:
+    """(part, calls, sketch): a mergeable sketch of the distinct ``what`` of each part of a log, such as a day. Written once, it
+    answers for any union of parts, without reading the log again."""
+    return log.groupBy((F.col(by) if isinstance(by, str) else by).alias("part")).agg(F.count("*").alias("calls"), F.hll_sketch_agg(what, lg).alias("sketch"))
+
+
+def distinct_rollup(sketches: DataFrame, to: Column) -> DataFrame:
+    """(part, calls, distinct): calls and approximate distinct values of unions of parts, ``to`` what each belongs."""
+    return sketches.groupBy(to.alias("part")).agg(F.sum("calls").alias("calls"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct"))
+
+
 def ledger_summary(ledger: DataFrame, since: str | None = None) -> DataFrame:
     rows = ledger if since is None else ledger.where(F.col("ts") >= F.lit(since).cast("timestamp"))
     cost, n = F.coalesce(F.sum("cost_eur"), F.lit(0.0)), F.count("*")

@@ -744,6 +744,24 @@ def db_stats(spark, d):
     return A.db_stats(role(spark, d, "companies"), done, role(spark, d, "ledger").withColumn("status", F.when(~F.col("success"), "FAILED")))
 
 
+_distinct_parts = "CASE WHEN isodow(ts) >= 6 THEN 'weekend' ELSE 'weekday' END"
+
+
+@query("distinct_rollup", f"""WITH l AS (SELECT *, {_distinct_parts} AS part FROM {LEDGER}), t AS (SELECT part, count(*) AS calls, count(DISTINCT event_id) AS events, count(DISTINCT company_id) AS companies FROM l GROUP BY part)
+  SELECT part, calls, true AS events_within, true AS companies_within, events - events % 1000 AS events_about, companies FROM t""")
+def distinct_rollup(spark, d):
+    """Distinct events and companies of weekdays and weekends from sketches of days, against exact counts: within four standard
+    errors. What is approximate is compared in Spark, the rest with SQL."""
+    log = role(spark, d, "ledger").withColumn("ts", F.col("ts").cast("timestamp"))
+    part = F.when(F.weekday("ts") >= 5, "weekend").otherwise("weekday")
+    exact = log.groupBy(part.alias("part")).agg(F.countDistinct("event_id").alias("events"), F.countDistinct("company_id").alias("companies"))
+    of_day = F.when(F.weekday("part") >= 5, "weekend").otherwise("weekday")
+    rolled = {what: A.distinct_rollup(materialize(A.distinct_sketches(log, F.to_date("ts"), what)), of_day).withColumnRenamed("distinct", what + "_") for what in ("event_id", "company_id")}
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.greatest(4 * 0.013 * F.col(b), F.lit(1.0))
+    out = exact.join(rolled["event_id"], "part").join(rolled["company_id"].drop("calls"), "part")
+    return out.select("part", "calls", near("event_id_", "events").alias("events_within"), near("company_id_", "companies").alias("companies_within"), (F.col("events") - F.col("events") % 1000).alias("events_about"), "companies")
+
+
 @query("url_vote", f"""SELECT company_id, url, total, least(total / 20, 0.95) AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY total DESC, url) AS n FROM (SELECT company_id, source_url AS url, sum(s)::BIGINT AS total
   FROM (SELECT *, pos % 4 - 1 AS s FROM {CANDIDATES}) WHERE s > 0 GROUP BY ALL)) WHERE n = 1""")
 def url_vote(spark, d):
