@@ -33,9 +33,10 @@ HEAD = 1 << 19
 #: Between two ASCII letters or digits neither tokenizer has a token across the space (checked for both vocabularies).
 _WORD_SPACE = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 #: Texts that may go to the faster encoder of A's ranks: characters whose class (letter, digit, space, else) is the same in all
-#: versions of Unicode, and no run that its merging would take long for. All others are encoded from A's file itself.
-_SETTLED = re.compile(r"[\x00-\x7F\xA1-\u017F\u2010-\u2027\u2030-\u205E\u20AC]*+")
-_RUN = re.compile(r"\S{500}|\s{500}")
+#: versions of Unicode, and no run of 500, which its merging would take long for. All others are encoded from A's file itself.
+_SPACES = r"\x09-\x0D\x20"
+_MARKS = r"\x00-\x08\x0E-\x1F\x21-\x7F\xA1-\u017F\u2010-\u2027\u2030-\u205E\u20AC"
+_SETTLED = re.compile("(?:" + "|".join(f"[{c}]{{1,499}}+(?![{c}])" for c in (_MARKS, _SPACES)) + ")*+")
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -78,7 +79,7 @@ class Codec:
         return [*out, text[at:]]
 
     def ids_a(self, text: str) -> list[int]:
-        if self.fast and _SETTLED.fullmatch(text) and not _RUN.search(text):
+        if self.fast and _SETTLED.fullmatch(text):
             return self.fast.encode_ordinary(text)
         return self.a.encode(text, add_special_tokens=False).ids
 

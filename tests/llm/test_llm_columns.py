@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quarrystone.llm import decontam, licenses, lmscore, mixing, neardup, quality, sharding, suffixdup, urls, warc
+from quarrystone.llm import crosstok, decontam, exactdup, licenses, lmscore, mixing, neardup, quality, sharding, suffixdup, urls, warc
 
 INSIDE = ["_doc", "_s", "_h", "_id", "_cell", "_r", "_rank", "_band", "_p", "_at", "_below", "_of", "_b", "_copy", "_copies", "_w", "_c", "_l", "_u", "_v", "_t", "_k", "_row", "_n", "_text", "_key", "_codes", "_rest", "_pass", "_alone", "b", "w", "i", "n", "p", "c0", "placed", "phrases", "there", "node", "h", "ord", "first", "range", "offset", "level", "start", "a.b"]
 LONG = "zu " * 3 + " ".join(f"wort{i}" for i in range(60_000))
@@ -34,6 +34,9 @@ OPERATORS = {
     "mixing_plain": (lambda s, d: mixing.mix_sources(d, max_repetition=1.0, epochs=False), None, 7),
     "licenses": (lambda s, d: licenses.scan_licenses(d), "Score", 7),
     "scores": (lambda s, d: lmscore.score_documents(d), "Log_Prob", 7),
+    "tokens": (lambda s, d: crosstok.align_tokenizers(d), "N_Links", 7),
+    "exact": (lambda s, d: exactdup.mark_exact_duplicates(d), "Keep_Id", 7),
+    "drop_exact": (lambda s, d: exactdup.drop_exact_duplicates(d), None, 5),
     "urls": (lambda s, d: urls.filter_urls(d, url_col="text"), "HOST", 7),
 }
 
