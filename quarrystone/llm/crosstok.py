@@ -46,6 +46,25 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: A's and B's ids of a text.
+Encoded = tuple[np.ndarray, np.ndarray]
+
+
+def _spelling(entries: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All entries' bytes one after another, where each begins, and how many it has."""
+    sizes = np.array([len(t) for t in entries])
+    return np.frombuffer(b"".join(entries), np.uint8), sizes.cumsum() - sizes, sizes
+
+
+def _spell(ids: np.ndarray, spelling: tuple[np.ndarray, np.ndarray, np.ndarray], raw: np.ndarray) -> bool:
+    """Whether the bytes of ``ids`` joined are ``raw``."""
+    flat, starts, sizes = spelling
+    n = sizes[ids]
+    if n.sum() != len(raw):
+        return False
+    return bool((flat[np.repeat(starts[ids] - n.cumsum() + n, n) + np.arange(len(raw))] == raw).all())
+
+
 class Codec:
     """Both tokenizers and what each of their ids stands for in bytes."""
 
@@ -61,6 +80,7 @@ class Codec:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.space_a, self.space_b = (np.array([t[:1] == b" " for t in v]) for v in (self.bytes_a, self.bytes_b))
+        self.spelling_a, self.spelling_b = _spelling(self.bytes_a), _spelling(self.bytes_b)
         self.apart = not any(_WORD_SPACE.search(t.decode(errors="replace")) for v in (self.bytes_a, self.bytes_b) for t in v)
         if ranks_path:
             from tiktoken import Encoding
@@ -78,17 +98,17 @@ class Codec:
             at = m.end()
         return [*out, text[at:]]
 
-    def ids_a(self, text: str) -> list[int]:
+    def ids_a(self, text: str) -> np.ndarray:
         if self.fast and _SETTLED.fullmatch(text):
-            return self.fast.encode_ordinary(text)
-        return self.a.encode(text, add_special_tokens=False).ids
+            return np.array(self.fast.encode_ordinary(text), np.uint32)
+        return np.array(self.a.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def encode(self, pieces: list[str]) -> list[tuple[list[int], list[int]] | None]:
+    def encode(self, pieces: list[str]) -> list[Encoded | None]:
         """Ids of each piece; None where their joined bytes are not a space and the piece."""
         out = []
         for piece, b in zip(pieces, self.b.encode(pieces, num_threads=1), strict=True):
-            raw, a = b" " + piece.encode(), self.ids_a(" " + piece)
-            out.append((a, b) if raw == b"".join(map(self.bytes_a.__getitem__, a)) == b"".join(map(self.bytes_b.__getitem__, b)) else None)
+            raw, a, b = np.frombuffer(b" " + piece.encode(), np.uint8), self.ids_a(" " + piece), np.array(b, np.uint32)
+            out.append((a, b) if _spell(a, self.spelling_a, raw) and _spell(b, self.spelling_b, raw) else None)
         return out
 
 
@@ -117,9 +137,8 @@ class Aligner:
         self.groups = array("q")
         self.links, self.starts = array("q"), array("q", [0])  # of all windows, and where each one's begin
 
-    def windows(self, a: list[int], b: list[int]) -> list[Window]:
+    def windows(self, ids_a: np.ndarray, ids_b: np.ndarray) -> list[Window]:
         """Id tuples between anchors: byte offsets at which tokens of both end and the next ones of both begin with a space."""
-        ids_a, ids_b = np.array(a, np.uint32), np.array(b, np.uint32)
         ends_a, ends_b = self.lengths[0][ids_a].cumsum(), self.lengths[1][ids_b].cumsum()
         at = np.searchsorted(ends_b, ends_a)
         i = np.flatnonzero(ends_b[at] == ends_a)  # the A tokens that end where one of B does
@@ -171,7 +190,7 @@ class Aligner:
         first, n = starts[places], starts[places + 1] - starts[places]
         return links[np.arange(n.sum()) + np.repeat(first - n.cumsum() + n, n)]
 
-    def document(self, encoded: list[tuple[list[int], list[int]]]) -> tuple[int, int, int, int, str, tuple[np.ndarray, np.ndarray], list[str]]:
+    def document(self, encoded: list[Encoded]) -> tuple[int, int, int, int, str, tuple[np.ndarray, np.ndarray], list[str]]:
         """(n_a, n_b, n_groups, n_links, digest, (links, how often each), windows as text) of a text's encoded pieces."""
         digest, texts, links, n_groups = sha256(), [], [_NONE], 0
         for k, (a, b) in enumerate(encoded):
@@ -218,7 +237,7 @@ def _aligned(paths: tuple[str, str | None, str], memo: int, long_pairs: bool, gr
                 for k in range(0, len(todo), 64):
                     for o, e in zip(owner[k : k + 64], codec.encode(todo[k : k + 64]), strict=True):
                         encoded[o].append(e)
-                found = [aligner.document(e) if e and None not in e else (0, 0, 0, 0, "", (_NONE, _NONE), []) for e in encoded]
+                found = [aligner.document(e) if e and all(x is not None for x in e) else (0, 0, 0, 0, "", (_NONE, _NONE), []) for e in encoded]
                 columns = [batch.column("_doc").slice(at, len(taken)), *[pa.array([f[i] for f in found], pa.int64()) for i in range(4)], pa.array([f[4] for f in found])]
                 columns += [_lists([f[5][k] for f in found], t) for k, t in enumerate((kind, pa.int32()))]
                 names = ["_doc", *_NUMBERS, "groups_sha256", "pairs", "times"]
