@@ -1437,3 +1437,21 @@ def page_evidence(spark, d):
     found = M.evidence(P.minify_html(F.col("html")), F.col("html"), F.col("company_name"), F.col("address"))
     rows = role(spark, d, "companies").select("row_id", "company_name", "address").join(pages, "row_id").select("row_id", found.alias("e"))
     return rows.select("row_id", F.size("e.phones_found").alias("n_phones"), F.size("e.vat_ids_found").alias("n_vats"), F.size("e.emails_found").alias("n_emails"), F.size("e.social_links").alias("n_social"), F.round("e.name_match_score", 6).alias("name_score"), F.round("e.address_match_score", 6).alias("address_score"))
+
+
+@query("many_headers", f"SELECT row_id::VARCHAR AS row_id, company_name, trim(regexp_replace(city, '\\s+', ' ', 'g')) AS city, phone, trim(regexp_replace(address || ' ' || city, '\\s+', ' ', 'g')) AS address FROM {COMPANIES}")
+def many_headers(spark, d):
+    """Companies in 60 files, each with its own header and one of three delimiters, addresses over two lines; one scan."""
+    path = f"{shared_dir(spark)}/csv/{uuid.uuid4().hex}"
+    part = F.col("row_id") % 60
+    sep = F.element_at(F.array(*map(F.lit, ";\t,")), (part % 3 + 1).cast("int"))
+    line = lambda *cs: F.concat(*[x for c in cs for x in (sep, c)][1:]).alias("value")
+    cell = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    pick = lambda *names: F.element_at(F.array(*map(F.lit, names)), (F.floor(part / 3) % len(names) + 1).cast("int"))
+    c = role(spark, d, "companies").withColumn("address", F.concat("address", F.lit("\n"), "city"))
+    rows = c.select(part.alias("part"), F.col("row_id").alias("at"), line(F.col("row_id").cast("string"), *[cell(F.col(x)) for x in ("company_name", "city", "phone", "address")], F.lit("n")))
+    heads = c.select(part.alias("part")).distinct().withColumn("row_id", F.col("part"))
+    heads = heads.select("part", F.lit(-1).cast("long").alias("at"), line(F.lit("row_id"), pick("company_name", "Ragione_Sociale", "NAME"), pick("city", "Comune"), pick("Phone", "telefono"), pick("Indirizzo", "address"), F.concat(F.lit("note "), F.col("part").cast("string"))))
+    rows.unionByName(heads).repartition("part").sortWithinPartitions("part", "at").select("part", "value").write.partitionBy("part").text(path)
+    fields = IO.read_csv_fields(spark, [f"{path}/part=*"])
+    return IO.unify_fields(fields, {"row_id": ["row_id"]} | IO.ALIASES).select("row_id", "company_name", "city", "phone", "address")

@@ -6,7 +6,9 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+
+from quarrystone.sources.records import file_name as file_name
+from quarrystone.sources.records import read_companies_csv, read_csv_fields, unify_fields
 
 # Names that a header is mapped to: exact ones, then by words it holds, in this order.
 EXACT = {"profile_url": "source_url", "website": "initial_website"}
@@ -46,38 +48,18 @@ def map_headers(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(*[filled(c) for c in cs]).alias(n) for n, cs in groups.items()])
 
 
-def file_name() -> Column:
-    """The name of a row's file; the hidden column gives it as in a URL."""
-    name = F.col("_metadata.file_name")
-    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
-
-
-def _headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, header) of every file: the first line of each, found by its offset in the file."""
-    lines = spark.read.format("text").option("wholetext", False).load(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
-    return lines.where("block = 0 and trim(value) <> ''").groupBy("path").agg(F.min_by("value", "n").alias("header"))
-
-
-def read_companies_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All strings, trimmed, with ``source_file``. Files are read together by header, which fixes the delimiter and columns;
-    only the distinct headers come to the driver, with the names of their files."""
-    out = None
-    for header, files in [(r.header, r.files) for r in _headers(spark, paths).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("files")).orderBy("header").collect()]:
-        sep = delimiter(header)
-        names = [x.strip().strip('"').lstrip("\ufeff") for x in header.split(sep)]
-        schema = StructType([StructField(n or f"_c{i}", StringType()) for i, n in enumerate(names)])
-        part = spark.read.schema(schema).csv(files, sep=sep, header=True, mode="PERMISSIVE", multiLine=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, enforceSchema=True)
-        part = part.withColumn("source_file", file_name())
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
-
-
 def read_campaign_dir(spark: SparkSession, dirs: list[str]) -> DataFrame:
     """All CSV files of some folders but consolidated ones, columns united."""
     out = read_companies_csv(spark, [f"{d}/*.csv" for d in dirs])
     return out.where(~F.col("source_file").startswith("MASTER_CONSOLIDATED"))
 
 
+def unify_campaign_dir(spark: SparkSession, dirs: list[str]) -> DataFrame:
+    """Canonical columns of all CSV files of some folders but consolidated ones, in one scan whatever the number of headers."""
+    rows = read_csv_fields(spark, [f"{d}/*.csv" for d in dirs]).where(~F.col("source_file").startswith("MASTER_CONSOLIDATED"))
+    return unify_fields(rows, ALIASES).withColumn("country", F.coalesce("country", F.lit("IT")))
+
+
 def flag_invalid_rows(df: DataFrame, row_id: str = "row_id", name: str = "company_name") -> DataFrame:
     """Rows without a name are kept, named invalid_row_<n>, with an error."""
     bad = F.length(F.trim(F.coalesce(name, F.lit("")))) == 0
