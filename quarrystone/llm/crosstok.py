@@ -117,8 +117,9 @@ def _codec(a_path: str, ranks_path: str | None, b_path: str) -> Codec:
     return Codec(a_path, ranks_path, b_path)
 
 
-#: A's and B's ids between two anchors, as four bytes each: tuples that are small and quickly compared.
-Window = tuple[bytes, bytes]
+#: A's and B's ids between two anchors, as four bytes each, the first of B's with MARK: tuples that are small and quickly compared.
+Window = bytes
+MARK = 1 << 31
 
 
 class Aligner:
@@ -144,13 +145,22 @@ class Aligner:
         i = np.flatnonzero(ends_b[at] == ends_a)  # the A tokens that end where one of B does
         j = at[i]
         anchors = np.append(self.codec.space_a[ids_a[i[:-1] + 1]] & self.codec.space_b[ids_b[j[:-1] + 1]], True)
-        cut_a, cut_b = (4 * i[anchors] + 4).tolist(), (4 * j[anchors] + 4).tolist()
-        a, b = ids_a.tobytes(), ids_b.tobytes()
-        return [(a[s:e], b[t:f]) for s, e, t, f in zip([0, *cut_a], cut_a, [0, *cut_b], cut_b, strict=False)]
+        cut_a, cut_b = i[anchors] + 1, j[anchors] + 1
+        first_b = np.append(0, cut_b[:-1])
+        ids = np.empty(len(ids_a) + len(ids_b), np.uint32)
+        ids[np.arange(len(ids_a)) + np.repeat(first_b, np.diff(cut_a, prepend=0))] = ids_a
+        ids[np.arange(len(ids_b)) + np.repeat(cut_a, np.diff(cut_b, prepend=0))] = ids_b
+        ids[first_b + cut_a] |= MARK
+        raw, cuts = ids.tobytes(), (4 * (cut_a + cut_b)).tolist()
+        return [raw[s:e] for s, e in zip([0, *cuts], cuts, strict=False)]
 
     def align(self, window: Window) -> int:
         """The place of a window that is not known yet: its groups as text, their number, its links as a * vocabulary of B + b."""
-        (a, b), width, text_a, text_b = (memoryview(ids).cast("I") for ids in window), len(self.text_b), self.text_a, self.text_b
+        ids, k = memoryview(window).cast("I").tolist(), 1
+        while ids[k] < MARK:
+            k += 1
+        a, b = ids[:k], [ids[k] - MARK, *ids[k + 1 :]]
+        width, text_a, text_b = len(self.text_b), self.text_a, self.text_b
         x, y, i, j = a[0], b[0], 0, 0
         links, parts, n_groups = self.links, [], 1
         links.append(x * width + y)
@@ -196,9 +206,11 @@ class Aligner:
         for k, (a, b) in enumerate(encoded):
             if len(self.memo) > self.most:
                 self.forget()
-            known = self.memo.get
-            places = [self.align(w) if (p := known(w)) is None else p for w in self.windows(a, b)]
-            texts.append(";".join([self.texts[p] for p in places]))
+            windows, known = self.windows(a, b), self.memo.get
+            places = list(map(known, windows))
+            if None in places:
+                places = [p if p is not None else self.align(w) if (q := known(w)) is None else q for p, w in zip(places, windows, strict=True)]
+            texts.append(";".join(map(self.texts.__getitem__, places)))
             digest.update(((";" if k else "") + texts[-1]).encode())
             places = np.array(places)
             n_groups += int(np.frombuffer(self.groups, np.int64)[places].sum())
