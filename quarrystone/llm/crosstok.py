@@ -25,7 +25,7 @@ A_RANKS = "byte_bpe_50k.tiktoken"
 A_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 B_FILE = "piece_bpe_32k.model"
 #: Windows whose alignment a task keeps; it starts anew beyond.
-MEMO = 1 << 18
+MEMO = 1 << 19
 #: Characters that are encoded at once, and from which on a text is encoded in pieces.
 TOGETHER = 200_000
 #: Pairs that a task holds the counts of: those with over 1 / HEAD of all links, so fewer than HEAD whatever the data.
@@ -65,6 +65,10 @@ def _spell(ids: np.ndarray, spelling: tuple[np.ndarray, np.ndarray, np.ndarray],
     return bool((flat[np.repeat(starts[ids] - n.cumsum() + n, n) + np.arange(len(raw))] == raw).all())
 
 
+def _ids(found: list[int]) -> np.ndarray:
+    return np.frombuffer(array("I", found), np.uint32)
+
+
 class Codec:
     """Both tokenizers and what each of their ids stands for in bytes."""
 
@@ -100,14 +104,14 @@ class Codec:
 
     def ids_a(self, text: str) -> np.ndarray:
         if self.fast and _SETTLED.fullmatch(text):
-            return np.array(self.fast.encode_ordinary(text), np.uint32)
-        return np.array(self.a.encode(text, add_special_tokens=False).ids, np.uint32)
+            return _ids(self.fast.encode_ordinary(text))
+        return _ids(self.a.encode(text, add_special_tokens=False).ids)
 
     def encode(self, pieces: list[str]) -> list[Encoded | None]:
         """Ids of each piece; None where their joined bytes are not a space and the piece."""
         out = []
         for piece, b in zip(pieces, self.b.encode(pieces, num_threads=1), strict=True):
-            raw, a, b = np.frombuffer(b" " + piece.encode(), np.uint8), self.ids_a(" " + piece), np.array(b, np.uint32)
+            raw, a, b = np.frombuffer(b" " + piece.encode(), np.uint8), self.ids_a(" " + piece), _ids(b)
             out.append((a, b) if _spell(a, self.spelling_a, raw) and _spell(b, self.spelling_b, raw) else None)
         return out
 
