@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarrystone.functions.contacts import canonical_url, extract_vats, host_suffixes, phones_match
 from quarrystone.functions.names import clean_company_name, fold_text, name_tokens, name_variants
 from quarrystone.functions.similarity import tokens_coverage
-from quarrystone.session import materialize
+from quarrystone.session import broadcast_if_small, materialize
 
 
 def pending(companies: DataFrame, results: DataFrame, key: str = "company_id", limit: int | None = None) -> DataFrame:
@@ -126,21 +126,59 @@ def pages_by_vat(pages: DataFrame, companies: DataFrame, text: str = "text") ->
     return shown.join(companies.select("company_id", F.regexp_replace("vat", "[^0-9]", "").alias("vat")).where("vat <> ''"), "vat").select("page_id", "company_id").distinct()
 
 
-def match_category(queries: DataFrame, taxonomy: DataFrame, query: str = "query") -> DataFrame:
-    """Categories that hold the query or are held by it, whatever the case. The taxonomy is a small table by nature and is
-    checked to be: over 10000 rows it is refused."""
-    if taxonomy.limit(10_001).count() > 10_000:
-        raise ValueError("a taxonomy of over 10000 categories")
+def _grams(c: Column) -> Column:
+    """The different runs of three characters."""
+    n = F.length(c) - 2
+    return F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(c, i, F.lit(3))))).otherwise(F.array().cast("array<string>"))
+
+
+def _holding(texts: DataFrame, parts: DataFrame) -> DataFrame:
+    """(t, s) for every text ``t`` and part ``s`` that it holds; both are different ones. A part's key is the one of its runs
+    of three characters that the fewest texts have; a shorter part is a key itself, looked up among a text's runs that short."""
+    t, s = F.col("t"), F.col("s")
+    posted = texts.select("t", F.explode(_grams(t)).alias("key"))
+    counts = posted.groupBy("key").agg(F.count("*").alias("n"))
+    rare = parts.select("s", F.explode(_grams(s)).alias("key")).join(counts, "key").groupBy("s").agg(F.min_by("key", F.struct("n", "key")).alias("key"))
+    long = posted.join(rare, "key").where(F.contains(t, s)).select("t", "s")
+    runs = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) + 1 - k, F.lit(1))), lambda i: F.substring(t, i, F.lit(k)))
+    short = texts.select("t", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), runs(1), runs(2)))).alias("s"))
+    return long.unionByName(short.join(parts.where(F.length(s) < 3), "s").where(F.contains(t, s)).select("t", "s"))
+
+
+def _either_way(q: DataFrame, c: DataFrame) -> DataFrame:
+    """(q, c) where one of two different texts holds the other."""
+    there = _holding(q.select(F.col("q").alias("t")), c.select(F.col("c").alias("s"))).select(F.col("t").alias("q"), F.col("s").alias("c"))
+    back = _holding(c.select(F.col("c").alias("t")), q.select(F.col("q").alias("s"))).select(F.col("s").alias("q"), F.col("t").alias("c"))
+    return there.unionByName(back).distinct()
+
+
+def match_category(queries: DataFrame, taxonomy: DataFrame, query: str = "query", small: int = 10_000) -> DataFrame:
+    """Categories that hold the query or are held by it, whatever the case; null on either side matches nothing.
+
+    A taxonomy of up to ``small`` rows, counted, is broadcast. Beyond, different texts meet by the rarest three characters of
+    the shorter one, and rows are joined back by text."""
     q, c = F.lower(F.col(query)), F.lower(F.col("category"))
-    return queries.join(F.broadcast(taxonomy), F.contains(q, c) | F.contains(c, q))
+    if taxonomy.limit(small + 1).count() <= small:
+        return queries.join(F.broadcast(taxonomy), F.contains(q, c) | F.contains(c, q))
+    some = lambda df, x, n: materialize(df.select(x.alias(n)).where(f"{n} is not null").distinct())
+    pairs = materialize(_either_way(some(queries, q, "q"), some(taxonomy, c, "c")))
+    out = queries.withColumn("_q", q).join(pairs.select(F.col("q").alias("_q"), F.col("c").alias("_c")), "_q")
+    return out.join(taxonomy.withColumn("_c", c), "_c").drop("_q", "_c")
 
 
-def sector_suffixes(companies: DataFrame, sectors: DataFrame, category: str = "category") -> DataFrame:
+def sector_suffixes(companies: DataFrame, sectors: DataFrame, category: str = "category", small: int = 10_000) -> DataFrame:
     """Per company the suffixes of the first sector, in table order, that equals its category or shares four characters and
-    more with it either way; exact ones first."""
-    if sectors.limit(10_001).count() > 10_000:
-        raise ValueError("a sector table of over 10000 rows")
+    more with it either way; exact ones first. Sectors beyond ``small`` rows are found as in ``match_category``, once for each
+    different category."""
     c, s = F.lower(F.col(category)), F.lower(F.col("sector"))
+    if sectors.limit(small + 1).count() > small:
+        long = lambda df, x, n: materialize(df.select(x.alias(n)).where(F.col(n).isNotNull()).distinct())
+        q, t = long(companies, c, "q"), long(sectors, s, "c")
+        near = _either_way(q.where("length(q) >= 4"), t.where("length(c) >= 4")).unionByName(q.join(t, q["q"] == t["c"])).distinct()
+        rows = near.join(sectors.select(s.alias("c"), F.struct(*sectors.columns).alias("_s"), F.col("pos").alias("_p")), "c")
+        best = materialize(rows.groupBy("q").agg(F.min_by("_s", F.struct(F.col("q") != F.col("c"), "_p")).alias("_s")))
+        out = companies.withColumn("_q", c).join(broadcast_if_small(best.withColumnRenamed("q", "_q")), "_q")
+        return out.select(*companies.columns, *[F.col(f"_s.{x}").alias(x) for x in sectors.columns])
     near = (F.length(c) >= 4) & (F.length(s) >= 4) & (F.contains(c, s) | F.contains(s, c))
     hit = companies.join(F.broadcast(sectors), (c == s) | near)
     w = Window.partitionBy("row_id").orderBy((c == s).desc(), "pos")
