@@ -46,7 +46,9 @@ PROVINCE_NAMES = {
     "TA": "Taranto", "TE": "Teramo", "TR": "Terni", "TO": "Torino", "TP": "Trapani", "TN": "Trento", "TV": "Treviso", "TS": "Trieste", "UD": "Udine", "VA": "Varese",
     "VE": "Venezia", "VB": "Verbano-Cusio-Ossola", "VC": "Vercelli", "VR": "Verona", "VV": "Vibo Valentia", "VI": "Vicenza", "VT": "Viterbo",
 }
-PROVINCES = list(PROVINCE_NAMES)
+# Provinces that are no more, still found in records.
+FORMER_PROVINCES = {"CI": "Carbonia-Iglesias", "VS": "Medio Campidano", "OG": "Ogliastra", "OT": "Olbia-Tempio"}
+PROVINCES = [*PROVINCE_NAMES, *FORMER_PROVINCES]
 # Legal endings of a name, in the order they are tried.
 SUFFIXES = [("srls", r"s\.?r\.?l\.?s\.?"), ("srl", r"s\.?r\.?l\.?"), ("spa", r"s\.?p\.?a\.?"), ("snc", r"s\.?n\.?c\.?"), ("sas", r"s\.?a\.?s\.?"), ("ss", r"s\.?s\.?")]
 
@@ -149,13 +151,19 @@ def _looked_up(pairs: dict[str, str], c: Column) -> Column:
 def province_code(c: Column) -> Column:
     """Code of a province given by code or name, whatever the case; anything else upper."""
     bare = F.trim(c)
-    named = _looked_up({n.lower(): k for k, n in PROVINCE_NAMES.items()}, F.lower(bare))
+    named = _looked_up({n.lower(): k for k, n in (PROVINCE_NAMES | FORMER_PROVINCES).items()}, F.lower(bare))
     return F.when(F.upper(bare).isin(PROVINCES), F.upper(bare)).otherwise(F.coalesce(named, F.upper(bare)))
 
 
 def province_name(c: Column) -> Column:
     """Name of a province given by code or name; null for any other."""
-    return _looked_up(PROVINCE_NAMES, province_code(c))
+    return _looked_up(PROVINCE_NAMES | FORMER_PROVINCES, province_code(c))
+
+
+def province_current(c: Column) -> Column:
+    """Whether a province given by code or name is one today; null if it never was."""
+    code = province_code(c)
+    return F.when(code.isin([*PROVINCE_NAMES]), True).when(code.isin([*FORMER_PROVINCES]), False)
 
 
 def normalize_cap(c: Column) -> Column:

@@ -14,7 +14,7 @@ from quarrystone.plans import queries
 DATA = "/root/testdata/sf0.001"
 REPO = Path(__file__).resolve().parent.parent
 TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
-CHOSEN = ["names", "contacts", "urls", "classify_blocks", "lead_scores", "consolidate_campaigns", "merge_by_trust", "dedup_cascade", "fuzzy_dedup", "phone_frequency", "decide", "waterfall", "registry_lookup", "health_snapshot", "block_profile", "search_frontier", "query_forms", "reason_codes", "provinces", "clean_inputs", "match_phones", "profile_and_balance", "union_candidates", "cooldown", "circuit_breaker", "running_totals", "sql_functions", "sql_guesses", "stream_running_totals", "stream_failure_runs", "stream_campaigns", "stream_cooldown", "stream_breaker", "stream_ledger", "registry_fuzzy", "sql_candidates", "upsert_table", "stream_late_counts", "stream_cooldown_late", "campaign_dir", "search_json", "figures", "content_checks", "extract_contacts", "by_province", "results_csv", "exported_leads", "serp_rows", "listing_rows", "labelled_fields", "best_listing", "distinct_rollup", "many_headers", "csv_round_trip"]
+CHOSEN = ["names", "contacts", "urls", "classify_blocks", "lead_scores", "consolidate_campaigns", "merge_by_trust", "dedup_cascade", "fuzzy_dedup", "phone_frequency", "decide", "waterfall", "registry_lookup", "health_snapshot", "block_profile", "search_frontier", "query_forms", "reason_codes", "provinces", "clean_inputs", "match_phones", "profile_and_balance", "union_candidates", "cooldown", "circuit_breaker", "running_totals", "sql_functions", "sql_guesses", "stream_running_totals", "stream_failure_runs", "stream_campaigns", "stream_cooldown", "stream_breaker", "stream_ledger", "registry_fuzzy", "sql_candidates", "upsert_table", "stream_late_counts", "stream_cooldown_late", "campaign_dir", "search_json", "figures", "content_checks", "extract_contacts", "by_province", "results_csv", "exported_leads", "serp_rows", "listing_rows", "labelled_fields", "best_listing", "distinct_rollup", "many_headers", "csv_round_trip", "province_flags", "match_category", "sector_suffixes"]
 
 
 def as_rows(names, rows):
