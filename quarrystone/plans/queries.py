@@ -1339,7 +1339,7 @@ def results_csv(spark, d):
     path = f"{shared_dir(spark)}/csv/{uuid.uuid4().hex}"
     nested = F.struct("city", F.array("category", F.lit("x, y")).alias("tags"))
     IO.write_results_csv(role(spark, d, "companies").select("row_id", nested.alias("evidence"), "company_name"), path)
-    return spark.read.option("header", True).csv(path)
+    return spark.read.options(**IO.CSV).csv(path)
 
 
 @query("by_province", f"SELECT row_id::VARCHAR AS row_id, company_name, coalesce(province, 'unknown') AS folder, n.n FROM {COMPANIES}, (SELECT count(*) AS n FROM customer) n")
@@ -1347,8 +1347,8 @@ def by_province(spark, d):
     """A folder for each province, and all rows beside it."""
     path = f"{shared_dir(spark)}/csv/{uuid.uuid4().hex}"
     IO.write_by_province(role(spark, d, "companies"), path, ["row_id", "company_name", "province"])
-    parts = spark.read.option("header", True).csv(f"{path}/by_province").select("row_id", "company_name", F.col("province_part").alias("folder"))
-    return parts.crossJoin(spark.read.option("header", True).csv(f"{path}/all").agg(F.count("*").alias("n")))
+    parts = spark.read.options(**IO.CSV).csv(f"{path}/by_province").select("row_id", "company_name", F.col("province_part").alias("folder"))
+    return parts.crossJoin(spark.read.options(**IO.CSV).csv(f"{path}/all").agg(F.count("*").alias("n")))
 
 
 _segment = "CASE row_id % 4 WHEN 0 THEN 'HOT' WHEN 1 THEN 'WARM' WHEN 2 THEN 'COLD' ELSE 'DEAD' END"
@@ -1371,7 +1371,7 @@ def exported_segments(spark, d):
     """A folder for each segment; the one without rows does not come to be."""
     path = f"{shared_dir(spark)}/csv/{uuid.uuid4().hex}"
     IO.export_segmented(_graded(spark, d).where("category <> 'COLD'").select("row_id", "company_name", "category"), path)
-    return spark.read.option("header", True).csv(path).groupBy("segment").agg(F.count("*").alias("n"), F.min(F.col("row_id").cast("long")).alias("first_row"))
+    return spark.read.options(**IO.CSV).csv(path).groupBy("segment").agg(F.count("*").alias("n"), F.min(F.col("row_id").cast("long")).alias("first_row"))
 
 
 @query("pending_limit", f"SELECT company_id FROM {COMPANIES} WHERE company_id NOT IN (SELECT user_id::VARCHAR FROM events) ORDER BY company_id LIMIT 50")

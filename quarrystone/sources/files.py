@@ -21,6 +21,8 @@ ALIASES = {
     "phone": ["phone", "telefono"], "address": ["address", "indirizzo"], "email": ["email"], "province": ["province", "provincia"], "category": ["category", "categoria"], "country": ["country"],
 }
 LEDGER = "timestamp timestamp, module string, provider string, tier int, task_type string, cost_eur double, tokens_used long, cache_hit boolean, cache_level string, duration_ms long, success boolean, error string, company_id string"
+#: How files are written: with a header, quotes doubled, as ``read_companies_csv`` takes them.
+CSV = {"header": True, "escape": '"'}
 RETRY_COLUMNS = ["company_name", "city", "province", "address", "phone", "website", "category", "vat", "email"]
 
 
@@ -115,14 +117,14 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def write_results_csv(df: DataFrame, path: str) -> None:
-    flat(df).write.option("header", True).csv(path)
+    flat(df).write.options(**CSV).csv(path)
 
 
 def write_named_csv(df: DataFrame, path: str, **options) -> None:
     """One CSV file of just this name, for a table that one task can write: written beside it, then renamed."""
     spark, (folder, _, name) = df.sparkSession, path.rpartition("/")
     part = f"{folder}/_{name}"
-    flat(df).coalesce(1).write.options(header=True, **options).csv(part)
+    flat(df).coalesce(1).write.options(**CSV, **options).csv(part)
     at = spark._jvm.org.apache.hadoop.fs.Path(part)
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
     found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{part}/part-*.csv"))
@@ -133,8 +135,8 @@ def write_named_csv(df: DataFrame, path: str, **options) -> None:
 def write_by_province(df: DataFrame, path: str, columns: list[str]) -> None:
     """One folder per province ('unknown' for null) below ``path``/by_province, and all rows in ``path``/all."""
     rows = df.select(*columns, F.coalesce(F.nullif("province", F.lit("")), F.lit("unknown")).alias("province_part"))
-    rows.write.option("header", True).partitionBy("province_part").csv(f"{path}/by_province")
-    df.select(*columns).write.option("header", True).csv(f"{path}/all")
+    rows.write.options(**CSV).partitionBy("province_part").csv(f"{path}/by_province")
+    df.select(*columns).write.options(**CSV).csv(f"{path}/all")
 
 
 def select_leads(df: DataFrame, min_score: float = 0, categories: list[str] | None = None, fields: list[str] | None = None, sort_by: str = "total") -> DataFrame:
@@ -145,12 +147,12 @@ def select_leads(df: DataFrame, min_score: float = 0, categories: list[str] | No
 
 
 def export_leads(df: DataFrame, path: str, fmt: str = "csv", **options) -> None:
-    flat(select_leads(df, **options)).write.option("header", True).format(fmt).save(path)
+    flat(select_leads(df, **options)).write.options(**CSV).format(fmt).save(path)
 
 
 def export_segmented(df: DataFrame, path: str) -> None:
     """One folder per category; those without rows don't come to be."""
-    flat(df.withColumn("segment", F.col("category"))).write.option("header", True).partitionBy("segment").csv(path)
+    flat(df.withColumn("segment", F.col("category"))).write.options(**CSV).partitionBy("segment").csv(path)
 
 
 def parse_search_json(df: DataFrame, text: str = "body", key: str = "page_id") -> DataFrame:

@@ -85,3 +85,9 @@ def test_many_headers_make_one_plan(spark, tmp_path):
     assert scans(got) == scans(files.unify_campaign_dir(spark, [str(tmp_path / "one")])) <= 3
     wide = files.read_campaign_dir(spark, [str(tmp_path)])
     assert len(wide.columns) == 300 + 3 + 3 + 1 and wide.count() == 300
+
+
+def test_written_files_are_read_again(spark, tmp_path):
+    rows = [("1", 'il "Faro"'), ("2", '"'), ("3", "a\nb, \"c\""), ("4", "back\\slash"), ("5", None)]
+    files.write_results_csv(spark.createDataFrame(rows, "row_id string, name string"), str(tmp_path / "out"))
+    assert {(r.row_id, r.name) for r in files.read_companies_csv(spark, [f"{tmp_path}/out/*.csv"]).collect()} == set(rows)
