@@ -196,6 +196,28 @@ def test_url_verdicts_match_brute_force(spark):
     assert worth(model.threshold) == best and all((r.log_ratio >= model.threshold) == (r.verdict == "allow") for r in got.values() if r.rule is None)
 
 
+def test_url_model_counts_all_labelled(spark):
+    """By default every labelled URL is counted or held out, those of over 2000 characters too; held or joined steps agree."""
+    rng = random.Random(19)
+    word = lambda letters: prose(rng, 1, letters)
+    pages = [(i, f"https://{word('abcd')}.com/{word('abef')}") for i in range(60)] + [(100 + i, f"http://{word('xyz')}.net/es/{word('xqz')}?{i}") for i in range(60)]
+    pages += [(200 + i, f"https://long{i}.com/" + "".join(rng.choice("jkv") for _ in range(2400))) for i in range(6)]
+    pages += [(300 + i, f"https://{word('jkvxyz')}.org/{word('abjk')}") for i in range(30)] + [(400, None), (401, pages[0][1])]
+    d = spark.createDataFrame(pages, "page_id long, url string")
+    got = {r.page_id: r for r in urls.filter_urls(d).collect()}
+    held = {r.url for r in d.where(F.pmod(F.xxhash64("url"), F.lit(urls.HELD_OUT)) == 0).collect()}
+    of = lambda verdict, out: sorted({u for i, u in pages if u and got[i].rule and got[i].verdict == verdict and (u in held) == out})
+    plain = urls.UrlRatio([], [])
+    plain.yes, plain.no = urls.MarkovModel(of("allow", False)), urls.MarkovModel(of("block", False))
+    threshold = plain._calibrated(*([plain.score(u) for u in of(v, True)] for v in ("allow", "block")))
+    assert any(len(u) > 2000 for u in of("allow", False)) and of("allow", True) and of("block", True)
+    for i, u in pages:
+        if got[i].rule is None:
+            assert abs(got[i].log_ratio - plain.score(u or "")) < 1e-9 and (got[i].log_ratio >= threshold) == (got[i].verdict == "allow")
+    for head in (1, 30):
+        assert {r.page_id: r for r in urls.filter_urls(d, head=head).collect()} == got
+
+
 def test_url_model_held_out():
     rng = random.Random(7)
     good = [f"https://{prose(rng, 1, 'aeiou')}.org/wiki/{rng.randrange(999)}" for _ in range(300)]
