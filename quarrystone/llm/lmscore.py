@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -69,12 +70,17 @@ def words_of(text: str | None) -> Iterator[list[bytes]]:
 def _added(rows: np.ndarray, at: np.ndarray, d: np.ndarray, rate: float) -> None:
     """rows[at] -= rate * the mean of d over equal ``at`` (below 2**16), less for those with few. ``d`` goes for each stretch of
     ``at`` that has its length."""
-    order = np.argsort(at.astype(np.uint16), kind="stable")
-    at = at[order]
-    last = np.flatnonzero(np.append(at[1:] != at[:-1], True)[: len(at)])
-    sums = np.cumsum(d[order % len(d)], axis=0, dtype=np.float64)[last]
-    sums[1:] -= sums[:-1].copy()
-    rows[at[last]] -= sums * (rate / (np.diff(last, prepend=-1) + CALM))[:, None]
+    at = at.astype(np.uint16)
+    order = np.argsort(at, kind="stable")
+    at = at.take(order)
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1])[: len(at)])
+    if not len(first):
+        return
+    # Two floats are summed as one complex number, in half the steps.
+    sums = np.add.reduceat(d.take(order, axis=0, mode="wrap").view(np.result_type(d, np.complex64)), first, axis=0).view(d.dtype)
+    sums *= (rate / (np.diff(first, append=len(at)) + CALM)).astype(d.dtype)[:, None]
+    at = at.take(first).astype(np.intp)
+    rows[at] = rows.take(at, axis=0) - sums
 
 
 @dataclass
@@ -111,35 +117,40 @@ class Weights:
         return new
 
     def hidden(self, near: np.ndarray) -> np.ndarray:
-        h = self.v[near[0]]
+        h = self.v.take(near[0], axis=0)
         for rows in near[1:]:
-            h += self.v[rows]
+            h += self.v.take(rows, axis=0)
         h += self.b
-        h /= 1 + np.abs(h)
+        size = np.abs(h)
+        size += 1
+        h /= size
         return h
 
     def class_log_p(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
-        z = h @ self.w
-        z += self.c
-        z -= z.max(axis=1, keepdims=True)
-        at = z[np.arange(len(target)), target]
-        return at - np.log(np.exp(z, out=z).sum(axis=1))
+        z = self.w.T @ h.T  # classes x words: sums over classes are sums of rows
+        z += self.c[:, None]
+        z -= z.max(axis=0)
+        at = z[target, np.arange(len(target))]
+        return at - np.log(np.exp(z, out=z).sum(axis=0))
 
     def log_p(self, near: np.ndarray, entries: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
         """log p of the words, given the rows of ``v`` of those around them."""
         h = self.hidden(near)
-        out = self.class_log_p(h, vocabulary.classes[entries])
+        out = self.class_log_p(h, vocabulary.classes.take(entries))
         # The deepest words first, so that every level of their trees is a stretch.
-        depth = vocabulary.depth[entries]
+        depth = vocabulary.depth.take(entries)
         order = np.argsort((depth.max(initial=0) - depth).astype(np.uint8), kind="stable")
-        h, entries, upto = h[order], entries[order], np.cumsum(np.bincount(depth, minlength=1)[::-1])[::-1]
+        h, entries, upto = h.take(order, axis=0), entries.take(order), np.cumsum(np.bincount(depth, minlength=1)[::-1])[::-1]
         p = np.ones(len(entries))
         for level in range(1, len(upto)):
             e = entries[: upto[level]]
-            way = vocabulary.way[level - 1][e]
-            x = np.einsum("ij,ij->i", h[: upto[level]], self.u[way >> 1])
-            x += vocabulary.odds[level - 1][e]
-            p[: upto[level]] *= 1 / (1 + np.exp(np.where(way & 1, -x, x)))
+            way = vocabulary.way[level - 1].take(e)
+            x = np.einsum("ij,ij->i", h[: upto[level]], self.u.take(way >> 1, axis=0))
+            x += vocabulary.odds[level - 1].take(e)
+            x *= 1 - 2 * (way & 1)
+            np.exp(x, out=x)
+            x += 1
+            p[: upto[level]] /= x
         out[order] += np.log(p)
         return out
 
@@ -150,16 +161,17 @@ class Weights:
         """
         n = len(target)
         h = self.hidden(near)
-        z = h @ self.w
-        z += self.c
-        z -= z.max(axis=1, keepdims=True)
+        z = self.w.T @ h.T
+        z += self.c[:, None]
+        z -= z.max(axis=0)
         d = np.exp(z, out=z)
-        d /= d.sum(axis=1, keepdims=True)
-        d[np.arange(n), target] -= 1
+        d /= d.sum(axis=0)
+        d[target, np.arange(n)] -= 1
+        d = d.T
         dh = d @ self.w.T
         du = np.empty((len(node), n, HIDDEN), np.float32)
         for j in range(len(node)):
-            un = self.u[node[j]]
+            un = self.u.take(node[j], axis=0)
             dx = (-sign[j] * weight[j] / (1 + np.exp(sign[j] * (odds[j] + np.einsum("ij,ij->i", h, un)))))[:, None]
             np.multiply(dx, h, out=du[j])
             un *= dx
@@ -237,11 +249,11 @@ class Vocabulary:
         """Codes of the words, and the words that have no entry."""
         get, codes, rest = self.entries.get, [np.empty(0, dtype=np.uint16)], []
         for words in words_of(text):
-            ids = np.fromiter((get(w, -1) for w in words), dtype=np.int32, count=len(words))
+            ids = np.fromiter(map(get, words, repeat(-1)), dtype=np.int32, count=len(words))
             rare = np.flatnonzero(ids < 0)
             if len(rare):
                 found = [words[i] for i in rare.tolist()]
-                ids[rare] = np.fromiter((zlib.crc32(w) % SHARED for w in found), dtype=np.int32, count=len(found)) + VOCABULARY
+                ids[rare] = np.fromiter(map(zlib.crc32, found), dtype=np.uint32, count=len(found)) % SHARED + VOCABULARY
                 rest += found
             codes.append(ids.astype(np.uint16))
         return np.concatenate(codes), rest
@@ -252,16 +264,16 @@ class Vocabulary:
 
     def rows_of(self, codes: np.ndarray) -> np.ndarray:
         codes, own = codes.astype(np.int32), np.append(self.rows, 0)
-        return np.where(codes < VOCABULARY, own[np.minimum(codes, len(self.rows))], OWN + codes - VOCABULARY).astype(np.int32)
+        return np.where(codes < VOCABULARY, own.take(np.minimum(codes, len(self.rows))), OWN + codes - VOCABULARY).astype(np.int32)
 
     def drawn(self, entries: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, ...]:
         """``DRAWN`` nodes of each word's path by chance: nodes, signs, log odds, weights."""
-        depth = self.depth[entries]
+        depth = self.depth.take(entries)
         if not len(self.way):
             return (np.empty((0, len(entries)), np.int32),) * 4
         at = (rng.random((DRAWN, len(entries)), dtype=np.float32) * depth).astype(np.int64) * self.way.shape[1] + entries
-        way, weight = self.way.ravel()[at], np.broadcast_to((depth / DRAWN).astype(np.float32), at.shape)
-        return way >> 1, ((way & 1) * 2 - 1).astype(np.float32), self.odds.ravel()[at], weight
+        way, weight = self.way.ravel().take(at), np.broadcast_to((depth / DRAWN).astype(np.float32), at.shape)
+        return way >> 1, ((way & 1) * 2 - 1).astype(np.float32), self.odds.ravel().take(at), weight
 
 
 def _near(codes: list[np.ndarray], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -271,7 +283,7 @@ def _near(codes: list[np.ndarray], vocabulary: Vocabulary) -> tuple[np.ndarray,
     places = np.arange(len(joined)) + np.repeat(np.arange(1, len(codes) + 1) * PAD, sizes)
     line = np.full(len(joined) + (len(codes) + 1) * PAD, ROWS - 1, dtype=np.int32)
     line[places] = vocabulary.rows_of(joined)
-    return vocabulary.entries_of(joined), np.stack([line[places + o] + j * ROWS for j, o in enumerate(OFFSETS)])
+    return vocabulary.entries_of(joined), np.stack([line.take(places + o) + j * ROWS for j, o in enumerate(OFFSETS)])
 
 
 def score_codes(codes: list[np.ndarray], vocabulary: Vocabulary, weights: Weights) -> np.ndarray:
@@ -281,7 +293,7 @@ def score_codes(codes: list[np.ndarray], vocabulary: Vocabulary, weights: Weight
     sums = np.zeros(len(codes))
     for at in range(0, len(entries), SLICE):
         e = entries[at : at + SLICE]
-        sums += np.bincount(owner[at : at + SLICE], weights=weights.log_p(near[:, at : at + SLICE], e, vocabulary) + vocabulary.base[e], minlength=len(codes))
+        sums += np.bincount(owner[at : at + SLICE], weights=weights.log_p(near[:, at : at + SLICE], e, vocabulary) + vocabulary.base.take(e), minlength=len(codes))
     return sums
 
 
@@ -290,7 +302,7 @@ def fit_codes(codes: list[np.ndarray], vocabulary: Vocabulary, weights: Weights,
     entries, near = _near(codes, vocabulary)
     for at in range(0, len(entries), BATCH):
         e = entries[at : at + BATCH]
-        weights.step(near[:, at : at + BATCH], vocabulary.classes[e], *vocabulary.drawn(e, rng), rate * len(e) / BATCH)
+        weights.step(near[:, at : at + BATCH], vocabulary.classes.take(e), *vocabulary.drawn(e, rng), rate * len(e) / BATCH)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -471,7 +483,7 @@ def score_documents(docs: DataFrame, text_col: str = "text", keep: list[str] | N
     kinds = T.StructType([rows.schema["_doc"], T.StructField("_row", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType())])
     rows = coded.select("_doc", "_row", "_codes").mapInArrow(scored, kinds)
     if vocabulary.rest:
-        found = coded.select("_row", F.explode("_rest").alias("_x")).select("_row", "_x.word", "_x.k").join(counts, "word")
+        found = coded.select("_row", F.explode("_rest").alias("_x")).select("_row", "_x.word", "_x.k").join(counts.where("n > 1"), "word")  # the log of 1 adds nothing
         # Whole billionths, so that equal texts have equal sums in whatever order.
         added = found.groupBy("_row").agg((F.sum(F.col("k") * F.round(F.log("n") * 1e9).cast("long")) / 1e9).alias("_added"))
         rows = rows.join(added, "_row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("_added", F.lit(0.0)))

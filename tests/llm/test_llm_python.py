@@ -218,6 +218,22 @@ def test_url_model_counts_all_labelled(spark):
         assert {r.page_id: r for r in urls.filter_urls(d, head=head).collect()} == got
 
 
+def test_gradients_are_added_by_row():
+    """Calmed means by row, for stretches of ``at`` and for none."""
+    rng = np.random.Generator(np.random.PCG64(3))
+    rows, d = (rng.standard_normal((n, lmscore.HIDDEN)).astype(np.float32) for n in (50, 200))
+    at = rng.integers(0, 50, 600)
+    want = rows.astype(np.float64)
+    for k in set(at.tolist()):
+        found = [d[i % 200] for i in np.flatnonzero(at == k)]
+        want[k] -= 0.5 * np.sum(found, axis=0, dtype=np.float64) / (len(found) + lmscore.CALM)
+    lmscore._added(rows, at, d, 0.5)
+    assert np.abs(rows - want).max() < 1e-5
+    before = rows.copy()
+    lmscore._added(rows, at[:0], d, 0.5)
+    assert (rows == before).all()
+
+
 def test_url_model_held_out():
     rng = random.Random(7)
     good = [f"https://{prose(rng, 1, 'aeiou')}.org/wiki/{rng.randrange(999)}" for _ in range(300)]
