@@ -21,8 +21,9 @@ ALIASES = {
     "phone": ["phone", "telefono"], "address": ["address", "indirizzo"], "email": ["email"], "province": ["province", "provincia"], "category": ["category", "categoria"], "country": ["country"],
 }
 LEDGER = "timestamp timestamp, module string, provider string, tier int, task_type string, cost_eur double, tokens_used long, cache_hit boolean, cache_level string, duration_ms long, success boolean, error string, company_id string"
-#: How files are written: with a header, quotes doubled, as ``read_companies_csv`` takes them.
-CSV = {"header": True, "escape": '"'}
+#: How files are written: with a header, quotes doubled, as ``read_companies_csv`` takes them; a value is not quoted only because
+#: quotes lie within it, so that readers with Spark's defaults take it as it is.
+CSV = {"header": True, "escape": '"', "escapeQuotes": False}
 RETRY_COLUMNS = ["company_name", "city", "province", "address", "phone", "website", "category", "vat", "email"]
 
 

@@ -91,3 +91,11 @@ def test_written_files_are_read_again(spark, tmp_path):
     rows = [("1", 'il "Faro"'), ("2", '"'), ("3", "a\nb, \"c\""), ("4", "back\\slash"), ("5", None)]
     files.write_results_csv(spark.createDataFrame(rows, "row_id string, name string"), str(tmp_path / "out"))
     assert {(r.row_id, r.name) for r in files.read_companies_csv(spark, [f"{tmp_path}/out/*.csv"]).collect()} == set(rows)
+
+
+def test_inner_quotes_read_with_defaults_too(spark, tmp_path):
+    """Quotes within a value do not quote it; those at its beginning, separators and line breaks do."""
+    rows = [("1", '["x"]'), ("2", '"a'), ("3", 'a,"b"'), ("4", '"a"b'), ("5", '"a\nb'), ("6", 'a""b'), ("7", '""')]
+    files.write_results_csv(spark.createDataFrame(rows, "row_id string, name string"), str(tmp_path / "out"))
+    assert {(r.row_id, r.name) for r in files.read_companies_csv(spark, [f"{tmp_path}/out/*.csv"]).collect()} == set(rows)
+    assert spark.read.option("header", True).csv(f"{tmp_path}/out").where("row_id = '1'").first().name == '["x"]'
