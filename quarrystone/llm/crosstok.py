@@ -59,10 +59,10 @@ def _spelling(entries: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 def _spell(ids: np.ndarray, spelling: tuple[np.ndarray, np.ndarray, np.ndarray], raw: np.ndarray) -> bool:
     """Whether the bytes of ``ids`` joined are ``raw``."""
     flat, starts, sizes = spelling
-    n = sizes[ids]
+    n = sizes.take(ids)
     if n.sum() != len(raw):
         return False
-    return bool((flat[np.repeat(starts[ids] - n.cumsum() + n, n) + np.arange(len(raw))] == raw).all())
+    return bool((flat.take(np.repeat(starts.take(ids) - n.cumsum() + n, n) + np.arange(len(raw))) == raw).all())
 
 
 def _ids(found: list[int]) -> np.ndarray:
@@ -134,6 +134,7 @@ class Aligner:
         self.len_a, self.len_b = ([len(t) for t in v] for v in (codec.bytes_a, codec.bytes_b))
         self.lengths = np.array(self.len_a), np.array(self.len_b)
         self.text_a, self.text_b = ([str(i) for i in range(len(v))] for v in (codec.bytes_a, codec.bytes_b))
+        self.more_a, self.more_b = (["," + t for t in texts] for texts in (self.text_a, self.text_b))
         self.forget()
 
     def forget(self) -> None:
@@ -144,11 +145,11 @@ class Aligner:
 
     def windows(self, ids_a: np.ndarray, ids_b: np.ndarray) -> list[Window]:
         """Id tuples between anchors: byte offsets at which tokens of both end and the next ones of both begin with a space."""
-        ends_a, ends_b = self.lengths[0][ids_a].cumsum(), self.lengths[1][ids_b].cumsum()
+        ends_a, ends_b = self.lengths[0].take(ids_a).cumsum(), self.lengths[1].take(ids_b).cumsum()
         at = np.searchsorted(ends_b, ends_a)
-        i = np.flatnonzero(ends_b[at] == ends_a)  # the A tokens that end where one of B does
-        j = at[i]
-        anchors = np.append(self.codec.space_a[ids_a[i[:-1] + 1]] & self.codec.space_b[ids_b[j[:-1] + 1]], True)
+        i = np.flatnonzero(ends_b.take(at) == ends_a)  # the A tokens that end where one of B does
+        j = at.take(i)
+        anchors = np.append(self.codec.space_a.take(ids_a.take(i[:-1] + 1)) & self.codec.space_b.take(ids_b.take(j[:-1] + 1)), True)
         cut_a, cut_b = i[anchors] + 1, j[anchors] + 1
         first_b = np.append(0, cut_b[:-1])
         ids = np.empty(len(ids_a) + len(ids_b), np.uint32)
@@ -165,32 +166,37 @@ class Aligner:
             k += 1
         a, b = ids[:k], [ids[k] - MARK, *ids[k + 1 :]]
         width, text_a, text_b = len(self.text_b), self.text_a, self.text_b
-        x, y, i, j = a[0], b[0], 0, 0
-        links, parts, n_groups = self.links, [], 1
+        x, y = a[0], b[0]
+        links, parts = self.links, []
         links.append(x * width + y)
         if len(a) == 1 or len(b) == 1:  # one group, in which all is linked
             links.extend([p * width + q for p in a for q in b][1:])
             return self._keep(window, f"{','.join([text_a[p] for p in a])}|{','.join([text_b[q] for q in b])}", 1)
-        of_a, of_b, left = text_a[x], text_b[y], self.len_a[x] - self.len_b[y]  # bytes that A's group is ahead
-        while i + 1 < len(a) or j + 1 < len(b):
-            together = not left
-            if together:
-                parts.append(f"{of_a}|{of_b}")
-                n_groups += 1
-            ahead = left
-            if ahead <= 0:
-                i += 1
-                x = a[i]
-                left += self.len_a[x]
-                of_a = text_a[x] if together else f"{of_a},{text_a[x]}"
-            if ahead >= 0:
-                j += 1
+        len_a, len_b, more_a, more_b, add = self.len_a, self.len_b, self.more_a, self.more_b, links.append
+        of_a, of_b, left, head, i, j = text_a[x], text_b[y], len_a[x] - len_b[y], x * width, 1, 1  # ``left``: bytes that A's group is ahead
+        while True:
+            if left > 0:
                 y = b[j]
-                left -= self.len_b[y]
-                of_b = text_b[y] if together else f"{of_b},{text_b[y]}"
-            links.append(x * width + y)
+                j += 1
+                left -= len_b[y]
+                of_b += more_b[y]
+            elif left:
+                x = a[i]
+                i += 1
+                head = x * width
+                left += len_a[x]
+                of_a += more_a[x]
+            elif i < k:
+                parts.append(f"{of_a}|{of_b}")
+                x, y = a[i], b[j]
+                i, j = i + 1, j + 1
+                head, left = x * width, len_a[x] - len_b[y]
+                of_a, of_b = text_a[x], text_b[y]
+            else:
+                break
+            add(head + y)
         parts.append(f"{of_a}|{of_b}")
-        return self._keep(window, ";".join(parts), n_groups)
+        return self._keep(window, ";".join(parts), len(parts))
 
     def _keep(self, window: Window, text: str, n_groups: int) -> int:
         self.texts.append(text)
@@ -201,8 +207,9 @@ class Aligner:
 
     def _links_of(self, places: np.ndarray) -> np.ndarray:
         links, starts = np.frombuffer(self.links, np.int64), np.frombuffer(self.starts, np.int64)
-        first, n = starts[places], starts[places + 1] - starts[places]
-        return links[np.arange(n.sum()) + np.repeat(first - n.cumsum() + n, n)]
+        first = starts.take(places)
+        n = starts.take(places + 1) - first
+        return links.take(np.arange(n.sum()) + np.repeat(first - n.cumsum() + n, n))
 
     def document(self, encoded: list[Encoded]) -> tuple[int, int, int, int, str, tuple[np.ndarray, np.ndarray], list[str]]:
         """(n_a, n_b, n_groups, n_links, digest, (links, how often each), windows as text) of a text's encoded pieces."""
@@ -213,11 +220,13 @@ class Aligner:
             windows, known = self.windows(a, b), self.memo.get
             places = list(map(known, windows))
             if None in places:
-                places = [p if p is not None else self.align(w) if (q := known(w)) is None else q for p, w in zip(places, windows, strict=True)]
+                for i in [i for i, p in enumerate(places) if p is None]:
+                    q = known(windows[i])
+                    places[i] = self.align(windows[i]) if q is None else q
             texts.append(";".join(map(self.texts.__getitem__, places)))
             digest.update(((";" if k else "") + texts[-1]).encode())
             places = np.array(places)
-            n_groups += int(np.frombuffer(self.groups, np.int64)[places].sum())
+            n_groups += int(np.frombuffer(self.groups, np.int64).take(places).sum())
             links.append(self._links_of(places))
         kinds, times = np.unique(np.concatenate(links), return_counts=True)
         return sum(len(a) for a, _ in encoded), sum(len(b) for _, b in encoded), n_groups, int(times.sum()), digest.hexdigest(), (kinds, times), texts
