@@ -1,4 +1,4 @@
-"""Alignment of two tokenizers' ids over the same texts, by windows between words that both mark."""
+"""Alignment of two tokenizers' ids over the same texts, by windows between spaces that no token of either crosses."""
 
 from __future__ import annotations
 
@@ -6,12 +6,14 @@ import gc
 import re
 from array import array
 from base64 import b64decode
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,14 +26,17 @@ A_FILE = "byte_bpe_50k.json"
 A_RANKS = "byte_bpe_50k.tiktoken"
 A_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 B_FILE = "piece_bpe_32k.model"
-#: Windows whose alignment a task keeps; it starts anew beyond.
+#: Windows that a task keeps with their alignment, of LINKS links each on average; it starts anew beyond.
 MEMO = 1 << 19
+LINKS = 8
 #: Characters that are encoded at once, and from which on a text is encoded in pieces.
 TOGETHER = 200_000
 #: Pairs that a task holds the counts of: those with over 1 / HEAD of all links, so fewer than HEAD whatever the data.
 HEAD = 1 << 19
-#: Between two ASCII letters or digits neither tokenizer has a token across the space (checked for both vocabularies).
-_WORD_SPACE = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+#: The spaces that end a window: neither tokenizer has a token across one that follows no blank (checked for both vocabularies). The
+#: two others have been blanks in some version of Unicode. A space at the text's end stays, as B puts none before an empty text.
+_WORD_SPACE = re.compile(r" (?<=[^\s\u180E\u200B] )(?!\Z)")
+_CROSSED = re.compile(r"[^\s\u180E\u200B] ")
 #: Texts that may go to the faster encoder of A's ranks: characters whose class (letter, digit, space, else) is the same in all
 #: versions of Unicode, and no run of 500, which its merging would take long for. All others are encoded from A's file itself.
 _SPACES = r"\x09-\x0D\x20"
@@ -46,8 +51,8 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-#: A's and B's ids of a text.
-Encoded = tuple[np.ndarray, np.ndarray]
+#: A's and B's ids of a window.
+Encoded = tuple[array, array]
 
 
 def _spelling(entries: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,17 +61,21 @@ def _spelling(entries: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.frombuffer(b"".join(entries), np.uint8), sizes.cumsum() - sizes, sizes
 
 
-def _spell(ids: np.ndarray, spelling: tuple[np.ndarray, np.ndarray, np.ndarray], raw: np.ndarray) -> bool:
-    """Whether the bytes of ``ids`` joined are ``raw``."""
+def _spelt(found: list[array], spelling: tuple[np.ndarray, np.ndarray, np.ndarray], raw: list[bytes]) -> np.ndarray:
+    """For each of ``found``, whether the bytes of its ids joined are those of ``raw``."""
     flat, starts, sizes = spelling
+    ids = np.frombuffer(b"".join(found), np.uint32)
+    n_ids, n_raw = (np.fromiter(map(len, x), np.int64, len(x)) for x in (found, raw))
+    ends = n_ids.cumsum()
+    before = np.append(0, sizes.take(ids).cumsum())
+    right = before.take(ends) - before.take(ends - n_ids) == n_raw
+    ids, of = ids[np.repeat(right, n_ids)], np.flatnonzero(right)
     n = sizes.take(ids)
-    if n.sum() != len(raw):
-        return False
-    return bool((flat.take(np.repeat(starts.take(ids) - n.cumsum() + n, n) + np.arange(len(raw))) == raw).all())
-
-
-def _ids(found: list[int]) -> np.ndarray:
-    return np.frombuffer(array("I", found), np.uint32)
+    got = flat.take(np.repeat(starts.take(ids) - n.cumsum() + n, n) + np.arange(n.sum()))
+    wrong = got != np.frombuffer(b"".join([raw[i] for i in of]), np.uint8)
+    if wrong.any():
+        right[np.repeat(of, n_raw[of])[wrong]] = False
+    return right
 
 
 class Codec:
@@ -74,7 +83,7 @@ class Codec:
 
     def __init__(self, a_path: str, ranks_path: str | None, b_path: str):
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.a, self.b, self.fast = Tokenizer.from_file(a_path), SentencePieceProcessor(model_file=b_path), None
         self.a.encode_special_tokens = True  # their strings in a text are plain text
@@ -83,9 +92,10 @@ class Codec:
         self.bytes_a = [bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode() for t in (entry.get(i, "") for i in range(max(entry) + 1))]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.space_a, self.space_b = (np.array([t[:1] == b" " for t in v]) for v in (self.bytes_a, self.bytes_b))
         self.spelling_a, self.spelling_b = _spelling(self.bytes_a), _spelling(self.bytes_b)
-        self.apart = not any(_WORD_SPACE.search(t.decode(errors="replace")) for v in (self.bytes_a, self.bytes_b) for t in v)
+        words = self.a.pre_tokenizer
+        self.apart = self.a.normalizer is None and isinstance(words, pre_tokenizers.ByteLevel) and words.use_regex and not words.add_prefix_space
+        self.apart = self.apart and not any(_CROSSED.search(t.decode(errors="replace")) for v in (self.bytes_a, self.bytes_b) for t in v)
         if ranks_path:
             from tiktoken import Encoding
 
@@ -102,18 +112,21 @@ class Codec:
             at = m.end()
         return [*out, text[at:]]
 
-    def ids_a(self, text: str) -> np.ndarray:
+    def windows(self, piece: str) -> list[str]:
+        """``piece``, cut at all spaces that no token crosses."""
+        return _WORD_SPACE.split(piece) if self.apart else [piece]
+
+    def ids_a(self, text: str) -> array:
         if self.fast and _SETTLED.fullmatch(text):
-            return _ids(self.fast.encode_ordinary(text))
-        return _ids(self.a.encode(text, add_special_tokens=False).ids)
+            return array("I", self.fast.encode_ordinary(text))
+        return array("I", self.a.encode(text, add_special_tokens=False).ids)
 
     def encode(self, pieces: list[str]) -> list[Encoded | None]:
         """Ids of each piece; None where their joined bytes are not a space and the piece."""
-        out = []
-        for piece, b in zip(pieces, self.b.encode(pieces, num_threads=1), strict=True):
-            raw, a, b = np.frombuffer(b" " + piece.encode(), np.uint8), self.ids_a(" " + piece), _ids(b)
-            out.append((a, b) if _spell(a, self.spelling_a, raw) and _spell(b, self.spelling_b, raw) else None)
-        return out
+        a, b = [self.ids_a(" " + p) for p in pieces], [array("I", x) for x in self.b.encode(pieces, num_threads=1)]
+        raw = [b" " + p.encode() for p in pieces]
+        right = _spelt(a, self.spelling_a, raw) & _spelt(b, self.spelling_b, raw)
+        return [(x, y) if ok else None for x, y, ok in zip(a, b, right.tolist(), strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -121,89 +134,67 @@ def _codec(a_path: str, ranks_path: str | None, b_path: str) -> Codec:
     return Codec(a_path, ranks_path, b_path)
 
 
-#: A's and B's ids between two anchors, as four bytes each, the first of B's with MARK: tuples that are small and quickly compared.
-Window = bytes
-MARK = 1 << 31
-
-
 class Aligner:
-    """Groups and links of encoded texts; the alignment of a window is kept by its id tuples."""
+    """Groups and links of texts; a window's ids, checked bytes and alignment are kept by its text."""
 
     def __init__(self, codec: Codec, memo: int = MEMO):
         self.codec, self.most = codec, memo
-        self.len_a, self.len_b = ([len(t) for t in v] for v in (codec.bytes_a, codec.bytes_b))
-        self.lengths = np.array(self.len_a), np.array(self.len_b)
-        self.text_a, self.text_b = ([str(i) for i in range(len(v))] for v in (codec.bytes_a, codec.bytes_b))
-        self.more_a, self.more_b = (["," + t for t in texts] for texts in (self.text_a, self.text_b))
+        self.lengths = [np.array([len(t) for t in v]) for v in (codec.bytes_a, codec.bytes_b)]
+        ids = [str(i) for i in range(max(map(len, self.lengths)))]
+        self.most_ids, self.written = len(ids), [c + i for c in "\n;,|" for i in ids]  # an id first in its window, first of A or another in its group, first of B
         self.forget()
 
     def forget(self) -> None:
-        self.memo: dict[Window, int] = {}  # place in the lists below
+        self.memo: dict[str, int] = {}  # place in the lists below, or -1 where bytes differ
         self.texts: list[str] = []
-        self.groups = array("q")
+        self.numbers = array("q")  # n_a, n_b and n_groups of each
         self.links, self.starts = array("q"), array("q", [0])  # of all windows, and where each one's begin
 
-    def windows(self, ids_a: np.ndarray, ids_b: np.ndarray) -> list[Window]:
-        """Id tuples between anchors: byte offsets at which tokens of both end and the next ones of both begin with a space."""
+    def places(self, windows: list[str]) -> list[int]:
+        """The windows' places; those not known yet are encoded, checked and aligned, once each."""
+        places = [*map(self.memo.get, windows)]
+        if None in places:
+            if len(self.memo) > self.most or len(self.links) > LINKS * self.most:
+                self.forget()
+                places = [None] * len(windows)
+            at = [i for i, p in enumerate(places) if p is None]
+            new = [*dict.fromkeys([windows[i] for i in at])]
+            self.memo.update(zip(new, self.align(self.codec.encode(new)), strict=True))
+            for i in at:
+                places[i] = self.memo[windows[i]]
+        return places
+
+    def align(self, encoded: list[Encoded | None]) -> list[int]:
+        """The places of new windows: groups as text, numbers, links as a * vocabulary of B + b; -1 for None."""
+        some = [x for x in encoded if x]
+        if not some:
+            return [-1] * len(encoded)
+        ids_a, ids_b = (np.frombuffer(b"".join(x), np.uint32).astype(np.int64) for x in zip(*some, strict=True))
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(some)) for x in zip(*some, strict=True))
+        # All windows one after another: where tokens end, in bytes, and which end a group or a window.
         ends_a, ends_b = self.lengths[0].take(ids_a).cumsum(), self.lengths[1].take(ids_b).cumsum()
-        at = np.searchsorted(ends_b, ends_a)
-        i = np.flatnonzero(ends_b.take(at) == ends_a)  # the A tokens that end where one of B does
-        j = at.take(i)
-        anchors = np.append(self.codec.space_a.take(ids_a.take(i[:-1] + 1)) & self.codec.space_b.take(ids_b.take(j[:-1] + 1)), True)
-        cut_a, cut_b = i[anchors] + 1, j[anchors] + 1
-        first_b = np.append(0, cut_b[:-1])
-        ids = np.empty(len(ids_a) + len(ids_b), np.uint32)
-        ids[np.arange(len(ids_a)) + np.repeat(first_b, np.diff(cut_a, prepend=0))] = ids_a
-        ids[np.arange(len(ids_b)) + np.repeat(cut_a, np.diff(cut_b, prepend=0))] = ids_b
-        ids[first_b + cut_a] |= MARK
-        raw, cuts = ids.tobytes(), (4 * (cut_a + cut_b)).tolist()
-        return [raw[s:e] for s, e in zip([0, *cuts], cuts, strict=False)]
-
-    def align(self, window: Window) -> int:
-        """The place of a window that is not known yet: its groups as text, their number, its links as a * vocabulary of B + b."""
-        ids, k = memoryview(window).cast("I").tolist(), 1
-        while ids[k] < MARK:
-            k += 1
-        a, b = ids[:k], [ids[k] - MARK, *ids[k + 1 :]]
-        width, text_a, text_b = len(self.text_b), self.text_a, self.text_b
-        x, y = a[0], b[0]
-        links, parts = self.links, []
-        links.append(x * width + y)
-        if len(a) == 1 or len(b) == 1:  # one group, in which all is linked
-            links.extend([p * width + q for p in a for q in b][1:])
-            return self._keep(window, f"{','.join([text_a[p] for p in a])}|{','.join([text_b[q] for q in b])}", 1)
-        len_a, len_b, more_a, more_b, add = self.len_a, self.len_b, self.more_a, self.more_b, links.append
-        of_a, of_b, left, head, i, j = text_a[x], text_b[y], len_a[x] - len_b[y], x * width, 1, 1  # ``left``: bytes that A's group is ahead
-        while True:
-            if left > 0:
-                y = b[j]
-                j += 1
-                left -= len_b[y]
-                of_b += more_b[y]
-            elif left:
-                x = a[i]
-                i += 1
-                head = x * width
-                left += len_a[x]
-                of_a += more_a[x]
-            elif i < k:
-                parts.append(f"{of_a}|{of_b}")
-                x, y = a[i], b[j]
-                i, j = i + 1, j + 1
-                head, left = x * width, len_a[x] - len_b[y]
-                of_a, of_b = text_a[x], text_b[y]
-            else:
-                break
-            add(head + y)
-        parts.append(f"{of_a}|{of_b}")
-        return self._keep(window, ";".join(parts), len(parts))
-
-    def _keep(self, window: Window, text: str, n_groups: int) -> int:
-        self.texts.append(text)
-        self.groups.append(n_groups)
-        self.starts.append(len(self.links))
-        self.memo[window] = place = len(self.texts) - 1
-        return place
+        ends = ends_a.take(n_a.cumsum() - 1)
+        shared = ends_a[ends_b.take(np.searchsorted(ends_b, ends_a)) == ends_a]
+        # A's and B's tokens by group: the ends before each one's own tell the group.
+        group_a, group_b = (np.searchsorted(shared, e) for e in (ends_a, ends_b))
+        first_a, first_b = (np.searchsorted(g, np.arange(len(shared) + 1)) for g in (group_a, group_b))
+        kind_a, kind_b = np.full(len(ids_a), 2), np.full(len(ids_b), 2)
+        kind_a[first_a[:-1]], kind_b[first_b[:-1]] = 1, 3
+        kind_a[n_a.cumsum() - n_a] = 0
+        written = np.empty(len(ids_a) + len(ids_b), np.int64)
+        written[np.arange(len(ids_a)) + first_b.take(group_a)] = kind_a * self.most_ids + ids_a
+        written[np.arange(len(ids_b)) + first_a.take(group_b + 1)] = kind_b * self.most_ids + ids_b
+        # Between two neighbouring ends one A and one B token overlap: a link.
+        cuts = np.unique(np.concatenate([ends_a, ends_b]))
+        links = ids_a.take(np.searchsorted(ends_a, cuts)) * len(self.lengths[1]) + ids_b.take(np.searchsorted(ends_b, cuts))
+
+        first = len(self.texts)
+        self.texts += "".join(map(self.written.__getitem__, written.tolist())).split("\n")[1:]
+        self.numbers.frombytes(np.stack([n_a, n_b, np.diff(np.searchsorted(shared, ends, "right"), prepend=0)], 1).tobytes())
+        self.starts.frombytes((len(self.links) + np.searchsorted(cuts, ends, "right")).tobytes())
+        self.links.frombytes(links.tobytes())
+        place = iter(range(first, first + len(some)))
+        return [next(place) if x else -1 for x in encoded]
 
     def _links_of(self, places: np.ndarray) -> np.ndarray:
         links, starts = np.frombuffer(self.links, np.int64), np.frombuffer(self.starts, np.int64)
@@ -211,25 +202,23 @@ class Aligner:
         n = starts.take(places + 1) - first
         return links.take(np.arange(n.sum()) + np.repeat(first - n.cumsum() + n, n))
 
-    def document(self, encoded: list[Encoded]) -> tuple[int, int, int, int, str, tuple[np.ndarray, np.ndarray], list[str]]:
-        """(n_a, n_b, n_groups, n_links, digest, (links, how often each), windows as text) of a text's encoded pieces."""
-        digest, texts, links, n_groups = sha256(), [], [_NONE], 0
-        for k, (a, b) in enumerate(encoded):
-            if len(self.memo) > self.most:
-                self.forget()
-            windows, known = self.windows(a, b), self.memo.get
-            places = list(map(known, windows))
-            if None in places:
-                for i in [i for i, p in enumerate(places) if p is None]:
-                    q = known(windows[i])
-                    places[i] = self.align(windows[i]) if q is None else q
+    def counted(self, pieces: Iterable[list[int]]) -> tuple[int, int, int, int, str, tuple[np.ndarray, np.ndarray], list[str]]:
+        """(n_a, n_b, n_groups, n_links, digest, (links, how often each), windows as text) of the places of a text's pieces."""
+        digest, texts, links, numbers = sha256(), [], [_NONE], np.zeros(3, np.int64)
+        for k, places in enumerate(pieces):
+            if min(places) < 0:
+                return 0, 0, 0, 0, "", (_NONE, _NONE), []
             texts.append(";".join(map(self.texts.__getitem__, places)))
             digest.update(((";" if k else "") + texts[-1]).encode())
-            places = np.array(places)
-            n_groups += int(np.frombuffer(self.groups, np.int64).take(places).sum())
-            links.append(self._links_of(places))
+            at = np.array(places)
+            numbers += np.frombuffer(self.numbers, np.int64).reshape(-1, 3).take(at, 0).sum(0)
+            links.append(self._links_of(at))
         kinds, times = np.unique(np.concatenate(links), return_counts=True)
-        return sum(len(a) for a, _ in encoded), sum(len(b) for _, b in encoded), n_groups, int(times.sum()), digest.hexdigest(), (kinds, times), texts
+        return *numbers.tolist(), int(times.sum()), digest.hexdigest() if texts else "", (kinds, times), texts
+
+    def document(self, encoded: list[Encoded | None]) -> tuple[int, int, int, int, str, tuple[np.ndarray, np.ndarray], list[str]]:
+        """The same of a text's encoded pieces, each aligned as one window."""
+        return self.counted([p] for p in self.align(encoded))
 
 
 _NONE = np.empty(0, np.int64)
@@ -241,6 +230,18 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(arrays), kind))
 
 
+def _stretches(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours with up to TOGETHER characters in all; one with more stands alone."""
+    first, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > first and held + n > TOGETHER:
+            yield first, i
+            first, held = i, 0
+        held += n
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
 def _aligned(paths: tuple[str, str | None, str], memo: int, long_pairs: bool, groups: bool):
     kind = pa.int64() if long_pairs else pa.int32()
 
@@ -249,27 +250,21 @@ def _aligned(paths: tuple[str, str | None, str], memo: int, long_pairs: bool, gr
         aligner = Aligner(codec, memo)
         gc.disable()  # millions of small lists and no cycles
         for batch in batches:
-            texts, at = batch.column("_text"), 0
-            while at < batch.num_rows:
-                # Rows of some TOGETHER characters, at least one.
-                taken, size = [], 0
-                while at + len(taken) < batch.num_rows and (not taken or size < TOGETHER):
-                    taken.append(codec.pieces(texts[at + len(taken)].as_py() or ""))
-                    size += sum(map(len, taken[-1]))
-                owner = [k for k, pieces in enumerate(taken) for p in pieces if p]
-                encoded: list[list] = [[] for _ in taken]
-                todo = [p for pieces in taken for p in pieces if p]
-                for k in range(0, len(todo), 64):
-                    for o, e in zip(owner[k : k + 64], codec.encode(todo[k : k + 64]), strict=True):
-                        encoded[o].append(e)
-                found = [aligner.document(e) if e and all(x is not None for x in e) else (0, 0, 0, 0, "", (_NONE, _NONE), []) for e in encoded]
-                columns = [batch.column("_doc").slice(at, len(taken)), *[pa.array([f[i] for f in found], pa.int64()) for i in range(4)], pa.array([f[4] for f in found])]
+            for start, end in _stretches(pc.fill_null(pc.utf8_length(batch.column("_text")), 0).to_pylist()):
+                texts = batch.column("_text").slice(start, end - start).to_pylist()
+                rows = [map(codec.windows, codec.pieces(t)) if t else [] for t in texts]
+                if len(rows) > 1:
+                    rows = [[*r] for r in rows]
+                    place = iter(aligner.places([w for r in rows for windows in r for w in windows]))
+                    found = [aligner.counted([[*islice(place, len(windows))] for windows in r]) for r in rows]
+                else:
+                    found = [aligner.counted(map(aligner.places, r)) for r in rows]
+                columns = [batch.column("_doc").slice(start, end - start), *[pa.array([f[i] for f in found], pa.int64()) for i in range(4)], pa.array([f[4] for f in found])]
                 columns += [_lists([f[5][k] for f in found], t) for k, t in enumerate((kind, pa.int32()))]
                 names = ["_doc", *_NUMBERS, "groups_sha256", "pairs", "times"]
                 if groups:
                     columns, names = [*columns, pa.array([";".join(f[6]) for f in found])], [*names, "groups"]
                 yield pa.RecordBatch.from_arrays(columns, names)
-                at += len(taken)
 
     return run
 
@@ -359,10 +354,11 @@ def align_tokenizers(docs: DataFrame, text_col: str = "text", keep: list[str] |
     ``groups`` that text too, as ``groups``. ``token_pairs`` gives the counts themselves.
 
     A's ids are those of ``a_file``; if ``a_ranks`` names the same vocabulary as ranks, texts of characters about which no two
-    versions of Unicode differ are encoded from it, four times as fast. Whole texts are encoded (those over ``TOGETHER`` characters in pieces, cut where neither vocabulary has a token across the
-    cut, so with the same ids) and the joined bytes of both are checked. Shared ends before tokens that begin with a space in
-    both vocabularies are anchors; the id tuples between two of them are a window. Its groups and links follow from the ids
-    alone, so a task keeps them by that key, ``memo`` windows at most. A row's id pairs are written with their numbers; tasks
+    versions of Unicode differ are encoded from it, four times as fast. Every whole text is encoded and the joined bytes of both are checked, in windows: it is cut at all spaces
+    that follow no blank, where both tokenizers begin a token and merge nothing across, so the ids are those of the text in one
+    (a test compares both; vocabularies with a token across such a space get no cuts). A window's ids, and with them its groups
+    and links, follow from its text alone, so a task encodes, checks and aligns it once and keeps it by its text, some ``memo``
+    windows at a time. A row's id pairs are written with their numbers; tasks
     add them up before a shuffle by pair. Pairs with over 1 / ``head`` of all links, fewer than ``head``, go to all tasks as
     arrays; a row's other pairs are joined to the written counts.
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -104,6 +105,38 @@ def test_ranks_give_the_ids_of_the_file():
     assert codec.ids_a("a" * 5000).tolist() == codec.a.encode("a" * 5000, add_special_tokens=False).ids
 
 
+def codec():
+    return crosstok._codec(*(f"{crosstok.FOLDER}/{f}" for f in (crosstok.A_FILE, crosstok.A_RANKS, crosstok.B_FILE)))
+
+
+def test_windows_have_the_ids_of_the_whole_text():
+    rng, both = random.Random(3), codec()
+    parts = [*" " * 30, *"aZ7.é«ж日'\u0301🙂\0", "the", "don't", "'s", "\n", "\t", "\r\n", *"\x0b\x1c\x1f\x85\xa0\u1680\u180e\u2003\u200b\u2028\u202f\u3000\ufeff", "\xa0 \xa0", "<s>", "<|endoftext|>"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 40)))
+        windows = both.windows(text)
+        found = both.encode(windows)
+        assert " ".join(windows) == text and all(windows) and None not in found
+        assert [i for a, _ in found for i in a] == both.a.encode(" " + text, add_special_tokens=False).ids, text
+        assert [i for _, b in found for i in b] == both.b.encode(text), text
+    assert both.windows("a  b \n c d\xa0 e ") == ["a", " b", "\n c", "d\xa0 e "]
+
+
+def test_a_window_is_encoded_once_and_long_rows_alone(monkeypatch):
+    rows = [*texts(), "the of " * 3000 + "▁", *texts(), "Strasse of don't " * 40, "ж" * 300]
+    batch = pa.RecordBatch.from_pydict({"_doc": [{"none": True}] * len(rows), "_text": pa.array(rows, pa.string())})
+    paths = tuple(f"{crosstok.FOLDER}/{f}" for f in (crosstok.A_FILE, crosstok.A_RANKS, crosstok.B_FILE))
+    once, encode = [], crosstok.Codec.encode
+    monkeypatch.setattr(crosstok.Codec, "encode", lambda self, pieces: once.extend(pieces) or encode(self, pieces))
+    run = lambda memo: pa.Table.from_batches(crosstok._aligned(paths, memo, False, True)(iter([batch]))).to_pydict()
+    found = run(crosstok.MEMO)
+    assert len(once) == len(set(once)) and sum(map(len, once)) < sum(len(t or "") for t in rows) / 5
+    want, _, groups = brute(rows)
+    assert [tuple(found[f][i] for f in (*FIELDS[:4], FIELDS[6])) for i in range(len(rows))] == [(*w[:4], w[6]) for w in want] and found["groups"] == groups
+    monkeypatch.setattr(crosstok, "TOGETHER", 100)
+    assert run(crosstok.MEMO) == found and run(5) == found
+
+
 def test_empty_table_and_query(spark):
     assert crosstok.align_tokenizers(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert crosstok.token_pairs(spark.createDataFrame([(None,)], "text string")).count() == 0
