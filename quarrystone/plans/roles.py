@@ -87,7 +87,8 @@ ROLES = {"profiles": PROFILES, "reports": REPORTS, "responses": RESPONSES, "comp
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    text = ROLES[name]
+    # Spark's length is an int, which the products made of it overflow from some 20 000 characters on; elsewhere it is a bigint.
+    text = ROLES[name].replace("length(coalesce(text, '')) AS n", "cast(length(coalesce(text, '')) AS bigint) AS n")
     used = {t: table(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in text}
     return spark.sql(text, **used)
 

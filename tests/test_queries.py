@@ -63,3 +63,16 @@ def test_entry_without_optional_parts(tmp_path, gone):
     assert out.returncode == 0, out.stderr
     count, has_pipeline, has_core = out.stdout.split()
     assert int(count) > 60 and has_pipeline == "False" and has_core == "True"
+
+
+@pytest.mark.parametrize("name", ["content_checks"])
+def test_query_equals_sql_on_long_texts(spark, tmp_path, name):
+    """Texts of each kind of imprint, up to lengths whose products with its numbers take more than 32 bits."""
+    texts = [None, "", *("Azienda è il 2021 " * k + "x" * i for k in (1, 1200, 16_000) for i in range(6))]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = queries.QUERIES[name](spark, str(tmp_path))
+    want = con.execute(queries.ORACLES[name])
+    names = [c[0] for c in want.description]
+    assert as_rows(got.columns, got.collect()) == as_rows(names, want.fetchall())
