@@ -65,7 +65,7 @@ def test_entry_without_optional_parts(tmp_path, gone):
     assert int(count) > 60 and has_pipeline == "False" and has_core == "True"
 
 
-@pytest.mark.parametrize("name", ["content_checks", "extract_contacts", "figures"])
+@pytest.mark.parametrize("name", ["content_checks", "extract_contacts", "figures", "page_predicates"])
 def test_query_equals_sql_on_long_texts(spark, tmp_path, name):
     """Texts of each kind of imprint, up to lengths whose products with its numbers take more than 32 bits."""
     texts = [None, "", *("Azienda è il 2021 " * k + "x" * i for k in (1, 1200, 16_000) for i in range(6))]
