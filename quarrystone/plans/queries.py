@@ -1129,23 +1129,27 @@ def figures(spark, d):
 
 # --- streams ---------------------------------------------------------------------------------------------------------
 def _streamed(spark, d, name: str, columns: list[str], behind: Column | None = None):
-    """A role as a stream of three batches: written by thirds of the span of ``ts`` (rows without a time in the first), or
-    anyhow if it has none, and read one by one. Rows of ``behind`` come with the last third, whatever their time."""
+    """A role as a stream of three batches, and ``drained(stream, mode)``: the result of a stream made of it. The thirds of the span of
+    ``ts`` (rows without a time in the first) arrive one after the other, each whole when the stream is done with the one
+    before, so that no batch depends on how many files a third is written to. Rows of ``behind`` come with the last third."""
     path = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
     rows = role(spark, d, name)
-    rows = rows.withColumn("ts", F.col("ts").cast("timestamp")) if "ts" in columns else rows
-    if "ts" in columns:
-        ends = rows.agg(F.min("ts"), F.max("ts")).first()
-        steps = [ends[0] + (ends[1] - ends[0]) * i / 3 for i in range(1, 3)] if ends[0] else []
-        part = sum([F.coalesce(F.col("ts") > F.lit(x), F.lit(False)).cast("int") for x in steps], F.lit(0))
-        part = part if behind is None else F.when(behind, len(steps)).otherwise(part)
-        for i in range(len(steps) + 1):
-            rows.where(part == i).select(*columns).write.mode("append").parquet(f"{path}/in")
-    else:
-        rows.select(*columns).repartition(3).write.parquet(f"{path}/in")
-    rows = rows.select(*columns)
-    files = len(spark.read.parquet(f"{path}/in").inputFiles())
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, files // 3)).parquet(f"{path}/in"), path
+    rows = rows.withColumn("ts", F.col("ts").cast("timestamp"))
+    ends = rows.agg(F.min("ts"), F.max("ts")).first()
+    steps = [ends[0] + (ends[1] - ends[0]) * i / 3 for i in range(1, 3)] if ends[0] else []
+    part = sum([F.coalesce(F.col("ts") > F.lit(x), F.lit(False)).cast("int") for x in steps], F.lit(0))
+    part = part if behind is None else F.when(behind, len(steps)).otherwise(part)
+    arrive = lambda i: rows.where(part == i).select(*columns).write.mode("append").parquet(f"{path}/in")
+    arrive(0)
+
+    def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
+        out = T.drain(stream, f"{path}/out", f"{path}/checkpoint", mode)
+        for i in range(1, len(steps) + 1):
+            arrive(i)
+            out = T.drain(stream, f"{path}/out", f"{path}/checkpoint", mode)
+        return out
+
+    return spark.readStream.schema(rows.select(*columns).schema).parquet(f"{path}/in"), drained
 
 
 def _straggling(spark, d, columns: list[str]):
@@ -1157,22 +1161,22 @@ def _straggling(spark, d, columns: list[str]):
 
 @query("stream_block_counts", f"SELECT domain, block_type, count(*) AS n, count(*) >= 30 AS hot FROM (SELECT event_id, {sql_host('url')} AS domain FROM {LEDGER}) JOIN ({ORACLES['classify_blocks']}) USING (event_id) WHERE block_type <> 'NONE' GROUP BY ALL")
 def stream_block_counts(spark, d):
-    rows, path = _streamed(spark, d, "ledger", ["ts", "url", "http_status", "body"])
+    rows, drained = _streamed(spark, d, "ledger", ["ts", "url", "http_status", "body"])
     rows = rows.select("ts", P.block_domain(F.col("url")).alias("domain"), P.classify_block(F.col("http_status"), F.col("body"))[0].alias("block_type"))
-    return T.drain(T.block_counts_stream(rows, 30), f"{path}/out", f"{path}/checkpoint", "complete")
+    return drained(T.block_counts_stream(rows, 30), "complete")
 
 
 @query("stream_running_totals", f"SELECT provider, count(*) AS processed, count(*) FILTER (success) AS found, round(avg(success::INT), 9) AS yield FROM {LEDGER} GROUP BY provider")
 def stream_running_totals(spark, d):
-    rows, path = _streamed(spark, d, "ledger", ["ts", "provider", "success"])
-    return T.drain(T.running_totals_stream(rows), f"{path}/out", f"{path}/checkpoint", "complete").withColumn("yield", F.round("yield", 9))
+    rows, drained = _streamed(spark, d, "ledger", ["ts", "provider", "success"])
+    return drained(T.running_totals_stream(rows), "complete").withColumn("yield", F.round("yield", 9))
 
 
 @query("stream_failure_runs", f"SELECT provider, processed, consecutive_failures FROM ({ORACLES['running_totals']})")
 def stream_failure_runs(spark, d):
     """The last figures of each provider."""
-    rows, path = _streamed(spark, d, "ledger", ["ts", "event_id", "provider", "success"])
-    out = T.drain(T.failure_runs_stream(rows), f"{path}/out", f"{path}/checkpoint")
+    rows, drained = _streamed(spark, d, "ledger", ["ts", "event_id", "provider", "success"])
+    out = drained(T.failure_runs_stream(rows))
     last = out.groupBy("provider").agg(F.max_by(F.struct("processed", "consecutive_failures"), "processed").alias("x"))
     return last.select("provider", "x.processed", "x.consecutive_failures")
 
@@ -1224,21 +1228,21 @@ def stream_ledger(spark, d):
 )
 def stream_health(spark, d):
     """All sliding windows, those still open at the end of the input included."""
-    rows, path = _streamed(spark, d, "ledger", ["ts", "success", "duration_ms", "cost_eur", "cache_hit", "company_id"])
-    out = T.drain(T.ledger_health_stream(rows), f"{path}/out", f"{path}/checkpoint", "complete")
+    rows, drained = _streamed(spark, d, "ledger", ["ts", "success", "duration_ms", "cost_eur", "cache_hit", "company_id"])
+    out = drained(T.ledger_health_stream(rows), "complete")
     return out.select("window_start", "total_calls", F.round("error_rate", 9).alias("error_rate"), F.round("avg_duration_ms", 6).alias("avg_duration_ms"), F.round("cost_eur", 6).alias("cost_eur"), F.round("cache_hit_rate", 9).alias("cache_hit_rate"))
 
 
 @query("stream_cooldown", f"SELECT company_id, event_id, approved FROM ({_cooled(86_400)})")
 def stream_cooldown(spark, d):
-    rows, path = _streamed(spark, d, "ledger", ["company_id", "event_id", "ts"])
-    return T.drain(T.cooldown_stream(rows, "company_id", 86_400), f"{path}/out", f"{path}/checkpoint").select("company_id", "event_id", "approved")
+    rows, drained = _streamed(spark, d, "ledger", ["company_id", "event_id", "ts"])
+    return drained(T.cooldown_stream(rows, "company_id", 86_400)).select("company_id", "event_id", "approved")
 
 
 @query("stream_dedup_ttl", f"SELECT company_id, event_id FROM ({_cooled(5 * 86_400)}) WHERE approved")
 def stream_dedup_ttl(spark, d):
-    rows, path = _streamed(spark, d, "ledger", ["company_id", "event_id", "ts"])
-    return T.drain(T.dedup_ttl(rows, "company_id", 5 * 86_400), f"{path}/out", f"{path}/checkpoint").select("company_id", "event_id")
+    rows, drained = _streamed(spark, d, "ledger", ["company_id", "event_id", "ts"])
+    return drained(T.dedup_ttl(rows, "company_id", 5 * 86_400)).select("company_id", "event_id")
 
 
 # The same log with every tenth call of its first third arriving with the last third, far behind the watermark.
@@ -1249,8 +1253,8 @@ _behind = "(event_id % 10 = 0 AND NOT second)"
 @query("stream_late_counts", f"SELECT provider, count(*) AS rows, count(*) FILTER ({_behind} AND ts < (SELECT max(ts) FROM {_thirds} WHERE NOT third) - INTERVAL 60 SECOND) AS late FROM {_thirds} GROUP BY provider")
 def stream_late_counts(spark, d):
     """Calls of each provider and how many came too late, last figures."""
-    rows, path = _straggling(spark, d, ["ts", "provider"])
-    out = T.drain(T.late_counts_stream(rows, "provider"), f"{path}/out", f"{path}/checkpoint")
+    rows, drained = _straggling(spark, d, ["ts", "provider"])
+    out = drained(T.late_counts_stream(rows, "provider"))
     return out.groupBy("provider").agg(F.max("rows").alias("rows"), F.max("late").alias("late"))
 
 
@@ -1260,16 +1264,16 @@ _on_time = f"(SELECT event_id, company_id, ts FROM {_thirds} WHERE NOT {_behind}
 @query("stream_cooldown_late", f"SELECT company_id, event_id, approved FROM ({_cooled(86_400).replace(LEDGER, _on_time)})")
 def stream_cooldown_late(spark, d):
     """The rest of the log is judged as if the late calls had never come."""
-    rows, path = _straggling(spark, d, ["company_id", "event_id", "ts"])
-    return T.drain(T.cooldown_stream(rows, "company_id", 86_400), f"{path}/out", f"{path}/checkpoint").select("company_id", "event_id", "approved")
+    rows, drained = _straggling(spark, d, ["company_id", "event_id", "ts"])
+    return drained(T.cooldown_stream(rows, "company_id", 86_400)).select("company_id", "event_id", "approved")
 
 
 @query("stream_health_late", f"""SELECT time_bucket(INTERVAL 300 SECOND, ts) AS window_start, count(*) AS total_calls, round(avg((NOT success)::INT), 9) AS error_rate FROM {_thirds} WHERE NOT {_behind} GROUP BY 1
   HAVING window_start + INTERVAL 300 SECOND <= (SELECT max(ts) FROM {_thirds}) - INTERVAL 60 SECOND""")
 def stream_health_late(spark, d):
     """Windows that are over, each written once (append mode): late calls change none of them."""
-    rows, path = _straggling(spark, d, ["ts", "success", "duration_ms", "cost_eur", "cache_hit", "company_id"])
-    out = T.drain(T.ledger_health_stream(rows, "300 seconds", "300 seconds"), f"{path}/out", f"{path}/checkpoint")
+    rows, drained = _straggling(spark, d, ["ts", "success", "duration_ms", "cost_eur", "cache_hit", "company_id"])
+    out = drained(T.ledger_health_stream(rows, "300 seconds", "300 seconds"))
     return out.select("window_start", "total_calls", F.round("error_rate", 9).alias("error_rate"))
 
 

@@ -76,3 +76,24 @@ def test_query_equals_sql_on_long_texts(spark, tmp_path, name):
     want = con.execute(queries.ORACLES[name])
     names = [c[0] for c in want.description]
     assert as_rows(got.columns, got.collect()) == as_rows(names, want.fetchall())
+
+
+@pytest.mark.parametrize(("name", "files"), [("stream_health_late", 1), ("stream_health_late", 8)])
+def test_streams_equal_sql_however_the_log_is_split(spark, tmp_path, name, files):
+    """A log in order of time in files of growing size, read as one partition each, so the thirds of its span are written to unlike
+    numbers of files; a call that comes late lies in the window across the first two thirds."""
+    con = duckdb.connect()
+    con.sql("CREATE TABLE events AS SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_seconds(i * 97) AS ts, i % 5 AS user_id, CASE i % 3 WHEN 0 THEN 'error' ELSE 'view' END AS event_type, (i % 90)::DOUBLE AS value, '{}' AS props FROM range(1982) r(i)")
+    (tmp_path / "events.parquet").mkdir()
+    ends = [1982 * n * (n + 1) // (files * (files + 1)) for n in range(files + 1)]
+    for n in range(files):
+        con.sql(f"COPY (SELECT * FROM events WHERE event_id >= {ends[n]} AND event_id < {ends[n + 1]} ORDER BY event_id) TO '{tmp_path}/events.parquet/{n}.parquet' (FORMAT parquet)")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        assert spark.read.parquet(f"{tmp_path}/events.parquet").rdd.getNumPartitions() == files
+        got = queries.QUERIES[name](spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = con.execute(queries.ORACLES[name])
+    names = [c[0] for c in want.description]
+    assert as_rows(got.columns, got.collect()) == as_rows(names, want.fetchall())
