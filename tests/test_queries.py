@@ -78,7 +78,7 @@ def test_query_equals_sql_on_long_texts(spark, tmp_path, name):
     assert as_rows(got.columns, got.collect()) == as_rows(names, want.fetchall())
 
 
-@pytest.mark.parametrize(("name", "files"), [("stream_health_late", 1), ("stream_health_late", 8)])
+@pytest.mark.parametrize(("name", "files"), [("stream_health_late", 1), ("stream_health_late", 8), ("stream_cooldown_late", 8)])
 def test_streams_equal_sql_however_the_log_is_split(spark, tmp_path, name, files):
     """A log in order of time in files of growing size, read as one partition each, so the thirds of its span are written to unlike
     numbers of files; a call that comes late lies in the window across the first two thirds."""
